@@ -125,27 +125,21 @@ def closure_histogram(enriched: DataFrame, cap: int = 60, bins: int = 30) -> Dat
         {"_low": low.cast("double") - spread, "_high": high.cast("double") + spread}
     )
     place = F.floor((F.col("days") - F.col("_low")) * bins / (F.col("_high") - F.col("_low")))
-    binned = (
+    counts = (
         edged.withColumn("bin", F.least(place, F.lit(bins - 1)).cast("int"))
+        .groupBy("_low", "_high", "bin")
+        .agg(F.sum("n").alias("n"))
         .groupBy("_low", "_high")
-        .pivot("bin", list(range(bins)))
-        .agg(F.sum("n"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_counts"))
     )
     width = (F.col("_high") - F.col("_low")) / bins
-    slots = F.array(
-        *(
-            F.struct(
-                F.lit(i).alias("bin"),
-                (F.col("_low") + width * i).alias("from_days"),
-                (F.col("_low") + width * (i + 1)).alias("to_days"),
-                F.coalesce(F.col(f"`{i}`"), F.lit(0)).alias("requests"),
-            )
-            for i in range(bins)
-        )
-    )
-    return binned.select(F.inline(slots)).select(
-        "bin", round_half(F.col("from_days"), 4).alias("from_days"),
-        round_half(F.col("to_days"), 4).alias("to_days"), "requests",
+    return counts.select(
+        "*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
+    ).select(
+        "bin",
+        round_half(F.col("_low") + width * F.col("bin"), 4).alias("from_days"),
+        round_half(F.col("_low") + width * (F.col("bin") + 1), 4).alias("to_days"),
+        F.coalesce(F.try_element_at("_counts", F.col("bin")), F.lit(0)).alias("requests"),
     )
 
 
@@ -161,15 +155,17 @@ def closed_by_day_bins(enriched: DataFrame, width: int = 5) -> DataFrame:
 
 def score_matrix(scores: DataFrame, boroughs: Sequence[str], top_types: int = 10) -> DataFrame:
     """Scores of the types with the highest maximum, one column per borough."""
+    best = F.max("priority_score").over(Window.partitionBy("complaint_type"))
     matrix = (
-        scores.groupBy("complaint_type")
+        scores.withColumn("max_score", best)
+        .groupBy("complaint_type", "max_score")
         .pivot("borough", list(boroughs))
         .agg(F.avg("priority_score"))
     )
-    best = scores.groupBy("complaint_type").agg(F.max("priority_score").alias("max_score"))
-    kept = largest(best, "max_score", top_types, "complaint_type")
     columns = [F.col(f"`{b}`").alias(_name(b)) for b in boroughs]
-    return kept.join(matrix, "complaint_type").select("complaint_type", "max_score", *columns)
+    return largest(matrix, "max_score", top_types, "complaint_type").select(
+        "complaint_type", "max_score", *columns
+    )
 
 
 def open_by_bucket(aging: DataFrame) -> DataFrame:

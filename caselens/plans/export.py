@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,18 +66,23 @@ def prepare(
     )
 
 
-def export(requests: DataFrame, sla: SlaTargets, params: Params, folder: str) -> DataFrame:
-    """Write the fact, the rollups and the dimensions; return ``table_name, format, row_count``.
+def write_fact(requests: DataFrame, sla: SlaTargets, params: Params, folder: str) -> DataFrame:
+    """Enrich and write the fact once, partitioned by month, and read it back typed."""
+    path = f"{folder}/fact_service_requests"
+    tables.write_parquet(enrich(requests, sla, params), path, "created_month")
+    return tables.read_parquet(requests.sparkSession, path, schemas.ENRICHED)
+
+
+def write_profile(fact: DataFrame, folder: str) -> DataFrame:
+    """Count the shared profile of the fact once; all rollups and scores read only this."""
+    path = tables.write_parquet(rollups.shared_profile(fact), f"{folder}/_profile")
+    return fact.sparkSession.read.parquet(path)
 
-    The fact is enriched and written once, partitioned by month. One shared profile is counted from
-    it and written too; all rollups and scores read only that small profile.
-    """
+
+def export(requests: DataFrame, sla: SlaTargets, params: Params, folder: str) -> DataFrame:
+    """Write the fact, the rollups and the dimensions; return ``table_name, format, row_count``."""
     spark = requests.sparkSession
-    fact_path = f"{folder}/fact_service_requests"
-    tables.write_parquet(enrich(requests, sla, params), fact_path, "created_month")
-    fact = tables.read_parquet(spark, fact_path, schemas.ENRICHED)
-    profile_path = tables.write_parquet(rollups.shared_profile(fact), f"{folder}/_profile")
-    shared = spark.read.parquet(profile_path)
+    shared = write_profile(write_fact(requests, sla, params, folder), folder)
     small = {
         "kpi_by_agency": rollups.kpi_by_agency(shared),
         "kpi_by_complaint_type": rollups.kpi_by_complaint_type(shared),
@@ -86,8 +93,14 @@ def export(requests: DataFrame, sla: SlaTargets, params: Params, folder: str) ->
         "dim_sla_targets": sla.frame,
         "dim_date": dim_date(spark, params.backlog_start, params.window_end),
     }
-    for name, frame in small.items():
-        tables.write_csv(frame, f"{folder}/{name}")
+    # Small independent jobs: submitted together they overlap instead of queueing.
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        jobs = [
+            pool.submit(inheritable_thread_target(tables.write_csv), frame, f"{folder}/{name}")
+            for name, frame in small.items()
+        ]
+    for job in jobs:
+        job.result()
     return manifest(spark, folder)
 
 

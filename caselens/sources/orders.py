@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselens.params import ACTIVITY, BACKLOG, UNSPECIFIED, Params
-from caselens.sources import schemas
 from caselens.sources.raw import in_activity_window
 from caselens.sources.sla import SlaTargets, targets_from_rows
 
@@ -47,30 +46,35 @@ def sla_targets(spark: SparkSession) -> SlaTargets:
     return targets_from_rows(spark, sla_rows(), PARAMS.default_sla_days)
 
 
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+# Only the columns that are used; a declared schema also spares a footer read per table.
+TABLES = {
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz, "
+    "o_orderpriority string",
+    "lineitem": "l_orderkey long, l_linenumber int, l_shipdate timestamp_ntz",
+    "customer": "c_custkey long, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
 
 
-def _as_time(name: str) -> Column:
-    return F.col(name).cast("timestamp_ntz")
-
-
-def _customers(spark: SparkSession, folder: str) -> DataFrame:
-    """Customer with its nation and region. No hint: the planner broadcasts by measured size."""
-    customer = _table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    nation = _table(spark, folder, "nation")
-    region = _table(spark, folder, "region")
-    return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").join(
-        region, F.col("n_regionkey") == F.col("r_regionkey"), "left"
-    )
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _orders(spark: SparkSession, folder: str) -> DataFrame:
-    orders = _table(spark, folder, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
+    """Orders with customer, nation and region.
+
+    Joined one table at a time so that the planner can size each of them: nation and region are
+    broadcast, customer is broadcast or sort-merged (with AQE skew splitting) by its measured size.
+    """
+    orders, customer, nation, region = (
+        table(spark, folder, name) for name in ("orders", "customer", "nation", "region")
+    )
+    return (
+        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
     )
-    customers = _customers(spark, folder)
-    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
 
 
 def _pick(key: Column, options) -> Column:
@@ -91,14 +95,14 @@ def _complaint_type() -> Column:
 def requests(spark: SparkSession, folder: str, params: Params = PARAMS) -> DataFrame:
     """One clean request per order; it closes when its last line ships."""
     shipped = (
-        _table(spark, folder, "lineitem")
+        table(spark, folder, "lineitem")
         .groupBy("l_orderkey")
         .agg(F.max("l_shipdate").alias("last_ship"))
     )
     rows = _orders(spark, folder).join(
         shipped, F.col("o_orderkey") == F.col("l_orderkey"), "left"
     )
-    created = _as_time("o_orderdate")
+    created = F.col("o_orderdate")
     unplaced = (F.col("c_nationkey") == 0) | F.col("r_name").isNull()
     zip_code = (
         F.when(F.col("o_orderkey") % 7 == 0, "")
@@ -108,7 +112,7 @@ def requests(spark: SparkSession, folder: str, params: Params = PARAMS) -> DataF
     return rows.select(
         F.col("o_orderkey").cast("string").alias("unique_key"),
         created.alias("created_date"),
-        _as_time("last_ship").alias("closed_date"),
+        F.col("last_ship").alias("closed_date"),
         F.col("n_name").alias("agency"),
         F.concat(F.lit("Agency "), "n_name").alias("agency_name"),
         _complaint_type().alias("complaint_type"),
@@ -128,8 +132,7 @@ def raw_line_source(spark: SparkSession, folder: str) -> DataFrame:
     Line numbers repeat inside an order, so keys are duplicated; text is padded, lower-cased or
     blank, zips carry suffixes and some dates do not parse.
     """
-    lines = _table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
-    rows = lines.join(_orders(spark, folder), F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = table(spark, folder, "lineitem").join(_orders(spark, folder), F.col("l_orderkey") == F.col("o_orderkey"))
     key = F.col("l_orderkey")
     iso = "yyyy-MM-dd'T'HH:mm:ss.SSS"
     closed = (

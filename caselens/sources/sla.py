@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,7 +81,9 @@ def targets_from_rows(
     days = {key: value for key, value, _ in rows}
     if len(days) != len(rows):
         raise ValueError("complaint types in the SLA targets must be unique")
-    frame = spark.createDataFrame(rows, schemas.SLA_TARGETS)
+    # An Arrow table becomes a local relation: no job is needed to read it.
+    columns = dict(zip(schemas.SLA_TARGETS.names, zip(*rows)))
+    frame = spark.createDataFrame(pa.table(columns), schemas.SLA_TARGETS)
     return SlaTargets(frame, days.get(DEFAULT_KEY, default_days), len(rows))
 
 

@@ -14,7 +14,7 @@ from caselens.operators import (
 from caselens.params import ACTIVITY, BACKLOG, Weights
 from caselens.plans import analysis, dashboard, escalation, export, workbook
 from caselens.session import shared_folder
-from caselens.sources import calendar, orders, raw, tables
+from caselens.sources import calendar, orders, raw, schemas, tables
 
 P = orders.PARAMS
 BOROUGHS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
@@ -75,10 +75,9 @@ def with_calendar(spark: SparkSession, folder: str) -> DataFrame:
 
 def slice_reconciliation(spark: SparkSession, folder: str) -> DataFrame:
     """Landed slices against counts asked of the source tables directly."""
-    lines = spark.read.parquet(f"{folder}/lineitem.parquet").select("l_orderkey")
-    heads = spark.read.parquet(f"{folder}/orders.parquet")
+    lines, heads = orders.table(spark, folder, "lineitem"), orders.table(spark, folder, "orders")
     both = lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
-    created = F.col("o_orderdate").cast("timestamp_ntz")
+    created = F.col("o_orderdate")
     older = (created >= F.lit(P.backlog_start)) & (created < F.lit(P.window_start))
     expected = (
         both.select(
@@ -118,13 +117,17 @@ def export_manifest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def exported(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        out = shared_folder(spark)
-        export.export(requests(spark, folder), orders.sla_targets(spark), P, out)
-        return export.read_export(spark, out, name)
+def exported_fact(spark: SparkSession, folder: str) -> DataFrame:
+    return export.write_fact(
+        requests(spark, folder), orders.sla_targets(spark), P, shared_folder(spark)
+    )
 
-    return run
+
+def exported_kpi_by_agency(spark: SparkSession, folder: str) -> DataFrame:
+    """The agency rollup written as CSV and loaded again with its declared types."""
+    out = shared_folder(spark)
+    path = tables.write_csv(rollups.kpi_by_agency(enriched(spark, folder)), f"{out}/agency")
+    return tables.read_csv(spark, path, schemas.KPI_BY_AGENCY)
 
 
 def totals_reconciliation(spark: SparkSession, folder: str) -> DataFrame:
@@ -308,6 +311,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "totals_reconciliation": totals_reconciliation,
     # Exports
     "export_manifest": export_manifest,
-    "exported_kpi_by_agency": exported("kpi_by_agency"),
-    "exported_fact": exported("fact_service_requests"),
+    "exported_kpi_by_agency": exported_kpi_by_agency,
+    "exported_fact": exported_fact,
 }

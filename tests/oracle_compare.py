@@ -28,7 +28,7 @@ def _value(value):
         return value.isoformat()
     if isinstance(value, (int, float)) or hasattr(value, "as_tuple"):
         number = float(value)
-        return "nan" if math.isnan(number) else float(f"{number:.12g}")
+        return "nan" if math.isnan(number) else number
     return value
 
 
