@@ -95,10 +95,8 @@ def export(requests: DataFrame, sla: SlaTargets, params: Params, folder: str) ->
     }
     # Small independent jobs: submitted together they overlap instead of queueing.
     with ThreadPoolExecutor(max_workers=4) as pool:
-        jobs = [
-            pool.submit(inheritable_thread_target(tables.write_csv), frame, f"{folder}/{name}")
-            for name, frame in small.items()
-        ]
+        write = inheritable_thread_target(spark)(tables.write_csv)
+        jobs = [pool.submit(write, frame, f"{folder}/{name}") for name, frame in small.items()]
     for job in jobs:
         job.result()
     return manifest(spark, folder)

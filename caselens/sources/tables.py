@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Stands for a quoted empty text while a CSV is read, where Spark would otherwise give NULL.
+_EMPTY = "\x01"
+
 
 def write_parquet(frame: DataFrame, path: str, partition_by: str | None = None) -> str:
     """ZSTD Parquet. A partitioned table is rebalanced by its key first: AQE splits a hot value
@@ -28,6 +32,12 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.csv(
-        path, schema=schema, header=True, enforceSchema=False, escape='"', mode="FAILFAST"
+    """Typed CSV load. A quoted empty text stays '', an empty field is NULL."""
+    frame = spark.read.csv(
+        path, schema=schema, header=True, enforceSchema=False, escape='"', emptyValue=_EMPTY,
+        mode="FAILFAST",
+    )
+    texts = {f.name for f in schema.fields if isinstance(f.dataType, T.StringType)}
+    return frame.withColumns(
+        {name: F.when(F.col(name) == _EMPTY, "").otherwise(F.col(name)) for name in texts}
     )

@@ -1,0 +1,352 @@
+"""Rollups, priority, measures, crosstabs and escalation rules on small hand-made rows."""
+
+import math
+import random
+from collections import defaultdict
+from datetime import date, timedelta
+from statistics import median
+
+import pytest
+from pyspark.sql import functions as F
+
+from caselens.operators import crosstabs, measures, priority, quality, ranking, rollups
+from caselens.operators.enrich import enrich
+from caselens.params import ACTIVITY, BACKLOG, BUCKETS, Params, Weights
+from caselens.plans import analysis, escalation, workbook
+from caselens.sources import calendar, schemas
+from fixtures import PARAMS, SNAPSHOT, at, days_before, frame, row, targets
+
+
+@pytest.fixture(scope="module")
+def hot_rows():
+    """900 rows; a third of them in one cell of one agency and week."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(900):
+        hot = i % 3 == 0
+        created = days_before(40 if hot else rng.randrange(1, 400))
+        closed = created + timedelta(days=rng.randrange(0, 60)) if rng.random() < 0.6 else None
+        rows.append(
+            row(
+                f"{i:04}", created, closed,
+                agency="HOT" if hot else f"A{rng.randrange(6)}",
+                complaint_type="hot type" if hot else f"type {rng.randrange(7)}",
+                borough="Bronx" if hot else rng.choice(["Bronx", "Queens", "Unspecified"]),
+                slice=ACTIVITY if created.date() >= PARAMS.window_start else BACKLOG,
+            )
+        )
+    return rows
+
+
+@pytest.fixture(scope="module")
+def enriched(spark, hot_rows):
+    return enrich(frame(spark, hot_rows), targets(spark, ("hot type", 30, "")), PARAMS).cache()
+
+
+def brute_force(enriched, key):
+    groups = defaultdict(list)
+    for r in enriched.collect():
+        groups[r[key]].append(r)
+    result = {}
+    for value, members in groups.items():
+        days = [r["closure_days"] for r in members if r["closure_days"] is not None]
+        known = [r for r in members if r["sla_status"] != "Open Within SLA"]
+        missed = [r for r in known if r["sla_status"] in ("Missed", "Open Past SLA")]
+        result[value] = (
+            len(members),
+            sum(r["is_closed"] for r in members),
+            sum(not r["is_closed"] for r in members),
+            round(sum(days) / len(days) + 1e-12, 1) if days else None,
+            float(median(days)) if days else None,
+            round(len(missed) / len(known), 4) if known else None,
+            sum(not r["is_closed"] and r["aging_bucket"] in BUCKETS[2:] for r in members),
+        )
+    return result
+
+
+@pytest.mark.parametrize(
+    "report, key", [(rollups.kpi_by_agency, "agency"), (rollups.kpi_by_complaint_type, "complaint_type")]
+)
+def test_rollups_against_brute_force(enriched, report, key):
+    rows = report(enriched).drop("agency_name", "primary_agency").collect()
+    assert {r[0]: tuple(r)[1:] for r in rows} == brute_force(enriched, key)
+
+
+def test_shared_profile_gives_the_same_reports(enriched):
+    shared = rollups.shared_profile(enriched)
+    for report in (
+        rollups.kpi_by_agency, rollups.kpi_by_complaint_type, rollups.kpi_by_borough,
+        rollups.kpi_weekly, rollups.backlog_aging, lambda f: priority.priority_scores(f, PARAMS),
+    ):
+        direct, from_profile = report(enriched).collect(), report(shared).collect()
+        assert sorted(direct, key=str) == sorted(from_profile, key=str)
+
+
+def test_rollup_schemas(enriched):
+    for report, schema in (
+        (rollups.kpi_by_agency, schemas.KPI_BY_AGENCY),
+        (rollups.kpi_by_complaint_type, schemas.KPI_BY_COMPLAINT_TYPE),
+        (rollups.kpi_by_borough, schemas.KPI_BY_BOROUGH),
+        (rollups.kpi_weekly, schemas.KPI_WEEKLY),
+        (rollups.backlog_aging, schemas.BACKLOG_AGING),
+        (lambda f: priority.priority_scores(f, PARAMS), schemas.PRIORITY_SCORES),
+    ):
+        got = [(f.name, f.dataType) for f in report(enriched).schema]
+        assert got == [(f.name, f.dataType) for f in schema]
+
+
+def test_reports_on_no_rows(spark):
+    empty = enrich(frame(spark, []), targets(spark), PARAMS)
+    assert rollups.kpi_by_agency(empty).count() == 0
+    assert priority.priority_scores(empty, PARAMS).count() == 0
+    overall = measures.measure_query(empty, [], ["total_requests", "closure_rate"]).first()
+    assert tuple(overall) == (0, None)
+    assert crosstabs.closure_histogram(empty).count() == 0
+    assert [r["total"] for r in crosstabs.aging_by_borough(empty, ["Bronx"]).collect()] == [0] * 5
+
+
+def test_totals_agree(enriched):
+    result = quality.reconcile_totals(
+        {"agency": rollups.kpi_by_agency(enriched), "borough": rollups.kpi_by_borough(enriched)}
+    )
+    assert {(r["total"], r["matches"]) for r in result.collect()} == {(900, True)}
+
+
+# --- published figures (fixed values) must follow from each other ---------------------------------
+
+BOROUGHS = [
+    ("Brooklyn", 329696, 284298, 45398), ("Staten Island", 41864, 35592, 6272),
+    ("Manhattan", 216757, 175082, 41675), ("Queens", 282116, 231752, 50364),
+    ("Bronx", 198766, 175367, 23399), ("Unspecified", 1619, 819, 800),
+]
+COMPONENTS = [
+    # volume, backlog, miss, aged, score
+    (0.9565, 1.0, 1.0, 0.9848, 0.9839), (0.8342, 0.9783, 1.0, 0.9681, 0.9385),
+    (0.8125, 0.9728, 1.0, 0.9828, 0.9335), (0.9076, 0.9918, 0.9579, 0.8298, 0.9257),
+]
+
+
+def test_published_borough_totals(spark):
+    names = "borough string, total_requests long, closed_requests long, open_requests long"
+    published = spark.createDataFrame(BOROUGHS, names)
+    assert analysis.borough_pressure(published).first()["borough"] == "Brooklyn"
+    totals = published.groupBy().sum().first()
+    assert tuple(totals) == (1_070_818, 902_910, 167_908)
+
+
+def test_published_scores_follow_from_components(spark):
+    rows = [(f"t{i}", "b", v, b, m, a) for i, (v, b, m, a, _) in enumerate(COMPONENTS)]
+    names = (
+        "complaint_type string, borough string, volume_percentile double, backlog_percentile double,"
+        " sla_miss_rate double, aged_share_of_open double"
+    )
+    got = priority.whatif(spark.createDataFrame(rows, names)).orderBy("complaint_type").collect()
+    for result, wanted in zip(got, COMPONENTS):
+        assert math.isclose(result["dynamic_score"], wanted[-1], abs_tol=1.01e-4)
+    assert [r["dynamic_rank"] for r in got] == [1, 2, 3, 4]
+
+
+# --- priority ------------------------------------------------------------------------------------
+
+
+def scores_frame(spark, rows):
+    return spark.createDataFrame(
+        rows, "complaint_type string, borough string, agency string, total_requests long, "
+        "open_requests long, sla_miss_rate double, aged_share_of_open double"
+    )
+
+
+def test_equal_scores_are_ranked_by_cell(spark):
+    rows = [("b", "Q", "A", 10, 5, 0.5, 0.5), ("a", "R", "A", 10, 5, 0.5, 0.5),
+            ("a", "Q", "A", 10, 5, 0.5, 0.5), ("z", "Q", "A", 20, 9, None, None)]
+    result = priority.score_cells(scores_frame(spark, rows), PARAMS).orderBy("priority_rank").collect()
+    assert [(r["complaint_type"], r["borough"]) for r in result] == [
+        ("z", "Q"), ("a", "Q"), ("a", "R"), ("b", "Q")
+    ]
+    assert result[0]["priority_score"] == 0.55 and result[0]["sla_miss_rate"] is None
+    assert result[0]["aged_share_of_open"] == 0.0
+
+
+def test_small_and_unspecified_cells_are_left_out(spark):
+    rows = [row(str(i), days_before(3), borough="Bronx") for i in range(5)]
+    rows += [row(f"s{i}", days_before(3), borough="Queens") for i in range(4)]
+    rows += [row(f"u{i}", days_before(3), borough="Unspecified") for i in range(9)]
+    rows += [row(f"n{i}", days_before(3), borough=None) for i in range(9)]
+    params = Params(min_cell=5)
+    result = priority.priority_scores(enrich(frame(spark, rows), targets(spark), params), params)
+    assert [r["borough"] for r in result.collect()] == ["Bronx"]
+
+
+def test_weights_must_sum_to_one():
+    with pytest.raises(ValueError):
+        Weights(volume=0.9).require_unit_sum()
+    assert Weights().require_unit_sum().total() == pytest.approx(1.0)
+
+
+def test_whatif_with_zero_weights_has_no_score(enriched):
+    scores = priority.priority_scores(enriched, PARAMS)
+    result = priority.whatif(scores, Weights(0.0, 0.0, 0.0, 0.0)).collect()
+    assert {r["dynamic_score"] for r in result} == {None}
+
+
+def test_sensitivity_at_base_weights_keeps_the_ranking(spark, enriched):
+    assert [r[0] for r in priority.weight_steps(spark, "w").collect()] == [i / 20 for i in range(21)]
+    scores = priority.priority_scores(enriched, PARAMS)
+    moved = priority.sensitivity(scores)
+    assert moved.count() == scores.count() * 84
+    base = moved.filter("slider = 'volume' AND step = 6")
+    assert base.agg(F.max(F.abs("rank_change"))).first()[0] <= 1
+
+
+def test_grid_is_dense_and_ranks_share_ties(enriched):
+    grid = workbook.priority_grid(enriched, PARAMS, ["Bronx", "Queens", "Nowhere"], top_types=4)
+    rows = grid.collect()
+    assert len(rows) == 12
+    nowhere = [r for r in rows if r["borough"] == "Nowhere"]
+    assert {(r["total"], r["sla_miss_rate"], r["aged_share"]) for r in nowhere} == {(0, 0.0, 0.0)}
+    assert len({r["priority_rank"] for r in nowhere}) == 1
+    assert [r["position"] for r in workbook.action_list(grid).collect()] == list(range(1, 11))
+
+
+def test_percent_ranks_are_cut_to_three_digits(spark):
+    value = spark.range(1).select(
+        workbook._cut_3(F.lit(2 / 3)), workbook._cut_3(F.lit(0.29)), workbook._cut_3(F.lit(1.0))
+    ).first()
+    assert tuple(value) == (0.666, 0.29, 1.0)
+
+
+# --- measures and time series ---------------------------------------------------------------------
+
+
+def test_month_gaps(spark):
+    rows = [row("a", at("04-02")), row("b", at("04-03")), row("c", at("06-02"))]
+    result = enrich(frame(spark, rows), targets(spark), PARAMS)
+    by_row = {r["created_month"].month: r["mom_change_pct"]
+              for r in analysis.monthly_change(result).collect()}
+    by_calendar = {r["created_month"].month: r["requests_previous_month"]
+                   for r in measures.month_over_month(result).collect()}
+    assert by_row == {4: None, 6: -50.0}
+    assert by_calendar == {4: None, 6: None}
+
+
+def test_month_over_month_with_unknown_dimension_value(spark):
+    rows = [row("a", at("04-30")), row("b", at("05-31")), row("c", at("05-01"))]
+    result = enrich(frame(spark, rows), targets(spark), PARAMS)
+    got = measures.month_over_month(result, ["borough"], {"borough": ["Queens"]})
+    assert {(r["created_month"].month, r["mom_change"]) for r in got.collect()} == {(4, None), (5, 1.0)}
+
+
+def test_unknown_measure_is_refused(enriched):
+    with pytest.raises(KeyError):
+        measures.measure_query(enriched, [], ["nonsense"])
+
+
+def test_histogram_edges(spark):
+    rows = [row(str(i), at("03-01"), at("03-01") + timedelta(days=d))
+            for i, d in enumerate([0, 1, 2, 59, 60, 60, 75, 119])]
+    result = crosstabs.closure_histogram(enrich(frame(spark, rows), targets(spark), PARAMS))
+    counts = {r["bin"]: r["requests"] for r in result.collect()}
+    assert len(counts) == 30 and sum(counts.values()) == 8
+    assert (counts[0], counts[1], counts[29]) == (2, 1, 5)
+
+
+def test_histogram_of_one_value(spark):
+    rows = [row("a", at("03-01"), at("03-05")), row("b", at("03-02"), at("03-06"))]
+    result = crosstabs.closure_histogram(enrich(frame(spark, rows), targets(spark), PARAMS)).collect()
+    assert result[0]["from_days"] == 3.5 and result[-1]["to_days"] == 4.5
+    assert [r["bin"] for r in result if r["requests"]] == [15]
+
+
+def test_dim_date(spark):
+    rows = calendar.dim_date(spark, date(2025, 1, 1), date(2026, 7, 1)).orderBy("date").collect()
+    assert len(rows) == 546
+    assert tuple(rows[0]) == (date(2025, 1, 1), date(2024, 12, 30), date(2025, 1, 1), "Wed")
+    with pytest.raises(ValueError):
+        calendar.dim_date(spark, date(2026, 1, 1), date(2026, 1, 1))
+
+
+def test_requests_outside_the_calendar_are_kept(spark):
+    rows = [row("in", at("05-01")), row("after", at("07-02")), row("none", None)]
+    result = enrich(frame(spark, rows), targets(spark), PARAMS)
+    fact = calendar.attach_calendar(result, date(2026, 5, 1), date(2026, 7, 1))
+    assert {r["unique_key"]: r["week_start"] for r in fact.collect()} == {
+        "in": date(2026, 4, 27), "after": None, "none": None
+    }
+
+
+def test_ordering_puts_unknown_rates_last(spark):
+    rows = [("a", 0.2), ("b", None), ("c", 0.9)]
+    rates = spark.createDataFrame(rows, "k string, rate double")
+    assert [r["k"] for r in ranking.largest(rates, "rate", 3, "k").collect()] == ["c", "a", "b"]
+
+
+# --- escalation ----------------------------------------------------------------------------------
+
+
+def test_growing_backlog(spark):
+    rows = [
+        # older than 30 days one week after another: 1, 2, 3
+        row("g1", days_before(60), borough="Bronx"),
+        row("g2", days_before(40), borough="Bronx"),
+        row("g3", days_before(33), borough="Bronx"),
+        # closed since: 2, 2, 1
+        row("s1", days_before(90), borough="Queens"),
+        row("s2", days_before(90), days_before(3), borough="Queens"),
+    ]
+    requests = frame(spark, rows)
+    scores = priority.priority_scores(enrich(requests, targets(spark), PARAMS), PARAMS)
+    result = {
+        r["borough"]: (r["weeks_ago_2"], r["weeks_ago_1"], r["weeks_ago_0"], r["escalate"])
+        for r in escalation.growing_backlog(requests, scores, PARAMS).collect()
+    }
+    assert result == {"Bronx": (1, 2, 3, True), "Queens": (2, 2, 1, False)}
+
+
+def test_history_equals_rewound_extracts(spark, hot_rows):
+    requests = frame(spark, hot_rows)
+    history = {
+        (r["complaint_type"], r["borough"]): [r[f"weeks_ago_{w}"] for w in range(3)]
+        for r in escalation.aged_open_history(requests, PARAMS).collect()
+    }
+    from caselens.operators.enrich import rewind
+
+    for w in range(3):
+        then = PARAMS.at(SNAPSHOT - timedelta(weeks=w))
+        old = enrich(rewind(requests, then), targets(spark), then)
+        counts = {
+            (r["complaint_type"], r["borough"]): r["aged_open_30d_plus"]
+            for r in old.filter("borough <> 'Unspecified'").groupBy("complaint_type", "borough").agg(
+                F.count_if(~F.col("is_closed") & (F.col("age_days") > 30)).alias("aged_open_30d_plus")
+            ).collect()
+        }
+        assert {k: v[w] for k, v in history.items() if v[w]} == {k: v for k, v in counts.items() if v}
+
+
+def test_new_entrants(spark):
+    rows = [row(f"o{i}", days_before(100), borough="Bronx") for i in range(3)]
+    rows += [row(f"n{i}", days_before(5), borough="Queens") for i in range(3)]
+    result = escalation.new_entrants(
+        frame(spark, rows), targets(spark), PARAMS, SNAPSHOT - timedelta(days=30)
+    )
+    assert [r["borough"] for r in result.collect()] == ["Queens"]
+
+
+def test_artifacts_and_separate_lines(spark):
+    rows = [row(f"h{i}", days_before(50), complaint_type="helicopter") for i in range(4)]
+    rows += [row("r1", days_before(50), days_before(49), complaint_type="rodent"),
+             row("r2", days_before(50), complaint_type=None)]
+    result = enrich(frame(spark, rows), targets(spark), PARAMS)
+    by_type = rollups.kpi_by_complaint_type(result)
+    params = Params(volume_floor=2)
+    found = [r["complaint_type"] for r in escalation.artifact_candidates(by_type, params).collect()]
+    assert found == ["helicopter"]
+    lines = {r["line"]: (r["total_requests"], r["open_requests"])
+             for r in escalation.separate_lines(result, found).collect()}
+    assert lines == {"citywide": (6, 5), "citywide excluding listed": (2, 1), "helicopter": (4, 4)}
+
+
+def test_unspecified_share(spark):
+    rows = [row(str(i)) for i in range(199)] + [row("u", borough="Unspecified")]
+    assert escalation.unspecified_share(frame(spark, rows)).first()["escalate"] is False
+    rows += [row("n", borough=None)]
+    assert escalation.unspecified_share(frame(spark, rows)).first()["escalate"] is True
