@@ -82,8 +82,15 @@ def weekday_name(day: Column) -> Column:
 
 
 def strip_text(column: Column) -> Column:
-    """NULL becomes '', surrounding whitespace of any kind is removed."""
-    return F.btrim(F.coalesce(column, F.lit("")), F.lit(WHITESPACE))
+    """NULL becomes '', surrounding whitespace of any kind is removed.
+
+    Plain ``trim`` is much cheaper than trimming a character set, so the set is only used where some
+    other kind of whitespace is left at either end.
+    """
+    plain = F.trim(F.coalesce(column, F.lit("")))
+    special = [c for c in WHITESPACE if c != " "]
+    left_over = F.substring(plain, 1, 1).isin(special) | F.substring(plain, -1, 1).isin(special)
+    return F.when(left_over, F.btrim(plain, F.lit(WHITESPACE))).otherwise(plain)
 
 
 def title_text(column: Column) -> Column:

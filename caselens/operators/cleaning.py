@@ -20,23 +20,25 @@ def parse_time(text: Column) -> Column:
     return text.try_cast("timestamp_ntz")
 
 
-def clean_borough(text: Column) -> Column:
-    """Blank, NULL and any casing of "unspecified" become Unspecified; the rest is title-cased."""
-    stripped = strip_text(text)
+def clean_borough(stripped: Column) -> Column:
+    """Blank and any casing of "unspecified" become Unspecified; the rest is title-cased."""
     blank = (stripped == "") | (F.upper(stripped) == UNSPECIFIED.upper())
     return F.when(blank, UNSPECIFIED).otherwise(title_text(stripped))
 
 
 def clean(raw: DataFrame) -> DataFrame:
     """Raw text rows (with their slice label) to the typed request layout."""
-    cleaned = {
-        "created_date": parse_time(F.col("created_date")),
-        "closed_date": parse_time(F.col("closed_date")),
-        "borough": clean_borough(F.col("borough")),
-        "incident_zip": F.substring(strip_text(F.col("incident_zip")), 1, 5),
-        **{name: strip_text(F.col(name)) for name in _PLAIN_TEXT},
-    }
-    return raw.withColumns(cleaned).select(*schemas.REQUESTS.names)
+    stripped = raw.withColumns(
+        {
+            "created_date": parse_time(F.col("created_date")),
+            "closed_date": parse_time(F.col("closed_date")),
+            "incident_zip": F.substring(strip_text(F.col("incident_zip")), 1, 5),
+            **{name: strip_text(F.col(name)) for name in ("borough", *_PLAIN_TEXT)},
+        }
+    )
+    # A step of its own, because the stripped text is needed three times.
+    titled = stripped.withColumn("borough", clean_borough(F.col("borough")))
+    return titled.select(*schemas.REQUESTS.names)
 
 
 def deduplicate(requests: DataFrame) -> DataFrame:

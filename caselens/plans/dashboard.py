@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from caselens.operators import profile as p
 from caselens.operators import ranking
-from caselens.operators.priority import CELL
-from caselens.params import BUCKETS, UNSPECIFIED, Params
+from caselens.operators.priority import CELL, whatif
+from caselens.params import BUCKETS, UNSPECIFIED, Params, Weights
 
 
 def high_risk(enriched: DataFrame) -> DataFrame:
@@ -26,6 +26,17 @@ def hotspot_labels(scores: DataFrame, k: int = 5, width: int = 22) -> DataFrame:
     )
 
 
+def hotspot_table(scores: DataFrame, weights: Weights = Weights(), k: int = 10) -> DataFrame:
+    """Cells up to dynamic rank ``k`` under the chosen weights (ties share a rank)."""
+    shown = [*CELL, "agency", "total_requests", "open_requests", "sla_miss_rate"]
+    return whatif(scores, weights, shown).filter(F.col("dynamic_rank") <= k)
+
+
+def static_scores(scores: DataFrame, dimension: str = "complaint_type") -> DataFrame:
+    """Highest base score per value of a dimension."""
+    return scores.groupBy(dimension).agg(F.max("priority_score").alias("priority_score"))
+
+
 def score_components(scores: DataFrame, k: int = 10) -> DataFrame:
     """Top cells with the components of their score."""
     return ranking.smallest(scores, "priority_rank", k).select(

@@ -134,6 +134,7 @@ def raw_line_source(spark: SparkSession, folder: str) -> DataFrame:
     """
     rows = table(spark, folder, "lineitem").join(_orders(spark, folder), F.col("l_orderkey") == F.col("o_orderkey"))
     key = F.col("l_orderkey")
+    tail = F.when(key % 9 == 0, "\t").otherwise(" ")
     iso = "yyyy-MM-dd'T'HH:mm:ss.SSS"
     closed = (
         F.when(key % 17 == 0, "not a date")
@@ -144,7 +145,7 @@ def raw_line_source(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("c_nationkey") == 0, F.lit(None))
         .when(key % 13 == 0, "")
         .when(key % 19 == 0, " unspecified ")
-        .otherwise(F.concat(F.lit("  "), F.upper("r_name"), F.lit("\t")))
+        .otherwise(F.concat(F.lit("  "), F.upper("r_name"), tail))
     )
     return rows.select(
         F.concat(key.cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias(
@@ -154,7 +155,7 @@ def raw_line_source(spark: SparkSession, folder: str) -> DataFrame:
         closed.alias("closed_date"),
         F.concat(F.lit(" "), "n_name").alias("agency"),
         F.concat(F.lit("Agency "), "n_name", F.lit("  ")).alias("agency_name"),
-        F.concat(_complaint_type(), F.lit("\n")).alias("complaint_type"),
+        F.concat(_complaint_type(), tail).alias("complaint_type"),
         F.when(key % 5 != 0, F.col("o_orderpriority")).alias("descriptor"),
         F.col("c_mktsegment").alias("location_type"),
         F.concat(F.lit(" "), F.lpad(F.col("o_custkey").cast("string"), 5, "0"), F.lit("-0001"))

@@ -59,6 +59,16 @@ def backlog_slice(source: DataFrame, params: Params) -> DataFrame:
     return prune(source.filter(in_aged_backlog(_created(), F.col("status"), params)))
 
 
+def label_slices(source: DataFrame, params: Params) -> DataFrame:
+    """Both slices of one source in a single pass; rows in neither slice are dropped."""
+    created, status = _created(), F.col("status")
+    label = F.when(in_activity_window(created, params), ACTIVITY).when(
+        in_aged_backlog(created, status, params), BACKLOG
+    )
+    labelled = source.withColumn("slice", label).filter(F.col("slice").isNotNull())
+    return labelled.select(*schemas.RAW_COLUMNS, "slice")
+
+
 def stack_slices(activity: DataFrame, backlog: DataFrame) -> DataFrame:
     """Concatenate both slices, each row tagged with its slice label."""
     return activity.withColumn("slice", F.lit(ACTIVITY)).unionByName(

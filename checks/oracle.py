@@ -22,6 +22,7 @@ _CHANNEL = """CASE o_custkey % 4 WHEN 0 THEN 'PHONE' WHEN 1 THEN 'ONLINE' WHEN 2
 _STATUS = "CASE o_orderstatus WHEN 'F' THEN 'Closed' WHEN 'O' THEN 'Open' WHEN 'P' THEN 'In Progress' END"
 _PEOPLE = """orders LEFT JOIN customer ON o_custkey = c_custkey
     LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey"""
+_TAIL = "CASE WHEN l_orderkey % 9 = 0 THEN chr(9) ELSE ' ' END"
 _REQUEST_COLUMNS = """unique_key, created_date, closed_date, agency, agency_name, complaint_type,
     descriptor, location_type, incident_zip, borough, status, open_data_channel_type, slice"""
 
@@ -118,12 +119,12 @@ STEPS: dict[str, str] = {
     CASE WHEN l_orderkey % 17 = 0 THEN 'not a date' WHEN l_linenumber = 7 THEN NULL
          ELSE strftime(l_shipdate, {_ISO}) END AS closed_date,
     ' ' || n_name AS agency, 'Agency ' || n_name || '  ' AS agency_name,
-    o_orderpriority || ' / ' || c_mktsegment || chr(10) AS complaint_type,
+    o_orderpriority || ' / ' || c_mktsegment || {_TAIL} AS complaint_type,
     CASE WHEN l_orderkey % 5 <> 0 THEN o_orderpriority END AS descriptor,
     c_mktsegment AS location_type,
     ' ' || lpad(CAST(o_custkey AS VARCHAR), 5, '0') || '-0001' AS incident_zip,
     CASE WHEN c_nationkey = 0 THEN NULL WHEN l_orderkey % 13 = 0 THEN ''
-         WHEN l_orderkey % 19 = 0 THEN ' unspecified ' ELSE '  ' || upper(r_name) || chr(9) END
+         WHEN l_orderkey % 19 = 0 THEN ' unspecified ' ELSE '  ' || upper(r_name) || {_TAIL} END
       AS borough,
     {_STATUS} AS status, {_CHANNEL} AS open_data_channel_type
   FROM lineitem JOIN ({_PEOPLE}) ON l_orderkey = o_orderkey""",
@@ -135,7 +136,7 @@ STEPS: dict[str, str] = {
   SELECT unique_key, try_cast(created_date AS TIMESTAMP) AS created_date,
     try_cast(closed_date AS TIMESTAMP) AS closed_date, trim(coalesce(agency, '')) AS agency,
     trim(coalesce(agency_name, '')) AS agency_name,
-    trim(coalesce(complaint_type, ''), chr(10) || ' ') AS complaint_type,
+    trim(coalesce(complaint_type, ''), chr(9) || ' ') AS complaint_type,
     trim(coalesce(descriptor, '')) AS descriptor, trim(coalesce(location_type, '')) AS location_type,
     left(trim(coalesce(incident_zip, '')), 5) AS incident_zip,
     CASE upper(trim(coalesce(borough, ''), chr(9) || ' '))
@@ -605,6 +606,16 @@ FROM facts WHERE NOT is_closed AND aging_bucket = '180+ days'"""
     "hotspot_labels": _sql(
         f"SELECT priority_rank, {_LABEL} AS label, priority_score FROM scores WHERE priority_rank <= 5"
     ),
+    "hotspot_table": _sql(
+        f"""SELECT complaint_type, borough, agency, total_requests, open_requests, sla_miss_rate,
+  dynamic_score, dynamic_rank FROM scores JOIN (
+  {_whatif("complaint_type, borough", (0.10, 0.40, 0.05, 0.60))})
+  USING (complaint_type, borough) WHERE dynamic_rank <= 10"""
+    ),
+    "static_score_by_type": _sql(
+        """SELECT complaint_type, max(priority_score) AS priority_score FROM scores
+GROUP BY complaint_type"""
+    ),
     "score_components": _sql(
         """SELECT priority_rank, complaint_type, borough, open_requests, sla_miss_rate,
   volume_percentile, backlog_percentile, aged_share_of_open, priority_score

@@ -58,8 +58,7 @@ def scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stacked_raw(spark: SparkSession, folder: str) -> DataFrame:
-    source = orders.raw_line_source(spark, folder)
-    return raw.stack_slices(raw.activity_slice(source, P), raw.backlog_slice(source, P))
+    return raw.label_slices(orders.raw_line_source(spark, folder), P)
 
 
 def cleaned(spark: SparkSession, folder: str) -> DataFrame:
@@ -99,8 +98,7 @@ def csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
     activity = tables.write_csv(raw.activity_slice(source, P), f"{out}/activity")
     backlog = tables.write_csv(raw.backlog_slice(source, P), f"{out}/backlog")
     landed = raw.stack_slices(
-        raw.read_raw_csv(spark, activity, multiline=True),
-        raw.read_raw_csv(spark, backlog, multiline=True),
+        raw.read_raw_csv(spark, activity), raw.read_raw_csv(spark, backlog)
     )
     return cleaning.deduplicate(cleaning.clean(landed))
 
@@ -244,6 +242,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
     "high_risk_backlog": _on(enriched, dashboard.high_risk),
     "hotspot_labels": _on(scores, dashboard.hotspot_labels),
+    "hotspot_table": _on(scores, lambda p: dashboard.hotspot_table(p, OTHER_WEIGHTS)),
+    "static_score_by_type": _on(scores, dashboard.static_scores),
     "score_components": _on(scores, dashboard.score_components),
     "busiest_agencies_by_miss_rate": _on(
         enriched, lambda e: dashboard.busiest_agencies_by_miss_rate(rollups.kpi_by_agency(e))

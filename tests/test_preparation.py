@@ -120,6 +120,8 @@ def test_slices(spark):
     assert {r[0] for r in activity.collect()} == {"in", "last"}
     assert {r[0] for r in backlog.collect()} == {"old"}
     assert tuple(activity.columns) == schemas.RAW_COLUMNS
+    stacked, labelled = raw.stack_slices(activity, backlog), raw.label_slices(wide, PARAMS)
+    assert sorted(stacked.collect(), key=str) == sorted(labelled.collect(), key=str)
 
 
 def test_activity_row_wins_over_backlog(spark):
