@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A hot join key is split once its partition is this large (it must exceed the advisory size).
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128MB",
     # Call-site capture for error messages costs more than planning does here.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
