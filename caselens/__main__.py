@@ -6,8 +6,9 @@ import argparse
 from datetime import date
 
 from caselens.params import Params
-from caselens.plans.export import export, prepare
 from caselens.operators.quality import dq_checks
+from caselens.plans.analysis import answers
+from caselens.plans.export import export, prepare, read_export, read_profile
 from caselens.session import build_session
 from caselens.sources import raw, sla
 
@@ -35,7 +36,12 @@ def main() -> None:
     )
     prepared.metadata.show(truncate=False)
     dq_checks(prepared.requests, params).orderBy("check_name").show(truncate=False)
-    export(prepared.requests, targets, params, f"{args.out}/exports").show(truncate=False)
+    exports = f"{args.out}/exports"
+    export(prepared.requests, targets, params, exports).show(truncate=False)
+    fact = read_export(spark, exports, "fact_service_requests")
+    for title, answer in answers(fact, read_profile(spark, exports), params).items():
+        print(title)
+        answer.show(30, truncate=False)
 
 
 if __name__ == "__main__":

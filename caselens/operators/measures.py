@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from caselens.functions import any_of, ratio
 from caselens.operators import profile as p
-from caselens.operators.ranking import whole
+from caselens.operators.ranking import largest, whole
 
 def catalogue() -> dict[str, Column]:
     """Measures over a request profile. Ratios are left unrounded; they are NULL over 0."""
@@ -44,16 +44,21 @@ def measure_query(
     dims: Sequence[str],
     measures: Sequence[str],
     slicers: Mapping[str, Sequence] | None = None,
+    top: tuple[str, int] | None = None,
 ) -> DataFrame:
-    """Evaluate catalogue measures per dimension combination after the slicers."""
+    """Evaluate catalogue measures per dimension combination after the slicers.
+
+    ``top=(measure, k)`` keeps the ``k`` largest groups by one of the measures, in that order.
+    """
     known = catalogue()
     unknown = set(measures) - set(known)
     if unknown:
         raise KeyError(f"unknown measures: {sorted(unknown)}")
-    return p.summarise(
+    result = p.summarise(
         sliced(enriched, slicers or {}), list(dims), {name: known[name] for name in measures},
         median="median_closure_days" in measures,
     )
+    return result if top is None else largest(result, *top, *dims)
 
 
 def share_of_total_requests(

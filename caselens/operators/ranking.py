@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from caselens.functions import pct
 
@@ -24,7 +25,7 @@ def smallest(frame: DataFrame, measure: str, k: int, *ties: str) -> DataFrame:
     return top(frame, [F.col(measure).asc_nulls_last(), *map(F.col, ties)], k)
 
 
-def whole() -> Window:
+def whole() -> WindowSpec:
     """All rows as one window. Only for aggregated frames whose size is bounded by dimensions."""
     return Window.partitionBy()
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from caselens.functions import pct
 from caselens.operators import ranking, rollups
-from caselens.operators.priority import CELL, hotspots
+from caselens.operators.priority import CELL, hotspots, priority_scores
 from caselens.operators.profile import is_open, is_placed
 from caselens.params import ACTIVITY, Params
 
@@ -82,3 +82,21 @@ def monthly_change(enriched: DataFrame) -> DataFrame:
     )
     before = F.lag("requests").over(Window.partitionBy("borough").orderBy("created_month"))
     return counts.withColumn("mom_change_pct", pct(F.col("requests") - before, before, 1))
+
+
+def answers(fact: DataFrame, shared: DataFrame, params: Params) -> dict[str, DataFrame]:
+    """All ten questions; only the last three read the fact, the others its shared profile."""
+    by_type = rollups.kpi_by_complaint_type(shared)
+    scores = priority_scores(shared, params)
+    return {
+        "demand concentration": demand_concentration(by_type),
+        "agency load and pace": agency_pace(rollups.kpi_by_agency(shared)),
+        "borough pressure": borough_pressure(rollups.kpi_by_borough(shared)),
+        "weekly rhythm": weekly_rhythm(rollups.kpi_weekly(shared)),
+        "aging backlog": aging_backlog(rollups.backlog_aging(shared)),
+        "worst SLA performance": worst_sla(by_type, params),
+        "hotspots": hotspot_list(scores),
+        "oldest open requests in hotspots": oldest_in_hotspots(fact, scores),
+        "channel mix": channel_mix(fact).orderBy(F.col("requests").desc()),
+        "monthly change": monthly_change(fact).orderBy("borough", "created_month"),
+    }

@@ -75,8 +75,12 @@ def write_fact(requests: DataFrame, sla: SlaTargets, params: Params, folder: str
 
 def write_profile(fact: DataFrame, folder: str) -> DataFrame:
     """Count the shared profile of the fact once; all rollups and scores read only this."""
-    path = tables.write_parquet(rollups.shared_profile(fact), f"{folder}/_profile")
-    return fact.sparkSession.read.parquet(path)
+    tables.write_parquet(rollups.shared_profile(fact), f"{folder}/_profile")
+    return read_profile(fact.sparkSession, folder)
+
+
+def read_profile(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/_profile")
 
 
 def export(requests: DataFrame, sla: SlaTargets, params: Params, folder: str) -> DataFrame:

@@ -637,6 +637,11 @@ ORDER BY sla_miss_rate DESC NULLS LAST, complaint_type LIMIT 10"""
     "measures_by_type": _sql(
         f"SELECT complaint_type, {_MEASURES} FROM facts GROUP BY complaint_type"
     ),
+    "measures_top_types": _sql(
+        f"""SELECT complaint_type, total_requests, median_closure_days, sla_miss_rate
+FROM (SELECT complaint_type, {_MEASURES} FROM facts GROUP BY complaint_type)
+ORDER BY total_requests DESC, complaint_type LIMIT 15"""
+    ),
     "measures_by_agency_sliced": _sql(
         f"SELECT agency, {_MEASURES} FROM facts WHERE {_SLICED} GROUP BY agency"
     ),

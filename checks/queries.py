@@ -257,6 +257,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "measures_by_type": _on(
         enriched, lambda e: measures.measure_query(e, ["complaint_type"], ALL_MEASURES)
     ),
+    "measures_top_types": _on(
+        enriched,
+        lambda e: measures.measure_query(
+            e, ["complaint_type"], ["total_requests", "median_closure_days", "sla_miss_rate"],
+            top=("total_requests", 15),
+        ),
+    ),
     "measures_by_agency_sliced": _on(
         enriched, lambda e: measures.measure_query(e, ["agency"], ALL_MEASURES, SLICERS)
     ),

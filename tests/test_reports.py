@@ -105,6 +105,14 @@ def test_reports_on_no_rows(spark):
     assert [r["total"] for r in crosstabs.aging_by_borough(empty, ["Bronx"]).collect()] == [0] * 5
 
 
+def test_answers_from_profile_and_fact(enriched):
+    from_profile = analysis.answers(enriched, rollups.shared_profile(enriched), PARAMS)
+    direct = analysis.answers(enriched, enriched, PARAMS)
+    assert len(from_profile) == 10
+    for title, answer in from_profile.items():
+        assert answer.collect() == direct[title].collect(), title
+
+
 def test_totals_agree(enriched):
     result = quality.reconcile_totals(
         {"agency": rollups.kpi_by_agency(enriched), "borough": rollups.kpi_by_borough(enriched)}
