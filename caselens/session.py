@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -33,12 +32,8 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
 def shared_folder(spark: SparkSession) -> str:
     """A new folder, visible to every executor, for tables written to cut lineage.
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``. Only a local session, where
-    driver and executors share a disk, may go without that setting.
+    It lies in the shared folder that the cluster names in ``spark.checkpoint.dir``, or else below
+    the warehouse, which every session has.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="caselens-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/caselens-{uuid.uuid4().hex}"

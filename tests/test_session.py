@@ -13,22 +13,15 @@ def test_shared_folder_comes_from_the_session(spark):
     assert first.startswith(f"{root}/caselens-") and first != second
 
 
-class _Conf:
-    def get(self, key, default):
-        return default
-
-
 class _Session:
-    conf = _Conf()
-
-    def __init__(self, master):
-        self.sparkContext = type("Context", (), {"master": master})()
+    class conf:
+        @staticmethod
+        def get(key, *default):
+            return {"spark.sql.warehouse.dir": "file:/wh/"}.get(key, *default)
 
 
-def test_only_a_local_session_may_go_without_a_shared_folder():
-    assert "caselens-" in shared_folder(_Session("local[2]"))
-    with pytest.raises(RuntimeError):
-        shared_folder(_Session("spark://cluster:7077"))
+def test_without_a_checkpoint_folder_the_warehouse_is_used():
+    assert shared_folder(_Session()).startswith("file:/wh/caselens-")
 
 
 def test_settings_are_applied(spark):
