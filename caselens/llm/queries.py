@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselens.llm import simhash, urlfilter
-from caselens.llm.common import table
+from caselens.llm import bpe, packing, quality, sharding, simhash, tokens, urlfilter
+from caselens.llm.common import table, text_or_empty
 
 
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
@@ -22,9 +23,50 @@ def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urlfilter.judge(pages, urlfilter.SITES + urlfilter.SPAM_HOSTS)
 
 
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judged(table(spark, folder, "documents"))
+
+
+def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.sharded(table(spark, folder, "documents")).select(
+        "doc_id", "size",
+        F.crc32(F.encode(text_or_empty(), "UTF-8")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return tokens.token_counts(table(spark, folder, "documents"), path)
+
+
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = packing.token_pieces(table(spark, folder, "documents"), path)
+    return packing.packed(
+        pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    )
+
+
+def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.round_trip(table(spark, folder, "documents"), path).select(
+        "doc_id", "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_url_filter": op2_url_filter,
+    "op3_quality_rules": op3_quality_rules,
+    "op4_sharding": op4_sharding,
+    "op5_token_counts": op5_token_counts,
+    "op8_packing": op8_packing,
+    "op10_bpe": op10_bpe,
 }
 
 ORACLE: dict[str, str] = {
