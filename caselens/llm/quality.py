@@ -62,9 +62,8 @@ _COVERED = _let(
         " 0L, (a, b) -> a + b)",
     ),
 )
-_REPEATED = _let(
-    _WINDOWS, "g", f"IF(size(array_distinct(g)) < size(g), {_COVERED}, 0L)"
-)
+# Only texts with a repeated window pay for the sorts.
+_REPEATED = f"IF(size(array_distinct(g)) < size(g), {_COVERED}, 0L)"
 
 
 def _length_without(text: Column, characters: str) -> Column:
@@ -93,6 +92,7 @@ def measured(docs: DataFrame) -> DataFrame:
             text_or_empty().alias("text"),
         )
         .withColumn("w", words(text))
+        .withColumn("g", F.expr(_WINDOWS))
         .select(
             "doc_id",
             "host",

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselens.llm import bpe, packing, quality, sharding, simhash, tokens, urlfilter
+from caselens.llm import (
+    bpe, exactdedup, packing, quality, sharding, simhash, tokens, urlfilter,
+)
 from caselens.llm.common import table, text_or_empty
 
 
@@ -42,6 +44,10 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_counts(table(spark, folder, "documents"), path)
 
 
+def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exactdedup.exact_groups(spark, f"{folder.rstrip('/')}/documents.parquet")
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     pieces = packing.token_pieces(table(spark, folder, "documents"), path)
@@ -65,11 +71,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_sharding": op4_sharding,
     "op5_token_counts": op5_token_counts,
+    "op7_exact_dedup": op7_exact_dedup,
     "op8_packing": op8_packing,
     "op10_bpe": op10_bpe,
 }
 
 ORACLE: dict[str, str] = {
+    "op7_exact_dedup": r"""
+        WITH rows AS (
+            SELECT doc_id,
+                   regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body
+            FROM documents
+        )
+        SELECT doc_id,
+               min(doc_id) OVER same AS keep_id,
+               count(*) OVER same AS group_size,
+               doc_id = min(doc_id) OVER same AS kept,
+               sha256(body) AS text_sha256
+        FROM rows WINDOW same AS (PARTITION BY body)
+    """,
     "op2_url_filter": r"""
         WITH parts AS (
             SELECT page_id,
