@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselens.llm import (
-    bpe, exactdedup, packing, quality, sharding, simhash, tokens, urlfilter,
+    bpe, exactdedup, packing, quality, sharding, simhash, tokens, urlfilter, warc,
 )
 from caselens.llm.common import table, text_or_empty
+from caselens.session import shared_folder
 
 
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
@@ -56,6 +57,27 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_warc_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages archived twice. So that the audit has something to find, the last byte of every
+    record whose page_id ends in 77 is changed in the replica."""
+    pages = table(spark, folder, "pages")
+    volumes = warc.volume_count(pages)
+    rows = warc.dealt(warc.records(pages), volumes)
+    spoiled = F.expr("concat(left(record, length(record) - 1), '~')")
+    copy = rows.withColumn(
+        "copy", F.when(F.col("page_id") % 100 == 77, spoiled).otherwise(F.col("record"))
+    )
+    out = shared_folder(spark)
+    warc.write_archive(rows, f"{out}/archive", volumes)
+    warc.write_archive(
+        copy.select("volume", "page_id", "url", F.col("copy").alias("record")),
+        f"{out}/replica", volumes,
+    )
+    return warc.audited(spark, f"{out}/archive", f"{out}/replica").withColumn(
+        "digest", F.lower(F.hex("digest"))
+    )
+
+
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return bpe.round_trip(table(spark, folder, "documents"), path).select(
@@ -73,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": op5_token_counts,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_packing": op8_packing,
+    "op9_warc_audit": op9_warc_audit,
     "op10_bpe": op10_bpe,
 }
 
