@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselens.llm import (
-    bpe, exactdedup, packing, quality, sharding, simhash, tokens, urlfilter, warc,
+    bpe, classifier, exactdedup, packing, quality, sharding, simhash, tokens, urlfilter, warc,
 )
 from caselens.llm.common import table, text_or_empty
 from caselens.session import shared_folder
@@ -45,6 +45,11 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_counts(table(spark, folder, "documents"), path)
 
 
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    labels = table(spark, folder, "labels")
+    return classifier.scored(table(spark, folder, "documents"), labels)
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exactdedup.exact_groups(spark, f"{folder.rstrip('/')}/documents.parquet")
 
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_sharding": op4_sharding,
     "op5_token_counts": op5_token_counts,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_packing": op8_packing,
     "op9_warc_audit": op9_warc_audit,

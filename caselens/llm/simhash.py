@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -24,27 +25,33 @@ PAIRS_PER_BUCKET = 1 << 16
 _ASCII_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def fingerprint(text: bytes, size: int = SHINGLE) -> int:
-    """64 bits of a UTF-8 text, as a signed number; 0 without words."""
+def _bits(text: bytes, size: int, digest: Callable[[bytes, int], bytes]) -> np.ndarray:
+    """Bits that are set in over half of the shingles' digests; all 0 without words."""
     words = text.translate(_ASCII_LOWER).split()
     if not words:
-        return 0
+        return np.zeros(8 * len(digest(b"", SEED)), bool)
     joined = b" ".join(words)
     if len(words) <= size:
         spans = [(0, len(joined))]
     else:
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(lengths + 1) - 1
-        spans = list(zip((ends - lengths)[: len(words) - size + 1].tolist(),
-                         ends[size - 1 :].tolist()))
-    ones, digest = np.zeros(64, np.int64), xxhash.xxh64_intdigest
+        spans = list(
+            zip((ends - lengths)[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist())
+        )
+    ones = 0
     for start in range(0, len(spans), SHINGLES_AT_ONCE):
         some = spans[start : start + SHINGLES_AT_ONCE]
-        hashes = np.array([digest(joined[a:b], SEED) for a, b in some], "<u8")
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int64)
-    packed = np.packbits(2 * ones > len(spans), bitorder="little")
-    return int(packed.view("<i8")[0])
+        hashes = np.frombuffer(b"".join([digest(joined[a:b], SEED) for a, b in some]), np.uint8)
+        bits = np.unpackbits(hashes.reshape(len(some), -1), axis=1)
+        ones = ones + bits.sum(axis=0, dtype=np.int64)
+    return 2 * ones > len(spans)
+
+
+def fingerprint(text: bytes, size: int = SHINGLE) -> int:
+    """64 bits of a UTF-8 text, as a signed number; 0 without words."""
+    packed = np.packbits(_bits(text, size, xxhash.xxh64_digest))
+    return int.from_bytes(packed.tobytes(), "big", signed=True)
 
 
 def _fingerprints(size: int, batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -97,7 +104,15 @@ def _indexed(rows: DataFrame, width: int) -> DataFrame:
     return found.select("print", "at.*")
 
 
-def _links_in(keys: np.ndarray, prints: np.ndarray, table: np.ndarray) -> np.ndarray:
+def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of fingerprints, one per row, of one number or several."""
+    bits = np.bitwise_count(a ^ b)
+    return bits if bits.ndim == 1 else bits.sum(axis=1)
+
+
+def _links_in(
+    keys: np.ndarray, prints: np.ndarray, table: np.ndarray, radius: int = RADIUS
+) -> np.ndarray:
     """Label of each row: the first row of its bucket that links lead to. Rows are sorted by bucket,
     table rows first. Every table row of a bucket is compared with every row of it."""
     rows = len(keys)
@@ -114,7 +129,7 @@ def _links_in(keys: np.ndarray, prints: np.ndarray, table: np.ndarray) -> np.nda
         some = known[start:end]
         right = np.repeat(np.arange(start, end), some)
         left = np.arange(len(right)) - np.repeat(until[start:end] - some - done, some) + first[right]
-        near = np.bitwise_count(prints[left] ^ prints[right]) <= RADIUS
+        near = _distance(prints[left], prints[right]) <= radius
         near &= left != right
         lefts.append(left[near])
         rights.append(right[near])
@@ -205,3 +220,195 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = rooted.join(named, "root").select("print", "component_id")
     return marked.join(classes, "print").select("doc_id", "print", "component_id")
+
+
+# --- similar texts -------------------------------------------------------------------------------
+#
+# Texts of a given similarity differ in a larger share of their bits than three of 64, more than an
+# index can cover in full. Longer fingerprints tell similar texts from others by their complete
+# distance; tables of segments of their bits, each looked up with its one-bit flips, find a pair in
+# at least one table with the wanted probability.
+
+LONG = 128
+SIMILARITY, WORDS, RECALL = 0.8, 5, 0.95
+# Rows of one bucket held at once; a bucket of more pairs than this is compared by leaders.
+HELD, PAIRS_BY_LEADERS = 1 << 16, 1 << 22
+
+
+def _share(similarity: float) -> float:
+    """Share of bits in which the fingerprints of two shingle sets of this Jaccard similarity differ
+    on average."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def radius_of(similarity: float) -> int:
+    """Largest distance that counts as similar: the average and a standard deviation."""
+    share = _share(similarity)
+    return round(LONG * share + math.sqrt(LONG * share * (1 - share)))
+
+
+def index_shape(nodes: int, similarity: float = SIMILARITY) -> tuple[int, int]:
+    """Bits of a segment, so that a bucket holds about one unrelated fingerprint, and how many
+    tables find a pair of just this similarity with probability ``RECALL``."""
+    bits = max(16, min(40, math.ceil(math.log2(max(2, nodes)))))
+    same = 1 - _share(similarity)
+    found = same**bits + bits * (1 - same) * same ** (bits - 1)
+    return bits, math.ceil(math.log(1 - RECALL) / math.log(1 - found))
+
+
+def _long_prints(size: int, batch: pa.RecordBatch) -> pa.RecordBatch:
+    texts = batch.column("text").cast(pa.binary())
+    prints = [
+        np.packbits(_bits(t.as_py() or b"", size, xxhash.xxh3_128_digest)).tobytes() for t in texts
+    ]
+    return pa.record_batch({"doc_id": batch.column("doc_id"), "mark": batch.column("mark"),
+                            "print": pa.array(prints, pa.binary())})
+
+
+def _numbers(prints: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(prints.to_pylist()), np.uint64).reshape(len(prints), -1)
+
+
+def _segments(bits: int, tables: int, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Each fingerprint under its segment of every table, and under the flips of the segment's 0s."""
+    prints = batch.column("print")
+    packed = _numbers(prints).view(np.uint8)
+    places = [np.random.default_rng(t).choice(LONG, bits, replace=False) for t in range(tables)]
+    weights = 1 << np.arange(bits, dtype=np.int64)
+    all_bits = np.unpackbits(packed, axis=1)
+    for table, chosen in enumerate(places):
+        own = all_bits[:, chosen]
+        exact = own @ weights
+        row, bit = np.nonzero(own == 0)
+        keys = np.r_[exact, exact[row] + weights[bit]] + (table << 48)
+        known = np.zeros(len(keys), bool)
+        known[: len(exact)] = True
+        rows = pa.array(np.r_[np.arange(len(exact)), row])
+        yield pa.record_batch({"key": keys, "known": known, "print": prints.take(rows)})
+
+
+def _all_segments(
+    bits: int, tables: int, batches: Iterator[pa.RecordBatch]
+) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            yield from _segments(bits, tables, batch)
+
+
+def _led(
+    prints: np.ndarray, table: np.ndarray, radius: int, leaders: list[np.ndarray]
+) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[np.ndarray]]:
+    """Ties of the rows of a crowded bucket to leaders: table rows that no earlier leader is near.
+
+    Rows near one leader are tied through it and need no comparison with each other, so the work
+    grows with the rows times the different texts, not with pairs.
+    """
+    ties, covered, waiting = [], np.zeros(len(prints), bool), list(leaders)
+    while True:
+        if not waiting:
+            left = np.flatnonzero(table & ~covered)
+            if not len(left):
+                return ties, leaders
+            waiting = [prints[left[0]]]
+            leaders = [*leaders, waiting[0]]
+        leader = waiting.pop()
+        near = _distance(prints, leader) <= radius
+        covered |= near
+        tied = near & (prints != leader).any(axis=1)
+        ties.append((prints[tied], np.broadcast_to(leader, (int(tied.sum()), prints.shape[1]))))
+
+
+def _as_edges(left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
+    columns = [np.ascontiguousarray(x) for x in (left, right)]
+    packed = [pa.array([r.tobytes() for r in x], pa.binary()) for x in columns]
+    return pa.record_batch(packed, ["a", "b"])
+
+
+def _similar_links(radius: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges that connect the similar rows of each bucket. Rows come sorted by bucket, table rows
+    first; of a bucket too large to hold, windows are compared with the leaders so far."""
+    keys, known, prints = np.zeros(0, np.int64), np.zeros(0, bool), np.zeros((0, LONG // 64), "u8")
+    leaders: list[np.ndarray] = []
+
+    def compared(stop: int, last: bool) -> Iterator[pa.RecordBatch]:
+        nonlocal leaders
+        cuts = np.r_[np.flatnonzero(np.r_[True, keys[1:stop] != keys[: stop - 1]]), stop]
+        sizes = np.diff(cuts)
+        tables = np.add.reduceat(known[:stop].astype(np.int64), cuts[:-1])
+        led = tables * sizes > PAIRS_BY_LEADERS
+        led[0] |= bool(leaders)
+        led[-1] |= not last
+        for bucket in np.flatnonzero(led).tolist():
+            rows = slice(cuts[bucket], cuts[bucket + 1])
+            ties, leaders = _led(prints[rows], known[rows], radius, leaders)
+            for left, right in ties:
+                if len(left):
+                    yield _as_edges(left, right)
+            if bucket < len(led) - 1 or last:
+                leaders = []
+        plain = np.repeat(~led & (tables > 0) & (sizes > 1), sizes)
+        some = prints[:stop][plain]
+        if len(some):
+            labels = _links_in(keys[:stop][plain], some, known[:stop][plain], radius)
+            tied = np.flatnonzero(labels != np.arange(len(labels)))
+            if len(tied):
+                yield _as_edges(some[tied], some[labels[tied]])
+
+    for batch in batches:
+        keys = np.r_[keys, batch.column("key").to_numpy()]
+        known = np.r_[known, batch.column("known").to_numpy(zero_copy_only=False)]
+        prints = np.r_[prints, _numbers(batch.column("print"))]
+        if len(keys) < HELD:
+            continue
+        stop = int(np.searchsorted(keys, keys[-1], "left"))
+        whole = stop > 0
+        stop = stop or len(keys)
+        yield from compared(stop, whole)
+        keys, known, prints = keys[stop:], known[stop:], prints[stop:]
+    if len(keys):
+        yield from compared(len(keys), True)
+
+
+def similar_kept(
+    docs: DataFrame, similarity: float = SIMILARITY, size: int = WORDS
+) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each group, the row with the smallest doc_id.
+
+    A group is what pairs connect whose sets of ``size``-word shingles have about the given Jaccard
+    similarity or more, judged by the distance of 128-bit fingerprints. Rows with the same
+    fingerprint, such as equal or wordless texts, are one group. A NULL doc_id comes last; of rows
+    with one doc_id, the one with the smallest hash of its text stays, and equal rows stay together.
+    Columns and texts are unchanged; no rows give none.
+    """
+    keyed = docs.select(
+        F.col("doc_id").cast("long"), F.col("text").cast("string"),
+        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("mark"),
+    )
+    marked = landed(
+        keyed.mapInArrow(
+            per_batch(partial(_long_prints, size)), "doc_id long, mark long, print binary"
+        )
+    )
+    smallest = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark"))
+    nodes = landed(marked.groupBy("print").agg(smallest.alias("first")))
+    bits, tables = index_shape(nodes.count(), similarity)
+    edges = (
+        nodes.select("print")
+        .mapInArrow(partial(_all_segments, bits, tables), "key long, known boolean, print binary")
+        .repartition("key")
+        .sortWithinPartitions("key", F.desc("known"))
+        .mapInArrow(partial(_similar_links, radius_of(similarity)), "a binary, b binary")
+    )
+    rooted = nodes.join(components(edges), F.col("print") == F.col("node"), "left")
+    stay = (
+        rooted.groupBy(F.coalesce("root", "print").alias("root"))
+        .agg(F.min("first").alias("first"))
+        .select(F.col("first.doc_id").alias("kept_id"), F.col("first.mark").alias("kept_mark"))
+    )
+    row = F.struct(*(docs[c] for c in docs.columns)).alias("row")
+    rows = docs.select(
+        row, F.col("doc_id").cast("long").alias("own_id"),
+        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("own_mark"),
+    )
+    same = F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_mark") == F.col("kept_mark"))
+    return rows.join(stay, same, "left_semi").select("row.*")
