@@ -16,10 +16,12 @@ FILES_AT_ONCE = 4096
 # Rows of one group that are compared by one task at most, about.
 ROWS_PER_SALT = 4096
 # The state lives in RocksDB on the executors' disks, with bounded memory, and its changes in the
-# checkpoint folder; without a watermark nothing in it expires.
+# checkpoint folder; without a watermark nothing in it expires. Space is not reserved ahead, which
+# would cost megabytes for each partition of the state however little it holds.
 _STATE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
