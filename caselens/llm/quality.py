@@ -12,8 +12,6 @@ from caselens.llm.common import GAP, GAP_CHARS, landed, lower_ascii, text_or_emp
 # The characters that count as symbols, and the words of a window.
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
-# Line hashes of a document that stand for it when different documents are counted.
-FACE = 2
 
 
 @dataclass(frozen=True)
@@ -21,9 +19,10 @@ class Limits:
     """Base: fewest words, and highest percentage of words in repeated windows.
 
     Lines: a line is common in a host if more than ``line_documents`` different documents and more
-    than ``line_share`` of the host's rows have it. Documents with the same smallest line hashes
-    count as one, and at least ``different`` of the rows with the line must differ in them: what is
-    frequent because one text was copied is no boilerplate. A document is depleted if less than
+    than ``line_share`` of the host's rows have it. Documents whose windows have the same smallest
+    hash, as most copies and near copies do, count as one, and at least ``different`` as many
+    documents as rows must have the line: what is frequent because one text was copied is no
+    boilerplate. A document is depleted if less than
     ``left_share`` of its line characters remain without common lines.
     """
 
@@ -31,7 +30,7 @@ class Limits:
     repeated_percent: int = 20
     line_documents: int = 20
     line_share: float = 0.001
-    different: float = 0.5
+    different: float = 0.4
     left_share: float = 0.1
 
 
@@ -81,7 +80,8 @@ def _has_word(line: Column) -> Column:
 def measured(docs: DataFrame) -> DataFrame:
     """The base counts of each row, and ``lines``: hash and length of every line with a word.
 
-    One pass over the texts, landed as a narrow table. ``mark`` tells rows of one doc_id apart.
+    One pass over the texts, landed as a narrow table. ``mark`` tells rows of one doc_id apart,
+    ``face`` tells documents apart that are no copies of each other.
     """
     text = F.col("text")
     lines = F.filter(F.split(text, "\n"), _has_word)
@@ -101,6 +101,7 @@ def measured(docs: DataFrame) -> DataFrame:
             _length_without(text, GAP_CHARS).alias("word_chars"),
             (F.length(text) - _length_without(text, SYMBOLS)).alias("n_symbols"),
             F.expr(_REPEATED).alias("n_repeat_words"),
+            F.coalesce(F.array_min("g"), F.xxhash64("text")).alias("face"),
             F.transform(
                 lines,
                 lambda line: F.struct(
@@ -115,10 +116,8 @@ def measured(docs: DataFrame) -> DataFrame:
 
 def common_lines(rows: DataFrame, limits: Limits) -> DataFrame:
     """``(host, h)`` of the lines above the limits; counts are combined before each shuffle."""
-    hashes = F.array_distinct("lines.h")
-    face = F.xxhash64(F.slice(F.array_sort(hashes), 1, FACE))
     seen = (
-        rows.select("host", face.alias("face"), F.explode(hashes).alias("h"))
+        rows.select("host", "face", F.explode(F.array_distinct("lines.h")).alias("h"))
         .groupBy("host", "h", "face")
         .agg(F.count(F.lit(1)).alias("rows"))
         .groupBy("host", "h")
