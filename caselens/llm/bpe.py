@@ -14,7 +14,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from caselens.llm.common import text_or_empty
+from caselens.llm.common import in_arrow, text_or_empty
 from caselens.llm.tokens import PLAIN, byte_alphabet, token_bytes
 
 # Distinct words whose ids a worker remembers before it starts anew, and characters of text that
@@ -261,7 +261,8 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """
     narrow = docs.select("doc_id", text_or_empty().alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    return narrow.mapInArrow(
+    return narrow.transform(
+            in_arrow,
         partial(_round_trips, path),
         f"doc_id {kind}, n_tokens long, ids binary, decoded string",
     )

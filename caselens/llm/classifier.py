@@ -14,7 +14,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caselens.llm.common import text_or_empty
+from caselens.llm.common import in_arrow, text_or_empty
 
 # Words are hashed to this many rows of vectors with this many dimensions. A row's index vector has
 # a few signed entries; a word's context are the words up to this far on either side.
@@ -110,8 +110,8 @@ def word_vectors(texts: DataFrame) -> np.ndarray:
     depend on the order of adding.
     """
     kind = "block long, sums binary"
-    parts = texts.mapInArrow(_contexts, kind)
-    blocks = parts.repartition(ROWS // BLOCK, "block").mapInArrow(_added, kind).collect()
+    parts = texts.transform(in_arrow, _contexts, kind)
+    blocks = parts.repartition(ROWS // BLOCK, "block").transform(in_arrow, _added, kind).collect()
     matrix = np.zeros((ROWS // BLOCK, BLOCK * DIMENSIONS))
     for row in blocks:
         matrix[row["block"]] = np.frombuffer(row["sums"], "<f8")
@@ -236,7 +236,8 @@ def learned(docs: DataFrame, labels: DataFrame, vectors, sample: int = SAMPLE) -
     texts = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).join(
         F.broadcast(chosen), "doc_id"
     )
-    rows = texts.mapInArrow(
+    rows = texts.transform(
+            in_arrow,
         partial(_features, vectors), "doc_id long, label int, features binary"
     ).toArrow()
     rows = rows.sort_by([("doc_id", "ascending"), ("label", "ascending"), ("features", "ascending")])
@@ -275,7 +276,8 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), text_or_empty().alias("text")
     )
     kind = rows.schema["doc_id"].dataType.simpleString()
-    found = rows.mapInArrow(
+    found = rows.transform(
+            in_arrow,
         partial(_scored, *_model(docs, labels)), f"doc_id {kind}, held_out boolean, score double"
     )
     return found.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
@@ -292,4 +294,4 @@ def _kept(vectors, network, threshold: float, batches: Iterator[pa.RecordBatch])
 
 def kept_rows(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score at least ``threshold``, with all their columns."""
-    return docs.mapInArrow(partial(_kept, *_model(docs, labels), threshold), docs.schema)
+    return docs.transform(in_arrow, partial(_kept, *_model(docs, labels), threshold), docs.schema)

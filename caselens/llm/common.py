@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from caselens.session import shared_folder
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 # What separates words, as a regular expression and as characters.
 GAP = r"[\x20\x09-\x0D]+"
 GAP_CHARS = " \t\n\x0b\f\r"
@@ -45,6 +47,18 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, GAP), lambda word: word != "")
 
 
+def in_arrow(frame: DataFrame, function: Callable, schema) -> DataFrame:
+    """``mapInArrow`` whose workers find this package where the driver has it, if they share a disk.
+
+    On a cluster the package is installed or shipped with the job, and the path does no harm.
+    """
+    environment = frame.sparkSession.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if _ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, paths)])
+    return frame.mapInArrow(function, schema)
+
+
 def per_batch(
     function: Callable[[pa.RecordBatch], pa.RecordBatch | None],
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caselens.llm.common import landed, text_or_empty
+from caselens.llm.common import in_arrow, landed, text_or_empty
 from caselens.llm.tokens import id_batches
 
 CAPACITY = 1024
@@ -53,7 +53,8 @@ def token_pieces(
     first are full. A NULL text counts as empty and gives ``end`` alone.
     """
     narrow = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
-    return narrow.mapInArrow(
+    return narrow.transform(
+            in_arrow,
         partial(_pieces, path, capacity, end),
         "doc_id long, piece int, start long, length long, ids binary",
     )

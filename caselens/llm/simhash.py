@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caselens.llm.common import landed, per_batch
+from caselens.llm.common import in_arrow, landed, per_batch
 from caselens.llm.components import components
 
 RADIUS = 3
@@ -63,7 +63,7 @@ def _fingerprints(size: int, batch: pa.RecordBatch) -> pa.RecordBatch:
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """``(doc_id, print)`` per row; a NULL or wordless text has print 0."""
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return narrow.mapInArrow(per_batch(partial(_fingerprints, size)), "doc_id long, print long")
+    return narrow.transform(in_arrow, per_batch(partial(_fingerprints, size)), "doc_id long, print long")
 
 
 # --- the index -----------------------------------------------------------------------------------
@@ -106,7 +106,7 @@ def _indexed(rows: DataFrame, width: int) -> DataFrame:
 
 def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Differing bits of fingerprints, one per row, of one number or several."""
-    bits = np.bitwise_count(a ^ b)
+    bits = np.bitwise_count((a ^ b).view(np.uint64))
     return bits if bits.ndim == 1 else bits.sum(axis=1)
 
 
@@ -193,7 +193,7 @@ def links(prints: DataFrame) -> DataFrame:
             .select("key", "print", "left")
             .repartition("key")
             .sortWithinPartitions("key", F.desc("left"))
-            .mapInArrow(_links, "a long, b long")
+            .transform(in_arrow, _links, "a long, b long")
         )
         edges = verified if edges is None else edges.union(verified)
         again = useful.filter("crowded").select("key")
@@ -385,7 +385,8 @@ def similar_kept(
         F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("mark"),
     )
     marked = landed(
-        keyed.mapInArrow(
+        keyed.transform(
+            in_arrow,
             per_batch(partial(_long_prints, size)), "doc_id long, mark long, print binary"
         )
     )
@@ -394,10 +395,10 @@ def similar_kept(
     bits, tables = index_shape(nodes.count(), similarity)
     edges = (
         nodes.select("print")
-        .mapInArrow(partial(_all_segments, bits, tables), "key long, known boolean, print binary")
+        .transform(in_arrow, partial(_all_segments, bits, tables), "key long, known boolean, print binary")
         .repartition("key")
         .sortWithinPartitions("key", F.desc("known"))
-        .mapInArrow(partial(_similar_links, radius_of(similarity)), "a binary, b binary")
+        .transform(in_arrow, partial(_similar_links, radius_of(similarity)), "a binary, b binary")
     )
     rooted = nodes.join(components(edges), F.col("print") == F.col("node"), "left")
     stay = (

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from caselens.llm.common import per_batch, text_or_empty
+from caselens.llm.common import in_arrow, per_batch, text_or_empty
 
 LIMIT = 512
 # Characters of one piece of a long text, and of the pieces that are encoded together.
@@ -141,7 +141,8 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
         "doc_id", "text", F.octet_length("text").cast("long").alias("n_bytes")
     )
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    counted = narrow.mapInArrow(
+    counted = narrow.transform(
+            in_arrow,
         per_batch(partial(_lengths, path)), f"doc_id {kind}, n_bytes long, n_tokens long"
     )
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselens.llm.common import landed
+from caselens.llm.common import in_arrow, landed
 
 # Bytes of one volume before compression, and children of a node of the trees.
 VOLUME_BYTES = 1 << 25
@@ -112,7 +112,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Each record's place in an archive and the hash of its bytes. Volumes are read whole."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     volume = F.regexp_extract("path", r"/volume=(\d+)/", 1).cast("long")
-    return files.filter("length > 0").select(volume.alias("volume"), "content").mapInArrow(
+    return files.filter("length > 0").select(volume.alias("volume"), "content").transform(
+            in_arrow,
         _leaves, _SCHEMA
     )
 
