@@ -63,20 +63,15 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_warc_audit(spark: SparkSession, folder: str) -> DataFrame:
-    """All pages archived twice. So that the audit has something to find, the last byte of every
-    record whose page_id ends in 77 is changed in the replica."""
-    pages = table(spark, folder, "pages")
-    volumes = warc.volume_count(pages)
-    rows = warc.dealt(warc.records(pages), volumes)
-    spoiled = F.expr("concat(left(record, length(record) - 1), '~')")
-    copy = rows.withColumn(
-        "copy", F.when(F.col("page_id") % 100 == 77, spoiled).otherwise(F.col("record"))
-    )
+    """All pages archived, and the archive copied to a replica. So that the audit has something to
+    find, about one in a hundred page bodies, chosen by its hash, loses its last byte's value."""
     out = shared_folder(spark)
-    warc.write_archive(rows, f"{out}/archive", volumes)
-    warc.write_archive(
-        copy.select("volume", "page_id", "url", F.col("copy").alias("record")),
-        f"{out}/replica", volumes,
+    warc.write_archive(table(spark, folder, "pages"), f"{out}/archive")
+    chosen = ~F.col("value").startswith("WARC/1.0") & (F.pmod(F.xxhash64("value"), F.lit(100)) == 0)
+    spoiled = F.expr("concat(left(value, length(value) - 1), '~')")
+    warc.copy_archive(
+        spark, f"{out}/archive", f"{out}/replica",
+        F.when(chosen & (F.col("value") != ""), spoiled).otherwise(F.col("value")),
     )
     return warc.audited(spark, f"{out}/archive", f"{out}/replica").withColumn(
         "digest", F.lower(F.hex("digest"))

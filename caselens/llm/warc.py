@@ -9,13 +9,13 @@ from functools import reduce
 from hashlib import sha256
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselens.llm.common import in_arrow, landed
 
 # Bytes of one volume before compression, and children of a node of the trees.
-VOLUME_BYTES = 1 << 25
+VOLUME_BYTES = 1 << 24
 FANOUT = 32
 DATE = "2026-01-01T00:00:00Z"
 _BLANK = "\r\n\r\n"
@@ -52,32 +52,54 @@ def records(pages: DataFrame) -> DataFrame:
     )
 
 
-def volume_count(pages: DataFrame, volume_bytes: int = VOLUME_BYTES) -> int:
-    total = pages.agg(F.sum(F.octet_length("html").cast("long"))).first()[0] or 0
-    return max(1, -(-total // volume_bytes))
-
+def _volume_of(path: Column) -> Column:
+    return F.regexp_extract(path, r"/volume=(\d+)/", 1).cast("long")
 
-def dealt(rows: DataFrame, volumes: int) -> DataFrame:
-    """``volume`` of each record, by a hash of the whole of it: volumes of about equal size."""
-    return rows.withColumn("volume", F.pmod(F.xxhash64("page_id", "record"), F.lit(volumes)))
 
+def _written(rows: DataFrame, path: str) -> None:
+    """One compressed file per volume and task, ``volume=N/part-*.txt.gz``, in the order of the rows.
 
-def write_archive(rows: DataFrame, path: str, volumes: int) -> None:
-    """``rows (volume, page_id, url, record)`` as a compressed file per volume, in the order of
-    page_id, url and record: ``volume=N/part-*.txt.gz``.
-
-    Spark's text writer ends each record with the two closing lines that the format asks for, so
+    Spark's text writer ends each value with the two closing lines that the format asks for, so
     executors need nothing but the file system that Spark uses.
     """
     (
-        rows.repartition(volumes, "volume")
-        .sortWithinPartitions("volume", "page_id", "url", "record")
-        .select("volume", "record")
-        .write.partitionBy("volume").option("lineSep", _BLANK).option("compression", "gzip")
+        rows.write.partitionBy("volume").option("lineSep", _BLANK).option("compression", "gzip")
         .text(path)
     )
 
 
+def write_archive(pages: DataFrame, path: str, volume_bytes: int = VOLUME_BYTES) -> None:
+    """Archive all ``pages (page_id, url, html)`` in volumes of about ``volume_bytes``, each in the
+    order of page_id, url and record. Records are dealt by a hash of the whole of them."""
+    total = pages.agg(F.sum(F.octet_length("html").cast("long"))).first()[0] or 0
+    volumes = max(1, -(-total // volume_bytes))
+    volume = F.pmod(F.xxhash64("page_id", "record"), F.lit(volumes)).alias("volume")
+    _written(
+        records(pages).select("*", volume).repartition("volume")
+        .sortWithinPartitions("volume", "page_id", "url", "record")
+        .select("volume", "record"),
+        path,
+    )
+
+
+def copy_archive(
+    spark: SparkSession, path: str, copy: str, value: Column | None = None
+) -> None:
+    """A replica of an archive, without a shuffle. What stands between blank lines (headers, bodies
+    or parts of them) is one ``value``; an expression may change it on the way, for drills."""
+    parts = spark.read.option("lineSep", _BLANK).option("recursiveFileLookup", True).text(path)
+    changed = F.col("value") if value is None else value
+    _written(
+        parts.select(
+            _volume_of(F.col("_metadata.file_path")).alias("volume"),
+            F.monotonically_increasing_id().alias("at"),
+            changed.alias("value"),
+        )
+        .sortWithinPartitions("volume", "at").select("volume", "value"),
+        copy,
+    )
+
+
 def _cut(content: bytes) -> Iterator[tuple[int, int, int | None]]:
     """Begin, end and page of each record; bytes that are no record are one without a page."""
     at = 0
@@ -111,11 +133,8 @@ def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Each record's place in an archive and the hash of its bytes. Volumes are read whole."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    volume = F.regexp_extract("path", r"/volume=(\d+)/", 1).cast("long")
-    return files.filter("length > 0").select(volume.alias("volume"), "content").transform(
-            in_arrow,
-        _leaves, _SCHEMA
-    )
+    found = files.filter("length > 0").select(_volume_of(F.col("path")).alias("volume"), "content")
+    return found.transform(in_arrow, _leaves, _SCHEMA)
 
 
 # --- trees ---------------------------------------------------------------------------------------
