@@ -262,7 +262,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     narrow = docs.select("doc_id", text_or_empty().alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
     return narrow.transform(
-            in_arrow,
+        in_arrow,
         partial(_round_trips, path),
         f"doc_id {kind}, n_tokens long, ids binary, decoded string",
     )

@@ -111,7 +111,8 @@ def word_vectors(texts: DataFrame) -> np.ndarray:
     """
     kind = "block long, sums binary"
     parts = texts.transform(in_arrow, _contexts, kind)
-    blocks = parts.repartition(ROWS // BLOCK, "block").transform(in_arrow, _added, kind).collect()
+    added = parts.repartition(ROWS // BLOCK, "block").transform(in_arrow, _added, kind)
+    blocks = added.collect()
     matrix = np.zeros((ROWS // BLOCK, BLOCK * DIMENSIONS))
     for row in blocks:
         matrix[row["block"]] = np.frombuffer(row["sums"], "<f8")
@@ -237,8 +238,7 @@ def learned(docs: DataFrame, labels: DataFrame, vectors, sample: int = SAMPLE) -
         F.broadcast(chosen), "doc_id"
     )
     rows = texts.transform(
-            in_arrow,
-        partial(_features, vectors), "doc_id long, label int, features binary"
+        in_arrow, partial(_features, vectors), "doc_id long, label int, features binary"
     ).toArrow()
     rows = rows.sort_by([("doc_id", "ascending"), ("label", "ascending"), ("features", "ascending")])
     inputs = np.frombuffer(b"".join(rows["features"].to_pylist()), "f4").reshape(-1, WIDTH)
@@ -277,8 +277,8 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
     )
     kind = rows.schema["doc_id"].dataType.simpleString()
     found = rows.transform(
-            in_arrow,
-        partial(_scored, *_model(docs, labels)), f"doc_id {kind}, held_out boolean, score double"
+        in_arrow, partial(_scored, *_model(docs, labels)),
+        f"doc_id {kind}, held_out boolean, score double",
     )
     return found.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 

@@ -54,7 +54,7 @@ def token_pieces(
     """
     narrow = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
     return narrow.transform(
-            in_arrow,
+        in_arrow,
         partial(_pieces, path, capacity, end),
         "doc_id long, piece int, start long, length long, ids binary",
     )

@@ -63,7 +63,9 @@ def _fingerprints(size: int, batch: pa.RecordBatch) -> pa.RecordBatch:
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """``(doc_id, print)`` per row; a NULL or wordless text has print 0."""
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return narrow.transform(in_arrow, per_batch(partial(_fingerprints, size)), "doc_id long, print long")
+    return narrow.transform(
+        in_arrow, per_batch(partial(_fingerprints, size)), "doc_id long, print long"
+    )
 
 
 # --- the index -----------------------------------------------------------------------------------
@@ -386,8 +388,8 @@ def similar_kept(
     )
     marked = landed(
         keyed.transform(
-            in_arrow,
-            per_batch(partial(_long_prints, size)), "doc_id long, mark long, print binary"
+            in_arrow, per_batch(partial(_long_prints, size)),
+            "doc_id long, mark long, print binary",
         )
     )
     smallest = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark"))
@@ -395,7 +397,10 @@ def similar_kept(
     bits, tables = index_shape(nodes.count(), similarity)
     edges = (
         nodes.select("print")
-        .transform(in_arrow, partial(_all_segments, bits, tables), "key long, known boolean, print binary")
+        .transform(
+            in_arrow, partial(_all_segments, bits, tables),
+            "key long, known boolean, print binary",
+        )
         .repartition("key")
         .sortWithinPartitions("key", F.desc("known"))
         .transform(in_arrow, partial(_similar_links, radius_of(similarity)), "a binary, b binary")

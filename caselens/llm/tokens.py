@@ -142,8 +142,8 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     )
     kind = narrow.schema["doc_id"].dataType.simpleString()
     counted = narrow.transform(
-            in_arrow,
-        per_batch(partial(_lengths, path)), f"doc_id {kind}, n_bytes long, n_tokens long"
+        in_arrow, per_batch(partial(_lengths, path)),
+        f"doc_id {kind}, n_bytes long, n_tokens long",
     )
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
 
