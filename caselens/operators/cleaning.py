@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caselens.functions import strip_text, title_text
-from caselens.params import ACTIVITY, UNSPECIFIED
+from caselens.params import ACTIVITY, UNSPECIFIED, Params
 from caselens.sources import schemas
 
 _PLAIN_TEXT = (
@@ -42,31 +42,42 @@ def clean(raw: DataFrame) -> DataFrame:
 
 
 def deduplicate(requests: DataFrame) -> DataFrame:
-    """One row per unique_key: the activity slice wins over the backlog, then the smallest row.
+    """One row per unique_key: the activity slice wins over the backlog, then a row whose
+    created_date parsed, then the smallest row.
 
-    Written as ``min(struct)`` instead of a window: duplicates are combined before the shuffle, so
+    Keys are counted first, which needs no more than a hash aggregate; rows whose key is alone pass
+    unsorted, and only copies go through ``min(struct)``. That combines them before the shuffle, so
     a key with very many copies never has to be collected into one task.
     """
     rest = [name for name in requests.columns if name not in ("unique_key", "slice")]
-    rank = F.when(F.col("slice") == ACTIVITY, 0).otherwise(1)
-    first = F.min(F.struct(rank.alias("_rank"), "slice", *rest)).alias("_first")
-    kept = requests.groupBy("unique_key").agg(first)
-    return kept.select(
+    rank = F.when(F.col("slice") == ACTIVITY, 0).otherwise(1).alias("_rank")
+    undated = F.col("created_date").isNull().alias("_undated")
+    repeated = (
+        requests.groupBy(F.col("unique_key").alias("_key")).count().filter("count > 1").select("_key")
+    )
+    same = F.col("unique_key").eqNullSafe(F.col("_key"))
+    first = F.min(F.struct(rank, "slice", undated, *rest)).alias("_first")
+    kept = requests.join(repeated, same, "left_semi").groupBy("unique_key").agg(first).select(
         *(
             F.col("unique_key") if name == "unique_key" else F.col(f"_first.{name}")
             for name in requests.columns
         )
     )
+    return requests.join(repeated, same, "left_anti").unionByName(kept)
 
 
-def extract_metadata(raw: DataFrame, requests: DataFrame, sample_rows: int) -> DataFrame:
-    """Rows per slice before de-duplication, the total after it, and the sample scaling factor."""
-    per_slice = raw.groupBy(F.col("slice").alias("item")).agg(
-        F.count(F.lit(1)).cast("double").alias("value")
+def extract_metadata(
+    counts: DataFrame, requests: DataFrame, sample_rows: int, params: Params
+) -> DataFrame:
+    """``(item, value)``: the snapshot as a yyyymmdd number, rows per slice before de-duplication
+    (``slice, landed_rows``), the total after it, and the sample scaling factor."""
+    per_slice = counts.select(
+        F.col("slice").alias("item"), F.col("landed_rows").cast("double").alias("value")
     )
     rows = F.col("rows")
     drawn = F.least(rows, F.lit(float(sample_rows)))
     items = {
+        "snapshot_date": F.lit(float(f"{params.snapshot_date:%Y%m%d}")),
         "total_after_dedup": rows,
         "sample_rows": drawn,
         "scaling_factor": F.try_divide(rows, drawn),

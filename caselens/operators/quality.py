@@ -70,34 +70,32 @@ def row_flags(params: Params) -> dict:
 def dq_checks(requests: DataFrame, params: Params) -> DataFrame:
     """``check_name, records_flagged, pct_of_total, note``; order by check_name to present.
 
-    Eight checks come from one pass that shuffles a single row per task. Only the duplicate check
-    needs a shuffle by key, and that one carries nothing but the key and a partial count.
+    One scan: the rows of a key are counted together with their flags, as nothing but numbers, and
+    the counts of all keys are added up.
     """
     flags = row_flags(params)
-    counted = requests.agg(
-        F.count(F.lit(1)).alias("rows"),
+    per_key = requests.groupBy("unique_key").agg(
+        F.count(F.lit(1)).alias("copies"),
         *(F.count_if(test).alias(name) for name, test in flags.items()),
+    )
+    # COUNT(DISTINCT) ignores NULL, so every row without a key counts as a duplicate.
+    spare = F.when(F.col("unique_key").isNull(), F.col("copies")).otherwise(F.col("copies") - 1)
+    sums = {"rows": F.col("copies"), "duplicates": spare, **{name: F.col(name) for name in flags}}
+    counted = per_key.agg(
+        *(F.coalesce(F.sum(value), F.lit(0)).alias(name) for name, value in sums.items())
     ).select(
         "rows",
         F.explode(
-            F.create_map(*(part for name in flags for part in (F.lit(name), F.col(name))))
+            F.create_map(*(part for name in CHECKS for part in (F.lit(name), F.col(name))))
         ).alias("check", "records_flagged"),
     )
-    copies = requests.groupBy("unique_key").agg(F.count(F.lit(1)).alias("copies"))
-    # COUNT(DISTINCT) ignores NULL, so every row without a key counts as a duplicate.
-    spare = F.when(F.col("unique_key").isNull(), F.col("copies")).otherwise(F.col("copies") - 1)
-    repeated = copies.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"),
-        F.lit("duplicates").alias("check"),
-        F.coalesce(F.sum(spare), F.lit(0)).alias("records_flagged"),
-    )
     labels = {key: (F.lit(name), F.lit(note)) for key, (name, note) in CHECKS.items()}
 
     def label(position: int):
         pairs = [part for key, texts in labels.items() for part in (F.lit(key), texts[position])]
         return F.element_at(F.create_map(*pairs), F.col("check"))
 
-    return repeated.unionByName(counted).select(
+    return counted.select(
         label(0).alias("check_name"),
         "records_flagged",
         pct(F.col("records_flagged"), F.col("rows"), 3).alias("pct_of_total"),

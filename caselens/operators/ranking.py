@@ -41,56 +41,36 @@ def value_counts(frame: DataFrame, column: str, k: int | None = None) -> DataFra
     return counts if k is None else largest(counts, "requests", k, column)
 
 
-def _boundary(frame: DataFrame, prefix: Column, rows: int, before: Column | None = None) -> DataFrame:
-    """One row: the last ``prefix`` needed for the first ``rows`` rows, and the rows before it."""
-    sizes = frame.select(prefix.alias("_prefix")).groupBy("_prefix").agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    earlier = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
-    seen = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
-    if before is not None:
-        seen = seen + before
-    return (
-        sizes.select("_prefix", seen.alias("_seen"))
-        .filter(F.col("_seen") < rows)
-        .agg(F.max("_prefix").alias("prefix"), F.max("_seen").alias("seen"))
-    )
-
-
-def first_by_text(
-    frame: DataFrame, text: Column, rows: int, ties: Sequence[Column] = (), step: int = 3
-) -> DataFrame:
-    """The first ``rows`` rows in the order of a text, for limits too large for a plain top-k.
-
-    A plain ``orderBy.limit`` sends up to ``rows`` rows of every task to one merge task. Here two
-    counting passes over text prefixes (``step`` characters, then twice as many inside the boundary
-    group) find how far into the order the result reaches, and only rows up to there are sorted.
-    The cut is exact for any distribution.
-    """
-    if rows < 1:
-        raise ValueError("row count must be positive")
-    columns = frame.columns
-    keyed = frame.withColumn("_text", F.coalesce(text, F.lit("")))
-    short = F.substring("_text", 1, step)
-    long = F.substring("_text", 1, 2 * step)
-    coarse = _boundary(keyed, short, rows)
-    inside = keyed.filter(short == coarse.select("prefix").scalar())
-    fine = _boundary(inside, long, rows, coarse.select("seen").scalar())
-    needed = keyed.filter(long <= fine.select("prefix").scalar())
-    return needed.orderBy("_text", *ties).limit(rows).select(*columns)
-
-
 def preview(raw: DataFrame, rows: int = 2_000) -> DataFrame:
-    """First unmodified rows of an extract that is ordered by unique_key."""
+    """First unmodified rows of an extract that is ordered by unique_key, in one pass."""
     whole_row = F.to_json(F.struct(*raw.columns))
-    return first_by_text(raw, F.col("unique_key"), rows, [whole_row])
+    return top(raw, [F.coalesce("unique_key", F.lit("")), whole_row], rows)
+
+
+# Leading hex digits of the draw by which a sample's cut is found: at most 16 ** 4 counts.
+_DIGITS = 4
 
 
 def sample_exact(frame: DataFrame, key: str, rows: int, seed: int) -> DataFrame:
     """Exactly ``rows`` rows (all, if there are fewer) without replacement; same key, same draw.
 
-    The rows with the smallest seeded hash of their key. The hash is uniform, so the boundary group
-    that gets sorted holds about one 16-millionth of the input.
+    The rows with the smallest seeded hash of their key. A plain ``orderBy.limit`` would send up to
+    ``rows`` rows of every task to one. The hash is uniform whatever the keys are, so one pass that
+    counts its prefixes finds how far the draw reaches, and a second one sorts little more than
+    ``rows`` rows.
     """
-    draw = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key)))
-    return first_by_text(frame, draw, rows, [F.col(key)])
+    if rows < 1:
+        raise ValueError("row count must be positive")
+    columns = frame.columns
+    draw = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key), F.lit(""))))
+    drawn = frame.withColumn("_draw", draw)
+    prefix = F.substring("_draw", 1, _DIGITS)
+    sizes = drawn.groupBy(prefix.alias("_prefix")).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    seen = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    reach = (
+        sizes.select("_prefix", seen.alias("_seen")).filter(F.col("_seen") < rows)
+        .agg(F.max("_prefix"))
+    )
+    needed = drawn.filter(prefix <= reach.scalar())
+    return top(needed, [F.col("_draw"), F.col(key)], rows).select(*columns)

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from caselens.functions import month_start, week_start, weekday_name
 
-# A calendar is broadcast when its first and last day are known and span at most this many days.
-BROADCAST_DAYS = 100_000
-
 
 def days_between(first: Column, last: Column) -> Column:
     """Array of all days from ``first`` to ``last``, both included."""
@@ -47,10 +44,14 @@ def dim_date_covering(requests: DataFrame) -> DataFrame:
     )
 
 
-def attach_calendar(enriched: DataFrame, start: date, end: date) -> DataFrame:
-    """Join each request to its calendar row (n:1, unmatched requests are kept)."""
-    calendar = dim_date(enriched.sparkSession, start, end)
-    if (end - start).days <= BROADCAST_DAYS:
-        calendar = F.broadcast(calendar)
+def attach_calendar(enriched: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Join each request to its calendar row (n:1, requests without a created day are kept)."""
     fact = enriched.withColumn("created_date_only", F.to_date("created_date"))
     return fact.join(calendar, fact["created_date_only"] == calendar["date"], "left")
+
+
+def requests_per_day(fact: DataFrame) -> DataFrame:
+    """Requests of all slices per calendar date; ``fact`` carries the calendar columns."""
+    return fact.filter(F.col("date").isNotNull()).groupBy("date").agg(
+        F.count(F.lit(1)).alias("requests")
+    )

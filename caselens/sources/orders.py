@@ -21,8 +21,8 @@ PARAMS = Params(
     window_end=date(2001, 8, 1),
     backlog_start=date(1995, 1, 1),
     default_sla_days=700,
-    min_cell=100,
-    volume_floor=590,
+    min_cell=10,
+    volume_floor=50,
 )
 
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
@@ -132,7 +132,9 @@ def raw_line_source(spark: SparkSession, folder: str) -> DataFrame:
     Line numbers repeat inside an order, so keys are duplicated; text is padded, lower-cased or
     blank, zips carry suffixes and some dates do not parse.
     """
-    rows = table(spark, folder, "lineitem").join(_orders(spark, folder), F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = table(spark, folder, "lineitem").join(
+        _orders(spark, folder), F.col("l_orderkey") == F.col("o_orderkey"), "left"
+    )
     key = F.col("l_orderkey")
     tail = F.when(key % 9 == 0, "\t").otherwise(" ")
     iso = "yyyy-MM-dd'T'HH:mm:ss.SSS"

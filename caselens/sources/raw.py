@@ -76,21 +76,27 @@ def stack_slices(activity: DataFrame, backlog: DataFrame) -> DataFrame:
     )
 
 
-def reconcile_counts(landed: DataFrame, expected: Mapping[str, int] | DataFrame) -> DataFrame:
-    """Compare landed rows per slice with the counts the source reported.
+def slice_counts(landed: DataFrame) -> DataFrame:
+    """``(slice, landed_rows)``."""
+    return landed.groupBy("slice").agg(F.count(F.lit(1)).alias("landed_rows"))
 
-    ``expected`` is a mapping of slice to count, or a frame ``(slice, expected_rows)``.
+
+def reconcile_counts(counts: DataFrame, expected: Mapping[str, int] | DataFrame) -> DataFrame:
+    """Compare the ``slice_counts`` of what landed with the counts that the source reported.
+
+    ``expected`` is a mapping of slice to count, or a frame ``(slice, expected_rows)``. A slice that
+    only one side knows counts 0 on the other; ``state`` is complete, short, over or unexpected.
     """
     if not isinstance(expected, DataFrame):
-        spark = landed.sparkSession
+        spark = counts.sparkSession
         expected = spark.createDataFrame(list(expected.items()), "slice string, expected_rows long")
-    actual = landed.groupBy("slice").agg(F.count(F.lit(1)).alias("landed_rows"))
-    gap = F.col("landed_rows") - F.col("expected_rows")
-    return (
-        expected.join(actual, "slice", "left")
-        .fillna(0, ["landed_rows"])
-        .select(
-            "slice", "expected_rows", "landed_rows", gap.alias("difference"),
-            F.when(gap == 0, "complete").when(gap < 0, "short").otherwise("over").alias("state"),
-        )
+    wanted, found = (F.coalesce(c, F.lit(0)) for c in ("expected_rows", "landed_rows"))
+    gap = found - wanted
+    state = (
+        F.when(F.col("expected_rows").isNull(), "unexpected").when(gap == 0, "complete")
+        .when(gap < 0, "short").otherwise("over")
+    )
+    return expected.join(counts, "slice", "full").select(
+        "slice", wanted.alias("expected_rows"), found.alias("landed_rows"),
+        gap.alias("difference"), state.alias("state"),
     )

@@ -38,6 +38,8 @@ ENRICHED = T.StructType(
 
 SLA_TARGETS = _schema(complaint_type=_TEXT, sla_days=_INT, rationale=_TEXT)
 
+EXTRACT_METADATA = _schema(item=_TEXT, value=_REAL)
+
 DIM_DATE = _schema(date=_DAY, week_start=_DAY, month_start=_DAY, weekday=_TEXT)
 
 _RATES = dict(

@@ -13,9 +13,6 @@ from caselens.sources import schemas
 
 DEFAULT_KEY = "DEFAULT"
 
-# Above this many rows the lookup is joined by shuffle (AQE may still broadcast by measured size).
-BROADCAST_ROWS = 100_000
-
 # The published assumption table (complaint type, days, rationale).
 PUBLISHED_TARGETS = (
     ("Noise - Residential", 1, "Quality-of-life response expected same/next day"),
@@ -54,17 +51,14 @@ PUBLISHED_TARGETS = (
 
 @dataclass(frozen=True)
 class SlaTargets:
-    """A validated lookup: unique keys, known size, known default."""
+    """A validated lookup: unique keys, known default. The planner joins it by its size."""
 
     frame: DataFrame
     default_days: int
-    rows: int
 
     def attach(self, requests: DataFrame) -> DataFrame:
         """Add ``sla_days`` by complaint type; unlisted (or NULL) types get the default."""
         lookup = self.frame.select("complaint_type", F.col("sla_days").alias("_target"))
-        if self.rows <= BROADCAST_ROWS:
-            lookup = F.broadcast(lookup)
         target: Column = F.coalesce(F.col("_target"), F.lit(self.default_days))
         return (
             requests.join(lookup, "complaint_type", "left")
@@ -84,7 +78,7 @@ def targets_from_rows(
     # An Arrow table becomes a local relation: no job is needed to read it.
     columns = dict(zip(schemas.SLA_TARGETS.names, zip(*rows)))
     frame = spark.createDataFrame(pa.table(columns), schemas.SLA_TARGETS)
-    return SlaTargets(frame, days.get(DEFAULT_KEY, default_days), len(rows))
+    return SlaTargets(frame, days.get(DEFAULT_KEY, default_days))
 
 
 def published_targets(spark: SparkSession, default_days: int) -> SlaTargets:
@@ -92,7 +86,7 @@ def published_targets(spark: SparkSession, default_days: int) -> SlaTargets:
 
 
 def read_targets(spark: SparkSession, path: str, default_days: int) -> SlaTargets:
-    """Read an assumption CSV; one aggregate checks uniqueness, size and the DEFAULT row."""
+    """Read an assumption CSV; one aggregate checks uniqueness and the DEFAULT row."""
     frame = spark.read.csv(
         path, schema=schemas.SLA_TARGETS, header=True, enforceSchema=False, escape='"',
         mode="FAILFAST",
@@ -106,4 +100,4 @@ def read_targets(spark: SparkSession, path: str, default_days: int) -> SlaTarget
     if facts["rows"] != facts["keys"]:
         raise ValueError(f"complaint types in {path} must be unique and present")
     default = facts["default_days"]
-    return SlaTargets(frame, default_days if default is None else default, facts["rows"])
+    return SlaTargets(frame, default_days if default is None else default)
