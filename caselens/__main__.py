@@ -1,4 +1,7 @@
-"""Run the whole analysis: ``python -m caselens --activity a.csv --backlog b.csv --out folder``."""
+"""Run the whole analysis: ``python -m caselens --activity a.csv --backlog b.csv --out folder``.
+
+Everything is written whole, as tables below the output folder.
+"""
 
 from __future__ import annotations
 
@@ -6,9 +9,9 @@ import argparse
 from datetime import date
 
 from caselens.params import Params
-from caselens.operators.quality import dq_checks
+from caselens.plans import reports
 from caselens.plans.analysis import answers
-from caselens.plans.export import export, prepare, read_export, read_profile
+from caselens.plans.export import export, prepare, read_export, write_all
 from caselens.session import build_session
 from caselens.sources import raw, sla
 
@@ -20,6 +23,10 @@ def main() -> None:
     parser.add_argument("--targets", help="SLA target CSV; the published targets if omitted")
     parser.add_argument("--out", required=True, help="output folder shared by all executors")
     parser.add_argument("--snapshot", type=date.fromisoformat, default=Params().snapshot_date)
+    parser.add_argument(
+        "--expected", action="append", default=[], metavar="SLICE=ROWS",
+        help="rows of a slice that the source reported; given once per slice",
+    )
     parser.add_argument("--multiline", action="store_true", help="fields may hold line breaks")
     args = parser.parse_args()
 
@@ -32,16 +39,27 @@ def main() -> None:
     prepared = prepare(
         raw.read_raw_csv(spark, args.activity, multiline=args.multiline),
         raw.read_raw_csv(spark, args.backlog, multiline=args.multiline),
+        params,
         f"{args.out}/processed",
     )
-    prepared.metadata.show(truncate=False)
-    dq_checks(prepared.requests, params).orderBy("check_name").show(truncate=False)
     exports = f"{args.out}/exports"
-    export(prepared.requests, targets, params, exports).show(truncate=False)
+    manifest = export(prepared.requests, targets, params, exports)
     fact = read_export(spark, exports, "fact_service_requests")
-    for title, answer in answers(fact, read_profile(spark, exports), params).items():
-        print(title)
-        answer.show(30, truncate=False)
+    expected = {name: int(rows) for name, _, rows in (e.partition("=") for e in args.expected)}
+    reconciled = raw.reconcile_counts(prepared.slice_counts, expected)
+    factor = prepared.metadata.filter("item = 'scaling_factor'").select("value").scalar()
+    write_all({"manifest": manifest}, exports)
+    write_all(answers(fact, params), f"{args.out}/answers")
+    write_all(
+        reports.gate(prepared.requests, reconciled, fact, params), f"{args.out}/quality"
+    )
+    write_all(
+        reports.escalations(prepared.requests, fact, targets, params), f"{args.out}/escalation"
+    )
+    write_all(
+        reports.workbook_tables(prepared.sample, targets, params, factor), f"{args.out}/workbook"
+    )
+    write_all(reports.dashboard_tables(fact, params), f"{args.out}/dashboard")
 
 
 if __name__ == "__main__":

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from caselens.functions import pct, round_half
 from caselens.operators import profile as p
 from caselens.operators.priority import CELL
-from caselens.operators.ranking import largest, value_counts, whole
+from caselens.operators.ranking import largest, whole
 from caselens.operators.rollups import bucket_order
 from caselens.params import ACTIVITY, BUCKETS
 
@@ -37,17 +37,17 @@ def aging_by_borough(enriched: DataFrame, boroughs: Sequence[str]) -> DataFrame:
 
 
 def weekly_flow(enriched: DataFrame, first_week, last_week) -> DataFrame:
-    """Created, closed and open per week, over both slices."""
-    weeks = F.col("created_week").between(F.lit(first_week), F.lit(last_week))
-    return p.summarise(
-        enriched.filter(weeks),
-        ["created_week"],
-        {
-            "created": p.rows_where(),
-            "closed_by_snapshot": p.rows_where(F.col("is_closed")),
-            "still_open": p.rows_where(p.is_open()),
-        },
-    )
+    """Created, closed and open per week, over both slices; weeks without requests show zeros."""
+    measures = {
+        "created": p.rows_where(),
+        "closed_by_snapshot": p.rows_where(F.col("is_closed")),
+        "still_open": p.rows_where(p.is_open()),
+    }
+    inside = F.col("created_week").between(F.lit(first_week), F.lit(last_week))
+    counts = p.summarise(enriched.filter(inside), ["created_week"], measures)
+    every = F.sequence(F.lit(first_week), F.lit(last_week), F.expr("interval 7 days"))
+    weeks = enriched.sparkSession.range(1).select(F.explode(every).alias("created_week"))
+    return weeks.join(counts, "created_week", "left").fillna(0, list(measures))
 
 
 def pivot_report(
@@ -180,10 +180,14 @@ def open_by_bucket(aging: DataFrame) -> DataFrame:
 
 
 def dense_grid(
-    enriched: DataFrame, cell_frame: DataFrame, boroughs: Sequence[str], top_types: int
+    cell_frame: DataFrame, boroughs: Sequence[str], top_types: int
 ) -> DataFrame:
-    """Every top type x every borough, with zero counts where a cell has no requests."""
-    leaders = value_counts(enriched, "complaint_type", top_types).select("complaint_type")
+    """Every top type x every borough, with zero counts where a cell has no requests.
+
+    ``cell_frame`` holds all cells, those without a listed borough too, so types are ranked by it.
+    """
+    totals = cell_frame.groupBy("complaint_type").agg(F.sum("total").alias("_requests"))
+    leaders = largest(totals, "_requests", top_types, "complaint_type").select("complaint_type")
     grid = leaders.withColumn("borough", F.explode(F.array(*map(F.lit, boroughs))))
     counts = [name for name in cell_frame.columns if name not in CELL]
     return grid.join(cell_frame, list(CELL), "left").fillna(0, counts)

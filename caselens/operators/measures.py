@@ -75,16 +75,21 @@ def month_over_month(
 ) -> DataFrame:
     """Requests against the previous calendar month; NULL when that month has no rows.
 
-    Joins the monthly totals to themselves. A month without requests is a gap, unlike in a row lag.
+    Joins the monthly totals to themselves. A month without requests is a gap, unlike in a row lag;
+    up to the last month with data, one that follows a month with requests shows them against 0.
     """
     keys = [*dims, "created_month"]
     now = measure_query(enriched, keys, ["total_requests"], slicers)
-    before = now.select(
+    before = now.filter(F.col("created_month").isNotNull()).select(
         *dims,
         F.add_months("created_month", 1).alias("created_month"),
         F.col("total_requests").alias("requests_previous_month"),
     )
     change = F.col("total_requests") - F.col("requests_previous_month")
-    return now.join(before, keys, "left").withColumn(
+    # Months are few: bounded by the calendar and the dimensions.
+    last = F.max(F.when(F.col("total_requests").isNotNull(), F.col("created_month"))).over(whole())
+    both = now.join(before, keys, "full").withColumn("_last", last)
+    known = F.col("total_requests").isNotNull() | (F.col("created_month") <= F.col("_last"))
+    return both.filter(known).drop("_last").fillna(0, ["total_requests"]).withColumn(
         "mom_change", ratio(change, F.col("requests_previous_month"))
     )

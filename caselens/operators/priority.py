@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import asdict
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caselens.functions import round_half
@@ -15,8 +15,14 @@ from caselens.params import Params, Weights
 CELL = ("complaint_type", "borough")
 
 
-def cells(enriched: DataFrame, params: Params) -> DataFrame:
-    """Counts and rates per cell, without Unspecified boroughs and small cells."""
+def cells(
+    enriched: DataFrame, params: Params, by: Sequence[str] = (),
+    more: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """Counts and rates per cell (and ``by``), without Unspecified boroughs and small cells.
+
+    ``more`` names further measures that the same aggregation gives.
+    """
     measures = {
         "total_requests": p.rows_where(),
         "open_requests": p.rows_where(p.is_open()),
@@ -24,14 +30,15 @@ def cells(enriched: DataFrame, params: Params) -> DataFrame:
         "aged_share_of_open": p.aged_share(),
     }
     summary = p.summarise(
-        enriched.filter(p.is_placed()), CELL, measures, labels={"agency": "agency"}
+        enriched.filter(p.is_placed()), [*by, *CELL], {**measures, **(more or {})},
+        labels={"agency": "agency"},
     )
     return summary.filter(F.col("total_requests") >= params.min_cell)
 
 
-def percentile_of(measure: str) -> Column:
+def percentile_of(measure: str, by: Sequence[str] = ()) -> Column:
     """Percent rank over all cells. Cells are bounded by types x boroughs, so one task is enough."""
-    return F.percent_rank().over(Window.orderBy(measure))
+    return F.percent_rank().over(Window.partitionBy(*by).orderBy(measure))
 
 
 def blend(weights: Weights, volume: Column, backlog: Column, miss: Column, aged: Column) -> Column:
@@ -43,24 +50,30 @@ def blend(weights: Weights, volume: Column, backlog: Column, miss: Column, aged:
     )
 
 
-def ranked(scores: DataFrame, name: str = "priority_rank") -> DataFrame:
-    """Number rows by descending score; equal scores are ordered by cell."""
-    order = Window.orderBy(F.col("priority_score").desc(), *CELL)
-    return scores.withColumn(name, F.row_number().over(order).cast("bigint"))
-
+def score_cells(
+    cell_frame: DataFrame, params: Params, by: Sequence[str] = (), keep: Sequence[str] = ()
+) -> DataFrame:
+    """Scores use unrounded percentiles but rounded rates; NULL rates count as 0.
 
-def score_cells(cell_frame: DataFrame, params: Params) -> DataFrame:
-    """Scores use unrounded percentiles but rounded rates; NULL rates count as 0."""
+    Cells are ranked by descending score, then by cell, apart for each ``by``; columns to ``keep``
+    are passed on.
+    """
     zero = F.lit(0.0)
     miss = F.coalesce("sla_miss_rate", zero)
     aged = F.coalesce("aged_share_of_open", zero)
     with_percentiles = cell_frame.withColumns(
-        {"_volume": percentile_of("total_requests"), "_backlog": percentile_of("open_requests")}
+        {
+            "_volume": percentile_of("total_requests", by),
+            "_backlog": percentile_of("open_requests", by),
+        }
     )
     score = blend(
         params.weights.require_unit_sum(), F.col("_volume"), F.col("_backlog"), miss, aged
     )
+    order = Window.partitionBy(*by).orderBy(F.col("priority_score").desc(), *CELL)
     scored = with_percentiles.select(
+        *by,
+        *keep,
         "complaint_type",
         "borough",
         "agency",
@@ -72,7 +85,7 @@ def score_cells(cell_frame: DataFrame, params: Params) -> DataFrame:
         round_half(F.col("_backlog"), 4).alias("backlog_percentile"),
         round_half(score, 4).alias("priority_score"),
     )
-    return ranked(scored)
+    return scored.withColumn("priority_rank", F.row_number().over(order).cast("bigint"))
 
 
 def priority_scores(enriched: DataFrame, params: Params) -> DataFrame:
@@ -86,87 +99,59 @@ def hotspots(scores: DataFrame, k: int) -> DataFrame:
 # --- what-if -------------------------------------------------------------------------------------
 
 
-def _dynamic(volume: Column, backlog: Column, miss: Column, aged: Column) -> Column:
-    """Weighted mean of averaged components; NULL when the weights add up to 0.
+_COMPONENTS = ("volume_percentile", "backlog_percentile", "sla_miss_rate", "aged_share_of_open")
 
-    The weights are columns ``w_volume .. w_aged``. A blank component adds nothing.
-    """
-    weights = [F.col(name) for name in ("w_volume", "w_backlog", "w_miss", "w_aged")]
-    parts = [
-        weight * F.coalesce(F.avg(component), F.lit(0.0))
-        for weight, component in zip(weights, (volume, backlog, miss, aged))
-    ]
-    return F.try_divide(
-        parts[0] + parts[1] + parts[2] + parts[3],
-        weights[0] + weights[1] + weights[2] + weights[3],
-    )
 
+def _dynamic(components: Sequence[Column], weights: Sequence[Column]) -> Column:
+    """Weighted mean of the components; NULL when the weights add up to 0. A blank adds nothing.
 
-_WEIGHT_NAMES = ("w_volume", "w_backlog", "w_miss", "w_aged")
-
-
-def _dynamic_scores(weighted: DataFrame, keys: Sequence[str]) -> DataFrame:
-    score = _dynamic(
-        F.col("volume_percentile"), F.col("backlog_percentile"), F.col("sla_miss_rate"),
-        F.col("aged_share_of_open"),
-    )
-    # Ranked to 9 digits, so that equal cells tie whatever the order of summation.
-    return weighted.groupBy(*keys, *_WEIGHT_NAMES).agg(round_half(score, 9).alias("_score"))
+    Given to 9 digits, so that equal cells tie whatever the order of summation.
+    """
+    parts = [w * F.coalesce(c, F.lit(0.0)) for w, c in zip(weights, components)]
+    total = weights[0] + weights[1] + weights[2] + weights[3]
+    return round_half(F.try_divide(parts[0] + parts[1] + parts[2] + parts[3], total), 9)
 
 
 def whatif(scores: DataFrame, weights: Weights = Weights(), dims: Sequence[str] = CELL) -> DataFrame:
     """Score and dense rank of each ``dims`` group under other weights. Never reads the fact."""
-    weighted = scores.withColumns(
-        {
-            "w_volume": F.lit(weights.volume),
-            "w_backlog": F.lit(weights.backlog),
-            "w_miss": F.lit(weights.miss),
-            "w_aged": F.lit(weights.aged),
-        }
+    score = _dynamic(
+        [F.avg(name) for name in _COMPONENTS], [F.lit(w) for w in asdict(weights).values()]
     )
     order = Window.orderBy(F.col("_score").desc_nulls_last())
-    return _dynamic_scores(weighted, dims).select(
+    return scores.groupBy(*dims).agg(score.alias("_score")).select(
         *dims,
         round_half(F.col("_score"), 4).alias("dynamic_score"),
         F.dense_rank().over(order).cast("bigint").alias("dynamic_rank"),
     )
 
 
-def weight_steps(spark: SparkSession, name: str) -> DataFrame:
-    """What-if parameter values 0, 0.05 .. 1 (21 rows)."""
-    return spark.range(21).select((F.col("id") / F.lit(20.0)).alias(name))
+# A slider has this many steps from 0 to 1.
+STEPS = 20
 
 
-def one_weight_scenarios(base: Weights = Weights(), steps: int = 20) -> list[tuple]:
-    """Each slider moved over its 21 values while the other three keep their default."""
-    defaults = asdict(base)
-    return [
-        (slider, step, *{**defaults, slider: step / steps}.values())
-        for slider in defaults
-        for step in range(steps + 1)
-    ]
+def weight_step(step: Column) -> Column:
+    """Value of a what-if parameter at a step: 0, 0.05 .. 1."""
+    return step / F.lit(float(STEPS))
 
 
 def sensitivity(scores: DataFrame, base: Weights = Weights()) -> DataFrame:
     """Re-rank every cell under each slider position and report the rank change against base.
 
-    Every cell row is expanded by the fixed list of 84 scenarios (an array literal, no join), then
-    ranked inside its scenario, so the ranking runs in 84 independent groups of cells.
+    Every cell row is expanded by four sliders of 21 steps (array literals, no join) and scored in
+    place; the ranking runs in 84 independent groups of cells.
     """
-    names = ("slider", "step", *_WEIGHT_NAMES)
-    grid = F.array(
-        *(
-            F.struct(*(F.lit(v).alias(n) for n, v in zip(names, scenario)))
-            for scenario in one_weight_scenarios(base)
-        )
-    )
-    expanded = scores.withColumn("_s", F.explode(grid)).select(
-        *scores.columns, *(F.col(f"_s.{n}").alias(n) for n in names)
-    )
-    moved = _dynamic_scores(expanded, [*CELL, "priority_rank", "slider", "step"])
+    defaults = asdict(base)
+    expanded = scores.withColumn(
+        "slider", F.explode(F.array(*map(F.lit, defaults)))
+    ).withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(STEPS))))
+    weights = [
+        F.when(F.col("slider") == name, weight_step(F.col("step"))).otherwise(F.lit(value))
+        for name, value in defaults.items()
+    ]
+    score = _dynamic([F.col(name) for name in _COMPONENTS], weights)
     order = Window.partitionBy("slider", "step").orderBy(F.col("_score").desc_nulls_last())
     rank = F.dense_rank().over(order).cast("bigint")
-    return moved.withColumn("dynamic_rank", rank).select(
+    return expanded.withColumn("_score", score).withColumn("dynamic_rank", rank).select(
         "slider", "step", *CELL, round_half(F.col("_score"), 4).alias("dynamic_score"),
         "dynamic_rank", (F.col("dynamic_rank") - F.col("priority_rank")).alias("rank_change"),
     )

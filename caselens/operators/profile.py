@@ -1,10 +1,9 @@
-"""Weighted request profile: the one aggregation that every KPI is computed from.
+"""Weighted request counts, from which every KPI is computed.
 
-``profile`` counts requests per distinct combination of the wanted dimensions and the few columns
-that KPIs depend on. It is a plain hash aggregate with map-side combine, so its output is bounded by
-the number of distinct combinations, not by the number of requests, and a hot dimension value is
-reduced before the shuffle. All measures, including the exact median, are then weighted aggregates
-over those few rows.
+A measure is a weighted aggregate over rows that stand for ``n`` requests each. Without a median,
+every request is such a row with n = 1: one hash aggregate with map-side combine gives all measures
+of a report. Only the median needs a profile first, counts per dimension, state and closure_days,
+so that no group of requests is ever collected.
 """
 
 from __future__ import annotations
@@ -85,24 +84,38 @@ def median_closure(digits: int | None = 1) -> Column:
     return value if digits is None else round_half(value, digits)
 
 
-def is_profile(frame: DataFrame) -> bool:
-    return "closure_sum" in frame.columns
+def single(enriched: DataFrame) -> DataFrame:
+    """Each request as a row of a profile, without a shuffle."""
+    closed, age = F.col("closure_days"), F.col("age_days")
+    return enriched.withColumns(
+        {
+            "n": F.lit(1).cast("long"),
+            "closure_n": closed.isNotNull().cast("long"),
+            "closure_sum": closed,
+            "age_n": age.isNotNull().cast("long"),
+            "age_sum": age,
+        }
+    )
 
 
 def summarise(
     source: DataFrame, dims: Sequence[str], measures: Mapping[str, Column], *,
-    median: bool = False, labels: Mapping[str, str] | None = None,
+    median: bool = False, labels: Mapping[str, str] | None = None, counted: bool = False,
 ) -> DataFrame:
     """Evaluate named measures per dims combination.
 
-    ``source`` is the enriched frame, or a finer profile of it that several reports share.
-    ``labels`` maps an output name to a column that is reported by its smallest value per group.
+    ``source`` is the enriched frame or, if ``counted``, a finer profile of it (made
+    ``by_closure_days`` if a median is wanted). ``labels`` maps an output name to a column that is
+    reported by its smallest value per group.
     """
     labels = labels or {}
-    extra = [name for name in labels.values() if name not in dims]
-    rows = source
-    if not is_profile(source):
-        rows = profile(source, [*dims, *extra], by_closure_days=median)
+    if counted:
+        rows = source
+    elif median:
+        extra = [name for name in labels.values() if name not in dims]
+        rows = profile(source, [*dims, *extra], by_closure_days=True)
+    else:
+        rows = single(source)
     named = [F.min(column).alias(name) for name, column in labels.items()]
     named += [column.alias(name) for name, column in measures.items()]
     return rows.groupBy(*dims).agg(*named)

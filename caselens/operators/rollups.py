@@ -1,4 +1,4 @@
-"""KPI rollups and backlog aging. Each takes the enriched frame or a finer profile of it."""
+"""KPI rollups and backlog aging over the enriched frame."""
 
 from __future__ import annotations
 
@@ -9,14 +9,6 @@ from caselens.operators import profile as p
 from caselens.params import ACTIVITY, BUCKETS
 
 
-# Dimensions of the shared profile from which every rollup and the priority cells can be made.
-SHARED_DIMS = ("agency", "agency_name", "complaint_type", "borough", "slice", "created_week")
-
-
-def shared_profile(enriched: DataFrame) -> DataFrame:
-    return p.profile(enriched, SHARED_DIMS, by_closure_days=True)
-
-
 def core_measures(*, median: bool) -> dict[str, Column]:
     measures = {
         "total_requests": p.rows_where(),

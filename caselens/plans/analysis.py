@@ -84,19 +84,19 @@ def monthly_change(enriched: DataFrame) -> DataFrame:
     return counts.withColumn("mom_change_pct", pct(F.col("requests") - before, before, 1))
 
 
-def answers(fact: DataFrame, shared: DataFrame, params: Params) -> dict[str, DataFrame]:
-    """All ten questions; only the last three read the fact, the others its shared profile."""
-    by_type = rollups.kpi_by_complaint_type(shared)
-    scores = priority_scores(shared, params)
+def answers(fact: DataFrame, params: Params) -> dict[str, DataFrame]:
+    """All ten questions over the fact, each reading the few columns it needs."""
+    by_type = rollups.kpi_by_complaint_type(fact)
+    scores = priority_scores(fact, params)
     return {
-        "demand concentration": demand_concentration(by_type),
-        "agency load and pace": agency_pace(rollups.kpi_by_agency(shared)),
-        "borough pressure": borough_pressure(rollups.kpi_by_borough(shared)),
-        "weekly rhythm": weekly_rhythm(rollups.kpi_weekly(shared)),
-        "aging backlog": aging_backlog(rollups.backlog_aging(shared)),
-        "worst SLA performance": worst_sla(by_type, params),
-        "hotspots": hotspot_list(scores),
-        "oldest open requests in hotspots": oldest_in_hotspots(fact, scores),
-        "channel mix": channel_mix(fact).orderBy(F.col("requests").desc()),
-        "monthly change": monthly_change(fact).orderBy("borough", "created_month"),
+        "n01_demand_concentration": demand_concentration(by_type),
+        "n02_agency_pace": agency_pace(rollups.kpi_by_agency(fact)),
+        "n03_borough_pressure": borough_pressure(rollups.kpi_by_borough(fact)),
+        "n04_weekly_rhythm": weekly_rhythm(rollups.kpi_weekly(fact)),
+        "n05_aging_backlog": aging_backlog(rollups.backlog_aging(fact)),
+        "n06_worst_sla": worst_sla(by_type, params),
+        "n07_hotspots": hotspot_list(scores),
+        "n08_oldest_in_hotspots": oldest_in_hotspots(fact, scores),
+        "n09_channel_mix": channel_mix(fact).orderBy(F.col("requests").desc()),
+        "n10_monthly_change": monthly_change(fact).orderBy("borough", "created_month"),
     }

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caselens.functions import ratio
 from caselens.operators import profile as p
-from caselens.operators.enrich import enrich, rewind
-from caselens.operators.priority import CELL, hotspots, priority_scores
+from caselens.operators.enrich import enrich
+from caselens.operators.priority import CELL, cells, hotspots, score_cells
 from caselens.params import UNSPECIFIED, Params
 from caselens.sources.sla import SlaTargets
 
@@ -32,32 +31,36 @@ def _open_beyond(snapshot: date, days: int) -> Column:
     return still_open & (F.datediff(F.lit(snapshot), created) > days)
 
 
+def _history(params: Params, weeks: int) -> dict[str, Column]:
+    days = params.bucket_bounds[1]
+    return {
+        f"weeks_ago_{w}": F.count_if(
+            _open_beyond(params.snapshot_date - timedelta(weeks=w), days)
+        )
+        for w in range(weeks)
+    }
+
+
 def aged_open_history(requests: DataFrame, params: Params, weeks: int = 3) -> DataFrame:
     """31+ day open count per cell at the snapshot and at the weeks before it.
 
     One conditional count per week in a single pass: the rows are never multiplied by the number of
     snapshots. Counts of earlier weeks are as complete as the extract's old closed rows are.
     """
-    days = params.bucket_bounds[1]
-    counts = [
-        F.count_if(_open_beyond(params.snapshot_date - timedelta(weeks=w), days)).alias(
-            f"weeks_ago_{w}"
-        )
-        for w in range(weeks)
-    ]
+    counts = [count.alias(name) for name, count in _history(params, weeks).items()]
     return requests.filter(p.is_placed()).groupBy(*CELL).agg(*counts)
 
 
-def growing_backlog(
-    requests: DataFrame, scores: DataFrame, params: Params, k: int = 10
-) -> DataFrame:
-    """Whether a hotspot's 31+ day open count grew two weeks in a row."""
-    hot = F.broadcast(hotspots(scores, k).select("priority_rank", *CELL))
-    history = aged_open_history(requests, params)
-    now, last, before = (F.col(f"weeks_ago_{w}") for w in range(3))
-    return hot.join(history, list(CELL)).select(
-        "priority_rank", *CELL, "weeks_ago_2", "weeks_ago_1", "weeks_ago_0",
-        ((now > last) & (last > before)).alias("escalate"),
+def growing_backlog(enriched: DataFrame, params: Params, k: int = 10) -> DataFrame:
+    """Whether a hotspot's 31+ day open count grew two weeks in a row.
+
+    Scores and history share their key, so one aggregation of the requests gives both.
+    """
+    names = [f"weeks_ago_{w}" for w in (2, 1, 0)]
+    cell_frame = cells(enriched, params, more=_history(params, 3))
+    before, last, now = map(F.col, names)
+    return hotspots(score_cells(cell_frame, params, keep=names), k).select(
+        "priority_rank", *CELL, *names, ((now > last) & (last > before)).alias("escalate"),
     )
 
 
@@ -79,18 +82,39 @@ def unspecified_share(requests: DataFrame, limit: float = 0.005) -> DataFrame:
     )
 
 
+def _state(requests: DataFrame, sla: SlaTargets, at: Params, name: str) -> DataFrame:
+    """Each request with a column of its derived state as it stood at a snapshot."""
+    limit = F.lit(at.closed_before)
+    kept = requests.withColumn("_closed_date", F.col("closed_date")).withColumn(
+        "closed_date", F.when(F.col("closed_date") < limit, F.col("closed_date"))
+    )
+    state = F.struct(
+        F.lit(name).alias("snapshot"), (F.col("created_date") < limit).alias("known"),
+        "is_closed", "sla_status", "aging_bucket", "closure_days", "age_days",
+    )
+    return enrich(kept, sla, at).select(
+        *(F.col("_closed_date").alias(c) if c == "closed_date" else F.col(c)
+          for c in requests.columns),
+        state.alias(name),
+    )
+
+
 def new_entrants(
     requests: DataFrame, sla: SlaTargets, params: Params, earlier: date, k: int = 10
 ) -> DataFrame:
-    """Cells in today's top ``k`` that were not in the top ``k`` of an earlier snapshot."""
-
-    def top_cells(at: Params) -> DataFrame:
-        known = rewind(requests, at)
-        return hotspots(priority_scores(enrich(known, sla, at), at), k)
+    """Cells in today's top ``k`` that were not in the top ``k`` of an earlier snapshot.
 
-    now = top_cells(params).select("priority_rank", *CELL, "priority_score")
-    then = top_cells(params.at(earlier)).select(*CELL)
-    return now.join(F.broadcast(then), list(CELL), "left_anti")
+    Each request carries its state at both snapshots; one aggregation counts the cells of both.
+    """
+    both = _state(_state(requests, sla, params, "now"), sla, params.at(earlier), "then")
+    states = both.select(
+        *CELL, "agency", F.explode(F.array("now", "then")).alias("state")
+    ).select(*CELL, "agency", "state.*").filter("known")
+    scores = score_cells(cells(states, params, by=["snapshot"]), params, by=["snapshot"])
+    before = F.max((F.col("snapshot") == "then").cast("int")).over(Window.partitionBy(*CELL))
+    return hotspots(scores, k).withColumn("_before", before).filter(
+        "snapshot = 'now' AND _before = 0"
+    ).select("priority_rank", *CELL, "priority_score")
 
 
 def artifact_candidates(by_type: DataFrame, params: Params, closed_share: float = 0.0) -> DataFrame:
@@ -102,8 +126,9 @@ def artifact_candidates(by_type: DataFrame, params: Params, closed_share: float
     )
 
 
-def separate_lines(enriched: DataFrame, types: Sequence[str]) -> DataFrame:
-    """Citywide KPIs without the listed types, each listed type as its own line, and all together.
+def separate_lines(enriched: DataFrame, types: DataFrame) -> DataFrame:
+    """Citywide KPIs without the types listed in ``types (complaint_type)``, such as
+    :func:`artifact_candidates`, each listed type as its own line, and all together.
 
     Made from one profile by type, so the fact is read once.
     """
@@ -114,8 +139,10 @@ def separate_lines(enriched: DataFrame, types: Sequence[str]) -> DataFrame:
         "sla_miss_rate": p.miss_rate(4),
         "aged_open_30d_plus": p.rows_where(p.is_aged()),
     }
-    listed = F.coalesce(F.col("complaint_type").isin(*types), F.lit(False))
-    line = F.when(listed, F.col("complaint_type")).otherwise("citywide excluding listed")
-    rows = p.profile(enriched, ["complaint_type"])
+    listed = types.select(F.col("complaint_type").alias("_listed")).distinct()
+    rows = p.profile(enriched, ["complaint_type"]).join(
+        listed, F.col("complaint_type") == F.col("_listed"), "left"
+    )
+    line = F.coalesce(F.col("_listed"), F.lit("citywide excluding listed"))
     lines = F.explode(F.array(line, F.lit("citywide")))
-    return p.summarise(rows.withColumn("line", lines), ["line"], measures)
+    return p.summarise(rows.withColumn("line", lines), ["line"], measures, counted=True)

@@ -13,6 +13,7 @@ from caselens.operators import cleaning, ranking, rollups
 from caselens.operators.enrich import enrich
 from caselens.operators.priority import priority_scores
 from caselens.params import Params
+from caselens.session import shared_folder
 from caselens.sources import raw, schemas, tables
 from caselens.sources.calendar import dim_date
 from caselens.sources.sla import SlaTargets
@@ -39,28 +40,36 @@ class Prepared:
     """Tables written by :func:`prepare`."""
 
     requests: DataFrame
+    slice_counts: DataFrame
     metadata: DataFrame
     sample: DataFrame
     preview: DataFrame
 
 
 def prepare(
-    activity: DataFrame, backlog: DataFrame, folder: str, *, sample_rows: int = SAMPLE_ROWS,
-    seed: int = SAMPLE_SEED,
+    activity: DataFrame, backlog: DataFrame, params: Params, folder: str, *,
+    sample_rows: int = SAMPLE_ROWS, seed: int = SAMPLE_SEED,
 ) -> Prepared:
-    """Raw slices to a clean request table, a sample, a raw preview and extract metadata."""
+    """Raw slices to a clean request table, a sample, a raw preview and extract metadata.
+
+    The text is parsed once into a scratch table; counts and de-duplication read that.
+    """
     spark = activity.sparkSession
-    stacked = raw.stack_slices(activity, backlog)
-    tables.write_parquet(
-        cleaning.deduplicate(cleaning.clean(stacked)), f"{folder}/service_requests"
-    )
+    scratch = shared_folder(spark)
+    tables.write_parquet(cleaning.clean(raw.stack_slices(activity, backlog)), scratch)
+    landed = tables.read_parquet(spark, scratch, schemas.REQUESTS)
+    counts = raw.slice_counts(landed)
+    tables.write_parquet(cleaning.deduplicate(landed), f"{folder}/service_requests")
     requests = tables.read_parquet(spark, f"{folder}/service_requests", schemas.REQUESTS)
     sample = ranking.sample_exact(requests, "unique_key", sample_rows, seed)
     tables.write_csv(sample, f"{folder}/sample")
     tables.write_csv(ranking.preview(activity), f"{folder}/raw_preview")
+    metadata = cleaning.extract_metadata(counts, requests, sample_rows, params)
+    tables.write_csv(metadata, f"{folder}/extract_metadata")
     return Prepared(
         requests,
-        cleaning.extract_metadata(stacked, requests, sample_rows),
+        counts,
+        tables.read_csv(spark, f"{folder}/extract_metadata", schemas.EXTRACT_METADATA),
         tables.read_csv(spark, f"{folder}/sample", schemas.REQUESTS),
         tables.read_csv(spark, f"{folder}/raw_preview", schemas.RAW),
     )
@@ -73,37 +82,38 @@ def write_fact(requests: DataFrame, sla: SlaTargets, params: Params, folder: str
     return tables.read_parquet(requests.sparkSession, path, schemas.ENRICHED)
 
 
-def write_profile(fact: DataFrame, folder: str) -> DataFrame:
-    """Count the shared profile of the fact once; all rollups and scores read only this."""
-    tables.write_parquet(rollups.shared_profile(fact), f"{folder}/_profile")
-    return read_profile(fact.sparkSession, folder)
-
-
-def read_profile(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/_profile")
-
-
 def export(requests: DataFrame, sla: SlaTargets, params: Params, folder: str) -> DataFrame:
-    """Write the fact, the rollups and the dimensions; return ``table_name, format, row_count``."""
+    """Write the fact, the rollups and the dimensions; return ``table_name, format, row_count``.
+
+    Each rollup reads the few columns it needs of the written fact.
+    """
     spark = requests.sparkSession
-    shared = write_profile(write_fact(requests, sla, params, folder), folder)
+    fact = write_fact(requests, sla, params, folder)
     small = {
-        "kpi_by_agency": rollups.kpi_by_agency(shared),
-        "kpi_by_complaint_type": rollups.kpi_by_complaint_type(shared),
-        "kpi_by_borough": rollups.kpi_by_borough(shared),
-        "kpi_weekly": rollups.kpi_weekly(shared),
-        "backlog_aging": rollups.backlog_aging(shared),
-        "priority_scores": priority_scores(shared, params),
+        "kpi_by_agency": rollups.kpi_by_agency(fact),
+        "kpi_by_complaint_type": rollups.kpi_by_complaint_type(fact),
+        "kpi_by_borough": rollups.kpi_by_borough(fact),
+        "kpi_weekly": rollups.kpi_weekly(fact),
+        "backlog_aging": rollups.backlog_aging(fact),
+        "priority_scores": priority_scores(fact, params),
         "dim_sla_targets": sla.frame,
         "dim_date": dim_date(spark, params.backlog_start, params.window_end),
     }
-    # Small independent jobs: submitted together they overlap instead of queueing.
+    write_all(small, folder)
+    return manifest(spark, folder)
+
+
+def write_all(frames: dict[str, DataFrame], folder: str) -> None:
+    """Write each frame whole as CSV below ``folder``.
+
+    Small independent jobs: submitted together they overlap instead of queueing.
+    """
+    spark = next(iter(frames.values())).sparkSession
     with ThreadPoolExecutor(max_workers=4) as pool:
         write = inheritable_thread_target(spark)(tables.write_csv)
-        jobs = [pool.submit(write, frame, f"{folder}/{name}") for name, frame in small.items()]
+        jobs = [pool.submit(write, frame, f"{folder}/{name}") for name, frame in frames.items()]
     for job in jobs:
         job.result()
-    return manifest(spark, folder)
 
 
 def read_export(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -34,14 +34,27 @@ def sla_block(
     enriched: DataFrame, dimension: str, *, top_n: int | None = None,
     values: Sequence | None = None,
 ) -> DataFrame:
-    """SLA figures per value of one dimension, for its ``top_n`` largest or the listed values."""
-    if values is not None:
-        enriched = enriched.filter(any_of(F.col(dimension), values))
-    block = p.summarise(enriched, [dimension], _block())
-    return block if top_n is None else ranking.largest(block, "total", top_n, dimension)
+    """SLA figures per value of one dimension, for its ``top_n`` largest or the listed values.
 
+    A listed value without requests has a row too: its counts are 0, its rates NULL.
+    """
+    if values is None:
+        block = p.summarise(enriched, [dimension], _block())
+        return block if top_n is None else ranking.largest(block, "total", top_n, dimension)
+    block = p.summarise(enriched.filter(any_of(F.col(dimension), values)), [dimension], _block())
+    kind = enriched.schema[dimension].dataType
+    listed = enriched.sparkSession.range(1).select(
+        F.explode(F.array(*(F.lit(v).cast(kind) for v in values))).alias("_listed")
+    )
+    same = F.col("_listed").eqNullSafe(F.col(dimension))
+    counts = ["total", "closed", "open", "sla_missed", "sla_known"]
+    return (
+        listed.join(block, same, "left").fillna(0, counts)
+        .select(F.col("_listed").alias(dimension), *_block())
+    )
 
-def sla_overall(enriched: DataFrame, scale: float = 1.0) -> DataFrame:
+
+def sla_overall(enriched: DataFrame, scale: Column | float = 1.0) -> DataFrame:
     """Overall SLA figures; ``scale`` grosses a sample up to the population."""
     measures = {name: _block()[name] for name in ("total", "sla_missed", "sla_known")}
     measures["sla_miss_rate"] = p.miss_rate(4)
@@ -51,7 +64,7 @@ def sla_overall(enriched: DataFrame, scale: float = 1.0) -> DataFrame:
     return p.summarise(enriched, [], measures)
 
 
-def backlog_overall(enriched: DataFrame, params: Params, scale: float = 1.0) -> DataFrame:
+def backlog_overall(enriched: DataFrame, params: Params, scale: Column | float = 1.0) -> DataFrame:
     """Open requests, their share, age thresholds, mean age and the grossed-up estimate.
 
     The thresholds read ages, not buckets; a request closed after the snapshot has no age.
@@ -92,24 +105,20 @@ def priority_grid(
     cut_percentiles: bool = True,
 ) -> DataFrame:
     """Dense grid of the top types x boroughs; missing cells are zero, ranks are shared on ties."""
-    aged = F.coalesce(F.sum("_aged"), F.lit(0))
-    counts = (
-        enriched.groupBy(*CELL, *("is_closed", "sla_status"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if(p.is_open() & (F.col("age_days") > params.bucket_bounds[1])).alias("_aged"),
-        )
-        .groupBy(*CELL)
-        .agg(
-            p.rows_where().alias("total"),
-            p.rows_where(p.is_open()).alias("open"),
-            p.rows_where(p.is_missed()).alias("sla_missed"),
-            p.rows_where(p.is_known()).alias("sla_known"),
-            aged.alias("aged_open"),
-        )
+    counts = p.summarise(
+        enriched, CELL,
+        {
+            "total": p.rows_where(),
+            "open": p.rows_where(p.is_open()),
+            "sla_missed": p.rows_where(p.is_missed()),
+            "sla_known": p.rows_where(p.is_known()),
+            "aged_open": p.rows_where(
+                p.is_open() & (F.col("age_days") > params.bucket_bounds[1])
+            ),
+        },
     )
     zero = F.lit(0.0)
-    grid = crosstabs.dense_grid(enriched, counts, boroughs, top_types).withColumns(
+    grid = crosstabs.dense_grid(counts, boroughs, top_types).withColumns(
         {
             "_miss": F.coalesce(ratio(F.col("sla_missed"), F.col("sla_known")), zero),
             "_aged": F.coalesce(ratio(F.col("aged_open"), F.col("open")), zero),

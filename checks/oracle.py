@@ -6,13 +6,16 @@ business rules once more, in plain SQL over the given tables, without any of the
 
 from __future__ import annotations
 
-from caselens.sources import orders
-
-P = orders.PARAMS
-_SNAP = P.snapshot_date.isoformat()
-_AFTER = P.closed_before.isoformat()
-_FROM, _TO, _OLD = P.window_start.isoformat(), P.window_end.isoformat(), P.backlog_start.isoformat()
-_TARGETS = ", ".join(f"('{k}', {d})" for k, d, _ in orders.sla_rows() if k != "DEFAULT")
+_SNAP, _AFTER = "2001-08-05", "2001-08-06"
+_FROM, _TO, _OLD = "2001-05-01", "2001-08-01", "1995-01-01"
+_DEFAULT_DAYS = 700
+# Days for every priority within four of the five segments, 60 more each time.
+_TARGET_DAYS = {
+    f"{priority} / {segment}": 300 + 60 * (4 * i + j)
+    for i, priority in enumerate(("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"))
+    for j, segment in enumerate(("AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY"))
+}
+_TARGETS = ", ".join(f"('{kind}', {days})" for kind, days in _TARGET_DAYS.items())
 _ACTIVITY, _BACKLOG = "activity_q2_2026", "aged_open_backlog"
 _BOROUGHS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 _BOROUGH_LIST = ", ".join(f"'{b}'" for b in _BOROUGHS)
@@ -48,14 +51,14 @@ def _facts(source: str, *, fractional: bool) -> str:
     CAST(date_trunc('week', created_date) AS DATE) AS created_week,
     CAST(date_trunc('month', created_date) AS DATE) AS created_month
   FROM (
-    SELECT q.*, coalesce(t.days, {P.default_sla_days}) AS sla_days, {took} AS took,
+    SELECT q.*, coalesce(t.days, {_DEFAULT_DAYS}) AS sla_days, {took} AS took,
       date_diff('day', created_date, TIMESTAMP '{_SNAP}') AS waited,
       coalesce(closed_date >= created_date, false) AS ended,
       coalesce(closed_date < created_date, closed_date IS NULL) AS pending
     FROM {source} q LEFT JOIN (VALUES {_TARGETS}) t(kind, days) ON q.complaint_type = t.kind)"""
 
 
-def _score_steps(facts: str, suffix: str = "") -> dict[str, str]:
+def _score_steps(facts: str, suffix: str = "", least: int = 10) -> dict[str, str]:
     """Cells and their scores over an enriched step."""
     return {
         f"cells{suffix}": f"""
@@ -66,7 +69,7 @@ def _score_steps(facts: str, suffix: str = "") -> dict[str, str]:
     coalesce(round(count_if(NOT is_closed AND aging_bucket IN {_AGED})
       / nullif(count_if(NOT is_closed), 0), 4), 0) AS aged_share_of_open
   FROM {facts} WHERE borough <> 'Unspecified'
-  GROUP BY complaint_type, borough HAVING count(*) >= {P.min_cell}""",
+  GROUP BY complaint_type, borough HAVING count(*) >= {least}""",
         f"spread{suffix}": f"""
   SELECT *, percent_rank() OVER (ORDER BY total_requests) AS volume,
     percent_rank() OVER (ORDER BY open_requests) AS backlog FROM cells{suffix}""",
@@ -127,7 +130,7 @@ STEPS: dict[str, str] = {
          WHEN l_orderkey % 19 = 0 THEN ' unspecified ' ELSE '  ' || upper(r_name) || {_TAIL} END
       AS borough,
     {_STATUS} AS status, {_CHANNEL} AS open_data_channel_type
-  FROM lineitem JOIN ({_PEOPLE}) ON l_orderkey = o_orderkey""",
+  FROM lineitem LEFT JOIN ({_PEOPLE}) ON l_orderkey = o_orderkey""",
     "landed": f"""
   {_raw(_IN_WINDOW).replace(' FROM', f", '{_ACTIVITY}' AS slice FROM")}
   UNION ALL
@@ -149,7 +152,7 @@ STEPS: dict[str, str] = {
     "unique_rows": f"""
   SELECT {_REQUEST_COLUMNS} FROM (
     SELECT *, row_number() OVER (PARTITION BY unique_key ORDER BY slice,
-      created_date NULLS FIRST, closed_date NULLS FIRST, agency, agency_name, complaint_type,
+      created_date NULLS LAST, closed_date NULLS FIRST, agency, agency_name, complaint_type,
       descriptor, location_type, incident_zip, borough, status, open_data_channel_type) AS copy
     FROM tidy) WHERE copy = 1""",
     "by_agency": "",
@@ -164,13 +167,13 @@ STEPS: dict[str, str] = {
     "aging": """
   SELECT aging_bucket, borough, count(*) AS open_requests, round(avg(age_days), 0) AS avg_age_days
   FROM facts WHERE NOT is_closed GROUP BY aging_bucket, borough""",
-    "with_days": f"""
+    "with_days": """
   SELECT f.*, CAST(created_date AS DATE) AS created_date_only, d.day AS date,
     CAST(date_trunc('week', d.day) AS DATE) AS week_start,
     CAST(date_trunc('month', d.day) AS DATE) AS month_start, strftime(d.day, '%a') AS weekday
   FROM facts f LEFT JOIN (
-    SELECT CAST(unnest(generate_series(TIMESTAMP '{_OLD}', TIMESTAMP '{_TO}' - INTERVAL 1 DAY,
-      INTERVAL 1 DAY)) AS DATE) AS day) d ON CAST(f.created_date AS DATE) = d.day""",
+    SELECT CAST(unnest(generate_series(min(created_date), max(created_date) + INTERVAL 1 DAY,
+      INTERVAL 1 DAY)) AS DATE) AS day FROM requests) d ON CAST(f.created_date AS DATE) = d.day""",
     "grid_cells": f"""
   SELECT top.complaint_type, b.borough, count(f.unique_key) AS total,
     count_if(NOT f.is_closed) AS open,
@@ -284,6 +287,14 @@ def _block(key: str, where: str = "", tail: str = "") -> str:
   round(avg(closure_days), 1) AS avg_closure_days FROM sheet {where} GROUP BY {key} {tail}"""
 
 
+def _listed(key: str, values: list[str]) -> str:
+    counts = ", ".join(
+        f"coalesce({c}, 0) AS {c}" for c in ("total", "closed", "open", "sla_missed", "sla_known")
+    )
+    return f"""SELECT value AS {key}, {counts}, sla_miss_rate, avg_closure_days
+FROM (SELECT unnest([{", ".join(values)}]) AS value) LEFT JOIN ({_block(key)}) ON {key} = value"""
+
+
 def _pivot(key: str, columns: str, top: int | None = None) -> str:
     keep = ""
     if top:
@@ -316,12 +327,14 @@ _SLICED = """borough IN ('ASIA', 'EUROPE', 'Unspecified')
 
 def _month_over_month(dims: str = "") -> str:
     keys = f"{dims}, " if dims else ""
-    same = f"AND a.{dims} = b.{dims}" if dims else ""
-    picked = f"a.{dims}, " if dims else ""
-    return f"""SELECT {picked}a.created_month, a.n AS total_requests, b.n AS requests_previous_month,
-  (a.n - b.n) / nullif(b.n, 0) AS mom_change FROM months a LEFT JOIN months b
-  ON b.created_month + INTERVAL 1 MONTH = a.created_month {same}""", (
-        f"SELECT {keys}created_month, count(*) AS n FROM facts GROUP BY {keys}created_month"
+    group = f"GROUP BY {keys}created_month"
+    return f"""SELECT {keys}created_month, coalesce(sum(n), 0)::BIGINT AS total_requests,
+  sum(earlier)::BIGINT AS requests_previous_month,
+  (coalesce(sum(n), 0) - sum(earlier)) / nullif(sum(earlier), 0) AS mom_change
+FROM (SELECT {keys}created_month, n, NULL AS earlier FROM months
+  UNION ALL SELECT {keys}CAST(created_month + INTERVAL 1 MONTH AS DATE), NULL, n FROM months)
+WHERE created_month <= (SELECT max(created_month) FROM months) {group}""", (
+        f"SELECT {keys}created_month, count(*) AS n FROM facts {group}"
     )
 
 
@@ -334,6 +347,13 @@ def _whatif(key: str, weights: tuple[float, float, float, float]) -> str:
     / nullif({v} + {b} + {m} + {a}, 0), 9) AS score FROM scores GROUP BY {key})"""
 
 
+# A sample of the sheet: the smallest seeded hashes.
+_DRAWN = """
+  SELECT s.* FROM sheet s JOIN (SELECT unique_key FROM requests
+    ORDER BY md5('42:' || unique_key), unique_key LIMIT 1000) USING (unique_key)"""
+_FACTOR = "(SELECT count(*) / least(count(*), 1000.0)::DOUBLE FROM requests)"
+
+
 def _scenarios() -> str:
     base = {"volume": 0.30, "backlog": 0.25, "miss": 0.25, "aged": 0.20}
     rows = []
@@ -362,7 +382,7 @@ _HISTORY = f"""
   SELECT complaint_type, borough, {_open_31(0)}, {_open_31(1)}, {_open_31(2)}
   FROM requests WHERE borough <> 'Unspecified' GROUP BY complaint_type, borough"""
 
-_EARLIER = "2001-07-01"
+_EARLIER = "2001-05-01"
 
 
 def _rewound(day: str) -> str:
@@ -394,16 +414,29 @@ WHERE priority_rank <= 10 AND NOT EXISTS (SELECT 1 FROM scores_then t WHERE t.pr
     return _sql(body, **extra)
 
 
+_NEVER = "4-NOT SPECIFIED / FURNITURE"
+_FROZEN = {
+    "frozen": f"""
+  SELECT * REPLACE (CASE WHEN complaint_type = '{_NEVER}' THEN NULL ELSE closed_date END
+    AS closed_date) FROM requests""",
+    "frozen_facts": _facts("frozen", fractional=False),
+    "never_closed": """
+  SELECT complaint_type, min(agency) AS primary_agency, count(*) AS total_requests,
+    count_if(NOT is_closed) AS open_requests
+  FROM frozen_facts GROUP BY complaint_type HAVING count(*) >= 50 AND count_if(is_closed) = 0""",
+}
+
+
 def _lines() -> str:
-    listed = "('1-URGENT / BUILDING', '5-LOW / HOUSEHOLD')"
     figures = f"""count(*) AS total_requests, count_if(is_closed) AS closed_requests,
   count_if(NOT is_closed) AS open_requests,
   round(count_if(sla_status IN ('Missed', 'Open Past SLA'))
     / nullif(count_if(sla_status <> 'Open Within SLA'), 0), 4) AS sla_miss_rate,
   count_if(NOT is_closed AND aging_bucket IN {_AGED}) AS aged_open_30d_plus"""
-    return f"""SELECT CASE WHEN complaint_type IN {listed} THEN complaint_type
-  ELSE 'citywide excluding listed' END AS line, {figures} FROM facts GROUP BY 1
-UNION ALL SELECT 'citywide', {figures} FROM facts"""
+    return f"""SELECT CASE WHEN complaint_type IN (SELECT complaint_type FROM never_closed)
+  THEN complaint_type ELSE 'citywide excluding listed' END AS line, {figures}
+FROM frozen_facts GROUP BY 1
+UNION ALL SELECT 'citywide', {figures} FROM frozen_facts"""
 
 
 _MONTHS, _MONTHS_STEP = _month_over_month()
@@ -419,12 +452,21 @@ ORACLE: dict[str, str] = {
     "slice_reconciliation": _sql(
         """SELECT slice, count(*) AS expected_rows, count(*) AS landed_rows, 0 AS difference,
   'complete' AS state FROM landed GROUP BY slice"""
+    ),
+    "slice_reconciliation_torn": _sql(
+        f"""SELECT slice, 0 AS expected_rows, count(*) AS landed_rows, count(*) AS difference,
+  'unexpected' AS state FROM landed WHERE slice = '{_BACKLOG}' GROUP BY slice
+UNION ALL SELECT slice, count(*) + 1, count(*), -1, 'short' FROM landed
+  WHERE slice = '{_ACTIVITY}' GROUP BY slice
+UNION ALL SELECT 'lost slice', count(*), 0, -count(*), 'short' FROM landed
+  WHERE slice = '{_ACTIVITY}'"""
     ),
     "clean_requests": _sql("SELECT * FROM unique_rows"),
     "csv_ingest": _sql("SELECT * FROM unique_rows"),
     "extract_metadata": _sql(
         """SELECT slice AS item, CAST(count(*) AS DOUBLE) AS value FROM landed GROUP BY slice
 UNION ALL SELECT 'total_after_dedup', CAST(count(*) AS DOUBLE) FROM unique_rows
+UNION ALL SELECT 'snapshot_date', 20010805.0
 UNION ALL SELECT 'sample_rows', least(count(*), 1000.0) FROM unique_rows
 UNION ALL SELECT 'scaling_factor', count(*) / least(count(*), CAST(1000 AS DOUBLE)) FROM unique_rows"""
     ),
@@ -449,12 +491,16 @@ FROM with_days"""
     "dq_checks_raw_lines": _sql(_gate("tidy")),
     "requests_enriched": _sql("SELECT * FROM facts"),
     "requests_enriched_fractional": _sql("SELECT * FROM sheet"),
+    "requests_enriched_from_file": _sql("SELECT * FROM facts"),
     "kpi_by_agency": _sql("SELECT * FROM by_agency"),
     "kpi_by_complaint_type": _sql("SELECT * FROM by_type"),
     "kpi_by_borough": _sql("SELECT * FROM by_borough"),
     "kpi_weekly": _sql("SELECT * FROM weekly"),
     "backlog_aging": _sql("SELECT * FROM aging"),
     "priority_scores": _sql("SELECT * FROM scores"),
+    "priority_scores_min_100": _sql(
+        "SELECT * FROM scores_100", **_score_steps("facts", "_100", least=100)
+    ),
     "n01_demand_concentration": _sql(
         """SELECT complaint_type, primary_agency, total_requests,
   round(100.0 * total_requests / (SELECT count(*) FROM facts), 1) AS pct_of_all
@@ -473,7 +519,12 @@ FROM facts WHERE NOT is_closed GROUP BY aging_bucket"""
     ),
     "n06_worst_sla": _sql(
         f"""SELECT complaint_type, primary_agency, total_requests, sla_miss_rate, avg_closure_days,
-  open_requests FROM by_type WHERE total_requests >= {P.volume_floor}
+  open_requests FROM by_type WHERE total_requests >= 50
+ORDER BY sla_miss_rate DESC NULLS LAST, complaint_type LIMIT 15"""
+    ),
+    "n06_worst_sla_floor_590": _sql(
+        """SELECT complaint_type, primary_agency, total_requests, sla_miss_rate, avg_closure_days,
+  open_requests FROM by_type WHERE total_requests >= 590
 ORDER BY sla_miss_rate DESC NULLS LAST, complaint_type LIMIT 15"""
     ),
     "n07_hotspots": _sql(f"{_SCORE_LINE} WHERE priority_rank <= 20"),
@@ -498,15 +549,14 @@ FROM (SELECT *, lag(n) OVER (PARTITION BY borough ORDER BY created_month) AS ear
   WHERE slice = '{_ACTIVITY}' AND borough <> 'Unspecified' GROUP BY borough, created_month""",
     ),
     "sla_block_agency": _sql(_block("agency", tail="ORDER BY total DESC, agency LIMIT 12")),
-    "sla_block_borough": _sql(_block("borough")),
+    "sla_block_borough": _sql(
+        _listed("borough", [f"'{b}'" for b in (*_BOROUGHS, "Unspecified")])
+    ),
     "sla_block_type": _sql(
         _block("complaint_type", tail="ORDER BY total DESC, complaint_type LIMIT 15")
     ),
     "sla_block_month": _sql(
-        _block(
-            "created_month",
-            where="WHERE created_month IN (DATE '2001-05-01', DATE '2001-06-01', DATE '2001-07-01')",
-        )
+        _listed("created_month", [f"DATE '2001-0{m}-01'" for m in (5, 6, 7)])
     ),
     "sla_overall": _sql(
         """SELECT count(*) AS total,
@@ -514,8 +564,10 @@ FROM (SELECT *, lag(n) OVER (PARTITION BY borough ORDER BY created_month) AS ear
   count_if(sla_status <> 'Open Within SLA') AS sla_known,
   round(count_if(sla_status IN ('Missed', 'Open Past SLA'))
     / nullif(count_if(sla_status <> 'Open Within SLA'), 0), 4) AS sla_miss_rate,
-  CAST(count_if(sla_status IN ('Missed', 'Open Past SLA')) * 10 AS DOUBLE) AS estimated_missed
-FROM sheet"""
+  round(count_if(sla_status IN ('Missed', 'Open Past SLA'))::DOUBLE * any_value(factor), 0)
+    AS estimated_missed
+FROM drawn CROSS JOIN scale""",
+        drawn=_DRAWN, scale=f"SELECT {_FACTOR} AS factor",
     ),
     "backlog_overall": _sql(
         """SELECT count_if(NOT is_closed) AS open_requests,
@@ -524,7 +576,9 @@ FROM sheet"""
   count_if(NOT is_closed AND age_days > 90) AS open_91_plus,
   count_if(NOT is_closed AND age_days > 180) AS open_181_plus,
   round(avg(age_days) FILTER (WHERE NOT is_closed), 1) AS avg_age_days,
-  CAST(count_if(NOT is_closed) * 10 AS DOUBLE) AS estimated_open FROM sheet"""
+  round(count_if(NOT is_closed)::DOUBLE * any_value(factor), 0) AS estimated_open
+FROM drawn CROSS JOIN scale""",
+        drawn=_DRAWN, scale=f"SELECT {_FACTOR} AS factor",
     ),
     "aging_by_borough": _sql(
         f"""SELECT label AS aging_bucket, {_pivoted("count_if(borough = '{b}')")},
@@ -533,9 +587,10 @@ FROM (SELECT unnest(['0-7 days', '8-30 days', '31-90 days', '91-180 days', '180+
 LEFT JOIN sheet ON aging_bucket = label GROUP BY label"""
     ),
     "weekly_flow": _sql(
-        """SELECT created_week, count(*) AS created, count_if(is_closed) AS closed_by_snapshot,
-  count_if(NOT is_closed) AS still_open FROM sheet
-WHERE created_week BETWEEN DATE '2001-04-30' AND DATE '2001-07-30' GROUP BY created_week"""
+        """SELECT week AS created_week, count(unique_key) AS created,
+  count_if(is_closed) AS closed_by_snapshot, count_if(NOT is_closed) AS still_open
+FROM (SELECT CAST(unnest(generate_series(TIMESTAMP '2001-04-30', TIMESTAMP '2001-07-30',
+  INTERVAL 7 DAY)) AS DATE) AS week) LEFT JOIN sheet ON created_week = week GROUP BY week"""
     ),
     "oldest_open": _sql(
         """SELECT age_days, unique_key, complaint_type, borough, agency,
@@ -563,6 +618,9 @@ FROM sheet WHERE NOT is_closed QUALIFY rank <= 20"""
         """SELECT agency, count(*) AS requests FROM requests GROUP BY agency
 ORDER BY requests DESC, agency LIMIT 12"""
     ),
+    "requests_per_day": _sql(
+        "SELECT date, count(*) AS requests FROM with_days GROUP BY date"
+    ),
     "daily_requests": _sql(
         f"""SELECT CAST(created_date AS DATE) AS created_day, count(*) AS requests FROM requests
 WHERE slice = '{_ACTIVITY}' GROUP BY 1"""
@@ -627,7 +685,7 @@ ORDER BY total_requests DESC, agency LIMIT 12"""
     ),
     "worst_types": _sql(
         f"""SELECT complaint_type, total_requests, sla_miss_rate FROM by_type
-WHERE total_requests >= {P.volume_floor}
+WHERE total_requests >= 50
 ORDER BY sla_miss_rate DESC NULLS LAST, complaint_type LIMIT 10"""
     ),
     "placed_boroughs": _sql(
@@ -647,7 +705,7 @@ ORDER BY total_requests DESC, complaint_type LIMIT 15"""
     ),
     "measures_by_week": _sql(
         """SELECT week_start, count(*) AS total_requests, count_if(is_closed) AS closed_requests
-FROM with_days WHERE week_start IS NOT NULL GROUP BY week_start"""
+FROM with_days GROUP BY week_start"""
     ),
     "share_by_borough": _sql(
         """SELECT borough, count(*) AS total_requests,
@@ -695,11 +753,8 @@ WHERE NOT is_closed AND age_days > 180"""
   count_if(borough = 'Unspecified') / count(*) > 0.005 AS escalate FROM requests"""
     ),
     "new_hotspots": _new_hotspots(),
-    "artifact_candidates": _sql(
-        f"""SELECT complaint_type, primary_agency, total_requests, open_requests FROM by_type
-WHERE total_requests >= {P.volume_floor} AND closed_requests / total_requests <= 0.64"""
-    ),
-    "separate_lines": _sql(_lines()),
+    "artifact_candidates": _sql("SELECT * FROM never_closed", **_FROZEN),
+    "separate_lines": _sql(_lines(), **_FROZEN),
     "totals_reconciliation": _sql(
         """SELECT unnest(['agency', 'complaint_type', 'borough']) AS rollup,
   (SELECT count(*) FROM orders) AS total, true AS matches"""
@@ -713,7 +768,7 @@ UNION ALL SELECT 'kpi_by_borough', 'csv', count(*) FROM by_borough
 UNION ALL SELECT 'kpi_weekly', 'csv', count(*) FROM weekly
 UNION ALL SELECT 'backlog_aging', 'csv', count(*) FROM aging
 UNION ALL SELECT 'priority_scores', 'csv', count(*) FROM scores
-UNION ALL SELECT 'dim_sla_targets', 'csv', {len(orders.sla_rows())}
+UNION ALL SELECT 'dim_sla_targets', 'csv', {len(_TARGET_DAYS) + 1}
 UNION ALL SELECT 'dim_date', 'csv', date_diff('day', DATE '{_OLD}', DATE '{_TO}')"""
     ),
     "exported_kpi_by_agency": _sql("SELECT * FROM by_agency"),

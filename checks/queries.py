@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselens.operators import (
@@ -14,7 +15,7 @@ from caselens.operators import (
 from caselens.params import ACTIVITY, BACKLOG, Weights
 from caselens.plans import analysis, dashboard, escalation, export, workbook
 from caselens.session import shared_folder
-from caselens.sources import calendar, orders, raw, schemas, tables
+from caselens.sources import calendar, orders, raw, schemas, sla, tables
 
 P = orders.PARAMS
 BOROUGHS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
@@ -22,16 +23,17 @@ ALL_BOROUGHS = (*BOROUGHS, "Unspecified")
 MONTHS = (date(2001, 5, 1), date(2001, 6, 1), date(2001, 7, 1))
 FIRST_WEEK, LAST_WEEK = date(2001, 4, 30), date(2001, 7, 30)
 SAMPLE_ROWS, SEED = 1_000, 42
-POPULATION_SCALE = 10.0
 OTHER_WEIGHTS = Weights(volume=0.10, backlog=0.40, miss=0.05, aged=0.60)
-EARLIER = date(2001, 7, 1)
-SEPARATE = ("1-URGENT / BUILDING", "5-LOW / HOUSEHOLD")
+EARLIER = date(2001, 5, 1)
+# A type whose closures are left out below, as if its recording never closed a request.
+NEVER_CLOSED = "4-NOT SPECIFIED / FURNITURE"
+# Thresholds that cut cells and types at every size of the given tables but the largest.
+HIGH = replace(P, min_cell=100, volume_floor=590)
 SLICERS = {
     "borough": ["ASIA", "EUROPE", "Unspecified"],
     "open_data_channel_type": ["PHONE", "MOBILE"],
     "aging_bucket": [None, "91-180 days", "180+ days"],
 }
-CLOSURE_LIMIT = 0.64
 ALL_MEASURES = (
     "total_requests", "closed_requests", "open_requests", "backlog_count", "closure_rate",
     "avg_closure_days", "median_closure_days", "sla_missed", "sla_outcomes_known",
@@ -66,7 +68,47 @@ def cleaned(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def with_calendar(spark: SparkSession, folder: str) -> DataFrame:
-    return calendar.attach_calendar(enriched(spark, folder), P.backlog_start, P.window_end)
+    fact = enriched(spark, folder)
+    return calendar.attach_calendar(fact, calendar.dim_date_covering(requests(spark, folder)))
+
+
+def artifacts(spark: SparkSession, folder: str) -> DataFrame:
+    """The enriched requests with one type that is never closed."""
+    frozen = F.col("complaint_type") == NEVER_CLOSED
+    rows = requests(spark, folder).withColumn(
+        "closed_date", F.when(~F.coalesce(frozen, F.lit(False)), F.col("closed_date"))
+    )
+    return derive.enrich(rows, orders.sla_targets(spark), P)
+
+
+def candidates(fact: DataFrame) -> DataFrame:
+    return escalation.artifact_candidates(rollups.kpi_by_complaint_type(fact), P)
+
+
+def sample(spark: SparkSession, folder: str) -> tuple[DataFrame, Column]:
+    """An enriched sample of the cleaned requests, and what grosses it up to all of them."""
+    rows = requests(spark, folder)
+    drawn = ranking.sample_exact(rows, "unique_key", SAMPLE_ROWS, SEED)
+    metadata = cleaning.extract_metadata(raw.slice_counts(rows), rows, SAMPLE_ROWS, P)
+    factor = metadata.filter("item = 'scaling_factor'").select("value").scalar()
+    return derive.enrich(drawn, orders.sla_targets(spark), P, variant=derive.FRACTIONAL), factor
+
+
+def sla_overall(spark: SparkSession, folder: str) -> DataFrame:
+    sheet, factor = sample(spark, folder)
+    return workbook.sla_overall(sheet, factor)
+
+
+def backlog_overall(spark: SparkSession, folder: str) -> DataFrame:
+    sheet, factor = sample(spark, folder)
+    return workbook.backlog_overall(sheet, P, factor)
+
+
+def enriched_from_file(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests against SLA targets that were written to a file and read again."""
+    path = tables.write_csv(orders.sla_targets(spark).frame, f"{shared_folder(spark)}/targets")
+    targets = sla.read_targets(spark, path, P.default_sla_days)
+    return derive.enrich(requests(spark, folder), targets, P)
 
 
 # --- reports that need more than one line --------------------------------------------------------
@@ -88,7 +130,20 @@ def slice_reconciliation(spark: SparkSession, folder: str) -> DataFrame:
         .groupBy("slice")
         .agg(F.count(F.lit(1)).alias("expected_rows"))
     )
-    return raw.reconcile_counts(stacked_raw(spark, folder), expected)
+    return raw.reconcile_counts(raw.slice_counts(stacked_raw(spark, folder)), expected)
+
+
+def slice_reconciliation_torn(spark: SparkSession, folder: str) -> DataFrame:
+    """The same landed slices against a source that has one row more in one slice, names a slice
+    that did not land, and does not know the other."""
+    counts = raw.slice_counts(stacked_raw(spark, folder))
+    more = counts.filter(F.col("slice") == ACTIVITY).select(
+        "slice", (F.col("landed_rows") + 1).alias("expected_rows")
+    )
+    lost = counts.filter(F.col("slice") == ACTIVITY).select(
+        F.lit("lost slice"), F.col("landed_rows")
+    )
+    return raw.reconcile_counts(counts, more.union(lost))
 
 
 def csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
@@ -106,7 +161,7 @@ def csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
 def extract_metadata(spark: SparkSession, folder: str) -> DataFrame:
     stacked = stacked_raw(spark, folder)
     unique = cleaning.deduplicate(cleaning.clean(stacked))
-    return cleaning.extract_metadata(stacked, unique, SAMPLE_ROWS)
+    return cleaning.extract_metadata(raw.slice_counts(stacked), unique, SAMPLE_ROWS, P)
 
 
 def export_manifest(spark: SparkSession, folder: str) -> DataFrame:
@@ -129,7 +184,7 @@ def exported_kpi_by_agency(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def totals_reconciliation(spark: SparkSession, folder: str) -> DataFrame:
-    rows = rollups.shared_profile(enriched(spark, folder))
+    rows = enriched(spark, folder)
     return quality.reconcile_totals(
         {
             "agency": rollups.kpi_by_agency(rows),
@@ -157,6 +212,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "slice_activity": lambda s, d: raw.activity_slice(orders.raw_line_source(s, d), P),
     "slice_backlog": lambda s, d: raw.backlog_slice(orders.raw_line_source(s, d), P),
     "slice_reconciliation": slice_reconciliation,
+    "slice_reconciliation_torn": slice_reconciliation_torn,
     "clean_requests": _on(cleaned, cleaning.deduplicate),
     "csv_ingest": csv_ingest,
     "extract_metadata": extract_metadata,
@@ -179,6 +235,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # Derivations
     "requests_enriched": enriched,
     "requests_enriched_fractional": fractional,
+    "requests_enriched_from_file": enriched_from_file,
     # Rollups
     "kpi_by_agency": _on(enriched, rollups.kpi_by_agency),
     "kpi_by_complaint_type": _on(enriched, rollups.kpi_by_complaint_type),
@@ -186,6 +243,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kpi_weekly": _on(enriched, rollups.kpi_weekly),
     "backlog_aging": _on(enriched, rollups.backlog_aging),
     "priority_scores": scores,
+    "priority_scores_min_100": _on(enriched, lambda e: priority.priority_scores(e, HIGH)),
     # Analysis questions
     "n01_demand_concentration": _by_type(analysis.demand_concentration),
     "n02_agency_pace": _on(enriched, lambda e: analysis.agency_pace(rollups.kpi_by_agency(e))),
@@ -195,6 +253,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "n04_weekly_rhythm": _on(enriched, lambda e: analysis.weekly_rhythm(rollups.kpi_weekly(e))),
     "n05_aging_backlog": _on(enriched, lambda e: analysis.aging_backlog(rollups.backlog_aging(e))),
     "n06_worst_sla": _by_type(lambda t: analysis.worst_sla(t, P)),
+    "n06_worst_sla_floor_590": _by_type(lambda t: analysis.worst_sla(t, HIGH)),
     "n07_hotspots": _on(scores, analysis.hotspot_list),
     "n08_oldest_in_hotspots": _on(
         enriched, lambda e: analysis.oldest_in_hotspots(e, priority.priority_scores(e, P))
@@ -210,8 +269,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sla_block_month": _on(
         fractional, lambda e: workbook.sla_block(e, "created_month", values=MONTHS)
     ),
-    "sla_overall": _on(fractional, lambda e: workbook.sla_overall(e, POPULATION_SCALE)),
-    "backlog_overall": _on(fractional, lambda e: workbook.backlog_overall(e, P, POPULATION_SCALE)),
+    "sla_overall": sla_overall,
+    "backlog_overall": backlog_overall,
     "aging_by_borough": _on(fractional, lambda e: crosstabs.aging_by_borough(e, ALL_BOROUGHS)),
     "weekly_flow": _on(fractional, lambda e: crosstabs.weekly_flow(e, FIRST_WEEK, LAST_WEEK)),
     "oldest_open": _on(fractional, workbook.oldest_open),
@@ -231,6 +290,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pivot_sla_status": _on(fractional, lambda e: crosstabs.pivot_report(e, "sla_status")),
     "top_agencies": _on(requests, lambda r: ranking.value_counts(r, "agency", 12)),
     # Dashboard tables
+    "requests_per_day": _on(with_calendar, calendar.requests_per_day),
     "daily_requests": _on(enriched, crosstabs.daily_requests),
     "weekly_by_borough": _on(with_calendar, lambda f: crosstabs.weekly_by(f, "borough")),
     "weekly_top_types": _on(with_calendar, crosstabs.weekly_top_types),
@@ -270,8 +330,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "measures_by_week": _on(
         with_calendar,
         lambda f: measures.measure_query(
-            f.filter(F.col("week_start").isNotNull()), ["week_start"],
-            ["total_requests", "closed_requests"],
+            f, ["week_start"], ["total_requests", "closed_requests"],
         ),
     ),
     "share_by_borough": _on(
@@ -294,16 +353,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "weight_sensitivity": _on(scores, priority.sensitivity),
     # Escalation and reconciliation
     "escalate_missing_targets": _on(scores, escalation.missing_targets),
-    "escalate_growing_backlog": _on(
-        requests,
-        lambda r: escalation.growing_backlog(
-            r,
-            priority.priority_scores(
-                derive.enrich(r, orders.sla_targets(r.sparkSession), P), P
-            ),
-            P,
-        ),
-    ),
+    "escalate_growing_backlog": _on(enriched, lambda e: escalation.growing_backlog(e, P)),
     "aged_open_history": _on(requests, lambda r: escalation.aged_open_history(r, P)),
     "escalate_past_limit": _on(enriched, lambda e: escalation.past_limit(e, P)),
     "escalate_unspecified_share": _on(requests, escalation.unspecified_share),
@@ -311,10 +361,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         requests,
         lambda r: escalation.new_entrants(r, orders.sla_targets(r.sparkSession), P, EARLIER),
     ),
-    "artifact_candidates": _by_type(
-        lambda t: escalation.artifact_candidates(t, P, CLOSURE_LIMIT)
+    "artifact_candidates": _on(artifacts, candidates),
+    "separate_lines": _on(
+        artifacts, lambda e: escalation.separate_lines(e, candidates(e))
     ),
-    "separate_lines": _on(enriched, lambda e: escalation.separate_lines(e, SEPARATE)),
     "totals_reconciliation": totals_reconciliation,
     # Exports
     "export_manifest": export_manifest,

@@ -7,7 +7,10 @@ import pytest
 
 from checks.queries import QUERIES
 
-WRITES = {"csv_ingest", "export_manifest", "exported_fact", "exported_kpi_by_agency"}
+WRITES = {
+    "csv_ingest", "export_manifest", "exported_fact", "exported_kpi_by_agency",
+    "requests_enriched_from_file",
+}
 
 
 def plan_of(frame):
@@ -40,6 +43,49 @@ def test_filters_reach_the_scan(spark, data):
     assert "PushedFilters: [IsNotNull(l_orderkey)]" in clean
 
 
+def executed(frame):
+    """Node names of the plan as it ran, each reused exchange left out."""
+    frame.collect()
+    text = frame._jdf.queryExecution().executedPlan().toString()
+    final = text.split("== Initial Plan ==")[0]
+    return [line.strip(" +-:*()0123456789") for line in final.splitlines()]
+
+
+def count_of(nodes, word):
+    return sum(word in node for node in nodes)
+
+
+SCANS = {
+    # query: (scans of orders or lineitem lines, whichever is the driving table)
+    "dq_checks": ("o_orderkey", 1), "dq_checks_raw_lines": ("l_linenumber", 1),
+    "kpi_by_borough": ("o_orderkey", 1), "priority_grid": ("o_orderkey", 1),
+    "new_hotspots": ("o_orderkey", 1), "escalate_growing_backlog": ("o_orderkey", 1),
+    "weight_sensitivity": ("o_orderkey", 1), "raw_preview": ("l_linenumber", 1),
+    "sample_requests": ("o_orderkey", 2),
+}
+
+
+@pytest.mark.parametrize("name", sorted(SCANS))
+def test_scans_of_the_executed_plan(spark, data, name):
+    column, wanted = SCANS[name]
+    nodes = [n for n in executed(QUERIES[name](spark, data)) if n.startswith("FileScan")]
+    assert sum(column in n.split("]")[0] for n in nodes) == wanted
+
+
+def test_unrepeated_keys_are_not_sorted(spark, data):
+    """Only the copies go through a sorting aggregate."""
+    rows = QUERIES["clean_requests"](spark, data)
+    nodes = executed(rows)
+    assert count_of(nodes, "SortAggregate") <= 2
+    assert count_of(nodes, "HashAggregate") >= 2
+
+
+def test_no_median_no_second_shuffle(spark, data):
+    with_median = executed(QUERIES["kpi_by_agency"](spark, data))
+    without = executed(QUERIES["kpi_by_borough"](spark, data))
+    assert count_of(without, "Aggregate(") < count_of(with_median, "Aggregate(")
+
+
 def test_month_partitions_are_pruned(spark, tmp_path):
     from caselens.plans.export import write_fact
     from fixtures import PARAMS, at, frame, row, targets

@@ -1,6 +1,7 @@
 """Raw text rows: CSV scan, cleaning, de-duplication, metadata, samples."""
 
 import csv
+import hashlib
 import random
 from datetime import datetime
 
@@ -179,15 +180,38 @@ def test_quality_on_no_rows(spark):
     assert {(r["records_flagged"], r["pct_of_total"]) for r in result} == {(0, None)}
 
 
-@pytest.mark.parametrize("size", [1, 5, 100, 999, 1_000, 5_000])
-def test_first_by_text_is_an_exact_limit(spark, size):
+def _keys(size):
+    """Keys that all share ten leading characters, many of them equal, empty or missing."""
     rng = random.Random(size)
-    keys = [f"{rng.choice(['100', '200', 'ab'])}{rng.randrange(10**rng.randrange(1, 6))}"
-            for _ in range(600)] + ["100123"] * 300 + [""] * 50 + [None] * 50
-    numbered = spark.createDataFrame(list(enumerate(keys)), "n int, key string").repartition(5)
-    got = ranking.first_by_text(numbered, F.col("key"), size, [F.col("n")]).collect()
-    wanted = sorted(enumerate(keys), key=lambda pair: (pair[1] or "", pair[0]))[:size]
-    assert [r["n"] for r in got] == [n for n, _ in wanted]
+    return ["2026-07-05" + f"{rng.choice(['100', '200', 'ab'])}{rng.randrange(10**rng.randrange(1, 6))}"
+            for _ in range(600)] + ["2026-07-05100123"] * 300 + [""] * 50 + [None] * 50
+
+
+@pytest.mark.parametrize("size", [1, 5, 100, 999, 1_000, 5_000])
+def test_preview_and_sample_are_exact_limits(spark, size):
+    keys = _keys(size)
+    numbered = spark.createDataFrame(list(enumerate(keys)), "n int, unique_key string").repartition(5)
+    got = ranking.preview(numbered, size).collect()
+    assert [r["unique_key"] or "" for r in got] == sorted(k or "" for k in keys)[:size]
+    drawn = ranking.sample_exact(numbered, "unique_key", size, 42).collect()
+
+    def draw(key):
+        return hashlib.md5(f"42:{key or ''}".encode()).hexdigest()
+
+    wanted = sorted(map(draw, keys))[:size]
+    assert sorted(draw(r["unique_key"]) for r in drawn) == wanted
+    assert len({r["n"] for r in drawn}) == min(size, len(keys))
+
+
+def test_unparsed_dates_lose_against_parsed_ones(spark):
+    rows = [row("a", None), row("a", at("06-02")), row("a", at("06-03")), row("b", None),
+            row("c", at("06-04"), slice=BACKLOG), row("c", None), row(None, at("06-05")),
+            row(None, at("06-06")), row("d", None), row("d", None)]
+    kept = cleaning.deduplicate(frame(spark, rows)).collect()
+    assert sorted((r["unique_key"] or "", r["created_date"], r["slice"]) for r in kept
+                  if r["created_date"]) == [
+        ("", at("06-05"), ACTIVITY), ("a", at("06-02"), ACTIVITY)]
+    assert sorted(r["unique_key"] for r in kept if not r["created_date"]) == ["b", "c", "d"]
 
 
 def test_sample_is_exact_and_reproducible(spark):
@@ -215,13 +239,15 @@ def test_prepare_and_export(spark, tmp_path):
     prepared = prepare(
         raw.read_raw_csv(spark, write_extract(tmp_path / "a.csv", activity)),
         raw.read_raw_csv(spark, write_extract(tmp_path / "b.csv", older)),
+        PARAMS,
         str(tmp_path / "processed"),
         sample_rows=10,
     )
     assert prepared.requests.count() == 45
     assert prepared.sample.count() == 10 and prepared.preview.count() == 40
     assert {r["item"]: r["value"] for r in prepared.metadata.collect()} == {
-        ACTIVITY: 40, BACKLOG: 7, "total_after_dedup": 45, "sample_rows": 10, "scaling_factor": 4.5
+        ACTIVITY: 40, BACKLOG: 7, "total_after_dedup": 45, "sample_rows": 10, "scaling_factor": 4.5,
+        "snapshot_date": float(f"{PARAMS.snapshot_date:%Y%m%d}"),
     }
     targets = sla.published_targets(spark, PARAMS.default_sla_days)
     out = str(tmp_path / "exports")
@@ -239,14 +265,22 @@ def test_prepare_and_export(spark, tmp_path):
 def test_targets_file(spark, tmp_path):
     path = tables.write_csv(sla.published_targets(spark, 14).frame, str(tmp_path / "targets"))
     targets = sla.read_targets(spark, path, 99)
-    assert (targets.rows, targets.default_days) == (31, 14)
+    assert (targets.frame.count(), targets.default_days) == (31, 14)
     assert dict(targets.frame.select("complaint_type", "sla_days").collect())["Graffiti"] == 60
     assert dict(targets.frame.dtypes)["sla_days"] == "int"
 
 
 def test_reconcile_counts(spark):
-    landed = frame(spark, [row("a"), row("b"), row("c", slice=BACKLOG)])
-    result = raw.reconcile_counts(landed, {ACTIVITY: 2, BACKLOG: 3, "other": 1})
+    landed = frame(
+        spark, [row("a"), row("b"), row("c", slice=BACKLOG), row("d", slice="surprise")]
+    )
+    result = raw.reconcile_counts(
+        raw.slice_counts(landed), {ACTIVITY: 2, BACKLOG: 3, "other": 1}
+    )
     assert {r["slice"]: (r["difference"], r["state"]) for r in result.collect()} == {
-        ACTIVITY: (0, "complete"), BACKLOG: (-2, "short"), "other": (-1, "short")
+        ACTIVITY: (0, "complete"), BACKLOG: (-2, "short"), "other": (-1, "short"),
+        "surprise": (1, "unexpected"),
+    }
+    assert {r["state"] for r in raw.reconcile_counts(raw.slice_counts(landed), {}).collect()} == {
+        "unexpected"
     }

@@ -9,7 +9,9 @@ from statistics import median
 import pytest
 from pyspark.sql import functions as F
 
-from caselens.operators import crosstabs, measures, priority, quality, ranking, rollups
+from caselens.operators import (
+    crosstabs, measures, priority, profile, quality, ranking, rollups,
+)
 from caselens.operators.enrich import enrich
 from caselens.params import ACTIVITY, BACKLOG, BUCKETS, Params, Weights
 from caselens.plans import analysis, escalation, workbook
@@ -72,14 +74,18 @@ def test_rollups_against_brute_force(enriched, report, key):
     assert {r[0]: tuple(r)[1:] for r in rows} == brute_force(enriched, key)
 
 
-def test_shared_profile_gives_the_same_reports(enriched):
-    shared = rollups.shared_profile(enriched)
-    for report in (
-        rollups.kpi_by_agency, rollups.kpi_by_complaint_type, rollups.kpi_by_borough,
-        rollups.kpi_weekly, rollups.backlog_aging, lambda f: priority.priority_scores(f, PARAMS),
-    ):
-        direct, from_profile = report(enriched).collect(), report(shared).collect()
-        assert sorted(direct, key=str) == sorted(from_profile, key=str)
+def test_a_counted_profile_gives_the_same_measures(enriched):
+    known = measures.catalogue()
+    plain = {name: known[name] for name in known if name != "median_closure_days"}
+    for dims in (["agency"], ["borough", "complaint_type"], []):
+        rows = profile.profile(enriched, ["agency", "borough", "complaint_type"], by_closure_days=True)
+        counted = profile.summarise(rows, dims, known, counted=True)
+        assert sorted(counted.drop("median_closure_days").collect(), key=str) == sorted(
+            profile.summarise(enriched, dims, plain).collect(), key=str
+        )
+        assert sorted(counted.collect(), key=str) == sorted(
+            profile.summarise(enriched, dims, known, median=True).collect(), key=str
+        )
 
 
 def test_rollup_schemas(enriched):
@@ -105,12 +111,10 @@ def test_reports_on_no_rows(spark):
     assert [r["total"] for r in crosstabs.aging_by_borough(empty, ["Bronx"]).collect()] == [0] * 5
 
 
-def test_answers_from_profile_and_fact(enriched):
-    from_profile = analysis.answers(enriched, rollups.shared_profile(enriched), PARAMS)
-    direct = analysis.answers(enriched, enriched, PARAMS)
-    assert len(from_profile) == 10
-    for title, answer in from_profile.items():
-        assert answer.collect() == direct[title].collect(), title
+def test_all_ten_answers_have_rows(enriched):
+    answers = analysis.answers(enriched, PARAMS)
+    assert len(answers) == 10
+    assert all(answer.count() for answer in answers.values())
 
 
 def test_totals_agree(enriched):
@@ -198,7 +202,8 @@ def test_whatif_with_zero_weights_has_no_score(enriched):
 
 
 def test_sensitivity_at_base_weights_keeps_the_ranking(spark, enriched):
-    assert [r[0] for r in priority.weight_steps(spark, "w").collect()] == [i / 20 for i in range(21)]
+    steps = spark.range(21).select(priority.weight_step(F.col("id"))).collect()
+    assert [r[0] for r in steps] == [i / 20 for i in range(21)]
     scores = priority.priority_scores(enriched, PARAMS)
     moved = priority.sensitivity(scores)
     assert moved.count() == scores.count() * 84
@@ -234,7 +239,9 @@ def test_month_gaps(spark):
     by_calendar = {r["created_month"].month: r["requests_previous_month"]
                    for r in measures.month_over_month(result).collect()}
     assert by_row == {4: None, 6: -50.0}
-    assert by_calendar == {4: None, 6: None}
+    assert by_calendar == {4: None, 5: 2, 6: None}
+    assert {r["total_requests"]: r["mom_change"] for r in measures.month_over_month(result).collect()
+            if r["created_month"].month == 5} == {0: -1.0}
 
 
 def test_month_over_month_with_unknown_dimension_value(spark):
@@ -273,10 +280,22 @@ def test_dim_date(spark):
         calendar.dim_date(spark, date(2026, 1, 1), date(2026, 1, 1))
 
 
+def test_a_covering_calendar_leaves_no_day_out(spark):
+    rows = [row("in", at("05-01")), row("after", at("07-02")), row("none", None)]
+    requests = frame(spark, rows)
+    result = enrich(requests, targets(spark), PARAMS)
+    fact = calendar.attach_calendar(result, calendar.dim_date_covering(requests))
+    assert fact.filter("week_start IS NULL").count() == 1
+    assert {tuple(r) for r in calendar.requests_per_day(fact).collect()} == {
+        (date(2026, 5, 1), 1), (date(2026, 7, 2), 1)
+    }
+
+
 def test_requests_outside_the_calendar_are_kept(spark):
     rows = [row("in", at("05-01")), row("after", at("07-02")), row("none", None)]
     result = enrich(frame(spark, rows), targets(spark), PARAMS)
-    fact = calendar.attach_calendar(result, date(2026, 5, 1), date(2026, 7, 1))
+    days = calendar.dim_date(spark, date(2026, 5, 1), date(2026, 7, 1))
+    fact = calendar.attach_calendar(result, days)
     assert {r["unique_key"]: r["week_start"] for r in fact.collect()} == {
         "in": date(2026, 4, 27), "after": None, "none": None
     }
@@ -301,11 +320,11 @@ def test_growing_backlog(spark):
         row("s1", days_before(90), borough="Queens"),
         row("s2", days_before(90), days_before(3), borough="Queens"),
     ]
-    requests = frame(spark, rows)
-    scores = priority.priority_scores(enrich(requests, targets(spark), PARAMS), PARAMS)
     result = {
         r["borough"]: (r["weeks_ago_2"], r["weeks_ago_1"], r["weeks_ago_0"], r["escalate"])
-        for r in escalation.growing_backlog(requests, scores, PARAMS).collect()
+        for r in escalation.growing_backlog(
+            enrich(frame(spark, rows), targets(spark), PARAMS), PARAMS
+        ).collect()
     }
     assert result == {"Bronx": (1, 2, 3, True), "Queens": (2, 2, 1, False)}
 
@@ -339,6 +358,19 @@ def test_new_entrants(spark):
     assert [r["borough"] for r in result.collect()] == ["Queens"]
 
 
+def test_new_entrants_equal_two_separate_rankings(spark, hot_rows):
+    from caselens.operators.enrich import rewind
+
+    requests, earlier = frame(spark, hot_rows), SNAPSHOT - timedelta(days=45)
+
+    def top(at):
+        scores = priority.priority_scores(enrich(rewind(requests, at), targets(spark), at), at)
+        return {(r["complaint_type"], r["borough"]) for r in priority.hotspots(scores, 3).collect()}
+
+    found = escalation.new_entrants(requests, targets(spark), PARAMS, earlier, k=3).collect()
+    assert {(r["complaint_type"], r["borough"]) for r in found} == top(PARAMS) - top(PARAMS.at(earlier))
+
+
 def test_artifacts_and_separate_lines(spark):
     rows = [row(f"h{i}", days_before(50), complaint_type="helicopter") for i in range(4)]
     rows += [row("r1", days_before(50), days_before(49), complaint_type="rodent"),
@@ -346,8 +378,8 @@ def test_artifacts_and_separate_lines(spark):
     result = enrich(frame(spark, rows), targets(spark), PARAMS)
     by_type = rollups.kpi_by_complaint_type(result)
     params = Params(volume_floor=2)
-    found = [r["complaint_type"] for r in escalation.artifact_candidates(by_type, params).collect()]
-    assert found == ["helicopter"]
+    found = escalation.artifact_candidates(by_type, params)
+    assert [r["complaint_type"] for r in found.collect()] == ["helicopter"]
     lines = {r["line"]: (r["total_requests"], r["open_requests"])
              for r in escalation.separate_lines(result, found).collect()}
     assert lines == {"citywide": (6, 5), "citywide excluding listed": (2, 1), "helicopter": (4, 4)}
