@@ -327,9 +327,12 @@ def _as_edges(left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
     return pa.record_batch(packed, ["a", "b"])
 
 
-def _similar_links(radius: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _similar_links(
+    radius: int, held: int, crowded: int, batches: Iterator[pa.RecordBatch]
+) -> Iterator[pa.RecordBatch]:
     """Edges that connect the similar rows of each bucket. Rows come sorted by bucket, table rows
-    first; of a bucket too large to hold, windows are compared with the leaders so far."""
+    first; of a bucket of more than ``held`` rows, windows are compared with the leaders so far, and
+    one of more than ``crowded`` pairs is compared by leaders alone."""
     keys, known, prints = np.zeros(0, np.int64), np.zeros(0, bool), np.zeros((0, LONG // 64), "u8")
     leaders: list[np.ndarray] = []
 
@@ -338,7 +341,7 @@ def _similar_links(radius: int, batches: Iterator[pa.RecordBatch]) -> Iterator[p
         cuts = np.r_[np.flatnonzero(np.r_[True, keys[1:stop] != keys[: stop - 1]]), stop]
         sizes = np.diff(cuts)
         tables = np.add.reduceat(known[:stop].astype(np.int64), cuts[:-1])
-        led = tables * sizes > PAIRS_BY_LEADERS
+        led = tables * sizes > crowded
         led[0] |= bool(leaders)
         led[-1] |= not last
         for bucket in np.flatnonzero(led).tolist():
@@ -361,7 +364,7 @@ def _similar_links(radius: int, batches: Iterator[pa.RecordBatch]) -> Iterator[p
         keys = np.r_[keys, batch.column("key").to_numpy()]
         known = np.r_[known, batch.column("known").to_numpy(zero_copy_only=False)]
         prints = np.r_[prints, _numbers(batch.column("print"))]
-        if len(keys) < HELD:
+        if len(keys) < held:
             continue
         stop = int(np.searchsorted(keys, keys[-1], "left"))
         whole = stop > 0
@@ -404,7 +407,11 @@ def similar_kept(
         )
         .repartition("key")
         .sortWithinPartitions("key", F.desc("known"))
-        .transform(in_arrow, partial(_similar_links, radius_of(similarity)), "a binary, b binary")
+        .transform(
+            in_arrow,
+            partial(_similar_links, radius_of(similarity), HELD, PAIRS_BY_LEADERS),
+            "a binary, b binary",
+        )
     )
     rooted = nodes.join(components(edges), F.col("print") == F.col("node"), "left")
     stay = (

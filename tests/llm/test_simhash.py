@@ -6,8 +6,6 @@ import re
 import numpy as np
 import pytest
 import xxhash
-from pyspark.sql import functions as F
-
 from caselens.llm import simhash
 from caselens.llm.common import table
 from caselens.llm.components import components
@@ -125,17 +123,8 @@ def changed(text, seed, count):
 @pytest.mark.parametrize("held", [(simhash.HELD, simhash.PAIRS_BY_LEADERS), (50, 100)])
 def test_near_copies_go_and_others_stay(spark, monkeypatch, held):
     """Also with buckets that are compared by leaders, a window at a time."""
-    import functools
-
     monkeypatch.setattr(simhash, "HELD", held[0])
     monkeypatch.setattr(simhash, "PAIRS_BY_LEADERS", held[1])
-    original = simhash._similar_links
-
-    def with_limits(radius, batches, held=held, original=original):
-        original.__globals__["HELD"], original.__globals__["PAIRS_BY_LEADERS"] = held
-        return original(radius, batches)
-
-    monkeypatch.setattr(simhash, "_similar_links", with_limits)
     rows, groups = [], {}
     for group in range(40):
         base = prose(group, 200)
