@@ -183,7 +183,7 @@ def test_quality_on_no_rows(spark):
 def _keys(size):
     """Keys that all share ten leading characters, many of them equal, empty or missing."""
     rng = random.Random(size)
-    return ["2026-07-05" + f"{rng.choice(['100', '200', 'ab'])}{rng.randrange(10**rng.randrange(1, 6))}"
+    return [f"2026-07-05{rng.choice(['100', '200', 'ab'])}{rng.randrange(10**rng.randrange(1, 6))}"
             for _ in range(600)] + ["2026-07-05100123"] * 300 + [""] * 50 + [None] * 50
 
 
