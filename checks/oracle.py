@@ -59,30 +59,30 @@ def _facts(source: str, *, fractional: bool) -> str:
 
 
 def _score_steps(facts: str, suffix: str = "", least: int = 10) -> dict[str, str]:
-    """Cells and their scores over an enriched step."""
+    """Scored cells of an enriched step: percentiles and score from one grouping."""
+    by_weight = " + ".join(
+        f"CAST({weight} AS DOUBLE) * {part}"
+        for weight, part in (("0.30", "busy"), ("0.25", "piled"), ("0.25", "coalesce(missed, 0)"),
+                             ("0.20", "aged"))
+    )
     return {
-        f"cells{suffix}": f"""
-  SELECT complaint_type, borough, min(agency) AS agency, count(*) AS total_requests,
-    count_if(NOT is_closed) AS open_requests,
-    round(count_if(sla_status IN ('Missed', 'Open Past SLA'))
-      / nullif(count_if(sla_status <> 'Open Within SLA'), 0), 4) AS sla_miss_rate,
-    coalesce(round(count_if(NOT is_closed AND aging_bucket IN {_AGED})
-      / nullif(count_if(NOT is_closed), 0), 4), 0) AS aged_share_of_open
-  FROM {facts} WHERE borough <> 'Unspecified'
-  GROUP BY complaint_type, borough HAVING count(*) >= {least}""",
-        f"spread{suffix}": f"""
-  SELECT *, percent_rank() OVER (ORDER BY total_requests) AS volume,
-    percent_rank() OVER (ORDER BY open_requests) AS backlog FROM cells{suffix}""",
         f"scores{suffix}": f"""
-  SELECT *, row_number() OVER (ORDER BY priority_score DESC, complaint_type, borough)
-    AS priority_rank
-  FROM (SELECT complaint_type, borough, agency, total_requests, open_requests, sla_miss_rate,
-      aged_share_of_open, round(volume, 4) AS volume_percentile,
-      round(backlog, 4) AS backlog_percentile,
-      round(CAST(0.30 AS DOUBLE) * volume + CAST(0.25 AS DOUBLE) * backlog
-        + CAST(0.25 AS DOUBLE) * coalesce(sla_miss_rate, 0)
-        + CAST(0.20 AS DOUBLE) * aged_share_of_open, 4) AS priority_score
-    FROM spread{suffix})""",
+  SELECT complaint_type, borough, agency, n AS total_requests, waiting AS open_requests,
+    missed AS sla_miss_rate, aged AS aged_share_of_open, round(busy, 4) AS volume_percentile,
+    round(piled, 4) AS backlog_percentile, round({by_weight}, 4) AS priority_score,
+    row_number() OVER (ORDER BY round({by_weight}, 4) DESC, complaint_type, borough)
+      AS priority_rank
+  FROM (
+    SELECT complaint_type, borough, min(agency) AS agency, count(*) AS n,
+      count_if(NOT is_closed) AS waiting,
+      round(count_if(sla_status IN ('Missed', 'Open Past SLA'))
+        / nullif(count_if(sla_status <> 'Open Within SLA'), 0), 4) AS missed,
+      coalesce(round(count_if(NOT is_closed AND aging_bucket IN {_AGED})
+        / nullif(count_if(NOT is_closed), 0), 4), 0) AS aged,
+      percent_rank() OVER (ORDER BY count(*)) AS busy,
+      percent_rank() OVER (ORDER BY count_if(NOT is_closed)) AS piled
+    FROM {facts} WHERE borough <> 'Unspecified'
+    GROUP BY complaint_type, borough HAVING count(*) >= {least})""",
     }
 
 
