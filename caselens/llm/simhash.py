@@ -25,8 +25,13 @@ PAIRS_PER_BUCKET = 1 << 16
 _ASCII_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def _bits(text: bytes, size: int, digest: Callable[[bytes, int], bytes]) -> np.ndarray:
-    """Bits that are set in over half of the shingles' digests; all 0 without words."""
+def _bits(
+    text: bytes, size: int, digest: Callable[[bytes, int], bytes], repeats: bool = True
+) -> np.ndarray:
+    """Bits that are set in over half of the shingles' digests; all 0 without words.
+
+    Without ``repeats`` a shingle counts once, however often it occurs.
+    """
     words = text.translate(_ASCII_LOWER).split()
     if not words:
         return np.zeros(8 * len(digest(b"", SEED)), bool)
@@ -39,6 +44,8 @@ def _bits(text: bytes, size: int, digest: Callable[[bytes, int], bytes]) -> np.n
         spans = list(
             zip((ends - lengths)[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist())
         )
+    if not repeats:
+        spans = list({joined[a:b]: (a, b) for a, b in spans}.values())
     ones = 0
     for start in range(0, len(spans), SHINGLES_AT_ONCE):
         some = spans[start : start + SHINGLES_AT_ONCE]
@@ -262,7 +269,8 @@ def index_shape(nodes: int, similarity: float = SIMILARITY) -> tuple[int, int]:
 def _long_prints(size: int, batch: pa.RecordBatch) -> pa.RecordBatch:
     texts = batch.column("text").cast(pa.binary())
     prints = [
-        np.packbits(_bits(t.as_py() or b"", size, xxhash.xxh3_128_digest)).tobytes() for t in texts
+        np.packbits(_bits(t.as_py() or b"", size, xxhash.xxh3_128_digest, False)).tobytes()
+        for t in texts
     ]
     return pa.record_batch({"doc_id": batch.column("doc_id"), "mark": batch.column("mark"),
                             "print": pa.array(prints, pa.binary())})

@@ -151,6 +151,13 @@ def test_odd_rows_of_the_similar(spark):
     assert simhash.similar_kept(none(spark)).collect() == []
 
 
+def test_a_repeated_line_makes_no_near_copies(spark):
+    line = "the same seven words in every text"
+    rows = [(i, f"{line}\n{prose(i, 25)}\n" + f"{line}\n" * 4) for i in range(60)]
+    kept = simhash.similar_kept(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert kept.count() == 60
+
+
 def test_recall_of_the_index_is_planned():
     for nodes in (10, 10**5, 10**9):
         bits, tables = simhash.index_shape(nodes)
