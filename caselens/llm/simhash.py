@@ -25,27 +25,25 @@ PAIRS_PER_BUCKET = 1 << 16
 _ASCII_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def _bits(
-    text: bytes, size: int, digest: Callable[[bytes, int], bytes], repeats: bool = True
-) -> np.ndarray:
-    """Bits that are set in over half of the shingles' digests; all 0 without words.
-
-    Without ``repeats`` a shingle counts once, however often it occurs.
-    """
+def _spans(text: bytes, size: int) -> tuple[bytes, list[tuple[int, int]]]:
+    """The lowered words of a text with one space between, and where each shingle lies in them."""
     words = text.translate(_ASCII_LOWER).split()
-    if not words:
-        return np.zeros(8 * len(digest(b"", SEED)), bool)
     joined = b" ".join(words)
+    if not words:
+        return joined, []
     if len(words) <= size:
-        spans = [(0, len(joined))]
-    else:
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        ends = np.cumsum(lengths + 1) - 1
-        spans = list(
-            zip((ends - lengths)[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist())
-        )
-    if not repeats:
-        spans = list({joined[a:b]: (a, b) for a, b in spans}.values())
+        return joined, [(0, len(joined))]
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(lengths + 1) - 1
+    starts = (ends - lengths)[: len(words) - size + 1].tolist()
+    return joined, list(zip(starts, ends[size - 1 :].tolist()))
+
+
+def _bits(text: bytes, size: int, digest: Callable[[bytes, int], bytes]) -> np.ndarray:
+    """Bits that are set in over half of the shingles' digests; all 0 without words."""
+    joined, spans = _spans(text, size)
+    if not spans:
+        return np.zeros(8 * len(digest(b"", SEED)), bool)
     ones = 0
     for start in range(0, len(spans), SHINGLES_AT_ONCE):
         some = spans[start : start + SHINGLES_AT_ONCE]
@@ -119,19 +117,18 @@ def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return bits if bits.ndim == 1 else bits.sum(axis=1)
 
 
-def _links_in(
-    keys: np.ndarray, prints: np.ndarray, table: np.ndarray, radius: int = RADIUS
-) -> np.ndarray:
-    """Label of each row: the first row of its bucket that links lead to. Rows are sorted by bucket,
-    table rows first. Every table row of a bucket is compared with every row of it."""
+def _near_in(
+    keys: np.ndarray, prints: np.ndarray, table: np.ndarray, radius: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Near pairs as places (table row, row). Rows are sorted by bucket, table rows first. Every
+    table row of a bucket is compared with every row of it."""
     rows = len(keys)
     starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
     sizes = np.diff(np.r_[starts, rows])
     first = np.repeat(starts, sizes)
     known = np.repeat(np.add.reduceat(table.astype(np.int64), starts), sizes)
     until = np.cumsum(known)
-    labels, start = np.arange(rows), 0
-    lefts, rights = [], []
+    start = 0
     while start < rows:
         done = until[start - 1] if start else 0
         end = max(start + 1, int(np.searchsorted(until, done + PAIRS_AT_ONCE, "right")))
@@ -140,10 +137,17 @@ def _links_in(
         left = np.arange(len(right)) - np.repeat(until[start:end] - some - done, some) + first[right]
         near = _distance(prints[left], prints[right]) <= radius
         near &= left != right
-        lefts.append(left[near])
-        rights.append(right[near])
+        yield left[near], right[near]
         start = end
-    left, right = np.concatenate(lefts), np.concatenate(rights)
+
+
+def _links_in(
+    keys: np.ndarray, prints: np.ndarray, table: np.ndarray, radius: int = RADIUS
+) -> np.ndarray:
+    """Label of each row: the first row of its bucket that links lead to. Rows are sorted by bucket,
+    table rows first."""
+    labels = np.arange(len(keys))
+    left, right = (np.concatenate(x) for x in zip(*_near_in(keys, prints, table, radius)))
     while len(left):
         low = np.minimum(labels[left], labels[right])
         moved = labels.copy()
@@ -234,14 +238,21 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 # --- similar texts -------------------------------------------------------------------------------
 #
 # Texts of a given similarity differ in a larger share of their bits than three of 64, more than an
-# index can cover in full. Longer fingerprints tell similar texts from others by their complete
-# distance; tables of segments of their bits, each looked up with its one-bit flips, find a pair in
-# at least one table with the wanted probability.
+# index of bits can cover. So MinHash brings similar texts together: each band of a few minima is a
+# bucket, and as many bands find a pair in at least one of them with the wanted probability, however
+# many texts there are. A wide distance of longer fingerprints leaves out most others. These are
+# candidates only; a pair is linked if the shingle sets themselves are as similar as wanted.
+#
+# Of a bucket with many pairs, rows are tied to a few of them.
 
 LONG = 128
-SIMILARITY, WORDS, RECALL = 0.8, 5, 0.98
-# Rows of one bucket held at once; a bucket of more pairs than this is compared by leaders.
-HELD, PAIRS_BY_LEADERS = 1 << 16, 1 << 22
+SIMILARITY, WORDS, RECALL = 0.8, 5, 0.999
+# Rows of one bucket held at once; a bucket of more pairs than this is first tied to leaders.
+HELD, PAIRS_BY_LEADERS = 1 << 16, 1 << 8
+# Minima of a band, and shingles whose minima are taken at once.
+BAND, MINIMA_AT_ONCE = 5, 1 << 12
+# Bytes of a node: its fingerprint and what tells different shingle sets of one fingerprint apart.
+_PRINT, _NODE = LONG // 8, LONG // 8 + 4
 
 
 def _share(similarity: float) -> float:
@@ -250,137 +261,234 @@ def _share(similarity: float) -> float:
     return math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
-def radius_of(similarity: float) -> int:
-    """Largest distance that counts as similar: the average and 1.4 standard deviations, which
-    takes in more than nine in ten pairs of just this similarity."""
+def radius_of(similarity: float, deviations: float) -> int:
+    """Distance that is so many standard deviations above the average of pairs this similar."""
     share = _share(similarity)
-    return round(LONG * share + 1.4 * math.sqrt(LONG * share * (1 - share)))
+    return round(LONG * share + deviations * math.sqrt(LONG * share * (1 - share)))
 
 
 def index_shape(nodes: int, similarity: float = SIMILARITY) -> tuple[int, int]:
     """Bits of a segment, so that a bucket holds about one unrelated fingerprint, and how many
-    tables find a pair of just this similarity with probability ``RECALL``."""
+    tables find a pair of just the average distance with probability ``RECALL``.
+
+    ``similar_kept`` does not use it: pairs beyond the average distance are found less often.
+    """
     bits = max(16, min(40, math.ceil(math.log2(max(2, nodes)))))
     same = 1 - _share(similarity)
     found = same**bits + bits * (1 - same) * same ** (bits - 1)
     return bits, math.ceil(math.log(1 - RECALL) / math.log(1 - found))
 
 
-def _long_prints(size: int, batch: pa.RecordBatch) -> pa.RecordBatch:
+def bands(similarity: float = SIMILARITY) -> int:
+    """How many bands find a pair of just this similarity with probability ``RECALL``."""
+    return max(1, math.ceil(math.log(1 - RECALL) / math.log(1 - min(similarity, 0.999) ** BAND)))
+
+
+def _shingles(text: bytes, size: int) -> np.ndarray:
+    """The set of 128-bit shingle hashes of a text, as pairs of numbers."""
+    joined, spans = _spans(text, size)
+    parts = {joined[a:b] for a, b in spans}
+    return np.frombuffer(
+        b"".join([xxhash.xxh3_128_digest(x, SEED) for x in parts]), np.uint64
+    ).reshape(len(parts), 2)
+
+
+def _node(hashes: np.ndarray) -> bytes:
+    """Majority of each bit, 0 without shingles, and the sum of the hashes."""
+    ones = np.zeros(LONG, np.int64)
+    for start in range(0, len(hashes), SHINGLES_AT_ONCE):
+        some = hashes[start : start + SHINGLES_AT_ONCE].view(np.uint8)
+        ones += np.unpackbits(some, axis=1).sum(axis=0, dtype=np.int64)
+    total = int(hashes[:, 0].sum(dtype=np.uint64)) & 0xFFFFFFFF
+    return np.packbits(2 * ones > len(hashes)).tobytes() + total.to_bytes(_NODE - _PRINT, "big")
+
+
+def _band_keys(hashes: np.ndarray, count: int) -> np.ndarray:
+    rng = np.random.default_rng(SEED)
+    odd, mixed, weights = (
+        rng.integers(0, 1 << 64, count * BAND, np.uint64, False) | np.uint64(1) for _ in range(3)
+    )
+    low = np.full(count * BAND, (1 << 64) - 1, np.uint64)
+    for start in range(0, len(hashes), MINIMA_AT_ONCE):
+        some = hashes[start : start + MINIMA_AT_ONCE, :1]
+        low = np.minimum(low, ((some ^ mixed) * odd).min(axis=0))
+    low ^= low >> np.uint64(29)
+    keys = (low * weights).reshape(count, BAND).sum(axis=1, dtype=np.uint64)
+    return (keys ^ weights[::BAND]).view(np.int64)
+
+
+def _nodes_of(size: int, count: int, batch: pa.RecordBatch) -> pa.RecordBatch:
+    nodes, keys = [], []
+    for text in batch.column("text").cast(pa.binary()):
+        hashes = _shingles(text.as_py() or b"", size)
+        nodes.append(_node(hashes))
+        keys.append(_band_keys(hashes, count))
+    return pa.record_batch({
+        "doc_id": batch.column("doc_id"), "mark": batch.column("mark"),
+        "node": pa.array(nodes, pa.binary()), "keys": pa.array(keys, pa.list_(pa.int64())),
+    })
+
+
+def _shingle_sets(size: int, batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The set of 64-bit shingle hashes of each text."""
     texts = batch.column("text").cast(pa.binary())
-    prints = [
-        np.packbits(_bits(t.as_py() or b"", size, xxhash.xxh3_128_digest, False)).tobytes()
-        for t in texts
-    ]
-    return pa.record_batch({"doc_id": batch.column("doc_id"), "mark": batch.column("mark"),
-                            "print": pa.array(prints, pa.binary())})
-
-
-def _numbers(prints: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(prints.to_pylist()), np.uint64).reshape(len(prints), -1)
-
-
-def _segments(bits: int, tables: int, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Each fingerprint under its segment of every table, and under the flips of the segment's 0s."""
-    prints = batch.column("print")
-    packed = _numbers(prints).view(np.uint8)
-    places = [np.random.default_rng(t).choice(LONG, bits, replace=False) for t in range(tables)]
-    weights = 1 << np.arange(bits, dtype=np.int64)
-    all_bits = np.unpackbits(packed, axis=1)
-    for table, chosen in enumerate(places):
-        own = all_bits[:, chosen]
-        exact = own @ weights
-        row, bit = np.nonzero(own == 0)
-        keys = np.r_[exact, exact[row] + weights[bit]] + (table << 48)
-        known = np.zeros(len(keys), bool)
-        known[: len(exact)] = True
-        rows = pa.array(np.r_[np.arange(len(exact)), row])
-        yield pa.record_batch({"key": keys, "known": known, "print": prints.take(rows)})
-
-
-def _all_segments(
-    bits: int, tables: int, batches: Iterator[pa.RecordBatch]
-) -> Iterator[pa.RecordBatch]:
+    sets = [np.unique(_shingles(t.as_py() or b"", size)[:, 0]).view(np.int64) for t in texts]
+    return pa.record_batch(
+        {"node": batch.column("node"), "shingles": pa.array(sets, pa.list_(pa.int64()))}
+    )
+
+
+def _bytes_of(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+
+
+def _prints(nodes: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(nodes[..., :_PRINT]).view(np.uint64)
+
+
+def _windows(
+    held: int, batches: Iterator[pa.RecordBatch]
+) -> Iterator[tuple[list[np.ndarray], np.ndarray, bool]]:
+    """Columns of whole buckets, where these are cut, and whether the last one goes on: a bucket of
+    more than ``held`` rows comes in parts. Rows come sorted by bucket."""
+
+    def cut(rows: list[np.ndarray], goes_on: bool):
+        keys = rows[0]
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        return rows, np.r_[starts, len(keys)], goes_on
+
+    rows = None
     for batch in batches:
-        if batch.num_rows:
-            yield from _segments(bits, tables, batch)
+        if not batch.num_rows:
+            continue
+        some = [
+            batch.column("key").to_numpy(),
+            *(_bytes_of(batch.column(c)) for c in ("node", "root") if c in batch.schema.names),
+        ]
+        rows = some if rows is None else [np.concatenate(x) for x in zip(rows, some)]
+        if len(rows[0]) < held:
+            continue
+        stop = int(np.searchsorted(rows[0], rows[0][-1], "left"))
+        end = stop or len(rows[0])
+        yield cut([x[:end] for x in rows], stop == 0)
+        rows = [x[end:] for x in rows]
+    if rows is not None and len(rows[0]):
+        yield cut(rows, False)
 
 
 def _led(
-    prints: np.ndarray, table: np.ndarray, radius: int, leaders: list[np.ndarray]
+    nodes: np.ndarray, close: int, leaders: list[np.ndarray]
 ) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[np.ndarray]]:
-    """Ties of the rows of a crowded bucket to leaders: table rows that no earlier leader is near.
-
-    Rows near one leader are tied through it and need no comparison with each other, so the work
-    grows with the rows times the different texts, not with pairs.
-    """
-    ties, covered, waiting = [], np.zeros(len(prints), bool), list(leaders)
+    """Ties of the rows of a crowded bucket to leaders: rows that no earlier leader is near."""
+    prints = _prints(nodes)
+    ties, covered, waiting = [], np.zeros(len(nodes), bool), list(leaders)
     while True:
         if not waiting:
-            left = np.flatnonzero(table & ~covered)
+            left = np.flatnonzero(~covered)
             if not len(left):
                 return ties, leaders
-            waiting = [prints[left[0]]]
+            waiting = [nodes[left[0]]]
             leaders = [*leaders, waiting[0]]
         leader = waiting.pop()
-        near = _distance(prints, leader) <= radius
+        near = _distance(prints, _prints(leader)) <= close
         covered |= near
-        tied = near & (prints != leader).any(axis=1)
-        ties.append((prints[tied], np.broadcast_to(leader, (int(tied.sum()), prints.shape[1]))))
+        tied = near & (nodes != leader).any(axis=1)
+        ties.append((nodes[tied], np.broadcast_to(leader, (int(tied.sum()), _NODE))))
 
 
-def _as_edges(left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
-    columns = [np.ascontiguousarray(x) for x in (left, right)]
-    packed = [pa.array([r.tobytes() for r in x], pa.binary()) for x in columns]
-    return pa.record_batch(packed, ["a", "b"])
+def _as_pairs(left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
+    packed = [pa.array([r.tobytes() for r in x], pa.binary()) for x in (left, right)]
+    return pa.record_batch([*packed, pa.nulls(len(left), pa.int64())], ["a", "b", "crowded"])
 
 
-def _similar_links(
-    radius: int, held: int, crowded: int, batches: Iterator[pa.RecordBatch]
+def _first_pairs(
+    radius: int, close: int, held: int, crowded: int, batches: Iterator[pa.RecordBatch]
 ) -> Iterator[pa.RecordBatch]:
-    """Edges that connect the similar rows of each bucket. Rows come sorted by bucket, table rows
-    first; of a bucket of more than ``held`` rows, windows are compared with the leaders so far, and
-    one of more than ``crowded`` pairs is compared by leaders alone."""
-    keys, known, prints = np.zeros(0, np.int64), np.zeros(0, bool), np.zeros((0, LONG // 64), "u8")
-    leaders: list[np.ndarray] = []
-
-    def compared(stop: int, last: bool) -> Iterator[pa.RecordBatch]:
-        nonlocal leaders
-        cuts = np.r_[np.flatnonzero(np.r_[True, keys[1:stop] != keys[: stop - 1]]), stop]
+    """Candidates ``(a, b)``: all of each bucket, but of those of more than ``crowded`` pairs only
+    ties to leaders, and a row with the bucket's key as ``crowded``."""
+    at, leaders = None, []
+    for (keys, nodes), cuts, goes_on in _windows(held, batches):
         sizes = np.diff(cuts)
-        tables = np.add.reduceat(known[:stop].astype(np.int64), cuts[:-1])
-        led = tables * sizes > crowded
-        led[0] |= bool(leaders)
-        led[-1] |= not last
+        led = sizes * sizes > crowded
+        led[0] |= keys[0] == at
+        led[-1] |= goes_on
         for bucket in np.flatnonzero(led).tolist():
             rows = slice(cuts[bucket], cuts[bucket + 1])
-            ties, leaders = _led(prints[rows], known[rows], radius, leaders)
-            for left, right in ties:
-                if len(left):
-                    yield _as_edges(left, right)
-            if bucket < len(led) - 1 or last:
-                leaders = []
-        plain = np.repeat(~led & (tables > 0) & (sizes > 1), sizes)
-        some = prints[:stop][plain]
+            if keys[rows.start] != at:
+                at, leaders = keys[rows.start], []
+            ties, leaders = _led(nodes[rows], close, leaders)
+            yield from (_as_pairs(left, right) for left, right in ties if len(left))
+        full = pa.array(keys[cuts[:-1][led]])
+        if len(full):
+            none = pa.nulls(len(full), pa.binary())
+            yield pa.record_batch([none, none, full], ["a", "b", "crowded"])
+        plain = np.repeat(~led & (sizes > 1), sizes)
+        some = nodes[plain]
         if len(some):
-            labels = _links_in(keys[:stop][plain], some, known[:stop][plain], radius)
-            tied = np.flatnonzero(labels != np.arange(len(labels)))
-            if len(tied):
-                yield _as_edges(some[tied], some[labels[tied]])
+            every = np.ones(len(some), bool)
+            for left, right in _near_in(keys[plain], _prints(some), every, radius):
+                once = left < right
+                if once.any():
+                    yield _as_pairs(some[left[once]], some[right[once]])
 
-    for batch in batches:
-        keys = np.r_[keys, batch.column("key").to_numpy()]
-        known = np.r_[known, batch.column("known").to_numpy(zero_copy_only=False)]
-        prints = np.r_[prints, _numbers(batch.column("print"))]
-        if len(keys) < held:
-            continue
-        stop = int(np.searchsorted(keys, keys[-1], "left"))
-        whole = stop > 0
-        stop = stop or len(keys)
-        yield from compared(stop, whole)
-        keys, known, prints = keys[stop:], known[stop:], prints[stop:]
-    if len(keys):
-        yield from compared(len(keys), True)
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """Each pair once, the larger node first."""
+    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def _linked(
+    pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: float, size: int
+) -> DataFrame:
+    """The candidates whose shingle sets have the wanted Jaccard similarity, from one text a node."""
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    at = nodes.join(wanted, "node").select(
+        "node", F.col("first.doc_id").alias("at_id"), F.col("first.mark").alias("at_mark")
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("mark") == F.col("at_mark"))
+    sets = landed(
+        docs.join(at, same).select("node", "text")
+        .transform(
+            in_arrow, per_batch(partial(_shingle_sets, size)), "node binary, shingles array<long>"
+        )
+        .groupBy("node")
+        .agg(F.first("shingles").alias("shingles"))
+    )
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
+    shared = F.size(F.array_intersect("left", "right"))
+    return (
+        pairs.join(left, "a").join(right, "b")
+        .select("a", "b", F.size("left").alias("n"), F.size("right").alias("m"), shared.alias("both"))
+        .filter(F.col("both") / (F.col("n") + F.col("m") - F.col("both")) >= similarity)
+        .select("a", "b")
+    )
+
+
+def _roots(nodes: DataFrame, tied: DataFrame) -> DataFrame:
+    return nodes.join(tied, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _similar_roots(
+    nodes: DataFrame, docs: DataFrame, similarity: float, size: int
+) -> DataFrame:
+    """``nodes`` with ``root``, the same for all nodes that links lead to."""
+    wide, close = radius_of(similarity, 7), radius_of(similarity, 1.4)
+
+    def by_bucket(rows: DataFrame) -> DataFrame:
+        return rows.repartition("key").sortWithinPartitions("key")
+
+    found = landed(
+        nodes.select(F.explode("keys").alias("key"), "node")
+        .transform(by_bucket)
+        .transform(
+            in_arrow, partial(_first_pairs, wide, close, HELD, PAIRS_BY_LEADERS),
+            "a binary, b binary, crowded long",
+        )
+    )
+    pairs = landed(_ordered(found.filter("crowded IS NULL")))
+    tied = components(_linked(pairs, nodes, docs, similarity, size))
+    return _roots(nodes, tied)
 
 
 def similar_kept(
@@ -388,11 +496,12 @@ def similar_kept(
 ) -> DataFrame:
     """The rows of ``docs`` without near copies: of each group, the row with the smallest doc_id.
 
-    A group is what pairs connect whose sets of ``size``-word shingles have about the given Jaccard
-    similarity or more, judged by the distance of 128-bit fingerprints. Rows with the same
-    fingerprint, such as equal or wordless texts, are one group. A NULL doc_id comes last; of rows
-    with one doc_id, the one with the smallest hash of its text stays, and equal rows stay together.
-    Columns and texts are unchanged; no rows give none.
+    A group is what links connect: pairs whose sets of ``size``-word shingles have the given Jaccard
+    similarity or more. Every link is judged by the sets; MinHash only brings pairs together, and
+    misses a pair of just this similarity with probability 1 - ``RECALL``, more similar ones less.
+    Rows with the same set, such as equal or wordless texts, are one group. A NULL doc_id comes last;
+    of rows with one doc_id, the one with the smallest hash of its text stays, and equal rows stay
+    together. Columns and texts are unchanged; no rows give none.
     """
     keyed = docs.select(
         F.col("doc_id").cast("long"), F.col("text").cast("string"),
@@ -400,30 +509,15 @@ def similar_kept(
     )
     marked = landed(
         keyed.transform(
-            in_arrow, per_batch(partial(_long_prints, size)),
-            "doc_id long, mark long, print binary",
+            in_arrow, per_batch(partial(_nodes_of, size, bands(similarity))),
+            "doc_id long, mark long, node binary, keys array<long>",
         )
     )
     smallest = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark"))
-    nodes = landed(marked.groupBy("print").agg(smallest.alias("first")))
-    bits, tables = index_shape(nodes.count(), similarity)
-    edges = (
-        nodes.select("print")
-        .transform(
-            in_arrow, partial(_all_segments, bits, tables),
-            "key long, known boolean, print binary",
-        )
-        .repartition("key")
-        .sortWithinPartitions("key", F.desc("known"))
-        .transform(
-            in_arrow,
-            partial(_similar_links, radius_of(similarity), HELD, PAIRS_BY_LEADERS),
-            "a binary, b binary",
-        )
-    )
-    rooted = nodes.join(components(edges), F.col("print") == F.col("node"), "left")
+    nodes = landed(marked.groupBy("node").agg(smallest.alias("first"), F.first("keys").alias("keys")))
     stay = (
-        rooted.groupBy(F.coalesce("root", "print").alias("root"))
+        _similar_roots(nodes, keyed, similarity, size)
+        .groupBy("root")
         .agg(F.min("first").alias("first"))
         .select(F.col("first.doc_id").alias("kept_id"), F.col("first.mark").alias("kept_mark"))
     )

@@ -164,3 +164,37 @@ def test_recall_of_the_index_is_planned():
         share = simhash._share(0.8)
         found = (1 - share) ** bits + bits * share * (1 - share) ** (bits - 1)
         assert 1 - (1 - found) ** tables >= simhash.RECALL
+
+
+# --- links are judged by the shingle sets --------------------------------------------------------
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+def check_kept(spark, rows):
+    """What stays, after both directions: no drop without a link of 0.8, no pair of 0.8 left."""
+    sets = {i: shingles(t) for i, t in rows}
+    linked = [(a, b) for a in sets for b in sets if a < b and jaccard(sets[a], sets[b]) >= 0.8]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in simhash.similar_kept(frame).collect()}
+    assert set(sets) - kept <= {b for _, b in linked}
+    assert not any(a in kept and b in kept for a, b in linked)
+    return kept, linked
+
+
+def graded(seed, steps):
+    """A text and others whose similarity to it falls in small steps."""
+    base = prose(seed, 250, 10**6)
+    return [base, *(changed(base, seed * 100 + k, k) for k in steps)]
+
+
+def test_links_have_the_similarity_and_none_is_left(spark):
+    """Pairs of similarity 0.55 to 0.95, which differ in 5 to 35 bits of 128."""
+    rows = []
+    for group in range(60):
+        base, *others = graded(group, [2 + group % 18])
+        rows += [(len(rows), base), (len(rows) + 1, others[0])]
+    _, linked = check_kept(spark, rows)
+    assert 10 <= len(linked) <= 50
