@@ -243,7 +243,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 # many texts there are. A wide distance of longer fingerprints leaves out most others. These are
 # candidates only; a pair is linked if the shingle sets themselves are as similar as wanted.
 #
-# Of a bucket with many pairs, rows are tied to a few of them.
+# Of a bucket with many pairs, rows are first tied to a few of them. What these links connect needs
+# no further look; all other pairs of the bucket are compared in a second pass.
 
 LONG = 128
 SIMILARITY, WORDS, RECALL = 0.8, 5, 0.999
@@ -432,6 +433,44 @@ def _first_pairs(
                     yield _as_pairs(some[left[once]], some[right[once]])
 
 
+def _across(
+    nodes: np.ndarray, roots: np.ndarray, table: np.ndarray, table_roots: np.ndarray, radius: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Near pairs of a row and a row of the table that have different roots."""
+    both = np.ascontiguousarray(np.concatenate([roots, table_roots]))
+    codes = np.unique(both.view(f"V{both.shape[1]}").ravel(), return_inverse=True)[1].ravel()
+    own, others = codes[: len(nodes)], codes[len(nodes) :]
+    prints, table_prints = _prints(nodes), _prints(table)
+    order = np.argsort(own, kind="stable")
+    for mine in np.split(order, np.flatnonzero(np.diff(own[order])) + 1):
+        other = np.flatnonzero(others != own[mine[0]])
+        step = max(1, PAIRS_AT_ONCE // len(mine))
+        for start in range(0, len(other), step):
+            some = other[start : start + step]
+            differ = prints[mine][:, None, :] ^ table_prints[some][None, :, :]
+            left, right = np.nonzero(np.bitwise_count(differ).sum(axis=2) <= radius)
+            if len(left):
+                yield nodes[mine[left]], table[some[right]]
+
+
+def _other_pairs(
+    radius: int, held: int, batches: Iterator[pa.RecordBatch]
+) -> Iterator[pa.RecordBatch]:
+    """Candidates of each bucket that have different roots. The nodes of a bucket are held as long as
+    it goes on, and every part is compared with all of them."""
+    at, table, table_roots = None, None, None
+    for (keys, nodes, roots), cuts, _ in _windows(held, batches):
+        for start, stop in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            if keys[start] != at:
+                at, table, table_roots = keys[start], nodes[start:stop], roots[start:stop]
+            else:
+                table = np.concatenate([table, nodes[start:stop]])
+                table_roots = np.concatenate([table_roots, roots[start:stop]])
+            some, own = nodes[start:stop], roots[start:stop]
+            for left, right in _across(some, own, table, table_roots, radius):
+                yield _as_pairs(left, right)
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     """Each pair once, the larger node first."""
     return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -488,7 +527,26 @@ def _similar_roots(
     )
     pairs = landed(_ordered(found.filter("crowded IS NULL")))
     tied = components(_linked(pairs, nodes, docs, similarity, size))
-    return _roots(nodes, tied)
+    crowded = found.filter("crowded IS NOT NULL").select(F.col("crowded").alias("key")).distinct()
+    if crowded.isEmpty():
+        return _roots(nodes, tied)
+    # What the ties have not connected is compared in full.
+    others = landed(
+        _ordered(
+            _roots(nodes, tied)
+            .select(F.explode("keys").alias("key"), "node", "root")
+            .join(crowded, "key", "left_semi")
+            .transform(by_bucket)
+            .transform(
+                in_arrow, partial(_other_pairs, wide, HELD), "a binary, b binary, crowded long"
+            )
+        ).join(pairs, ["a", "b"], "left_anti")
+    )
+    if others.isEmpty():
+        return _roots(nodes, tied)
+    links = _linked(others, nodes, docs, similarity, size)
+    known = tied.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return _roots(nodes, components(known.union(links)))
 
 
 def similar_kept(

@@ -198,3 +198,48 @@ def test_links_have_the_similarity_and_none_is_left(spark):
         rows += [(len(rows), base), (len(rows) + 1, others[0])]
     _, linked = check_kept(spark, rows)
     assert 10 <= len(linked) <= 50
+
+
+@pytest.mark.parametrize("held", [simhash.HELD, 40])
+def test_crowded_buckets_lose_no_link(spark, monkeypatch, held):
+    """A chain in which each text is similar to its neighbours only, all in crowded buckets."""
+    monkeypatch.setattr(simhash, "HELD", held)
+    monkeypatch.setattr(simhash, "PAIRS_BY_LEADERS", 4)
+    found = words(prose(5, 400, 10**6))
+    rows = []
+    for k in range(60):
+        rows.append((k, " ".join(found)))
+        for place in range(6):  # six words further on: neighbours at about 0.86, others below 0.8
+            found[(k * 6 + place) % 400] = f"step{k}n{place}"
+    for k in range(60):
+        base, *others = graded(3000, [k % 12 + 1])
+        rows.append((1000 + k, changed(others[0], k, 1)))
+    kept, linked = check_kept(spark, rows)
+    assert {0} <= kept and len(linked) > 60
+
+
+def test_every_pair_of_a_crowded_bucket_is_met():
+    """By brute force: rows in parts, each with those of all parts before."""
+    rng = np.random.default_rng(1)
+    nodes = rng.integers(0, 2, (90, 20), np.uint8)
+    roots = rng.integers(0, 3, (90, 1), np.uint8) * np.ones((1, 20), np.uint8)
+    batches = [
+        simhash.pa.record_batch({
+            "key": np.full(10, 7),
+            "node": simhash.pa.array([x.tobytes() for x in nodes[i : i + 10]]),
+            "root": simhash.pa.array([x.tobytes() for x in roots[i : i + 10]]),
+        })
+        for i in range(0, 90, 10)
+    ]
+    met = {
+        frozenset((a.as_py(), b.as_py()))
+        for batch in simhash._other_pairs(8, 25, iter(batches))
+        for a, b in zip(batch.column("a"), batch.column("b"))
+    }
+    wanted = {
+        frozenset((nodes[i].tobytes(), nodes[j].tobytes()))
+        for i in range(90) for j in range(i)
+        if roots[i, 0] != roots[j, 0]
+        and np.unpackbits(nodes[i, :16] ^ nodes[j, :16]).sum() <= 8
+    }
+    assert met == wanted and len(wanted) > 100
