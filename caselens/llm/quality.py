@@ -12,18 +12,22 @@ from caselens.llm.common import GAP, GAP_CHARS, landed, lower_ascii, text_or_emp
 # The characters that count as symbols, and the words of a window.
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
+# The words of a window of one line, and how many of a line's windows tell its variants: one more
+# than a changed word touches, so that a line with one changed word always shares one of them.
+LINE_WINDOW, SKETCH = 3, 4
 
 
 @dataclass(frozen=True)
 class Limits:
     """Base: fewest words, and highest percentage of words in repeated windows.
 
-    Lines: a line is common in a host if more than ``line_documents`` different documents and more
-    than ``line_share`` of the host's rows have it. Documents whose windows have the same smallest
-    hash, as most copies and near copies do, count as one, and at least ``different`` as many
-    documents as rows must have the line: what is frequent because one text was copied is no
-    boilerplate. A document is depleted if less than
+    Lines: a line is common in a host if more than ``line_documents`` different documents, and more
+    than ``line_share`` of the host's rows, have it. Copies count as one document, and so
+    do near copies: those with the same lines once a variant of a frequent line stands for that
+    line. How often a text was copied does not matter. A document is depleted if less than
     ``left_share`` of its line characters remain without common lines.
+
+    ``different`` is not applied: a share of rows would let copies of one page hide a line.
     """
 
     min_words: int = 10
@@ -73,15 +77,38 @@ def _line_hash(line: Column) -> Column:
     return F.xxhash64(F.btrim(F.regexp_replace(lower_ascii(line), GAP, " ")))
 
 
+def _sketch(line: Column) -> Column:
+    """The smallest hashes of a line's windows; none with fewer words than a window has."""
+    return F.element_at(
+        F.transform(
+            F.array(words(lower_ascii(line))),
+            lambda w: F.slice(
+                F.sort_array(
+                    F.array_distinct(
+                        F.transform(
+                            F.slice(w, F.lit(1), F.greatest(F.size(w) - LINE_WINDOW + 1, F.lit(0))),
+                            lambda x, i: F.hash(
+                                x, *(F.get(w, i + k) for k in range(1, LINE_WINDOW))
+                            ),
+                        )
+                    )
+                ),
+                1, SKETCH,
+            ),
+        ),
+        1,
+    )
+
+
 def _has_word(line: Column) -> Column:
     return F.translate(line, GAP_CHARS, "") != ""
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """The base counts of each row, and ``lines``: hash and length of every line with a word.
+    """The base counts of each row, and ``lines``: hash, length and sketch of every line with a word.
 
     One pass over the texts, landed as a narrow table. ``mark`` tells rows of one doc_id apart,
-    ``face`` tells documents apart that are no copies of each other.
+    ``body`` texts that differ in more than white space; ``face`` is the smallest window hash.
     """
     text = F.col("text")
     lines = F.filter(F.split(text, "\n"), _has_word)
@@ -97,6 +124,7 @@ def measured(docs: DataFrame) -> DataFrame:
             "doc_id",
             "host",
             F.xxhash64("text").alias("mark"),
+            F.xxhash64("w").alias("body"),
             F.size("w").cast("long").alias("n_words"),
             _length_without(text, GAP_CHARS).alias("word_chars"),
             (F.length(text) - _length_without(text, SYMBOLS)).alias("n_symbols"),
@@ -108,33 +136,66 @@ def measured(docs: DataFrame) -> DataFrame:
                     _line_hash(line).alias("h"),
                     F.length(line).alias("n"),
                     F.xxhash64(line).alias("exact"),
+                    _sketch(line).alias("sketch"),
                 ),
             ).alias("lines"),
         )
     )
 
 
-def common_lines(rows: DataFrame, limits: Limits) -> DataFrame:
-    """``(host, h)`` of the lines above the limits; counts are combined before each shuffle."""
-    seen = (
-        rows.select("host", "face", F.explode(F.array_distinct("lines.h")).alias("h"))
-        .groupBy("host", "h", "face")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .groupBy("host", "h")
-        .agg(F.count(F.lit(1)).alias("documents"), F.sum("rows").alias("rows"))
-    )
-    hosts = rows.groupBy("host").agg(F.count(F.lit(1)).alias("all_rows"))
+def _above(seen: DataFrame, sizes: DataFrame, limits: Limits) -> DataFrame:
+    """``(host, h)`` of the lines that enough of the distinct ``seen (host, h, document)`` have."""
     return (
-        seen.filter(
-            (F.col("documents") > limits.line_documents)
-            & (F.col("documents") >= limits.different * F.col("rows"))
-        )
-        .join(hosts, "host")
-        .filter(F.col("documents") > limits.line_share * F.col("all_rows"))
+        seen.groupBy("host", "h")
+        .agg(F.count(F.lit(1)).alias("documents"))
+        .filter(F.col("documents") > limits.line_documents)
+        .join(sizes, "host")
+        .filter(F.col("documents") > limits.line_share * F.col("texts"))
         .select("host", "h")
     )
 
 
+def _documents(rows: DataFrame, seen: DataFrame, frequent: DataFrame) -> DataFrame:
+    """``(host, body, document)`` of the texts with a frequent line. A line that shares a window with
+    frequent ones stands for the smallest of them; texts with the same lines are one document."""
+    lines = rows.select("host", "body", F.explode("lines").alias("line")).select(
+        "host", "body", F.col("line.h").alias("h"), F.col("line.sketch").alias("sketch")
+    )
+    stands = landed(
+        lines.join(frequent, ["host", "h"])
+        .select("host", "h", F.explode("sketch").alias("window"))
+        .groupBy("host", "window")
+        .agg(F.min("h").alias("frequent"))
+    )
+    holders = seen.select("host", "body").distinct()
+    return (
+        lines.join(holders, ["host", "body"], "left_semi")
+        .select("host", "body", "h", F.explode_outer("sketch").alias("window"))
+        .join(stands, ["host", "window"], "left")
+        .groupBy("host", "body", "h")
+        .agg(F.min("frequent").alias("frequent"))
+        .groupBy("host", "body")
+        .agg(F.collect_set(F.coalesce("frequent", "h")).alias("all"))
+        .select("host", "body", F.xxhash64(F.sort_array("all")).alias("document"))
+    )
+
+
+def common_lines(rows: DataFrame, limits: Limits) -> DataFrame:
+    """``(host, h)`` of the lines above the limits; counts are combined before each shuffle.
+
+    Lines that enough different texts have are few; only for their texts near copies are told.
+    """
+    sizes = rows.groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
+    held = rows.select("host", "body", F.explode(F.array_distinct("lines.h")).alias("h")).distinct()
+    frequent = landed(_above(held, sizes, limits))
+    if frequent.isEmpty():
+        return frequent
+    seen = landed(held.join(frequent, ["host", "h"], "left_semi"))
+    documents = _documents(rows, seen, frequent)
+    told = seen.join(documents, ["host", "body"]).select("host", "h", "document").distinct()
+    return _above(told, sizes, limits)
+
+
 def _removed(rows: DataFrame, limits: Limits) -> DataFrame:
     """``(doc_id, mark, gone, hashes)``: characters and hashes of the common lines of each row."""
     placed = rows.select("doc_id", "mark", "host", F.posexplode("lines").alias("at", "line"))

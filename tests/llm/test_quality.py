@@ -101,3 +101,18 @@ def test_query(spark, data):
     for r in rows:
         assert tuple(r[c] for c in COUNTS[1:]) == base(texts[r.doc_id])
         assert not (r.kept and r.base_failed)
+
+
+def test_pages_that_are_mostly_one_passage_are_different(spark):
+    """1,000 different pages of 95 % the same footer, in one line or in nineteen."""
+    for lines in (1, 19):
+        found = words(prose(1, 190, 10**6))
+        size = 190 // lines
+        footer = [" ".join(found[i : i + size]) for i in range(0, 190, size)]
+        rows = [(i, "\n".join([*footer, prose(100 + i, 10, 10**6)]), "h") for i in range(1000)]
+        rows += [(5000 + i, prose(5000 + i, 100, 10**6), "h") for i in range(50)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        found = {r.doc_id: r for r in quality.judged(docs).collect()}
+        assert not any(r.base_failed for r in found.values())
+        assert {i for i, r in found.items() if not r.kept} == set(range(1000))
+        assert all(found[i].gone_chars == sum(map(len, footer)) for i in range(1000))
