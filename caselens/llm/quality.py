@@ -22,7 +22,7 @@ class Limits:
     """Base: fewest words, and highest percentage of words in repeated windows.
 
     Lines: a line is common in a host if more than ``line_documents`` different documents, and more
-    than ``line_share`` of the host's rows, have it. Copies count as one document, and so
+    than ``line_share`` of the host's different texts, have it. Copies count as one document, and so
     do near copies: those with the same lines once a variant of a frequent line stands for that
     line. How often a text was copied does not matter. A document is depleted if less than
     ``left_share`` of its line characters remain without common lines.
@@ -185,7 +185,9 @@ def common_lines(rows: DataFrame, limits: Limits) -> DataFrame:
 
     Lines that enough different texts have are few; only for their texts near copies are told.
     """
-    sizes = rows.groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
+    sizes = rows.select("host", "body").distinct().groupBy("host").agg(
+        F.count(F.lit(1)).alias("texts")
+    )
     held = rows.select("host", "body", F.explode(F.array_distinct("lines.h")).alias("h")).distinct()
     frequent = landed(_above(held, sizes, limits))
     if frequent.isEmpty():

@@ -116,3 +116,20 @@ def test_pages_that_are_mostly_one_passage_are_different(spark):
         assert not any(r.base_failed for r in found.values())
         assert {i for i, r in found.items() if not r.kept} == set(range(1000))
         assert all(found[i].gone_chars == sum(map(len, footer)) for i in range(1000))
+
+
+def test_copies_of_one_page_hide_no_line(spark):
+    """A footer in 100 different documents and 900 copies and near copies of one page with it."""
+    footer = "Subscribe to our letter and never miss a thing again"
+    rows = [(i, prose(i, 60) + "\n" + footer, "h") for i in range(100)]
+    lines = [prose(9000 + k, 30) for k in range(4)]
+    for i in range(900):
+        found = words("\n".join(lines))
+        if i % 3 == 0:
+            found[i % 120] = f"changed{i}"
+        page = [" ".join(found[30 * k : 30 * k + 30]) for k in range(4)]
+        rows.append((1000 + i, "\n".join([*page, footer]), "h"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = quality.judged(docs).collect()
+    assert {r.gone_chars for r in found} == {len(footer)}
+    assert all(r.kept for r in found)
