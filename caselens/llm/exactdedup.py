@@ -13,6 +13,8 @@ from caselens.session import shared_folder
 
 # Files that one micro-batch takes at most.
 FILES_AT_ONCE = 4096
+# A file that is dated so long before the newest one seen is still read.
+FILE_AGE = "36500d"
 # Rows of one group that are compared by one task at most, about.
 ROWS_PER_SALT = 4096
 # The state lives in RocksDB on the executors' disks, with bounded memory, and its changes in the
@@ -68,14 +70,19 @@ def remember(
 
     The state keeps, per digest, the identifier and locator of the row that stays and the number of
     rows. Copies are combined before the shuffle, so that a group of many rows is one state update
-    per task. A second call with the same checkpoint only reads new files; a failed one goes on.
+    per task. A second call with the same checkpoint only reads new files, whatever their date;
+    a failed one goes on.
     """
     session = spark.newSession()
     for key, value in _STATE.items():
         session.conf.set(key, value)
     for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
         session.conf.set(key, spark.conf.get(key))
-    source = session.readStream.schema(schema).option("maxFilesPerTrigger", files_at_once)
+    source = (
+        session.readStream.schema(schema)
+        .option("maxFilesPerTrigger", files_at_once)
+        .option("maxFileAge", FILE_AGE)
+    )
     groups = (
         _located(source.parquet(_as_pattern(path)), digest)
         .groupBy("digest")

@@ -1,7 +1,10 @@
 """Exact de-duplication: state, locators, byte checks and resumption."""
 
 import hashlib
+import os
+import time
 from collections import defaultdict
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -89,6 +92,21 @@ def test_state_survives_and_takes_only_new_files(spark):
         assert sorted((r["first"].doc_id, r["size"]) for r in state) == [(1, 3), (6, 1), (9, 1)]
 
 
+def test_a_late_file_with_an_old_date_is_read(spark):
+    path, checkpoint = shared_folder(spark), shared_folder(spark)
+    first = spark.createDataFrame([(5, "a"), (6, "b")], "doc_id long, text string")
+    first.coalesce(1).write.parquet(path)
+    exactdedup.remember(spark, path, first.schema, checkpoint)
+    before = set(Path(path).glob("*.parquet"))
+    first.limit(1).selectExpr("doc_id - 4 AS doc_id", "text").write.mode("append").parquet(path)
+    month_ago = time.time() - 31 * 86400
+    for file in set(Path(path).glob("*.parquet")) - before:
+        os.utime(file, (month_ago, month_ago))
+    exactdedup.remember(spark, path, first.schema, checkpoint)
+    state = exactdedup.remembered(spark, checkpoint).collect()
+    assert sorted((r["first"].doc_id, r["size"]) for r in state) == [(1, 2), (6, 1)]
+
+
 def test_query_matches_sql(spark, data):
     name = "op7_exact_dedup"
     assert differences(QUERIES[name](spark, data), oracle_connection(data), ORACLE[name]) == ""
