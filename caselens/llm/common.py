@@ -16,6 +16,10 @@ _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__
 GAP = r"[\x20\x09-\x0D]+"
 GAP_CHARS = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# What becomes of each byte of a text of terms: A-Z are lowered, other ASCII signs are gaps.
+_TERM_BYTES = bytes(
+    b if b >= 128 or chr(b).isalnum() else 32 for b in bytes(range(256)).lower()
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -47,6 +51,12 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, GAP), lambda word: word != "")
 
 
+def terms(text: bytes) -> list[bytes]:
+    """The terms of a UTF-8 text in order: runs of letters, digits and non-ASCII characters. Only
+    A-Z are lowered."""
+    return text.translate(_TERM_BYTES).split()
+
+
 def in_arrow(frame: DataFrame, function: Callable, schema) -> DataFrame:
     """``mapInArrow`` whose workers find this package where the driver has it, if they share a disk.
 

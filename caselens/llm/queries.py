@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselens.llm import (
-    bpe, classifier, exactdedup, packing, quality, sharding, simhash, tokens, urlfilter, warc,
+    bpe, classifier, exactdedup, lexical, packing, quality, resample, sharding, simhash, tokens,
+    urlfilter, warc,
 )
 from caselens.llm.common import table, text_or_empty
 from caselens.session import shared_folder
@@ -87,6 +88,14 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_resample(spark: SparkSession, folder: str) -> DataFrame:
+    return resample.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_url_filter": op2_url_filter,
@@ -98,6 +107,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_warc_audit": op9_warc_audit,
     "op10_bpe": op10_bpe,
+    "op12_resample": op12_resample,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLE: dict[str, str] = {
@@ -143,4 +154,112 @@ ORACLE: dict[str, str] = {
                     ELSE 'allow' END AS verdict
         FROM ruled
     """,
+    "op12_resample": r"""
+        WITH crc_table AS (
+            SELECT list(value ORDER BY byte) AS steps FROM (
+                SELECT byte, list_reduce(
+                           list_prepend(byte, [0, 0, 0, 0, 0, 0, 0, 0]),
+                           lambda v, x: xor(v >> 1, 3988292384 * (v & 1))
+                       ) AS value
+                FROM (SELECT unnest(range(256)) AS byte)
+            )
+        ),
+        texts AS (
+            SELECT 'd' AS side, rowid AS id, text FROM (SELECT row_number() OVER () AS rowid, text
+                                                        FROM documents)
+            UNION ALL
+            SELECT 'b', 0, text FROM benchmark
+        ),
+        found AS (
+            SELECT side, id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+            FROM texts
+        ),
+        words AS (SELECT side, id, word, count(*) AS times FROM found GROUP BY ALL),
+        coded AS (
+            SELECT word, hex(encode(word)) AS code FROM (SELECT DISTINCT word FROM words)
+        ),
+        hashed AS (
+            SELECT word, xor(4294967295, list_reduce(
+                       list_prepend(4294967295, list_transform(
+                           range(length(code) // 2),
+                           lambda i: ('0x' || substr(code, 2 * i + 1, 2))::BIGINT)),
+                       lambda r, x: xor(r >> 8, steps[(xor(r, x) & 255) + 1]))) % 10000 AS bucket
+            FROM coded, crc_table
+        ),
+        placed AS (
+            SELECT side, id, bucket, sum(times)::BIGINT AS times FROM words JOIN hashed USING (word)
+            GROUP BY ALL
+        ),
+        counts AS (
+            SELECT bucket, coalesce(sum(times) FILTER (side = 'd'), 0)::BIGINT AS s,
+                   coalesce(sum(times) FILTER (side = 'b'), 0)::BIGINT AS t
+            FROM placed GROUP BY bucket
+        ),
+        totals AS (SELECT sum(s)::DOUBLE AS total_s, sum(t)::DOUBLE AS total_t FROM counts),
+        gains AS (
+            SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (total_s + 10000)
+                                 / ((s + 1)::DOUBLE * (total_t + 10000))))::BIGINT AS gain
+            FROM counts, totals
+        ),
+        weights AS (
+            SELECT id, sum(times)::BIGINT AS n, sum(times * gain)::BIGINT AS total
+            FROM placed JOIN gains USING (bucket) WHERE side = 'd' GROUP BY id
+        ),
+        scored AS (
+            SELECT doc_id, coalesce(n, 0) AS n_features,
+                   coalesce((total - ((total % n + n) % n)) // n, 0) AS weight,
+                   floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id::VARCHAR), 1, 8)
+                                          )::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS noise
+            FROM (SELECT doc_id, row_number() OVER () AS id FROM documents) LEFT JOIN weights USING (id)
+        ),
+        summed AS (SELECT doc_id, n_features, weight, weight + noise AS score FROM scored),
+        placed_rows AS (
+            SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS place,
+                   count(*) OVER () AS able
+            FROM summed WHERE n_features >= 20
+        )
+        SELECT s.doc_id, s.n_features, s.weight, s.score,
+               CASE WHEN place <= 10 * able // 100 THEN place END AS rank
+        FROM summed s LEFT JOIN placed_rows p USING (doc_id)
+    """,
+    "op13_lexical_search": r"""
+        WITH found AS (
+            SELECT doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n FROM found GROUP BY doc_id),
+        whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS length FROM sizes),
+        asked AS (
+            SELECT item_id, term, count(*) AS times FROM (
+                SELECT item_id, unnest(regexp_extract_all(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                FROM benchmark) GROUP BY ALL
+        ),
+        held AS (SELECT doc_id, term, count(*) AS tf FROM found
+                 WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+            FROM held, whole GROUP BY term, docs
+        ),
+        impacts AS (
+            SELECT doc_id, term,
+                   (1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // length)) AS impact
+            FROM held JOIN sizes USING (doc_id), whole
+        ),
+        scores AS (
+            SELECT item_id, doc_id, sum(times * w * impact)::BIGINT AS score
+            FROM asked JOIN weights USING (term) JOIN impacts USING (term) GROUP BY ALL
+        ),
+        ranks AS (
+            SELECT item_id, doc_id, score,
+                   row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank
+            FROM scores WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM ranks WHERE rank <= 10
+    """,
 }
