@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselens.llm import (
-    bpe, classifier, exactdedup, lexical, packing, quality, resample, sharding, simhash, tokens,
+    bpe, classifier, exactdedup, lexical, packing, pii, quality, resample, sharding, simhash, tokens,
     urlfilter, warc,
 )
 from caselens.llm.common import table, text_or_empty
@@ -88,6 +88,30 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """``n_*`` count the base spans; ``n_added`` counts those that the model adds."""
+    found = pii.found_spans(table(spark, folder, "documents"))
+
+    def printed(spans):
+        # By start, then by the kind's place among the kinds.
+        kinds = F.array(*map(F.lit, pii.KINDS))
+        keyed = F.transform(spans, lambda s: F.struct(
+            s["start"].alias("start"), F.array_position(kinds, s["kind"]).alias("place"),
+            F.concat_ws(":", s["kind"], s["start"], s["stop"]).alias("name"),
+        ))
+        return F.array_join(F.transform(F.array_sort(keyed), lambda s: s["name"]), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id", *(count(kind).alias(f"n_{kind}") for kind in pii.KINDS),
+        F.sha2(printed(F.col("spans")), 256).alias("base_sha256"),
+        printed(F.concat("spans", "added")).alias("spans"),
+        F.size("added").cast("long").alias("n_added"),
+    )
+
+
 def op12_resample(spark: SparkSession, folder: str) -> DataFrame:
     return resample.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -107,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_warc_audit": op9_warc_audit,
     "op10_bpe": op10_bpe,
+    "op11_pii": op11_pii,
     "op12_resample": op12_resample,
     "op13_lexical_search": op13_lexical_search,
 }
