@@ -69,6 +69,7 @@ class WordBpe:
             else:
                 self.inner[token_bytes(name)] = token
         self.longest = max(map(len, self.inner))
+        self.longest_final = max(map(len, self.final))
 
     def compatible(
         self, left: np.ndarray, right: np.ndarray, until: np.ndarray | None = None
@@ -102,8 +103,9 @@ class WordBpe:
         """Greedy: the longest token each time; the last one must end the word."""
         out, start, size = [], 0, len(word)
         final, inner, longest = self.final, self.inner, self.longest
+        ending = size - self.longest_final
         while True:
-            token = final.get(word[start:])
+            token = final.get(word[start:]) if start >= ending else None
             if token is not None:
                 out.append(token)
                 return out

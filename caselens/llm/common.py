@@ -57,15 +57,20 @@ def terms(text: bytes) -> list[bytes]:
     return text.translate(_TERM_BYTES).split()
 
 
-def in_arrow(frame: DataFrame, function: Callable, schema) -> DataFrame:
-    """``mapInArrow`` whose workers find this package where the driver has it, if they share a disk.
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver has it, if they share a disk.
 
     On a cluster the package is installed or shipped with the job, and the path does no harm.
     """
-    environment = frame.sparkSession.sparkContext.environment
+    environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if _ROOT not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, paths)])
+
+
+def in_arrow(frame: DataFrame, function: Callable, schema) -> DataFrame:
+    """``mapInArrow`` whose workers find this package."""
+    share_package(frame.sparkSession)
     return frame.mapInArrow(function, schema)
 
 

@@ -9,10 +9,10 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caselens.llm.common import in_arrow, landed, per_batch
+from caselens.llm.common import in_arrow, landed, per_batch, share_package
 from caselens.llm.components import components
 
 RADIUS = 3
@@ -240,16 +240,18 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 # Texts of a given similarity differ in a larger share of their bits than three of 64, more than an
 # index of bits can cover. So MinHash brings similar texts together: each band of a few minima is a
 # bucket, and as many bands find a pair in at least one of them with the wanted probability, however
-# many texts there are. A wide distance of longer fingerprints leaves out most others. These are
-# candidates only; a pair is linked if the shingle sets themselves are as similar as wanted.
+# many texts there are.
 #
-# Of a bucket with many pairs, rows are first tied to a few of them. What these links connect needs
-# no further look; all other pairs of the bucket are compared in a second pass.
+# First each row of a bucket is tied to a leader, a row with a close 128-bit fingerprint; ties whose
+# shingle sets are similar are links. What they connect needs no further look. Then all rows of a
+# bucket that have a possible partner among the others are brought together with their shingle sets,
+# and judged right there: only links that connect something leave the bucket, never candidates. A
+# large bucket falls into blocks, and each pair of blocks is judged on its own.
 
 LONG = 128
 SIMILARITY, WORDS, RECALL = 0.8, 5, 0.999
-# Rows of one bucket held at once; a bucket of more pairs than this is first tied to leaders.
-HELD, PAIRS_BY_LEADERS = 1 << 16, 1 << 8
+# Rows held at once while ties are looked for; rows, and shingles, of a block of a large bucket.
+HELD, BLOCK_ROWS, BLOCK_SHINGLES = 1 << 16, 1 << 14, 1 << 20
 # Minima of a band, and shingles whose minima are taken at once.
 BAND, MINIMA_AT_ONCE = 5, 1 << 12
 # Bytes of a node: its fingerprint and what tells different shingle sets of one fingerprint apart.
@@ -268,18 +270,6 @@ def radius_of(similarity: float, deviations: float) -> int:
     return round(LONG * share + deviations * math.sqrt(LONG * share * (1 - share)))
 
 
-def index_shape(nodes: int, similarity: float = SIMILARITY) -> tuple[int, int]:
-    """Bits of a segment, so that a bucket holds about one unrelated fingerprint, and how many
-    tables find a pair of just the average distance with probability ``RECALL``.
-
-    ``similar_kept`` does not use it: pairs beyond the average distance are found less often.
-    """
-    bits = max(16, min(40, math.ceil(math.log2(max(2, nodes)))))
-    same = 1 - _share(similarity)
-    found = same**bits + bits * (1 - same) * same ** (bits - 1)
-    return bits, math.ceil(math.log(1 - RECALL) / math.log(1 - found))
-
-
 def bands(similarity: float = SIMILARITY) -> int:
     """How many bands find a pair of just this similarity with probability ``RECALL``."""
     return max(1, math.ceil(math.log(1 - RECALL) / math.log(1 - min(similarity, 0.999) ** BAND)))
@@ -319,14 +309,16 @@ def _band_keys(hashes: np.ndarray, count: int) -> np.ndarray:
 
 
 def _nodes_of(size: int, count: int, batch: pa.RecordBatch) -> pa.RecordBatch:
-    nodes, keys = [], []
+    nodes, keys, sizes = [], [], []
     for text in batch.column("text").cast(pa.binary()):
         hashes = _shingles(text.as_py() or b"", size)
         nodes.append(_node(hashes))
         keys.append(_band_keys(hashes, count))
+        sizes.append(len(hashes))
     return pa.record_batch({
         "doc_id": batch.column("doc_id"), "mark": batch.column("mark"),
-        "node": pa.array(nodes, pa.binary()), "keys": pa.array(keys, pa.list_(pa.int64())),
+        "node": pa.array(nodes, pa.binary()), "size": pa.array(sizes, pa.int64()),
+        "keys": pa.array(keys, pa.list_(pa.int64())),
     })
 
 
@@ -362,10 +354,7 @@ def _windows(
     for batch in batches:
         if not batch.num_rows:
             continue
-        some = [
-            batch.column("key").to_numpy(),
-            *(_bytes_of(batch.column(c)) for c in ("node", "root") if c in batch.schema.names),
-        ]
+        some = [batch.column("key").to_numpy(), _bytes_of(batch.column("node"))]
         rows = some if rows is None else [np.concatenate(x) for x in zip(rows, some)]
         if len(rows[0]) < held:
             continue
@@ -399,76 +388,121 @@ def _led(
 
 def _as_pairs(left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
     packed = [pa.array([r.tobytes() for r in x], pa.binary()) for x in (left, right)]
-    return pa.record_batch([*packed, pa.nulls(len(left), pa.int64())], ["a", "b", "crowded"])
+    return pa.record_batch(packed, ["a", "b"])
 
 
-def _first_pairs(
-    radius: int, close: int, held: int, crowded: int, batches: Iterator[pa.RecordBatch]
-) -> Iterator[pa.RecordBatch]:
-    """Candidates ``(a, b)``: all of each bucket, but of those of more than ``crowded`` pairs only
-    ties to leaders, and a row with the bucket's key as ``crowded``."""
+def _ties(close: int, held: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """At most one candidate ``(a, b)`` for each row of a bucket: the row and its leader."""
     at, leaders = None, []
     for (keys, nodes), cuts, goes_on in _windows(held, batches):
-        sizes = np.diff(cuts)
-        led = sizes * sizes > crowded
-        led[0] |= keys[0] == at
-        led[-1] |= goes_on
-        for bucket in np.flatnonzero(led).tolist():
+        several = np.diff(cuts) > 1
+        several[0] |= keys[0] == at
+        several[-1] |= goes_on
+        found = []
+        for bucket in np.flatnonzero(several).tolist():
             rows = slice(cuts[bucket], cuts[bucket + 1])
             if keys[rows.start] != at:
                 at, leaders = keys[rows.start], []
             ties, leaders = _led(nodes[rows], close, leaders)
-            yield from (_as_pairs(left, right) for left, right in ties if len(left))
-        full = pa.array(keys[cuts[:-1][led]])
-        if len(full):
-            none = pa.nulls(len(full), pa.binary())
-            yield pa.record_batch([none, none, full], ["a", "b", "crowded"])
-        plain = np.repeat(~led & (sizes > 1), sizes)
-        some = nodes[plain]
-        if len(some):
-            every = np.ones(len(some), bool)
-            for left, right in _near_in(keys[plain], _prints(some), every, radius):
-                once = left < right
-                if once.any():
-                    yield _as_pairs(some[left[once]], some[right[once]])
-
-
-def _across(
-    nodes: np.ndarray, roots: np.ndarray, table: np.ndarray, table_roots: np.ndarray, radius: int
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Near pairs of a row and a row of the table that have different roots."""
-    both = np.ascontiguousarray(np.concatenate([roots, table_roots]))
-    codes = np.unique(both.view(f"V{both.shape[1]}").ravel(), return_inverse=True)[1].ravel()
-    own, others = codes[: len(nodes)], codes[len(nodes) :]
-    prints, table_prints = _prints(nodes), _prints(table)
-    order = np.argsort(own, kind="stable")
-    for mine in np.split(order, np.flatnonzero(np.diff(own[order])) + 1):
-        other = np.flatnonzero(others != own[mine[0]])
-        step = max(1, PAIRS_AT_ONCE // len(mine))
-        for start in range(0, len(other), step):
-            some = other[start : start + step]
-            differ = prints[mine][:, None, :] ^ table_prints[some][None, :, :]
-            left, right = np.nonzero(np.bitwise_count(differ).sum(axis=2) <= radius)
-            if len(left):
-                yield nodes[mine[left]], table[some[right]]
-
-
-def _other_pairs(
-    radius: int, held: int, batches: Iterator[pa.RecordBatch]
-) -> Iterator[pa.RecordBatch]:
-    """Candidates of each bucket that have different roots. The nodes of a bucket are held as long as
-    it goes on, and every part is compared with all of them."""
-    at, table, table_roots = None, None, None
-    for (keys, nodes, roots), cuts, _ in _windows(held, batches):
-        for start, stop in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            if keys[start] != at:
-                at, table, table_roots = keys[start], nodes[start:stop], roots[start:stop]
-            else:
-                table = np.concatenate([table, nodes[start:stop]])
-                table_roots = np.concatenate([table_roots, roots[start:stop]])
-            some, own = nodes[start:stop], roots[start:stop]
-            for left, right in _across(some, own, table, table_roots, radius):
-                yield _as_pairs(left, right)
+            found += [tie for tie in ties if len(tie[0])]
+        if found:
+            yield _as_pairs(*(np.concatenate(x) for x in zip(*found)))
+
+
+# --- blocks of a bucket --------------------------------------------------------------------------
+
+
+def _in_block_pairs(rows: DataFrame, weight: Column, size: int) -> DataFrame:
+    """``rows (key, node, ...)`` dealt to pairs of blocks: each row once for every block of its
+    bucket. Blocks hold about ``size`` of the weight; most buckets are one block, paired with itself.
+    """
+    blocks = rows.groupBy("key").agg(
+        F.ceil(F.sum(weight) / size).cast("int").alias("blocks")
+    ).select("key", F.greatest("blocks", F.lit(1)).alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    return (
+        rows.join(blocks, "key")
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("low", F.least("own", "other"))
+        .withColumn("high", F.greatest("own", "other"))
+        .drop("blocks", "other")
+    )
+
+
+def _codes(rows: np.ndarray) -> np.ndarray:
+    """Equal numbers for equal rows of bytes."""
+    flat = np.ascontiguousarray(rows).view(f"V{rows.shape[1]}").ravel()
+    return np.unique(flat, return_inverse=True)[1].ravel()
+
+
+def _pair_of_blocks(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Nodes, codes of their roots, and the side of each row: 0 or 1, or 2 where a block is paired
+    with itself, so that all its rows are compared."""
+    nodes, roots = (_bytes_of(table.column(c).combine_chunks()) for c in ("node", "root"))
+    low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+    side = (table.column("own").to_numpy() == high).astype(np.int64)
+    return nodes, _codes(roots), np.full(len(nodes), 2) if low == high else side
+
+
+def _open_rows(radius: int, table: pa.Table) -> pa.Table:
+    """The rows that have a possible partner under another root: a close enough fingerprint."""
+    nodes, roots, side = _pair_of_blocks(table)
+    prints = _prints(nodes)
+    found = np.zeros(len(nodes), bool)
+    for row in np.flatnonzero(side != 1).tolist():
+        near = (_distance(prints, prints[row]) <= radius) & (roots != roots[row])
+        if side[row] == 0:
+            near &= side == 1
+        if near.any():
+            found |= near
+            found[row] = True
+    return table.select(["key", "node", "root"]).filter(pa.array(found))
+
+
+def _links_of_blocks(radius: int, similarity: float, table: pa.Table) -> pa.Table:
+    """Links between different roots, as pairs of roots, that connect all that is connected."""
+    nodes, roots, side = _pair_of_blocks(table)
+    prints, lists = _prints(nodes), table.column("shingles").combine_chunks()
+    sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    starts = np.cumsum(sizes) - sizes
+    known, codes = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+    marked, group, found = np.zeros(len(known), bool), roots.copy(), []
+    for row in np.flatnonzero(side != 1).tolist():
+        able = group != group[row]
+        if side[row] == 0:
+            able &= side == 1
+        able &= np.minimum(sizes, sizes[row]) >= similarity * np.maximum(sizes, sizes[row])
+        some = np.flatnonzero(able)
+        some = some[_distance(prints[some], prints[row]) <= radius]
+        some = some[sizes[some] > 0]
+        if not len(some):
+            continue
+        own = codes[starts[row] : starts[row] + sizes[row]]
+        marked[own] = True
+        ends = np.cumsum(sizes[some])
+        places = np.arange(ends[-1]) + np.repeat(starts[some] - ends + sizes[some], sizes[some])
+        both = np.add.reduceat(marked[codes[places]].astype(np.int64), ends - sizes[some])
+        marked[own] = False
+        for other in some[both / (sizes[row] + sizes[some] - both) >= similarity].tolist():
+            if group[other] != group[row]:
+                found.append((row, other))
+                group[group == group[other]] = group[row]
+    column = table.column("root").combine_chunks()
+    left, right = zip(*found) if found else ((), ())
+    return pa.table({
+        "a": column.take(pa.array(left, pa.int64())), "b": column.take(pa.array(right, pa.int64())),
+    })
+
+
+def _per_pair(rows: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """The function of each pair of blocks; a pair is of bounded size."""
+    share_package(rows.sparkSession)
+
+    def run(table: pa.Table) -> pa.Table:
+        return function(table)
+
+    return rows.groupBy("key", "low", "high").applyInArrow(run, schema)
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -476,16 +510,13 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def _linked(
-    pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: float, size: int
-) -> DataFrame:
-    """The candidates whose shingle sets have the wanted Jaccard similarity, from one text a node."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """``(node, shingles)`` of the distinct ``wanted (node)``, from one text a node."""
     at = nodes.join(wanted, "node").select(
         "node", F.col("first.doc_id").alias("at_id"), F.col("first.mark").alias("at_mark")
     )
     same = F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("mark") == F.col("at_mark"))
-    sets = landed(
+    return landed(
         docs.join(at, same).select("node", "text")
         .transform(
             in_arrow, per_batch(partial(_shingle_sets, size)), "node binary, shingles array<long>"
@@ -493,6 +524,10 @@ def _linked(
         .groupBy("node")
         .agg(F.first("shingles").alias("shingles"))
     )
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The candidates whose shingle sets have the wanted Jaccard similarity."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
     shared = F.size(F.array_intersect("left", "right"))
@@ -511,40 +546,37 @@ def _roots(nodes: DataFrame, tied: DataFrame) -> DataFrame:
 def _similar_roots(
     nodes: DataFrame, docs: DataFrame, similarity: float, size: int
 ) -> DataFrame:
-    """``nodes`` with ``root``, the same for all nodes that links lead to."""
-    wide, close = radius_of(similarity, 7), radius_of(similarity, 1.4)
-
-    def by_bucket(rows: DataFrame) -> DataFrame:
-        return rows.repartition("key").sortWithinPartitions("key")
-
-    found = landed(
+    """``nodes`` with ``root``, the same for all nodes that links lead to. No step gives more rows
+    than there are nodes in buckets, but for the copies of rows that pairs of blocks need."""
+    wide, close = radius_of(similarity, 4), radius_of(similarity, 1.4)
+    pairs = landed(_ordered(
         nodes.select(F.explode("keys").alias("key"), "node")
-        .transform(by_bucket)
-        .transform(
-            in_arrow, partial(_first_pairs, wide, close, HELD, PAIRS_BY_LEADERS),
-            "a binary, b binary, crowded long",
-        )
-    )
-    pairs = landed(_ordered(found.filter("crowded IS NULL")))
-    tied = components(_linked(pairs, nodes, docs, similarity, size))
-    crowded = found.filter("crowded IS NOT NULL").select(F.col("crowded").alias("key")).distinct()
-    if crowded.isEmpty():
-        return _roots(nodes, tied)
+        .repartition("key").sortWithinPartitions("key")
+        .transform(in_arrow, partial(_ties, close, HELD), "a binary, b binary")
+    ))
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    tied = components(_linked(pairs, _sets(ends, nodes, docs, size), similarity))
     # What the ties have not connected is compared in full.
-    others = landed(
-        _ordered(
-            _roots(nodes, tied)
-            .select(F.explode("keys").alias("key"), "node", "root")
-            .join(crowded, "key", "left_semi")
-            .transform(by_bucket)
-            .transform(
-                in_arrow, partial(_other_pairs, wide, HELD), "a binary, b binary, crowded long"
-            )
-        ).join(pairs, ["a", "b"], "left_anti")
+    rooted = _roots(nodes, tied).select(F.explode("keys").alias("key"), "node", "root")
+    mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter(
+        "low <> high"
     )
-    if others.isEmpty():
+    waiting = landed(rooted.join(mixed.select("key"), "key", "left_semi"))
+    kind = "key long, node binary, root binary"
+    open_rows = landed(
+        _in_block_pairs(waiting, F.lit(1), BLOCK_ROWS)
+        .transform(_per_pair, partial(_open_rows, wide), kind)
+        .distinct()
+    )
+    if open_rows.isEmpty():
         return _roots(nodes, tied)
-    links = _linked(others, nodes, docs, similarity, size)
+    sets = _sets(open_rows.select("node").distinct(), nodes, docs, size)
+    links = landed(
+        _in_block_pairs(open_rows.join(nodes.select("node", "size"), "node"), F.col("size"), BLOCK_SHINGLES)
+        .join(sets, "node")
+        .transform(_per_pair, partial(_links_of_blocks, wide, similarity), "a binary, b binary")
+        .distinct()
+    )
     known = tied.select(F.col("node").alias("a"), F.col("root").alias("b"))
     return _roots(nodes, components(known.union(links)))
 
@@ -568,11 +600,15 @@ def similar_kept(
     marked = landed(
         keyed.transform(
             in_arrow, per_batch(partial(_nodes_of, size, bands(similarity))),
-            "doc_id long, mark long, node binary, keys array<long>",
+            "doc_id long, mark long, node binary, size long, keys array<long>",
         )
     )
     smallest = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark"))
-    nodes = landed(marked.groupBy("node").agg(smallest.alias("first"), F.first("keys").alias("keys")))
+    nodes = landed(
+        marked.groupBy("node").agg(
+            smallest.alias("first"), F.first("keys").alias("keys"), F.first("size").alias("size")
+        )
+    )
     stay = (
         _similar_roots(nodes, keyed, similarity, size)
         .groupBy("root")

@@ -23,6 +23,9 @@ PIECE, TOGETHER = 1 << 15, 1 << 20
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Texts of these characters are cut alike by every version of the character tables.
 PLAIN = re.compile("[\t-\r\x20-\x7e\xa1-ɏ]*")
+# The fast encoder's pattern gives up on white space of about a million characters; such texts are
+# left to the library.
+_LONG_GAP = re.compile(r"\s{10000}")
 # A token never spans white space that follows a letter or digit, so a text may be cut there.
 _CUT = re.compile(r"(?<=[0-9A-Za-z])[ \n]")
 
@@ -67,9 +70,17 @@ class ByteBpe:
         self.library.no_truncation()
         self.library.no_padding()
 
+    def plain(self, text: str) -> bool:
+        """Whether the fast encoder may read a text."""
+        return bool(
+            PLAIN.fullmatch(text)
+            and not self.special.search(text)
+            and (len(text) < 10_000 or not _LONG_GAP.search(text))
+        )
+
     def batch(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text; special strings inside a text become their special token."""
-        if all(PLAIN.fullmatch(t) and not self.special.search(t) for t in texts):
+        if all(map(self.plain, texts)):
             return [self.fast.encode_ordinary(t) for t in texts]
         found = self.library.encode_batch(texts, add_special_tokens=False)
         return [f.ids for f in found]
@@ -122,7 +133,7 @@ def _lengths(path: str, batch: pa.RecordBatch) -> pa.RecordBatch:
 
 def _add(encoder: ByteBpe, held: list[tuple[int, str]], counts: np.ndarray) -> None:
     """Encode the held pieces in two batches, plain and other, and add up lengths by row."""
-    plain = [bool(PLAIN.fullmatch(p) and not encoder.special.search(p)) for _, p in held]
+    plain = [encoder.plain(p) for _, p in held]
     for kind in (True, False):
         some = [x for x, k in zip(held, plain) if k == kind]
         if some:

@@ -2,11 +2,13 @@
 
 import hashlib
 import random
+import time
 import zlib
 from collections import defaultdict
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -233,3 +235,38 @@ def test_packing_query(spark, data):
     assert {r.doc_id for r in rows} == set(documents)
     check_pieces(rows, documents)
     assert len({r.sequence_id for r in rows}) == plain_best_fit([r.length for r in rows])
+
+
+def long_runs():
+    """Runs of one sign beyond what the fast encoder takes, alone and between words, and a word of a
+    million letters."""
+    rnd = random.Random(5)
+    runs = [sign * 2_000_000 for sign in (" ", "\n", "a", "%")]
+    return [
+        *runs, f"some words {runs[0]} and {runs[1]}more", " \t" * 700_000,
+        "".join(rnd.choice("abcdefghij") for _ in range(1_000_000)),
+    ]
+
+
+def test_long_runs_as_the_library_has_them():
+    some = long_runs()
+    batch = pa.record_batch({
+        "doc_id": list(range(len(some))), "text": some, "n_bytes": [len(t) for t in some],
+    })
+    path = public_tokenizers.path(BYTES)
+    counts = tokens._lengths(path, batch).column("n_tokens").to_pylist()
+    for text, count in zip(some[:-1], counts):
+        wanted = ids(BYTES, text)
+        assert own(BYTES).ids(text).tolist() == wanted and count == len(wanted)
+
+
+@pytest.mark.parametrize("place", range(7))
+def test_long_words_take_no_time(place):
+    text = long_runs()[place]
+    start = time.perf_counter()
+    (found, decoded), = own(WORDS).encode([text])
+    assert time.perf_counter() - start < 40
+    if place < 6:
+        wanted = ids(WORDS, text)
+        assert found.tolist() == wanted
+        assert decoded == library(WORDS).decode(wanted, skip_special_tokens=False)
