@@ -12,9 +12,9 @@ from caselens.llm.common import GAP, GAP_CHARS, landed, lower_ascii, text_or_emp
 # The characters that count as symbols, and the words of a window.
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
-# The words of a window of one line, and how many of a line's windows tell its variants: one more
-# than a changed word touches, so that a line with one changed word always shares one of them.
-LINE_WINDOW, SKETCH = 3, 4
+# Of a line's variants: words of a window, windows of a sketch, minima that bring lines together, and
+# the share of their windows that a line and its variant have in common.
+LINE_WINDOW, SKETCH, MINIMA, ALIKE = 3, 32, 8, 0.3
 
 
 @dataclass(frozen=True)
@@ -23,18 +23,15 @@ class Limits:
 
     Lines: a line is common in a host if more than ``line_documents`` different documents, and more
     than ``line_share`` of the host's different texts, have it. Copies count as one document, and so
-    do near copies: those with the same lines once a variant of a frequent line stands for that
-    line. How often a text was copied does not matter. A document is depleted if less than
-    ``left_share`` of its line characters remain without common lines.
-
-    ``different`` is not applied: a share of rows would let copies of one page hide a line.
+    do near copies: those with the same lines once a line that is a variant of a frequent line, which
+    the document lacks, stands for that line. How often a text was copied does not matter. A document
+    is depleted if less than ``left_share`` of its line characters remain without common lines.
     """
 
     min_words: int = 10
     repeated_percent: int = 20
     line_documents: int = 20
     line_share: float = 0.001
-    different: float = 0.4
     left_share: float = 0.1
 
 
@@ -77,47 +74,51 @@ def _line_hash(line: Column) -> Column:
     return F.xxhash64(F.btrim(F.regexp_replace(lower_ascii(line), GAP, " ")))
 
 
-def _sketch(line: Column) -> Column:
-    """The smallest hashes of a line's windows; none with fewer words than a window has."""
+def _windows_of(line: Column) -> Column:
+    """Distinct hashes of the windows of a line; none with fewer words than a window has."""
     return F.element_at(
         F.transform(
             F.array(words(lower_ascii(line))),
-            lambda w: F.slice(
-                F.sort_array(
-                    F.array_distinct(
-                        F.transform(
-                            F.slice(w, F.lit(1), F.greatest(F.size(w) - LINE_WINDOW + 1, F.lit(0))),
-                            lambda x, i: F.hash(
-                                x, *(F.get(w, i + k) for k in range(1, LINE_WINDOW))
-                            ),
-                        )
-                    )
-                ),
-                1, SKETCH,
+            lambda w: F.array_distinct(
+                F.transform(
+                    F.slice(w, F.lit(1), F.greatest(F.size(w) - LINE_WINDOW + 1, F.lit(0))),
+                    lambda x, i: F.hash(x, *(F.get(w, i + k) for k in range(1, LINE_WINDOW))),
+                )
             ),
         ),
         1,
     )
 
 
+def _minima(windows: str) -> Column:
+    def least(seed: int) -> Column:
+        return F.array_min(F.transform(windows, lambda x: F.xxhash64(x, F.lit(seed))))
+
+    return F.array(*map(least, range(MINIMA)))
+
+
 def _has_word(line: Column) -> Column:
     return F.translate(line, GAP_CHARS, "") != ""
 
 
+def _hosted(docs: DataFrame) -> DataFrame:
+    return docs.select(
+        "doc_id",
+        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"),
+        text_or_empty().alias("text"),
+    )
+
+
 def measured(docs: DataFrame) -> DataFrame:
-    """The base counts of each row, and ``lines``: hash, length and sketch of every line with a word.
+    """The base counts of each row, and ``lines``: hashes and length of every line with a word.
 
     One pass over the texts, landed as a narrow table. ``mark`` tells rows of one doc_id apart,
-    ``body`` texts that differ in more than white space; ``face`` is the smallest window hash.
+    ``body`` texts that differ in more than white space.
     """
     text = F.col("text")
     lines = F.filter(F.split(text, "\n"), _has_word)
     return landed(
-        docs.select(
-            "doc_id",
-            F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"),
-            text_or_empty().alias("text"),
-        )
+        _hosted(docs)
         .withColumn("w", words(text))
         .withColumn("g", F.expr(_WINDOWS))
         .select(
@@ -129,14 +130,12 @@ def measured(docs: DataFrame) -> DataFrame:
             _length_without(text, GAP_CHARS).alias("word_chars"),
             (F.length(text) - _length_without(text, SYMBOLS)).alias("n_symbols"),
             F.expr(_REPEATED).alias("n_repeat_words"),
-            F.coalesce(F.array_min("g"), F.xxhash64("text")).alias("face"),
             F.transform(
                 lines,
                 lambda line: F.struct(
                     _line_hash(line).alias("h"),
                     F.length(line).alias("n"),
                     F.xxhash64(line).alias("exact"),
-                    _sketch(line).alias("sketch"),
                 ),
             ).alias("lines"),
         )
@@ -155,35 +154,74 @@ def _above(seen: DataFrame, sizes: DataFrame, limits: Limits) -> DataFrame:
     )
 
 
-def _documents(rows: DataFrame, seen: DataFrame, frequent: DataFrame) -> DataFrame:
-    """``(host, body, document)`` of the texts with a frequent line. A line that shares a window with
-    frequent ones stands for the smallest of them; texts with the same lines are one document."""
-    lines = rows.select("host", "body", F.explode("lines").alias("line")).select(
-        "host", "body", F.col("line.h").alias("h"), F.col("line.sketch").alias("sketch")
+def _variants(held: DataFrame, frequent: DataFrame) -> DataFrame:
+    """``(host, h, frequent)``: the lines that are a variant of a frequent line.
+
+    ``held (host, h, windows)`` has one row a line. Lines that share a minimum of their windows'
+    hashes meet; each meets no more than one frequent line a minimum, and has to share ``ALIKE`` of
+    the windows with it. Of long lines only a sketch of the windows is compared.
+    """
+    sketch = F.slice(F.sort_array("windows"), 1, SKETCH)
+    lines = held.filter(F.size("windows") > 0).select(
+        "host", "h", sketch.alias("sketch"), _minima("windows").alias("minima")
+    )
+    known = landed(lines.join(frequent, ["host", "h"], "left_semi"))
+    others = lines.join(frequent, ["host", "h"], "left_anti")
+    at = F.posexplode("minima").alias("place", "least")
+    stands = known.select("host", "h", at).groupBy("host", "place", "least").agg(
+        F.min("h").alias("frequent")
+    )
+    met = (
+        others.select("host", "h", "sketch", at).join(stands, ["host", "place", "least"])
+        .groupBy("host", "h", "frequent").agg(F.first("sketch").alias("sketch"))
     )
-    stands = landed(
-        lines.join(frequent, ["host", "h"])
-        .select("host", "h", F.explode("sketch").alias("window"))
-        .groupBy("host", "window")
-        .agg(F.min("h").alias("frequent"))
+    theirs = known.select("host", F.col("h").alias("frequent"), F.col("sketch").alias("theirs"))
+    both, all_ = F.size(F.array_intersect("sketch", "theirs")), F.size(F.array_union("sketch", "theirs"))
+    return (
+        met.join(theirs, ["host", "frequent"]).filter(both >= ALIKE * all_)
+        .groupBy("host", "h").agg(F.min("frequent").alias("frequent"))
     )
+
+
+def _documents(docs: DataFrame, rows: DataFrame, seen: DataFrame, frequent: DataFrame) -> DataFrame:
+    """``(host, body, document)`` of the texts with a frequent line; texts that have the same lines,
+    up to variants of frequent lines that they lack, are one document. Only these texts are read
+    again, one of each set of copies."""
     holders = seen.select("host", "body").distinct()
+    one = rows.join(holders, ["host", "body"]).groupBy("host", "body").agg(F.min("mark").alias("mark"))
+    texts = (
+        _hosted(docs).withColumn("mark", F.xxhash64("text"))
+        .join(one, ["host", "mark"])
+        .select("host", "body", F.explode(F.filter(F.split("text", "\n"), _has_word)).alias("line"))
+        .select("host", "body", _line_hash(F.col("line")).alias("h"), "line")
+    )
+    lines = landed(texts.groupBy("host", "body", "h").agg(F.first("line").alias("line")))
+    each = lines.groupBy("host", "h").agg(F.first("line").alias("line"))
+    variants = _variants(
+        landed(each.select("host", "h", _windows_of(F.col("line")).alias("windows"))), frequent
+    )
+    line = F.struct("h", "frequent")
+    own = F.col("own.h")
+    stands = F.transform(
+        "own",
+        lambda x: F.when(
+            x["frequent"].isNotNull() & ~F.array_contains(own, x["frequent"]), x["frequent"]
+        ).otherwise(x["h"]),
+    )
     return (
-        lines.join(holders, ["host", "body"], "left_semi")
-        .select("host", "body", "h", F.explode_outer("sketch").alias("window"))
-        .join(stands, ["host", "window"], "left")
-        .groupBy("host", "body", "h")
-        .agg(F.min("frequent").alias("frequent"))
-        .groupBy("host", "body")
-        .agg(F.collect_set(F.coalesce("frequent", "h")).alias("all"))
-        .select("host", "body", F.xxhash64(F.sort_array("all")).alias("document"))
+        lines.select("host", "body", "h").join(variants, ["host", "h"], "left")
+        .groupBy("host", "body").agg(F.collect_set(line).alias("own"))
+        .select(
+            "host", "body", F.xxhash64(F.sort_array(F.array_distinct(stands))).alias("document")
+        )
     )
 
 
-def common_lines(rows: DataFrame, limits: Limits) -> DataFrame:
+def common_lines(docs: DataFrame, rows: DataFrame, limits: Limits) -> DataFrame:
     """``(host, h)`` of the lines above the limits; counts are combined before each shuffle.
 
-    Lines that enough different texts have are few; only for their texts near copies are told.
+    ``rows`` are the measured ``docs``. Lines that enough different texts have are few; only for
+    their texts near copies are told.
     """
     sizes = rows.select("host", "body").distinct().groupBy("host").agg(
         F.count(F.lit(1)).alias("texts")
@@ -193,17 +231,17 @@ def common_lines(rows: DataFrame, limits: Limits) -> DataFrame:
     if frequent.isEmpty():
         return frequent
     seen = landed(held.join(frequent, ["host", "h"], "left_semi"))
-    documents = _documents(rows, seen, frequent)
+    documents = _documents(docs, rows, seen, frequent)
     told = seen.join(documents, ["host", "body"]).select("host", "h", "document").distinct()
     return _above(told, sizes, limits)
 
 
-def _removed(rows: DataFrame, limits: Limits) -> DataFrame:
+def _removed(docs: DataFrame, rows: DataFrame, limits: Limits) -> DataFrame:
     """``(doc_id, mark, gone, hashes)``: characters and hashes of the common lines of each row."""
     placed = rows.select("doc_id", "mark", "host", F.posexplode("lines").alias("at", "line"))
     return (
         placed.select("doc_id", "mark", "host", "at", F.col("line.h").alias("h"), "line.n")
-        .join(common_lines(rows, limits), ["host", "h"])
+        .join(common_lines(docs, rows, limits), ["host", "h"])
         .groupBy("doc_id", "mark", "at")
         .agg(F.min("h").alias("h"), F.min("n").alias("n"))
         .groupBy("doc_id", "mark")
@@ -219,7 +257,7 @@ def _same_row(a: str, b: str) -> Column:
 
 def _judged(docs: DataFrame, limits: Limits) -> DataFrame:
     rows = measured(docs)
-    gone = _removed(rows, limits).select("doc_id", "mark", "gone")
+    gone = _removed(docs, rows, limits).select("doc_id", "mark", "gone")
     failed = (F.col("n_words") < limits.min_words) | (
         100 * F.col("n_repeat_words") > limits.repeated_percent * F.col("n_words")
     )
@@ -267,7 +305,7 @@ def kept_rows(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 def without_common_lines(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """``docs`` with the common lines of its host taken out of each ``text``."""
-    gone = _removed(measured(docs), limits).select("doc_id", "mark", "hashes")
+    gone = _removed(docs, measured(docs), limits).select("doc_id", "mark", "hashes")
     left = F.array_join(
         F.filter(
             F.split(F.col("row.text"), "\n"),

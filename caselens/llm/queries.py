@@ -68,11 +68,11 @@ def op9_warc_audit(spark: SparkSession, folder: str) -> DataFrame:
     find, about one in a hundred page bodies, chosen by its hash, loses its last byte's value."""
     out = shared_folder(spark)
     warc.write_archive(table(spark, folder, "pages"), f"{out}/archive")
-    chosen = ~F.col("value").startswith("WARC/1.0") & (F.pmod(F.xxhash64("value"), F.lit(100)) == 0)
-    spoiled = F.expr("concat(left(value, length(value) - 1), '~')")
+    chosen = (F.col("body") != "") & (F.pmod(F.xxhash64("body"), F.lit(100)) == 0)
+    spoiled = F.expr("concat(left(body, length(body) - 1), '~')")
     warc.copy_archive(
         spark, f"{out}/archive", f"{out}/replica",
-        F.when(chosen & (F.col("value") != ""), spoiled).otherwise(F.col("value")),
+        F.when(chosen, spoiled).otherwise(F.col("body")),
     )
     return warc.audited(spark, f"{out}/archive", f"{out}/replica").withColumn(
         "digest", F.lower(F.hex("digest"))

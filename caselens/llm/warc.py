@@ -83,18 +83,21 @@ def write_archive(pages: DataFrame, path: str, volume_bytes: int = VOLUME_BYTES)
 
 
 def copy_archive(
-    spark: SparkSession, path: str, copy: str, value: Column | None = None
+    spark: SparkSession, path: str, copy: str, body: Column | None = None
 ) -> None:
-    """A replica of an archive, without a shuffle. What stands between blank lines (headers, bodies
-    or parts of them) is one ``value``; an expression may change it on the way, for drills."""
-    parts = spark.read.option("lineSep", _BLANK).option("recursiveFileLookup", True).text(path)
-    changed = F.col("value") if value is None else value
+    """A replica of an archive, byte for byte and without a shuffle; an expression of ``body`` may
+    change the bodies of records on the way, for drills. A volume that ends within a record gets the
+    closing lines."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    parts = files.filter("length > 0").select(
+        _volume_of(F.col("path")).alias("volume"), "content"
+    ).transform(in_arrow, _values, "volume long, at long, head binary, body binary")
+    texts = parts.select(
+        "volume", "at", F.col("head").cast("string"), F.col("body").cast("string")
+    )
+    changed = F.col("body") if body is None else body
     _written(
-        parts.select(
-            _volume_of(F.col("_metadata.file_path")).alias("volume"),
-            F.monotonically_increasing_id().alias("at"),
-            changed.alias("value"),
-        )
+        texts.select("volume", "at", F.concat("head", changed).alias("value"))
         .sortWithinPartitions("volume", "at").select("volume", "value"),
         copy,
     )
@@ -115,6 +118,34 @@ def _cut(content: bytes) -> Iterator[tuple[int, int, int | None]]:
         at = end
 
 
+def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Head and body of each record, without the closing lines. What is no record, or goes on without
+    these lines, belongs to the head of what follows."""
+    blank = _BLANK.encode()
+    for batch in batches:
+        for volume, packed in zip(batch.column("volume"), batch.column("content")):
+            content = gzip.decompress(packed.as_py())
+            rows, start = [], 0
+            for begin, end, _ in _cut(content):
+                if content.endswith(blank, begin, end):
+                    stop = end - len(blank)
+                elif end == len(content):
+                    stop = end
+                else:
+                    continue
+                found = _HEADER.match(content, begin, stop)
+                middle = found.end() if found else stop
+                rows.append((content[start:middle], content[middle:stop]))
+                start = end
+            for at in range(0, len(rows), 1 << 10):
+                heads, bodies = zip(*rows[at : at + (1 << 10)])
+                yield pa.record_batch({
+                    "volume": pa.array([volume.as_py()] * len(heads), pa.int64()),
+                    "at": pa.array(range(at, at + len(heads)), pa.int64()),
+                    "head": pa.array(heads, pa.binary()), "body": pa.array(bodies, pa.binary()),
+                })
+
+
 def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for volume, packed in zip(batch.column("volume"), batch.column("content")):

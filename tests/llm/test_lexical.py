@@ -10,7 +10,7 @@ import pytest
 
 from caselens.llm import lexical
 from caselens.llm.queries import ORACLE, QUERIES
-from llm.samples import none, odd, prose, rows_of
+from samples import none, odd, prose, rows_of
 from oracle_compare import differences, oracle_connection
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")

@@ -10,7 +10,7 @@ import pytest
 from caselens.llm import pii
 from caselens.llm.charcrf import CharCrf
 from caselens.llm.queries import QUERIES
-from llm.samples import none, odd, rows_of, texts
+from samples import none, odd, rows_of, texts
 
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",

@@ -1,8 +1,12 @@
 """Quality rules: base counts, common lines and verdicts against plain Python."""
 
 import re
+import string
 from collections import Counter, defaultdict
 
+import pytest
+from pyspark.sql import functions as F
+
 from caselens.llm import quality
 from caselens.llm.common import table
 from caselens.llm.queries import QUERIES
@@ -67,23 +71,77 @@ def test_boilerplate_is_found_and_copies_are_not(spark):
     assert cleaned[100] == "also this bit here" and cleaned[101] == rows[31][1]
 
 
-def test_common_lines_follow_their_definition(spark):
-    """Documents by smallest window hash, rows and hosts counted in plain Python."""
+def _plain_common(rows, limits):
+    """Common lines as ``(host, line)`` by the definition, in plain Python."""
+    def clean(line):
+        return " ".join(words(line.translate(str.maketrans(string.ascii_uppercase, string.ascii_lowercase))))
+
+    def windows(line):
+        w = line.split(" ")
+        return {tuple(w[i : i + 3]) for i in range(len(w) - 2)}
+
+    texts = {(host, tuple(words(text))): [clean(x) for x in text.split("\n") if words(x)]
+             for _, text, host in rows}
+    sizes = Counter(host for host, _ in texts)
+
+    def above(documents):
+        seen = defaultdict(set)
+        for key, lines in texts.items():
+            for line in lines:
+                seen[key[0], line].add(documents[key])
+        return {k for k, v in seen.items()
+                if len(v) > limits.line_documents and len(v) > limits.line_share * sizes[k[0]]}
+
+    frequent = above({key: key for key in texts})
+    documents = {}
+    for key, lines in texts.items():
+        own, out = set(lines), set()
+        for line in own:
+            like = [f for h, f in frequent if h == key[0] and line not in {x for _, x in frequent}
+                    and windows(line) and len(windows(line) & windows(f))
+                    >= quality.ALIKE * len(windows(line) | windows(f))]
+            out.add(like[0] if like and like[0] not in own else line)
+        documents[key] = (key[0], frozenset(out))
+    return above(documents)
+
+
+def test_common_lines_and_verdicts_follow_their_definition(spark):
+    """Texts, near copies, lines and hosts in plain Python."""
     rows, _ = corpus()
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    limits = quality.Limits(line_documents=3)
-    measured = quality.measured(docs)
-    seen, hosts = defaultdict(list), Counter()
-    for r in measured.collect():
-        hosts[r.host] += 1
-        for h in {line.h for line in r.lines}:
-            seen[r.host, h].append(r.face)
-    wanted = {
-        key for key, faces in seen.items()
-        if len(set(faces)) > 3 and len(set(faces)) > 0.001 * hosts[key[0]]
-        and len(set(faces)) >= limits.different * len(faces)
-    }
-    assert {tuple(r) for r in quality.common_lines(measured, limits).collect()} == wanted
+    limits = quality.Limits(line_documents=3, left_share=0.3)
+    wanted = _plain_common(rows, limits)
+    hashed = docs.sparkSession.createDataFrame(sorted(wanted), "host string, line string").select(
+        "host", quality._line_hash(F.col("line")))
+    got = quality.common_lines(docs, quality.measured(docs), limits)
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in hashed.collect()}
+    kept = {r.doc_id: (r.kept, r.gone_chars) for r in quality.judged(docs, limits).collect()}
+    for i, text, host in rows:
+        lines = [x for x in text.split("\n") if words(x)]
+        gone = sum(len(x) for x in lines if (host, " ".join(words(x.lower()))) in wanted)
+        whole = sum(map(len, lines))
+        assert kept[i] == (not base(text)[-1] and whole - gone >= 0.3 * whole, gone)
+
+
+@pytest.mark.parametrize("own", ["unrelated", "shares a window", "changes a word"])
+def test_own_lines_tell_documents_apart(spark, own):
+    """1,000 documents of thirteen footer lines and one line of their own, and copies of one."""
+    footer = [prose(50 + k, 14, 10**6) for k in range(13)]
+
+    def line(i):
+        found = words(footer[i % 13])
+        if own == "unrelated":
+            return prose(9000 + i, 12, 10**6)
+        if own == "shares a window":
+            return " ".join(found[:3] + words(prose(9000 + i, 9, 10**6)))
+        return " ".join([*found[:5], f"own{i}", *found[6:]])
+
+    rows = [(i, "\n".join([*footer, line(i)]), "h") for i in range(1000)]
+    rows += [(2000 + k, rows[0][1], "h") for k in range(50)]
+    rows += [(5000 + i, prose(5000 + i, 100, 10**6), "h") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r.doc_id: r.kept for r in quality.judged(docs).collect()}
+    assert {i for i, kept in found.items() if not kept} == {*range(1000), *range(2000, 2050)}
 
 
 def test_kept_rows_keep_columns_and_repeats(spark):

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from caselens.llm import resample
 from caselens.llm.common import landed
 from caselens.llm.queries import ORACLE, QUERIES
-from llm.samples import none, odd, prose, rows_of
+from samples import none, odd, prose, rows_of
 from oracle_compare import differences, oracle_connection
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

@@ -5,6 +5,7 @@ import hashlib
 import re
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,8 +93,8 @@ def test_a_copy_is_intact_and_stops_at_the_root(spark, monkeypatch):
 
 @pytest.mark.parametrize("fanout", [2, 32])
 def test_changed_bytes_are_located(spark, fanout):
-    value = F.when(F.col("value").startswith("<p>w1"), F.expr("concat(left(value, length(value) - 1), '!')"))
-    a, b = archived_twice(spark, value.otherwise(F.col("value")))
+    value = F.when(F.col("body").startswith("<p>w1"), F.expr("concat(left(body, length(body) - 1), '!')"))
+    a, b = archived_twice(spark, value.otherwise(F.col("body")))
     before, after = contents(a), contents(b)
     rows = warc.audited(spark, a, b, fanout).collect()
     for r in rows:
@@ -102,6 +103,30 @@ def test_changed_bytes_are_located(spark, fanout):
     assert {r.status for r in rows} == {"intact", "corrupt"}
 
 
+@pytest.mark.parametrize("end", ["\r\n", "\r", "\n", "\r\n\r\n", "\r\n\r\n\r\n", ""])
+def test_bodies_may_end_in_line_breaks(spark, end):
+    """In every place of a volume, the last one too, and before headers."""
+    out = shared_folder(spark)
+    rows = [(i, f"http://h/{i}", f"<p>{i}" * (i % 3) + end) for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    warc.write_archive(pages, f"{out}/a", volume_bytes=64)
+    warc.copy_archive(spark, f"{out}/a", f"{out}/b")
+    assert contents(f"{out}/a") == contents(f"{out}/b")
+    found = warc.audited(spark, f"{out}/a", f"{out}/b").collect()
+    assert sorted(r.page_id for r in found) == list(range(60))
+    assert {r.status for r in found} == {"intact"}
+
+
+def test_values_rejoin_to_the_volume():
+    good = b"WARC/1.0\r\nX-Page-Id: 1\r\nContent-Length: 5\r\n\r\nabc\r\n\r\n\r\n"
+    for content in (good * 3, b"garbage" + good, good + b"x\r\n\r\n" + good, b"odd\r\n\r\n" + good):
+        batch = pa.record_batch({"volume": [0], "content": [gzip.compress(content)]})
+        parts = [(h.as_py(), b.as_py()) for out in warc._values(iter([batch]))
+                 for h, b in zip(out.column("head"), out.column("body"))]
+        assert b"".join(h + b + b"\r\n\r\n" for h, b in parts) == content
+        assert (b"abc\r\n" in [b for _, b in parts])
+
+
 def test_lost_and_added_volumes(spark):
     out = shared_folder(spark)
     warc.write_archive(odd_pages(spark, 400), f"{out}/a", volume_bytes=1 << 13)
