@@ -11,7 +11,7 @@ from datetime import date
 from caselens.params import Params
 from caselens.plans import reports
 from caselens.plans.analysis import answers
-from caselens.plans.export import export, prepare, read_export, write_all
+from caselens.plans.export import export_all, prepare, write_all
 from caselens.session import build_session
 from caselens.sources import raw, sla
 
@@ -43,23 +43,24 @@ def main() -> None:
         f"{args.out}/processed",
     )
     exports = f"{args.out}/exports"
-    manifest = export(prepared.requests, targets, params, exports)
-    fact = read_export(spark, exports, "fact_service_requests")
+    exported = export_all(prepared.requests, targets, params, exports)
+    fact, made = exported.fact, exported.rollups
     expected = {name: int(rows) for name, _, rows in (e.partition("=") for e in args.expected)}
     reconciled = raw.reconcile_counts(prepared.slice_counts, expected)
     factor = prepared.metadata.filter("item = 'scaling_factor'").select("value").scalar()
-    write_all({"manifest": manifest}, exports)
-    write_all(answers(fact, params), f"{args.out}/answers")
+    write_all({"manifest": exported.manifest}, exports)
+    write_all(answers(fact, params, made), f"{args.out}/answers")
     write_all(
-        reports.gate(prepared.requests, reconciled, fact, params), f"{args.out}/quality"
+        reports.gate(prepared.requests, reconciled, made, params), f"{args.out}/quality"
     )
     write_all(
-        reports.escalations(prepared.requests, fact, targets, params), f"{args.out}/escalation"
+        reports.escalations(prepared.requests, fact, made, targets, params),
+        f"{args.out}/escalation",
     )
     write_all(
         reports.workbook_tables(prepared.sample, targets, params, factor), f"{args.out}/workbook"
     )
-    write_all(reports.dashboard_tables(fact, params), f"{args.out}/dashboard")
+    write_all(reports.dashboard_tables(fact, made), f"{args.out}/dashboard")
 
 
 if __name__ == "__main__":

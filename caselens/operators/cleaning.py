@@ -68,9 +68,17 @@ def deduplicate(requests: DataFrame) -> DataFrame:
 
 def extract_metadata(
     counts: DataFrame, requests: DataFrame, sample_rows: int, params: Params
+) -> DataFrame:
+    """``(item, value)`` of an extract, see :func:`metadata_of`; the requests are counted."""
+    total = requests.agg(F.count(F.lit(1)).cast("double").alias("rows"))
+    return metadata_of(counts, total, sample_rows, params)
+
+
+def metadata_of(
+    counts: DataFrame, total: DataFrame, sample_rows: int, params: Params
 ) -> DataFrame:
     """``(item, value)``: the snapshot as a yyyymmdd number, rows per slice before de-duplication
-    (``slice, landed_rows``), the total after it, and the sample scaling factor."""
+    (``slice, landed_rows``), the ``total (rows)`` after it, and the sample scaling factor."""
     per_slice = counts.select(
         F.col("slice").alias("item"), F.col("landed_rows").cast("double").alias("value")
     )
@@ -83,5 +91,4 @@ def extract_metadata(
         "scaling_factor": F.try_divide(rows, drawn),
     }
     pairs = F.create_map(*(part for item in items.items() for part in (F.lit(item[0]), item[1])))
-    total = requests.agg(F.count(F.lit(1)).cast("double").alias("rows"))
     return per_slice.unionByName(total.select(F.explode(pairs).alias("item", "value")))

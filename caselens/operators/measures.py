@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from caselens.functions import any_of, ratio
 from caselens.operators import profile as p
 from caselens.operators.ranking import largest, whole
+from caselens.sources.tables import write_parquet
+
 
 def catalogue() -> dict[str, Column]:
     """Measures over a request profile. Ratios are left unrounded; they are NULL over 0."""
@@ -45,10 +47,12 @@ def measure_query(
     measures: Sequence[str],
     slicers: Mapping[str, Sequence] | None = None,
     top: tuple[str, int] | None = None,
+    counted: bool = False,
 ) -> DataFrame:
     """Evaluate catalogue measures per dimension combination after the slicers.
 
     ``top=(measure, k)`` keeps the ``k`` largest groups by one of the measures, in that order.
+    ``counted`` says that the rows are a profile, not requests.
     """
     known = catalogue()
     unknown = set(measures) - set(known)
@@ -56,22 +60,24 @@ def measure_query(
         raise KeyError(f"unknown measures: {sorted(unknown)}")
     result = p.summarise(
         sliced(enriched, slicers or {}), list(dims), {name: known[name] for name in measures},
-        median="median_closure_days" in measures,
+        median="median_closure_days" in measures, counted=counted,
     )
     return result if top is None else largest(result, *top, *dims)
 
 
 def share_of_total_requests(
-    enriched: DataFrame, dims: Sequence[str], slicers: Mapping[str, Sequence] | None = None
+    enriched: DataFrame, dims: Sequence[str], slicers: Mapping[str, Sequence] | None = None,
+    counted: bool = False,
 ) -> DataFrame:
     """Each group's share of all requests that pass the slicers."""
-    totals = measure_query(enriched, dims, ["total_requests"], slicers)
+    totals = measure_query(enriched, dims, ["total_requests"], slicers, counted=counted)
     whole_count = F.sum("total_requests").over(whole())
     return totals.withColumn("share_of_total", ratio(F.col("total_requests"), whole_count))
 
 
 def month_over_month(
-    enriched: DataFrame, dims: Sequence[str] = (), slicers: Mapping[str, Sequence] | None = None
+    enriched: DataFrame, dims: Sequence[str] = (), slicers: Mapping[str, Sequence] | None = None,
+    counted: bool = False,
 ) -> DataFrame:
     """Requests against the previous calendar month; NULL when that month has no rows.
 
@@ -79,7 +85,7 @@ def month_over_month(
     up to the last month with data, one that follows a month with requests shows them against 0.
     """
     keys = [*dims, "created_month"]
-    now = measure_query(enriched, keys, ["total_requests"], slicers)
+    now = measure_query(enriched, keys, ["total_requests"], slicers, counted=counted)
     before = now.filter(F.col("created_month").isNotNull()).select(
         *dims,
         F.add_months("created_month", 1).alias("created_month"),
@@ -93,3 +99,58 @@ def month_over_month(
     return both.filter(known).drop("_last").fillna(0, ["total_requests"]).withColumn(
         "mom_change", ratio(change, F.col("requests_previous_month"))
     )
+
+
+# What a dashboard slices by; state columns are kept in any case.
+SLICER_COLUMNS = (
+    "agency", "complaint_type", "borough", "open_data_channel_type", "slice", "created_month",
+)
+
+
+class Measures:
+    """Measure queries under slicers that need not read the requests each time.
+
+    A stored profile holds additive states, counts and sums by the slicer columns and closure_days,
+    so every measure of the catalogue, the exact median too, follows from it. A query whose
+    dimensions and slicers it has is answered from it, any other one from the fact.
+    """
+
+    def __init__(self, fact: DataFrame, stored: DataFrame | None = None):
+        self.fact, self.stored = fact, stored
+
+    @classmethod
+    def store(
+        cls, fact: DataFrame, path: str, columns: Sequence[str] = SLICER_COLUMNS
+    ) -> "Measures":
+        """Count the requests once, write the counts to ``path``, and answer from there."""
+        made = p.profile(fact, columns, by_closure_days=True)
+        write_parquet(made, path)
+        return cls(fact, fact.sparkSession.read.schema(made.schema).parquet(path))
+
+    def source(
+        self, dims: Sequence[str], slicers: Mapping[str, Sequence] | None = None
+    ) -> tuple[DataFrame, bool]:
+        """What answers a query, and whether it is the stored profile."""
+        wanted = {*dims, *(slicers or {})}
+        if self.stored is not None and wanted <= set(self.stored.columns) - set(p.SUMS):
+            return self.stored, True
+        return self.fact, False
+
+    def query(
+        self, dims: Sequence[str], measures: Sequence[str],
+        slicers: Mapping[str, Sequence] | None = None, top: tuple[str, int] | None = None,
+    ) -> DataFrame:
+        rows, counted = self.source(dims, slicers)
+        return measure_query(rows, dims, measures, slicers, top, counted)
+
+    def share_of_total_requests(
+        self, dims: Sequence[str], slicers: Mapping[str, Sequence] | None = None
+    ) -> DataFrame:
+        rows, counted = self.source(dims, slicers)
+        return share_of_total_requests(rows, dims, slicers, counted)
+
+    def month_over_month(
+        self, dims: Sequence[str] = (), slicers: Mapping[str, Sequence] | None = None
+    ) -> DataFrame:
+        rows, counted = self.source([*dims, "created_month"], slicers)
+        return month_over_month(rows, dims, slicers, counted)

@@ -17,11 +17,12 @@ CELL = ("complaint_type", "borough")
 
 def cells(
     enriched: DataFrame, params: Params, by: Sequence[str] = (),
-    more: Mapping[str, Column] | None = None,
+    more: Mapping[str, Column] | None = None, counted: bool = False,
 ) -> DataFrame:
     """Counts and rates per cell (and ``by``), without Unspecified boroughs and small cells.
 
-    ``more`` names further measures that the same aggregation gives.
+    ``more`` names further measures that the same aggregation gives. ``counted`` says that the rows
+    are a profile by cell, not requests.
     """
     measures = {
         "total_requests": p.rows_where(),
@@ -31,7 +32,7 @@ def cells(
     }
     summary = p.summarise(
         enriched.filter(p.is_placed()), [*by, *CELL], {**measures, **(more or {})},
-        labels={"agency": "agency"},
+        labels={"agency": "agency"}, counted=counted,
     )
     return summary.filter(F.col("total_requests") >= params.min_cell)
 
@@ -88,8 +89,8 @@ def score_cells(
     return scored.withColumn("priority_rank", F.row_number().over(order).cast("bigint"))
 
 
-def priority_scores(enriched: DataFrame, params: Params) -> DataFrame:
-    return score_cells(cells(enriched, params), params)
+def priority_scores(enriched: DataFrame, params: Params, counted: bool = False) -> DataFrame:
+    return score_cells(cells(enriched, params, counted=counted), params)
 
 
 def hotspots(scores: DataFrame, k: int) -> DataFrame:

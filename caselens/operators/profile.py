@@ -9,13 +9,16 @@ so that no group of requests is ever collected.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caselens.functions import ratio, round_half
 from caselens.params import AGED_BUCKETS, MISSED, OPEN_PAST, OPEN_WITHIN, UNSPECIFIED
+from caselens.session import shared_folder
 
+SUMS = ("n", "closure_n", "closure_sum", "age_n", "age_sum")
 _STATE = ("is_closed", "sla_status", "aging_bucket")
 
 
@@ -27,13 +30,73 @@ def profile(
     ``by_closure_days`` also keeps closure_days as a key, which the median needs.
     """
     keys = [*dims, *_STATE] + (["closure_days"] if by_closure_days else [])
-    return enriched.groupBy(*keys).agg(
+    return enriched.groupBy(*keys).agg(*_sums())
+
+
+def _sums() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("n"),
         F.count("closure_days").alias("closure_n"),
         F.sum("closure_days").alias("closure_sum"),
         F.count("age_days").alias("age_n"),
         F.sum("age_days").alias("age_sum"),
+    ]
+
+
+@dataclass(frozen=True)
+class Grouping:
+    """One of several profiles that are made together. ``labels`` maps a name to the column whose
+    smallest value is reported under it."""
+
+    dims: tuple[str, ...]
+    by_closure_days: bool = False
+    labels: Mapping[str, str] = field(default_factory=dict)
+
+
+def profiles(enriched: DataFrame, groupings: Mapping[str, Grouping]) -> dict[str, DataFrame]:
+    """The profile of each grouping, all from one scan and one shuffle.
+
+    The result is a table in the shared folder, from which each profile is a filter.
+    """
+    keys, ids, made = grouped(enriched, groupings)
+    spark, path = enriched.sparkSession, shared_folder(enriched.sparkSession)
+    made.write.parquet(path)
+    stored = spark.read.schema(made.schema).parquet(path)
+    return {
+        name: stored.filter(F.col("_set") == ids[name]).select(
+            *keys[name], *SUMS,
+            *(F.col(f"_label_{column}").alias(label) for label, column in g.labels.items()),
+        )
+        for name, g in groupings.items()
+    }
+
+
+def grouped(
+    enriched: DataFrame, groupings: Mapping[str, Grouping]
+) -> tuple[dict[str, list[str]], dict[str, int], DataFrame]:
+    """Keys and number of each grouping, and one aggregation for all of them.
+
+    The rows are expanded by grouping sets and combined before the shuffle, so what travels is no more
+    than the sum of the groupings' domains.
+    """
+    keys = {
+        name: [*g.dims, *_STATE, *(["closure_days"] if g.by_closure_days else [])]
+        for name, g in groupings.items()
+    }
+    columns = list(dict.fromkeys(c for some in keys.values() for c in some))
+    labels = sorted({c for g in groupings.values() for c in g.labels.values()})
+    # A bit of the grouping id is set where a column, the first one highest, is not in the set.
+    ids = {
+        name: sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in some)
+        for name, some in keys.items()
+    }
+    if len(set(ids.values())) < len(ids):
+        raise ValueError(f"two groupings have the same columns: {sorted(groupings)}")
+    made = enriched.groupingSets([[F.col(c) for c in some] for some in keys.values()], *columns).agg(
+        *_sums(), *(F.min(c).alias(f"_label_{c}") for c in labels),
+        F.grouping_id().cast("long").alias("_set"),
     )
+    return keys, ids, made
 
 
 def rows_where(test: Column | None = None) -> Column:

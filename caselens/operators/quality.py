@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -112,7 +113,27 @@ def reconcile_totals(rollups: dict[str, DataFrame], measure: str = "total_reques
         frame.agg(F.lit(name).alias("rollup"), F.sum(measure).alias("total"))
         for name, frame in rollups.items()
     ]
-    stacked = reduce(DataFrame.unionByName, totals)
-    return stacked.withColumn(
+    return _compared(reduce(DataFrame.unionByName, totals))
+
+
+def _compared(totals: DataFrame) -> DataFrame:
+    return totals.withColumn(
         "matches", F.col("total") == F.max("total").over(Window.partitionBy())
     )
+
+
+def reconcile_groupings(enriched: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """The same check over the requests themselves: counted per value of each dimension in one scan,
+    the counts added up per dimension. ``rollup, total, matches`` as above, one row a dimension."""
+    counted = enriched.groupingSets([[F.col(d)] for d in dims], *dims).agg(
+        F.count(F.lit(1)).alias("total"), F.grouping_id().cast("int").alias("_set")
+    )
+    # All bits of the grouping id are set but that of the one dimension.
+    every = (1 << len(dims)) - 1
+    names = F.create_map(
+        *(x for i, d in enumerate(dims) for x in (F.lit(every - (1 << (len(dims) - 1 - i))), F.lit(d)))
+    )
+    totals = counted.groupBy("_set").agg(F.sum("total").alias("total")).select(
+        F.element_at(names, F.col("_set")).alias("rollup"), "total"
+    )
+    return _compared(totals)

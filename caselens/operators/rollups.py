@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caselens.operators import profile as p
-from caselens.params import ACTIVITY, BUCKETS
+from caselens.operators.priority import CELL, priority_scores
+from caselens.params import ACTIVITY, BUCKETS, Params
 
 
 def core_measures(*, median: bool) -> dict[str, Column]:
@@ -23,29 +24,32 @@ def core_measures(*, median: bool) -> dict[str, Column]:
     return measures
 
 
-def kpi_by_agency(enriched: DataFrame) -> DataFrame:
+# Each rollup takes the enriched frame or, if ``counted``, a profile of it by at least its dimensions.
+
+
+def kpi_by_agency(rows: DataFrame, counted: bool = False) -> DataFrame:
     return p.summarise(
-        enriched, ["agency"], core_measures(median=True), median=True,
-        labels={"agency_name": "agency_name"},
+        rows, ["agency"], core_measures(median=True), median=True,
+        labels={"agency_name": "agency_name"}, counted=counted,
     )
 
 
-def kpi_by_complaint_type(enriched: DataFrame) -> DataFrame:
+def kpi_by_complaint_type(rows: DataFrame, counted: bool = False) -> DataFrame:
+    label = "primary_agency" if counted else "agency"
     return p.summarise(
-        enriched, ["complaint_type"], core_measures(median=True), median=True,
-        labels={"primary_agency": "agency"},
+        rows, ["complaint_type"], core_measures(median=True), median=True,
+        labels={"primary_agency": label}, counted=counted,
     )
 
 
-def kpi_by_borough(enriched: DataFrame) -> DataFrame:
-    return p.summarise(enriched, ["borough"], core_measures(median=False))
+def kpi_by_borough(rows: DataFrame, counted: bool = False) -> DataFrame:
+    return p.summarise(rows, ["borough"], core_measures(median=False), counted=counted)
 
 
-def kpi_weekly(enriched: DataFrame) -> DataFrame:
+def kpi_weekly(rows: DataFrame, counted: bool = False) -> DataFrame:
     """Weekly demand against closure, activity slice only so that both series are complete."""
-    activity = enriched.filter(F.col("slice") == ACTIVITY)
     return p.summarise(
-        activity,
+        rows.filter(F.col("slice") == ACTIVITY),
         ["created_week"],
         {
             "requests_created": p.rows_where(),
@@ -54,18 +58,44 @@ def kpi_weekly(enriched: DataFrame) -> DataFrame:
             "avg_closure_days": p.mean_closure(1),
             "sla_miss_rate": p.miss_rate(),
         },
+        counted=counted,
     )
 
 
-def backlog_aging(enriched: DataFrame) -> DataFrame:
+def backlog_aging(rows: DataFrame, counted: bool = False) -> DataFrame:
     """Open requests per bucket and borough. Late closures appear under a NULL bucket."""
     return p.summarise(
-        enriched.filter(p.is_open()),
+        rows.filter(p.is_open()),
         ["aging_bucket", "borough"],
         {"open_requests": p.rows_where(), "avg_age_days": p.mean_age(0)},
+        counted=counted,
     )
 
 
+# What the six rollups are made from.
+GROUPINGS = {
+    "agency": p.Grouping(("agency",), True, {"agency_name": "agency_name"}),
+    "type": p.Grouping(("complaint_type",), True, {"primary_agency": "agency"}),
+    "borough": p.Grouping(("borough",)),
+    "week": p.Grouping(("slice", "created_week")),
+    "cell": p.Grouping(CELL, False, {"agency": "agency"}),
+}
+
+
+def from_one_scan(enriched: DataFrame, params: Params) -> dict[str, DataFrame]:
+    """All six rollups from one scan of the fact. Requests are counted at once by agency, by type, by
+    borough, by week and by cell; each rollup is made from the counts, never from the requests."""
+    made = p.profiles(enriched, GROUPINGS)
+    return {
+        "kpi_by_agency": kpi_by_agency(made["agency"], counted=True),
+        "kpi_by_complaint_type": kpi_by_complaint_type(made["type"], counted=True),
+        "kpi_by_borough": kpi_by_borough(made["borough"], counted=True),
+        "kpi_weekly": kpi_weekly(made["week"], counted=True),
+        "backlog_aging": backlog_aging(made["borough"], counted=True),
+        "priority_scores": priority_scores(made["cell"], params, counted=True),
+    }
+
+
 def bucket_order(bucket: Column) -> Column:
     """Sort key 1..5; anything that is not one of the first four buckets sorts last."""
     key = F

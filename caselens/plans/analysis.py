@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from caselens.functions import pct
 from caselens.operators import ranking, rollups
-from caselens.operators.priority import CELL, hotspots, priority_scores
+from caselens.operators.priority import CELL, hotspots
 from caselens.operators.profile import is_open, is_placed
 from caselens.params import ACTIVITY, Params
 
@@ -84,16 +84,19 @@ def monthly_change(enriched: DataFrame) -> DataFrame:
     return counts.withColumn("mom_change_pct", pct(F.col("requests") - before, before, 1))
 
 
-def answers(fact: DataFrame, params: Params) -> dict[str, DataFrame]:
-    """All ten questions over the fact, each reading the few columns it needs."""
-    by_type = rollups.kpi_by_complaint_type(fact)
-    scores = priority_scores(fact, params)
+def answers(
+    fact: DataFrame, params: Params, made: dict[str, DataFrame] | None = None
+) -> dict[str, DataFrame]:
+    """All ten questions. Seven of them only need the rollups ``made`` from one scan of the fact; the
+    others read the few columns of the fact that they need."""
+    made = made or rollups.from_one_scan(fact, params)
+    by_type, scores = made["kpi_by_complaint_type"], made["priority_scores"]
     return {
         "n01_demand_concentration": demand_concentration(by_type),
-        "n02_agency_pace": agency_pace(rollups.kpi_by_agency(fact)),
-        "n03_borough_pressure": borough_pressure(rollups.kpi_by_borough(fact)),
-        "n04_weekly_rhythm": weekly_rhythm(rollups.kpi_weekly(fact)),
-        "n05_aging_backlog": aging_backlog(rollups.backlog_aging(fact)),
+        "n02_agency_pace": agency_pace(made["kpi_by_agency"]),
+        "n03_borough_pressure": borough_pressure(made["kpi_by_borough"]),
+        "n04_weekly_rhythm": weekly_rhythm(made["kpi_weekly"]),
+        "n05_aging_backlog": aging_backlog(made["backlog_aging"]),
         "n06_worst_sla": worst_sla(by_type, params),
         "n07_hotspots": hotspot_list(scores),
         "n08_oldest_in_hotspots": oldest_in_hotspots(fact, scores),

@@ -51,6 +51,69 @@ def aged_open_history(requests: DataFrame, params: Params, weeks: int = 3) -> Da
     return requests.filter(p.is_placed()).groupBy(*CELL).agg(*counts)
 
 
+def backlog_by_snapshot(
+    requests: DataFrame, params: Params, snapshots: int = 52, every: int = 7
+) -> DataFrame:
+    """``(complaint_type, borough, snapshot, aged_open)``: the 31+ day open count of each cell at the
+    snapshot and at ``snapshots - 1`` earlier ones, ``every`` days apart.
+
+    A sweep over events: a request counts from the day on which it passes the age limit until the day
+    before its closing day. Each adds one and takes one away, at the first snapshot that sees it;
+    the events are added up per cell and snapshot before the shuffle, and a running sum over the
+    snapshots of a cell gives the counts. Neither the plan nor what is read grows with ``snapshots``.
+    """
+    first = params.snapshot_date - timedelta(days=every * (snapshots - 1))
+    created, closed = F.to_date("created_date"), F.to_date("closed_date")
+    valid = F.col("closed_date") >= F.col("created_date")
+    begin = F.date_add(created, params.bucket_bounds[1] + 1)
+    end = F.when(valid, closed)
+
+    def step(day: Column) -> Column:
+        """The first snapshot on or after a day; those before all snapshots see the first one."""
+        days = F.datediff(day, F.lit(first))
+        return F.greatest(F.ceil(days / every), F.lit(0)).cast("int")
+
+    # Undated requests, and those closed before the limit, are an event of nothing, so that their
+    # cell has its row.
+    counts = F.coalesce(end.isNull() | (end > begin), F.lit(False)) & begin.isNotNull()
+    event = F.struct(F.col("step"), F.col("delta"))
+    events = requests.filter(p.is_placed()).select(
+        *CELL,
+        F.explode(
+            F.array(
+                F.struct(
+                    F.when(counts, step(begin)).otherwise(0).alias("step"),
+                    counts.cast("int").alias("delta"),
+                ),
+                F.struct(
+                    F.when(counts & end.isNotNull(), step(end)).otherwise(0).alias("step"),
+                    (-F.when(counts & end.isNotNull(), 1).otherwise(0)).alias("delta"),
+                ),
+            )
+        ).alias("event"),
+    ).select(*CELL, "event.*")
+    moved = events.withColumn("delta", F.when(F.col("step") < snapshots, F.col("delta")).otherwise(0))
+    last = F.least("step", F.lit(snapshots - 1)).alias("step")
+    sums = moved.select(*CELL, last, "delta").groupBy(*CELL, "step").agg(F.sum("delta").alias("delta"))
+    cells_ = sums.groupBy(*CELL).agg(
+        F.map_from_entries(F.collect_list(event)).alias("changes")
+    )
+    running = F.aggregate(
+        F.sequence(F.lit(0), F.lit(snapshots - 1)),
+        F.array().cast("array<bigint>"),
+        lambda done, at: F.concat(
+            done,
+            F.array(
+                F.coalesce(F.get(done, F.size(done) - 1), F.lit(0))
+                + F.coalesce(F.try_element_at("changes", at), F.lit(0))
+            ),
+        ),
+    )
+    return cells_.select(*CELL, F.posexplode(running).alias("_at", "aged_open")).select(
+        *CELL, F.date_add(F.lit(first), F.col("_at") * every).alias("snapshot"), "aged_open"
+    )
+
+
 def growing_backlog(enriched: DataFrame, params: Params, k: int = 10) -> DataFrame:
     """Whether a hotspot's 31+ day open count grew two weeks in a row.
 

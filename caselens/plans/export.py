@@ -7,11 +7,9 @@ from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from caselens.operators import cleaning, ranking, rollups
 from caselens.operators.enrich import enrich
-from caselens.operators.priority import priority_scores
 from caselens.params import Params
 from caselens.session import shared_folder
 from caselens.sources import raw, schemas, tables
@@ -59,12 +57,14 @@ def prepare(
     tables.write_parquet(cleaning.clean(raw.stack_slices(activity, backlog)), scratch)
     landed = tables.read_parquet(spark, scratch, schemas.REQUESTS)
     counts = raw.slice_counts(landed)
-    tables.write_parquet(cleaning.deduplicate(landed), f"{folder}/service_requests")
+    rows = tables.Rows()
+    tables.write_parquet(cleaning.deduplicate(landed), f"{folder}/service_requests", rows=rows)
     requests = tables.read_parquet(spark, f"{folder}/service_requests", schemas.REQUESTS)
     sample = ranking.sample_exact(requests, "unique_key", sample_rows, seed)
     tables.write_csv(sample, f"{folder}/sample")
     tables.write_csv(ranking.preview(activity), f"{folder}/raw_preview")
-    metadata = cleaning.extract_metadata(counts, requests, sample_rows, params)
+    total = spark.createDataFrame([(float(rows.number()),)], "rows double")
+    metadata = cleaning.metadata_of(counts, total, sample_rows, params)
     tables.write_csv(metadata, f"{folder}/extract_metadata")
     return Prepared(
         requests,
@@ -75,45 +75,64 @@ def prepare(
     )
 
 
-def write_fact(requests: DataFrame, sla: SlaTargets, params: Params, folder: str) -> DataFrame:
+def write_fact(
+    requests: DataFrame, sla: SlaTargets, params: Params, folder: str,
+    rows: tables.Rows | None = None,
+) -> DataFrame:
     """Enrich and write the fact once, partitioned by month, and read it back typed."""
     path = f"{folder}/fact_service_requests"
-    tables.write_parquet(enrich(requests, sla, params), path, "created_month")
+    tables.write_parquet(enrich(requests, sla, params), path, "created_month", rows)
     return tables.read_parquet(requests.sparkSession, path, schemas.ENRICHED)
 
 
-def export(requests: DataFrame, sla: SlaTargets, params: Params, folder: str) -> DataFrame:
-    """Write the fact, the rollups and the dimensions; return ``table_name, format, row_count``.
+@dataclass(frozen=True)
+class Exported:
+    """The written fact, the rollups made from it, and how many rows each table has."""
+
+    fact: DataFrame
+    rollups: dict[str, DataFrame]
+    manifest: DataFrame
+
+
+def export_all(requests: DataFrame, sla: SlaTargets, params: Params, folder: str) -> Exported:
+    """Write the fact, the rollups and the dimensions.
 
-    Each rollup reads the few columns it needs of the written fact.
+    The rollups come from one scan of the written fact; all rows are counted while they are written.
     """
     spark = requests.sparkSession
-    fact = write_fact(requests, sla, params, folder)
+    rows = tables.Rows()
+    fact = write_fact(requests, sla, params, folder, rows)
+    made = rollups.from_one_scan(fact, params)
     small = {
-        "kpi_by_agency": rollups.kpi_by_agency(fact),
-        "kpi_by_complaint_type": rollups.kpi_by_complaint_type(fact),
-        "kpi_by_borough": rollups.kpi_by_borough(fact),
-        "kpi_weekly": rollups.kpi_weekly(fact),
-        "backlog_aging": rollups.backlog_aging(fact),
-        "priority_scores": priority_scores(fact, params),
+        **made,
         "dim_sla_targets": sla.frame,
         "dim_date": dim_date(spark, params.backlog_start, params.window_end),
     }
-    write_all(small, folder)
-    return manifest(spark, folder)
+    counts = {"fact_service_requests": rows.number(), **write_all(small, folder)}
+    return Exported(fact, made, manifest(spark, counts))
 
 
-def write_all(frames: dict[str, DataFrame], folder: str) -> None:
-    """Write each frame whole as CSV below ``folder``.
+def export(requests: DataFrame, sla: SlaTargets, params: Params, folder: str) -> DataFrame:
+    """Write everything; return ``table_name, format, row_count``."""
+    return export_all(requests, sla, params, folder).manifest
+
+
+def write_all(frames: dict[str, DataFrame], folder: str) -> dict[str, int]:
+    """Write each frame whole as CSV below ``folder``; the rows of each.
 
     Small independent jobs: submitted together they overlap instead of queueing.
     """
     spark = next(iter(frames.values())).sparkSession
+    rows = {name: tables.Rows() for name in frames}
     with ThreadPoolExecutor(max_workers=4) as pool:
         write = inheritable_thread_target(spark)(tables.write_csv)
-        jobs = [pool.submit(write, frame, f"{folder}/{name}") for name, frame in frames.items()]
+        jobs = [
+            pool.submit(write, frame, f"{folder}/{name}", rows[name])
+            for name, frame in frames.items()
+        ]
     for job in jobs:
         job.result()
+    return {name: taken.number() for name, taken in rows.items()}
 
 
 def read_export(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -123,17 +142,9 @@ def read_export(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return reader(spark, f"{folder}/{name}", schema)
 
 
-def manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """Row counts of the tables as they were written."""
-    counts = [
-        read_export(spark, folder, name).agg(
-            F.lit(name).alias("table_name"),
-            F.lit(kind).alias("format"),
-            F.count(F.lit(1)).alias("row_count"),
-        )
-        for name, (kind, _) in EXPORTS.items()
-    ]
-    result = counts[0]
-    for part in counts[1:]:
-        result = result.unionByName(part)
-    return result
+def manifest(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """Row counts of the exported tables as they were taken while writing."""
+    return spark.createDataFrame(
+        [(name, kind, counts[name]) for name, (kind, _) in EXPORTS.items()],
+        "table_name string, format string, row_count long",
+    )

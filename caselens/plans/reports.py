@@ -6,7 +6,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 
-from caselens.operators import crosstabs, measures, priority, quality, rollups
+from caselens.operators import crosstabs, measures, priority, quality
 from caselens.operators.enrich import FRACTIONAL, enrich
 from caselens.params import UNSPECIFIED, Params
 from caselens.plans import dashboard, escalation, workbook
@@ -18,32 +18,33 @@ BOROUGHS = ("Bronx", "Brooklyn", "Manhattan", "Queens", "Staten Island")
 
 
 def gate(
-    requests: DataFrame, counts: DataFrame, fact: DataFrame, params: Params,
+    requests: DataFrame, counts: DataFrame, made: dict[str, DataFrame], params: Params,
 ) -> dict[str, DataFrame]:
-    """Data quality and totals; ``counts`` compares landed slices with expected ones."""
+    """Data quality and totals; ``counts`` compares landed slices with expected ones, ``made`` are the
+    rollups."""
     return {
         "dq_checks": quality.dq_checks(requests, params),
         "slice_reconciliation": counts,
         "totals_reconciliation": quality.reconcile_totals(
             {
-                "agency": rollups.kpi_by_agency(fact),
-                "complaint_type": rollups.kpi_by_complaint_type(fact),
-                "borough": rollups.kpi_by_borough(fact),
+                name: made[f"kpi_by_{name}"] for name in ("agency", "complaint_type", "borough")
             }
         ),
     }
 
 
 def escalations(
-    requests: DataFrame, fact: DataFrame, sla: SlaTargets, params: Params
+    requests: DataFrame, fact: DataFrame, made: dict[str, DataFrame], sla: SlaTargets,
+    params: Params,
 ) -> dict[str, DataFrame]:
     """All documented rules; the new entrants are measured against four weeks before."""
-    scores = priority.priority_scores(fact, params)
-    artifacts = escalation.artifact_candidates(rollups.kpi_by_complaint_type(fact), params)
+    scores = made["priority_scores"]
+    artifacts = escalation.artifact_candidates(made["kpi_by_complaint_type"], params)
     earlier = params.snapshot_date - timedelta(weeks=4)
     return {
         "escalate_missing_targets": escalation.missing_targets(scores),
         "escalate_growing_backlog": escalation.growing_backlog(fact, params),
+        "aged_open_by_week": escalation.backlog_by_snapshot(requests, params),
         "escalate_past_limit": escalation.past_limit(fact, params),
         "escalate_unspecified_share": escalation.unspecified_share(requests),
         "new_hotspots": escalation.new_entrants(requests, sla, params, earlier),
@@ -72,8 +73,8 @@ def workbook_tables(
     }
 
 
-def dashboard_tables(fact: DataFrame, params: Params) -> dict[str, DataFrame]:
-    scores = priority.priority_scores(fact, params)
+def dashboard_tables(fact: DataFrame, made: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    scores = made["priority_scores"]
     with_days = attach_calendar(fact, dim_date_covering(fact))
     return {
         "requests_per_day": requests_per_day(with_days),

@@ -45,9 +45,23 @@ def dim_date_covering(requests: DataFrame) -> DataFrame:
 
 
 def attach_calendar(enriched: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Join each request to its calendar row (n:1, requests without a created day are kept)."""
+    """Join each request to its calendar row (n:1, requests without a created day are kept).
+
+    The month is part of the join, so that a filter on calendar columns prunes the month folders of a
+    written fact: what the filter leaves of the calendar names the months to read.
+    """
     fact = enriched.withColumn("created_date_only", F.to_date("created_date"))
-    return fact.join(calendar, fact["created_date_only"] == calendar["date"], "left")
+    same = (fact["created_date_only"] == calendar["date"]) & (
+        fact["created_month"] == calendar["month_start"]
+    )
+    return fact.join(calendar, same, "left")
+
+
+def in_calendar(fact: DataFrame, calendar: DataFrame, chosen: Column) -> DataFrame:
+    """The requests created on the days that a condition on the calendar's columns chooses, with
+    these columns."""
+    days = calendar.filter(chosen)
+    return attach_calendar(fact, days).filter(F.col("date").isNotNull())
 
 
 def requests_per_day(fact: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,11 +10,33 @@ from pyspark.sql import types as T
 _EMPTY = "\x01"
 
 
-def write_parquet(frame: DataFrame, path: str, partition_by: str | None = None) -> str:
+class Rows:
+    """Number of rows of a write, taken while it runs.
+
+    The count is a metric of the tasks that write: it needs no scan of its own, and a task that is
+    tried again counts once.
+    """
+
+    def __init__(self) -> None:
+        self._seen = Observation()
+
+    def of(self, frame: DataFrame) -> DataFrame:
+        return frame.observe(self._seen, F.count(F.lit(1)).alias("rows"))
+
+    def number(self) -> int:
+        """Known once the write is done."""
+        return self._seen.get.get("rows", 0)
+
+
+def write_parquet(
+    frame: DataFrame, path: str, partition_by: str | None = None, rows: Rows | None = None
+) -> str:
     """ZSTD Parquet. A partitioned table is rebalanced by its key first: AQE splits a hot value
-    over several tasks and merges small ones, which keeps file sizes even."""
+    over several tasks and merges small ones, which keeps file sizes even. ``rows`` gets the count."""
     if partition_by:
         frame = frame.hint("rebalance", partition_by)
+    # Above the exchange, in the tasks that write.
+    frame = rows.of(frame) if rows else frame
     writer = frame.write.mode("overwrite").option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(partition_by)
@@ -22,7 +44,8 @@ def write_parquet(frame: DataFrame, path: str, partition_by: str | None = None)
     return path
 
 
-def write_csv(frame: DataFrame, path: str) -> str:
+def write_csv(frame: DataFrame, path: str, rows: Rows | None = None) -> str:
+    frame = rows.of(frame) if rows else frame
     frame.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return path
 

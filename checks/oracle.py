@@ -774,3 +774,30 @@ UNION ALL SELECT 'dim_date', 'csv', date_diff('day', DATE '{_OLD}', DATE '{_TO}'
     "exported_kpi_by_agency": _sql("SELECT * FROM by_agency"),
     "exported_fact": _sql("SELECT * FROM facts"),
 }
+
+# The same results by another plan.
+ORACLE |= {
+    f"one_scan_{name}": ORACLE[name]
+    for name in ("kpi_by_agency", "kpi_by_complaint_type", "kpi_by_borough", "kpi_weekly",
+                 "backlog_aging", "priority_scores")
+}
+ORACLE |= {
+    f"{name}_stored": ORACLE[name]
+    for name in ("measures_overall", "measures_by_agency_sliced", "share_by_channel_sliced",
+                 "month_over_month_by_type")
+}
+ORACLE |= {
+    "requests_in_chosen_weeks": _sql(
+        """SELECT borough, weekday, count(*) AS requests FROM with_days
+WHERE week_start IN (DATE '2001-05-14', DATE '2001-05-21') GROUP BY borough, weekday"""
+    ),
+    "aged_open_by_week": _sql(
+        f"""SELECT complaint_type, borough, snapshot, count_if(
+  (closed_date IS NULL OR closed_date < created_date
+   OR closed_date >= snapshot + INTERVAL 1 DAY)
+  AND date_diff('day', CAST(created_date AS DATE), snapshot) > 30) AS aged_open
+FROM requests, (SELECT CAST(DATE '{_SNAP[:10]}' - INTERVAL (7 * w) DAY AS DATE) AS snapshot
+                FROM range(52) AS weeks(w))
+WHERE borough <> 'Unspecified' GROUP BY complaint_type, borough, snapshot"""
+    ),
+}

@@ -21,6 +21,7 @@ P = orders.PARAMS
 BOROUGHS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 ALL_BOROUGHS = (*BOROUGHS, "Unspecified")
 MONTHS = (date(2001, 5, 1), date(2001, 6, 1), date(2001, 7, 1))
+CHOSEN_WEEKS = (date(2001, 5, 14), date(2001, 5, 21))
 FIRST_WEEK, LAST_WEEK = date(2001, 4, 30), date(2001, 7, 30)
 SAMPLE_ROWS, SEED = 1_000, 42
 OTHER_WEIGHTS = Weights(volume=0.10, backlog=0.40, miss=0.05, aged=0.60)
@@ -34,6 +35,10 @@ SLICERS = {
     "open_data_channel_type": ["PHONE", "MOBILE"],
     "aging_bucket": [None, "91-180 days", "180+ days"],
 }
+ONE_SCAN = (
+    "kpi_by_agency", "kpi_by_complaint_type", "kpi_by_borough", "kpi_weekly", "backlog_aging",
+    "priority_scores",
+)
 ALL_MEASURES = (
     "total_requests", "closed_requests", "open_requests", "backlog_count", "closure_rate",
     "avg_closure_days", "median_closure_days", "sla_missed", "sla_outcomes_known",
@@ -183,15 +188,22 @@ def exported_kpi_by_agency(spark: SparkSession, folder: str) -> DataFrame:
     return tables.read_csv(spark, path, schemas.KPI_BY_AGENCY)
 
 
-def totals_reconciliation(spark: SparkSession, folder: str) -> DataFrame:
-    rows = enriched(spark, folder)
-    return quality.reconcile_totals(
-        {
-            "agency": rollups.kpi_by_agency(rows),
-            "complaint_type": rollups.kpi_by_complaint_type(rows),
-            "borough": rollups.kpi_by_borough(rows),
-        }
-    )
+def in_chosen_weeks(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests by borough and weekday of two weeks, over the written fact: the weeks are chosen in
+    the calendar, which names the month folders to read."""
+    fact = exported_fact(spark, folder)
+    days = calendar.dim_date(spark, P.backlog_start, P.window_end)
+    chosen = calendar.in_calendar(fact, days, F.col("week_start").isin(*CHOSEN_WEEKS))
+    return chosen.groupBy("borough", "weekday").agg(F.count(F.lit(1)).alias("requests"))
+
+
+def stored(spark: SparkSession, folder: str) -> measures.Measures:
+    """Measures over the stored profile of the requests; no query reads the requests again."""
+    return measures.Measures.store(enriched(spark, folder), shared_folder(spark))
+
+
+def _from_one_scan(name: str) -> Callable:
+    return _on(enriched, lambda e: rollups.from_one_scan(e, P)[name])
 
 
 def _on(source: Callable, report: Callable[[DataFrame], DataFrame]) -> Callable:
@@ -365,7 +377,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "separate_lines": _on(
         artifacts, lambda e: escalation.separate_lines(e, candidates(e))
     ),
-    "totals_reconciliation": totals_reconciliation,
+    "aged_open_by_week": _on(requests, lambda r: escalation.backlog_by_snapshot(r, P)),
+    "totals_reconciliation": _on(
+        enriched,
+        lambda e: quality.reconcile_groupings(e, ["agency", "complaint_type", "borough"]),
+    ),
+    # All rollups from one scan
+    **{f"one_scan_{name}": _from_one_scan(name) for name in ONE_SCAN},
+    # Measures from a stored profile, calendar slices of the written fact
+    "measures_overall_stored": _on(stored, lambda m: m.query([], ALL_MEASURES)),
+    "measures_by_agency_sliced_stored": _on(
+        stored, lambda m: m.query(["agency"], ALL_MEASURES, SLICERS)
+    ),
+    "share_by_channel_sliced_stored": _on(
+        stored, lambda m: m.share_of_total_requests(["open_data_channel_type"], SLICERS)
+    ),
+    "month_over_month_by_type_stored": _on(
+        stored, lambda m: m.month_over_month(["complaint_type"])
+    ),
+    "requests_in_chosen_weeks": in_chosen_weeks,
     # Exports
     "export_manifest": export_manifest,
     "exported_kpi_by_agency": exported_kpi_by_agency,

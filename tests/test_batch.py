@@ -17,6 +17,7 @@ FOLDERS = {
     "escalation": {
         "escalate_missing_targets", "escalate_growing_backlog", "escalate_past_limit",
         "escalate_unspecified_share", "new_hotspots", "artifact_candidates", "separate_lines",
+        "aged_open_by_week",
     },
     "workbook": {
         "sla_overall", "backlog_overall", "sla_block_agency", "sla_block_borough",

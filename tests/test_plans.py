@@ -9,7 +9,7 @@ from checks.queries import QUERIES
 
 WRITES = {
     "csv_ingest", "export_manifest", "exported_fact", "exported_kpi_by_agency",
-    "requests_enriched_from_file",
+    "requests_enriched_from_file", "requests_in_chosen_weeks",
 }
 
 
