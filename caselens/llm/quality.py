@@ -12,9 +12,9 @@ from caselens.llm.common import GAP, GAP_CHARS, landed, lower_ascii, text_or_emp
 # The characters that count as symbols, and the words of a window.
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
-# Of a line's variants: words of a window, windows of a sketch, minima that bring lines together, and
-# the share of their windows that a line and its variant have in common.
-LINE_WINDOW, SKETCH, MINIMA, ALIKE = 3, 32, 8, 0.3
+# Of a line's variants: words of a window, windows of a sketch, and the share of their windows that a
+# line and its variant have in common.
+LINE_WINDOW, SKETCH, ALIKE = 3, 8, 0.3
 
 
 @dataclass(frozen=True)
@@ -90,13 +90,6 @@ def _windows_of(line: Column) -> Column:
     )
 
 
-def _minima(windows: str) -> Column:
-    def least(seed: int) -> Column:
-        return F.array_min(F.transform(windows, lambda x: F.xxhash64(x, F.lit(seed))))
-
-    return F.array(*map(least, range(MINIMA)))
-
-
 def _has_word(line: Column) -> Column:
     return F.translate(line, GAP_CHARS, "") != ""
 
@@ -110,7 +103,7 @@ def _hosted(docs: DataFrame) -> DataFrame:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """The base counts of each row, and ``lines``: hashes and length of every line with a word.
+    """The base counts of each row, and ``lines``: hashes, length and sketch of every line with a word.
 
     One pass over the texts, landed as a narrow table. ``mark`` tells rows of one doc_id apart,
     ``body`` texts that differ in more than white space.
@@ -136,6 +129,7 @@ def measured(docs: DataFrame) -> DataFrame:
                     _line_hash(line).alias("h"),
                     F.length(line).alias("n"),
                     F.xxhash64(line).alias("exact"),
+                    F.slice(F.sort_array(_windows_of(line)), 1, SKETCH).alias("sketch"),
                 ),
             ).alias("lines"),
         )
@@ -157,49 +151,42 @@ def _above(seen: DataFrame, sizes: DataFrame, limits: Limits) -> DataFrame:
 def _variants(held: DataFrame, frequent: DataFrame) -> DataFrame:
     """``(host, h, frequent)``: the lines that are a variant of a frequent line.
 
-    ``held (host, h, windows)`` has one row a line. Lines that share a minimum of their windows'
-    hashes meet; each meets no more than one frequent line a minimum, and has to share ``ALIKE`` of
-    the windows with it. Of long lines only a sketch of the windows is compared.
+    ``held (host, h, sketch)`` has one row a line; a sketch holds the smallest hashes of its windows.
+    A line meets no more than one frequent line for each of these, and has to share ``ALIKE`` of the
+    smallest windows of both with it, which are all of them in short lines.
     """
-    sketch = F.slice(F.sort_array("windows"), 1, SKETCH)
-    lines = held.filter(F.size("windows") > 0).select(
-        "host", "h", sketch.alias("sketch"), _minima("windows").alias("minima")
-    )
+    lines = held.filter(F.size("sketch") > 0)
     known = landed(lines.join(frequent, ["host", "h"], "left_semi"))
-    others = lines.join(frequent, ["host", "h"], "left_anti")
-    at = F.posexplode("minima").alias("place", "least")
-    stands = known.select("host", "h", at).groupBy("host", "place", "least").agg(
+    window = F.explode("sketch").alias("window")
+    stands = known.select("host", "h", window).groupBy("host", "window").agg(
         F.min("h").alias("frequent")
     )
     met = (
-        others.select("host", "h", "sketch", at).join(stands, ["host", "place", "least"])
+        lines.join(frequent, ["host", "h"], "left_anti").select("host", "h", "sketch", window)
+        .join(stands, ["host", "window"])
         .groupBy("host", "h", "frequent").agg(F.first("sketch").alias("sketch"))
     )
     theirs = known.select("host", F.col("h").alias("frequent"), F.col("sketch").alias("theirs"))
-    both, all_ = F.size(F.array_intersect("sketch", "theirs")), F.size(F.array_union("sketch", "theirs"))
+    least = F.slice(F.sort_array(F.array_union("sketch", "theirs")), 1, SKETCH)
+    both = F.size(F.array_intersect(F.array_intersect("sketch", "theirs"), least))
     return (
-        met.join(theirs, ["host", "frequent"]).filter(both >= ALIKE * all_)
+        met.join(theirs, ["host", "frequent"]).filter(both >= ALIKE * F.size(least))
         .groupBy("host", "h").agg(F.min("frequent").alias("frequent"))
     )
 
 
-def _documents(docs: DataFrame, rows: DataFrame, seen: DataFrame, frequent: DataFrame) -> DataFrame:
+def _documents(rows: DataFrame, seen: DataFrame, frequent: DataFrame) -> DataFrame:
     """``(host, body, document)`` of the texts with a frequent line; texts that have the same lines,
-    up to variants of frequent lines that they lack, are one document. Only these texts are read
-    again, one of each set of copies."""
+    up to variants of frequent lines that they lack, are one document."""
     holders = seen.select("host", "body").distinct()
-    one = rows.join(holders, ["host", "body"]).groupBy("host", "body").agg(F.min("mark").alias("mark"))
-    texts = (
-        _hosted(docs).withColumn("mark", F.xxhash64("text"))
-        .join(one, ["host", "mark"])
-        .select("host", "body", F.explode(F.filter(F.split("text", "\n"), _has_word)).alias("line"))
-        .select("host", "body", _line_hash(F.col("line")).alias("h"), "line")
-    )
-    lines = landed(texts.groupBy("host", "body", "h").agg(F.first("line").alias("line")))
-    each = lines.groupBy("host", "h").agg(F.first("line").alias("line"))
-    variants = _variants(
-        landed(each.select("host", "h", _windows_of(F.col("line")).alias("windows"))), frequent
+    lines = landed(
+        rows.select("host", "body", F.explode("lines").alias("line"))
+        .select("host", "body", F.col("line.h").alias("h"), F.col("line.sketch").alias("sketch"))
+        .join(holders, ["host", "body"], "left_semi")
+        .groupBy("host", "body", "h").agg(F.first("sketch").alias("sketch"))
     )
+    each = landed(lines.groupBy("host", "h").agg(F.first("sketch").alias("sketch")))
+    variants = _variants(each, frequent)
     line = F.struct("h", "frequent")
     own = F.col("own.h")
     stands = F.transform(
@@ -217,11 +204,10 @@ def _documents(docs: DataFrame, rows: DataFrame, seen: DataFrame, frequent: Data
     )
 
 
-def common_lines(docs: DataFrame, rows: DataFrame, limits: Limits) -> DataFrame:
+def common_lines(rows: DataFrame, limits: Limits) -> DataFrame:
     """``(host, h)`` of the lines above the limits; counts are combined before each shuffle.
 
-    ``rows`` are the measured ``docs``. Lines that enough different texts have are few; only for
-    their texts near copies are told.
+    Lines that enough different texts have are few; only for their texts near copies are told.
     """
     sizes = rows.select("host", "body").distinct().groupBy("host").agg(
         F.count(F.lit(1)).alias("texts")
@@ -231,17 +217,17 @@ def common_lines(docs: DataFrame, rows: DataFrame, limits: Limits) -> DataFrame:
     if frequent.isEmpty():
         return frequent
     seen = landed(held.join(frequent, ["host", "h"], "left_semi"))
-    documents = _documents(docs, rows, seen, frequent)
+    documents = _documents(rows, seen, frequent)
     told = seen.join(documents, ["host", "body"]).select("host", "h", "document").distinct()
     return _above(told, sizes, limits)
 
 
-def _removed(docs: DataFrame, rows: DataFrame, limits: Limits) -> DataFrame:
+def _removed(rows: DataFrame, limits: Limits) -> DataFrame:
     """``(doc_id, mark, gone, hashes)``: characters and hashes of the common lines of each row."""
     placed = rows.select("doc_id", "mark", "host", F.posexplode("lines").alias("at", "line"))
     return (
         placed.select("doc_id", "mark", "host", "at", F.col("line.h").alias("h"), "line.n")
-        .join(common_lines(docs, rows, limits), ["host", "h"])
+        .join(common_lines(rows, limits), ["host", "h"])
         .groupBy("doc_id", "mark", "at")
         .agg(F.min("h").alias("h"), F.min("n").alias("n"))
         .groupBy("doc_id", "mark")
@@ -257,7 +243,7 @@ def _same_row(a: str, b: str) -> Column:
 
 def _judged(docs: DataFrame, limits: Limits) -> DataFrame:
     rows = measured(docs)
-    gone = _removed(docs, rows, limits).select("doc_id", "mark", "gone")
+    gone = _removed(rows, limits).select("doc_id", "mark", "gone")
     failed = (F.col("n_words") < limits.min_words) | (
         100 * F.col("n_repeat_words") > limits.repeated_percent * F.col("n_words")
     )
@@ -305,7 +291,7 @@ def kept_rows(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 def without_common_lines(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """``docs`` with the common lines of its host taken out of each ``text``."""
-    gone = _removed(docs, measured(docs), limits).select("doc_id", "mark", "hashes")
+    gone = _removed(measured(docs), limits).select("doc_id", "mark", "hashes")
     left = F.array_join(
         F.filter(
             F.split(F.col("row.text"), "\n"),

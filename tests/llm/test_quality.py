@@ -113,7 +113,7 @@ def test_common_lines_and_verdicts_follow_their_definition(spark):
     wanted = _plain_common(rows, limits)
     hashed = docs.sparkSession.createDataFrame(sorted(wanted), "host string, line string").select(
         "host", quality._line_hash(F.col("line")))
-    got = quality.common_lines(docs, quality.measured(docs), limits)
+    got = quality.common_lines(quality.measured(docs), limits)
     assert {tuple(r) for r in got.collect()} == {tuple(r) for r in hashed.collect()}
     kept = {r.doc_id: (r.kept, r.gone_chars) for r in quality.judged(docs, limits).collect()}
     for i, text, host in rows:
