@@ -381,8 +381,8 @@ def _led(
             leaders = [*leaders, waiting[0]]
         leader = waiting.pop()
         near = _distance(prints, _prints(leader)) <= close
+        tied = near & ~covered & (nodes != leader).any(axis=1)
         covered |= near
-        tied = near & (nodes != leader).any(axis=1)
         ties.append((nodes[tied], np.broadcast_to(leader, (int(tied.sum()), _NODE))))
 
 
