@@ -37,8 +37,8 @@ def main() -> None:
     else:
         targets = sla.published_targets(spark, params.default_sla_days)
     prepared = prepare(
-        raw.read_raw_csv(spark, args.activity, multiline=args.multiline),
-        raw.read_raw_csv(spark, args.backlog, multiline=args.multiline),
+        raw.read_extract(spark, args.activity, multiline=args.multiline),
+        raw.read_extract(spark, args.backlog, multiline=args.multiline),
         params,
         f"{args.out}/processed",
     )
@@ -46,9 +46,10 @@ def main() -> None:
     exported = export_all(prepared.requests, targets, params, exports)
     fact, made = exported.fact, exported.rollups
     expected = {name: int(rows) for name, _, rows in (e.partition("=") for e in args.expected)}
-    reconciled = raw.reconcile_counts(prepared.slice_counts, expected)
+    reconciled = raw.reconcile_counts(prepared.slice_counts, expected, prepared.torn_lines)
     factor = prepared.metadata.filter("item = 'scaling_factor'").select("value").scalar()
     write_all({"manifest": exported.manifest}, exports)
+    write_all({"torn_lines": prepared.torn_lines}, f"{args.out}/quarantine")
     write_all(answers(fact, params, made), f"{args.out}/answers")
     write_all(
         reports.gate(prepared.requests, reconciled, made, params), f"{args.out}/quality"

@@ -26,8 +26,8 @@ def clean_borough(stripped: Column) -> Column:
     return F.when(blank, UNSPECIFIED).otherwise(title_text(stripped))
 
 
-def clean(raw: DataFrame) -> DataFrame:
-    """Raw text rows (with their slice label) to the typed request layout."""
+def clean(raw: DataFrame, *others: str) -> DataFrame:
+    """Raw text rows (with their slice label) to the typed request layout, and ``others`` as they are."""
     stripped = raw.withColumns(
         {
             "created_date": parse_time(F.col("created_date")),
@@ -38,7 +38,7 @@ def clean(raw: DataFrame) -> DataFrame:
     )
     # A step of its own, because the stripped text is needed three times.
     titled = stripped.withColumn("borough", clean_borough(F.col("borough")))
-    return titled.select(*schemas.REQUESTS.names)
+    return titled.select(*schemas.REQUESTS.names, *others)
 
 
 def deduplicate(requests: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from caselens.functions import pct
+from caselens.params import ACTIVITY
+from caselens.sources import raw
 
 
 def top(frame: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
@@ -41,10 +43,10 @@ def value_counts(frame: DataFrame, column: str, k: int | None = None) -> DataFra
     return counts if k is None else largest(counts, "requests", k, column)
 
 
-def preview(raw: DataFrame, rows: int = 2_000) -> DataFrame:
+def preview(extract: DataFrame, rows: int = 2_000) -> DataFrame:
     """First unmodified rows of an extract that is ordered by unique_key, in one pass."""
-    whole_row = F.to_json(F.struct(*raw.columns))
-    return top(raw, [F.coalesce("unique_key", F.lit("")), whole_row], rows)
+    whole_row = F.to_json(F.struct(*extract.columns))
+    return top(extract, [F.coalesce("unique_key", F.lit("")), whole_row], rows)
 
 
 # Leading hex digits of the draw by which a sample's cut is found: at most 16 ** 4 counts.
@@ -74,3 +76,22 @@ def sample_exact(frame: DataFrame, key: str, rows: int, seed: int) -> DataFrame:
     )
     needed = drawn.filter(prefix <= reach.scalar())
     return top(needed, [F.col("_draw"), F.col(key)], rows).select(*columns)
+
+
+def in_extract_order(drawn: DataFrame, scanned: DataFrame) -> DataFrame:
+    """A sample of requests sorted as the extract has them: the activity slice first, each slice by
+    the position of the first row with that key; rows without a position by key, before all others.
+
+    ``scanned`` has the positions of :func:`caselens.sources.raw.read_extract`. Only rows of drawn
+    keys are kept of it, so what is grouped and sorted grows with the sample.
+    """
+    keys = drawn.select(F.col("unique_key").alias("_key"), F.col("slice").alias("_slice"))
+    same = F.col("unique_key").eqNullSafe(F.col("_key")) & (F.col("slice") == F.col("_slice"))
+    found = scanned.select("unique_key", "slice", F.struct(*raw.POSITION).alias("_at"))
+    first = (
+        found.join(keys, same, "left_semi")
+        .groupBy(F.col("unique_key").alias("_key"), F.col("slice").alias("_slice"))
+        .agg(F.min("_at").alias("_at"))
+    )
+    order = (F.col("slice") != ACTIVITY, F.col("_at"), F.col("unique_key"))
+    return drawn.join(first, same, "left").orderBy(*order).select(*drawn.columns)

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from caselens.operators import cleaning, ranking, rollups
 from caselens.operators.enrich import enrich
@@ -42,27 +43,37 @@ class Prepared:
     metadata: DataFrame
     sample: DataFrame
     preview: DataFrame
+    torn_lines: DataFrame
 
 
 def prepare(
     activity: DataFrame, backlog: DataFrame, params: Params, folder: str, *,
     sample_rows: int = SAMPLE_ROWS, seed: int = SAMPLE_SEED,
 ) -> Prepared:
-    """Raw slices to a clean request table, a sample, a raw preview and extract metadata.
+    """Raw slices to a clean request table, a sample in the order of the extracts, a raw preview,
+    extract metadata and the torn lines, which are in none of the others.
 
-    The text is parsed once into a scratch table; counts and de-duplication read that.
+    The text is parsed once into a scratch table; counts, positions, torn lines and de-duplication
+    read that.
     """
     spark = activity.sparkSession
     scratch = shared_folder(spark)
-    tables.write_parquet(cleaning.clean(raw.stack_slices(activity, backlog)), scratch)
-    landed = tables.read_parquet(spark, scratch, schemas.REQUESTS)
+    activity, backlog = raw.marked(activity), raw.marked(backlog)
+    stacked = raw.stack_slices(activity, backlog)
+    tables.write_parquet(cleaning.clean(stacked, *schemas.MARKS.names), f"{scratch}/scanned")
+    scanned = tables.read_parquet(spark, f"{scratch}/scanned", schemas.SCANNED)
+    landed = raw.sound(scanned)
     counts = raw.slice_counts(landed)
     rows = tables.Rows()
     tables.write_parquet(cleaning.deduplicate(landed), f"{folder}/service_requests", rows=rows)
     requests = tables.read_parquet(spark, f"{folder}/service_requests", schemas.REQUESTS)
-    sample = ranking.sample_exact(requests, "unique_key", sample_rows, seed)
+    tables.write_parquet(
+        ranking.sample_exact(requests, "unique_key", sample_rows, seed), f"{scratch}/drawn"
+    )
+    drawn = tables.read_parquet(spark, f"{scratch}/drawn", schemas.REQUESTS)
+    sample = ranking.in_extract_order(drawn, scanned.filter(F.col(raw.TORN).isNull()))
     tables.write_csv(sample, f"{folder}/sample")
-    tables.write_csv(ranking.preview(activity), f"{folder}/raw_preview")
+    tables.write_csv(ranking.preview(raw.sound(activity)), f"{folder}/raw_preview")
     total = spark.createDataFrame([(float(rows.number()),)], "rows double")
     metadata = cleaning.metadata_of(counts, total, sample_rows, params)
     tables.write_csv(metadata, f"{folder}/extract_metadata")
@@ -72,6 +83,7 @@ def prepare(
         tables.read_csv(spark, f"{folder}/extract_metadata", schemas.EXTRACT_METADATA),
         tables.read_csv(spark, f"{folder}/sample", schemas.REQUESTS),
         tables.read_csv(spark, f"{folder}/raw_preview", schemas.RAW),
+        raw.torn_lines(scanned),
     )
 
 

@@ -24,10 +24,16 @@ _DAY, _TIME, _FLAG = T.DateType(), T.TimestampNTZType(), T.BooleanType()
 
 RAW = _schema(**{name: _TEXT for name in RAW_COLUMNS})
 
+# What the scan of an extract adds: the text of a torn line, and where a row lies.
+RAW_OR_TORN = T.StructType(RAW.fields + _schema(torn_line=_TEXT).fields)
+MARKS = _schema(torn_line=_TEXT, source_file=_TEXT, source_offset=_LONG, source_row=_LONG)
+
 REQUESTS = _schema(
     **{name: _TIME if name.endswith("_date") else _TEXT for name in RAW_COLUMNS}, slice=_TEXT
 )
 
+SCANNED = T.StructType(REQUESTS.fields + MARKS.fields)
+
 ENRICHED = T.StructType(
     REQUESTS.fields
     + _schema(

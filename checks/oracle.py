@@ -463,6 +463,17 @@ UNION ALL SELECT 'lost slice', count(*), 0, -count(*), 'short' FROM landed
     ),
     "clean_requests": _sql("SELECT * FROM unique_rows"),
     "csv_ingest": _sql("SELECT * FROM unique_rows"),
+    "csv_ingest_torn_lines": _sql("SELECT * FROM unique_rows"),
+    "csv_torn_lines": _sql(
+        f"""SELECT slice, unique_key || ',' || created_date AS torn_line FROM landed
+WHERE slice = '{_ACTIVITY}' ORDER BY torn_line LIMIT 3"""
+    ),
+    "csv_reconciliation_torn_lines": _sql(
+        f"""SELECT slice, landed_rows + torn_rows AS expected_rows, landed_rows,
+  -torn_rows AS difference, torn_rows, IF(torn_rows > 0, 'torn', 'complete') AS state
+FROM (SELECT slice, count(*) AS landed_rows,
+  IF(slice = '{_ACTIVITY}', least(count(*), 3), 0) AS torn_rows FROM landed GROUP BY slice)"""
+    ),
     "extract_metadata": _sql(
         """SELECT slice AS item, CAST(count(*) AS DOUBLE) AS value FROM landed GROUP BY slice
 UNION ALL SELECT 'total_after_dedup', CAST(count(*) AS DOUBLE) FROM unique_rows

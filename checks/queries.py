@@ -163,6 +163,45 @@ def csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.deduplicate(cleaning.clean(landed))
 
 
+def torn_source(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Both slices as CSV, scanned and landed, and how many lines of each were sent. The activity
+    extract also has the lines of its three smallest keys, cut after the second field."""
+    source = orders.raw_line_source(spark, folder)
+    out = shared_folder(spark)
+    activity, backlog = raw.activity_slice(source, P), raw.backlog_slice(source, P)
+    paths = [tables.write_csv(activity, f"{out}/activity"), tables.write_csv(backlog, f"{out}/backlog")]
+    cut = activity.select(F.concat_ws(",", "unique_key", "created_date").alias("line"))
+    cut = cut.orderBy("line").limit(3)
+    header = F.lit(",".join(schemas.RAW_COLUMNS))
+    text = F.concat_ws("\n", header, F.array_sort(F.collect_list("line")))
+    cut.agg(text.alias("value")).write.mode("append").text(paths[0])
+    scanned = raw.stack_slices(*(raw.read_extract(spark, path) for path in paths))
+    landed = spark.read.parquet(tables.write_parquet(scanned, f"{out}/scanned"))
+    sent = raw.slice_counts(
+        raw.stack_slices(activity, backlog).select("slice")
+        .unionByName(cut.select(F.lit(ACTIVITY).alias("slice")))
+    )
+    return landed, sent.withColumnRenamed("landed_rows", "expected_rows")
+
+
+def csv_torn_lines(spark: SparkSession, folder: str) -> DataFrame:
+    landed, _ = torn_source(spark, folder)
+    return raw.torn_lines(landed).drop("source_file")
+
+
+def csv_reconciliation_torn_lines(spark: SparkSession, folder: str) -> DataFrame:
+    landed, sent = torn_source(spark, folder)
+    return raw.reconcile_counts(
+        raw.slice_counts(raw.sound(landed)), sent, raw.torn_lines(landed)
+    )
+
+
+def csv_ingest_torn_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """What is kept of an extract with torn lines: the requests of all other lines."""
+    landed, _ = torn_source(spark, folder)
+    return cleaning.deduplicate(cleaning.clean(raw.sound(landed)))
+
+
 def extract_metadata(spark: SparkSession, folder: str) -> DataFrame:
     stacked = stacked_raw(spark, folder)
     unique = cleaning.deduplicate(cleaning.clean(stacked))
@@ -227,6 +266,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "slice_reconciliation_torn": slice_reconciliation_torn,
     "clean_requests": _on(cleaned, cleaning.deduplicate),
     "csv_ingest": csv_ingest,
+    "csv_ingest_torn_lines": csv_ingest_torn_lines,
+    "csv_torn_lines": csv_torn_lines,
+    "csv_reconciliation_torn_lines": csv_reconciliation_torn_lines,
     "extract_metadata": extract_metadata,
     "raw_preview": lambda s, d: ranking.preview(
         raw.activity_slice(orders.raw_line_source(s, d), P)

@@ -8,7 +8,8 @@ import pytest
 from checks.queries import QUERIES
 
 WRITES = {
-    "csv_ingest", "export_manifest", "exported_fact", "exported_kpi_by_agency",
+    "csv_ingest", "csv_ingest_torn_lines", "csv_torn_lines", "csv_reconciliation_torn_lines",
+    "export_manifest", "exported_fact", "exported_kpi_by_agency",
     "requests_enriched_from_file", "requests_in_chosen_weeks",
 }
 
