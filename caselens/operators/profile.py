@@ -147,6 +147,13 @@ def median_closure(digits: int | None = 1) -> Column:
     return value if digits is None else round_half(value, digits)
 
 
+def sketched_median(accuracy: int, digits: int | None = 1) -> Column:
+    """Median of the enriched frame's requests from a mergeable digest of bounded size, in the one
+    shuffle of the other measures: a value whose rank is off by at most 1 / accuracy of the group."""
+    value = F.percentile_approx("closure_days", 0.5, accuracy).cast("double")
+    return value if digits is None else round_half(value, digits)
+
+
 def single(enriched: DataFrame) -> DataFrame:
     """Each request as a row of a profile, without a shuffle."""
     closed, age = F.col("closure_days"), F.col("age_days")

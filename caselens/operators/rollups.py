@@ -10,7 +10,8 @@ from caselens.operators.priority import CELL, priority_scores
 from caselens.params import ACTIVITY, BUCKETS, Params
 
 
-def core_measures(*, median: bool) -> dict[str, Column]:
+def core_measures(*, median: bool, accuracy: int | None = None) -> dict[str, Column]:
+    """The measures of a rollup; with an ``accuracy`` the median comes from a sketch."""
     measures = {
         "total_requests": p.rows_where(),
         "closed_requests": p.rows_where(F.col("is_closed")),
@@ -18,26 +19,33 @@ def core_measures(*, median: bool) -> dict[str, Column]:
         "avg_closure_days": p.mean_closure(1),
     }
     if median:
-        measures["median_closure_days"] = p.median_closure(1)
+        measures["median_closure_days"] = (
+            p.median_closure(1) if accuracy is None else p.sketched_median(accuracy, 1)
+        )
     measures["sla_miss_rate"] = p.miss_rate()
     measures["aged_open_30d_plus"] = p.rows_where(p.is_aged())
     return measures
 
 
 # Each rollup takes the enriched frame or, if ``counted``, a profile of it by at least its dimensions.
+# An ``accuracy`` is for the enriched frame only.
 
 
-def kpi_by_agency(rows: DataFrame, counted: bool = False) -> DataFrame:
+def kpi_by_agency(
+    rows: DataFrame, counted: bool = False, accuracy: int | None = None
+) -> DataFrame:
     return p.summarise(
-        rows, ["agency"], core_measures(median=True), median=True,
+        rows, ["agency"], core_measures(median=True, accuracy=accuracy), median=accuracy is None,
         labels={"agency_name": "agency_name"}, counted=counted,
     )
 
 
-def kpi_by_complaint_type(rows: DataFrame, counted: bool = False) -> DataFrame:
+def kpi_by_complaint_type(
+    rows: DataFrame, counted: bool = False, accuracy: int | None = None
+) -> DataFrame:
     label = "primary_agency" if counted else "agency"
     return p.summarise(
-        rows, ["complaint_type"], core_measures(median=True), median=True,
+        rows, ["complaint_type"], core_measures(median=True, accuracy=accuracy), median=accuracy is None,
         labels={"primary_agency": label}, counted=counted,
     )
 

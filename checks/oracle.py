@@ -488,6 +488,11 @@ UNION ALL SELECT 'scaling_factor', count(*) / least(count(*), CAST(1000 AS DOUBL
     "sample_requests": _sql(
         "SELECT * FROM requests ORDER BY md5('42:' || unique_key), unique_key LIMIT 1000"
     ),
+    "closure_quantiles_fractional": _sql(
+        f"""SELECT complaint_type, round(quantile_cont(closure_days, 0.5), 6) AS median_closure_days,
+  round(quantile_cont(closure_days, 0.9), 6) AS p90_closure_days
+FROM ({_facts("requests", fractional=True)}) GROUP BY complaint_type"""
+    ),
     "dim_date": _sql(
         """SELECT day AS date, CAST(date_trunc('week', day) AS DATE) AS week_start,
   CAST(date_trunc('month', day) AS DATE) AS month_start, strftime(day, '%a') AS weekday

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselens.operators import (
-    cleaning, crosstabs, enrich as derive, measures, priority, quality, ranking, rollups,
+    cleaning, crosstabs, enrich as derive, measures, priority, quality, quantiles, ranking, rollups,
 )
 from caselens.params import ACTIVITY, BACKLOG, Weights
 from caselens.plans import analysis, dashboard, escalation, export, workbook
@@ -109,6 +109,17 @@ def backlog_overall(spark: SparkSession, folder: str) -> DataFrame:
     return workbook.backlog_overall(sheet, P, factor)
 
 
+def closure_quantiles_fractional(spark: SparkSession, folder: str) -> DataFrame:
+    """Median and ninth decile of fractional closure days per type, by refinement."""
+    found = quantiles.exact_quantiles(
+        fractional(spark, folder), ["complaint_type"], "closure_days",
+        {"median_closure_days": 0.5, "p90_closure_days": 0.9},
+    )
+    return found.withColumns(
+        {c: F.round(c, 6) for c in ("median_closure_days", "p90_closure_days")}
+    )
+
+
 def enriched_from_file(spark: SparkSession, folder: str) -> DataFrame:
     """Requests against SLA targets that were written to a file and read again."""
     path = tables.write_csv(orders.sla_targets(spark).frame, f"{shared_folder(spark)}/targets")
@@ -276,6 +287,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_requests": _on(
         requests, lambda r: ranking.sample_exact(r, "unique_key", SAMPLE_ROWS, SEED)
     ),
+    "closure_quantiles_fractional": closure_quantiles_fractional,
     "dim_date": _on(requests, calendar.dim_date_covering),
     "requests_with_calendar": _on(
         with_calendar,

@@ -8,7 +8,8 @@ import pytest
 from checks.queries import QUERIES
 
 WRITES = {
-    "csv_ingest", "csv_ingest_torn_lines", "csv_torn_lines", "csv_reconciliation_torn_lines",
+    "closure_quantiles_fractional", "csv_ingest", "csv_ingest_torn_lines", "csv_torn_lines",
+    "csv_reconciliation_torn_lines",
     "export_manifest", "exported_fact", "exported_kpi_by_agency",
     "requests_enriched_from_file", "requests_in_chosen_weeks",
 }
