@@ -59,6 +59,35 @@ def test_equal_rows_get_different_slots(spark):
     assert len({(r.shard, r.slot) for r in rows}) == 501
 
 
+@pytest.mark.parametrize("first_bits", [16, 3])
+def test_equal_rows_are_cut_by_position(spark, monkeypatch, first_bits):
+    monkeypatch.setattr(sharding, "FIRST_BITS", first_bits)
+    rows = [(7, "one text of many")] * 3000 + [(i, prose(i, 1 + i % 3)) for i in range(1000)]
+    found = sharding.sharded(spark.createDataFrame(rows, "doc_id long, text string").repartition(6))
+    kept = found.collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted(rows)
+    largest = max(r["size"] for r in kept)
+    bytes_of, slots = defaultdict(int), defaultdict(list)
+    for r in kept:
+        bytes_of[r.shard] += r["size"]
+        slots[r.shard].append(r.slot)
+    assert sorted(bytes_of) == list(range(16))
+    near = sum(bytes_of.values()) / 16
+    assert all(abs(size - near) <= largest + near * sharding.TOLERANCE for size in bytes_of.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    # The same rows in the same places when the result is read again.
+    assert sorted(map(str, found.collect())) == sorted(map(str, kept))
+
+
+def test_keys_that_differ_in_their_last_bits_are_still_split(spark, monkeypatch):
+    """More rounds than bits of a range number would allow if it only grew."""
+    monkeypatch.setattr(sharding, "FIRST_BITS", 2)
+    monkeypatch.setattr(sharding, "MORE", 1)
+    rows = [(i, "same") for i in range(300)] + [(1000 + i, prose(i, 2)) for i in range(50)]
+    found = sharding.sharded(spark.createDataFrame(rows, "doc_id long, text string"), 5).collect()
+    check([(r.shard, r.slot, r["size"]) for r in found], 5, max(r["size"] for r in found))
+
+
 def test_written_shards(spark, data, tmp_path):
     docs = table(spark, data, "documents")
     sharding.write_shards(docs, str(tmp_path / "out"))
