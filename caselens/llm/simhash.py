@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
@@ -12,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caselens.llm.common import in_arrow, landed, per_batch, share_package
+from caselens.llm.common import in_arrow, landed, per_batch
 from caselens.llm.components import components
 
 RADIUS = 3
@@ -39,37 +38,38 @@ def _spans(text: bytes, size: int) -> tuple[bytes, list[tuple[int, int]]]:
     return joined, list(zip(starts, ends[size - 1 :].tolist()))
 
 
-def _bits(text: bytes, size: int, digest: Callable[[bytes, int], bytes]) -> np.ndarray:
-    """Bits that are set in over half of the shingles' digests; all 0 without words."""
+def fingerprint(text: bytes, size: int = SHINGLE) -> int:
+    """64 bits of a UTF-8 text, as a signed number: those set in over half of the shingles' hashes;
+    0 without words."""
     joined, spans = _spans(text, size)
     if not spans:
-        return np.zeros(8 * len(digest(b"", SEED)), bool)
+        return 0
     ones = 0
     for start in range(0, len(spans), SHINGLES_AT_ONCE):
         some = spans[start : start + SHINGLES_AT_ONCE]
-        hashes = np.frombuffer(b"".join([digest(joined[a:b], SEED) for a, b in some]), np.uint8)
-        bits = np.unpackbits(hashes.reshape(len(some), -1), axis=1)
+        hashes = b"".join([xxhash.xxh64_digest(joined[a:b], SEED) for a, b in some])
+        bits = np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(len(some), -1), axis=1)
         ones = ones + bits.sum(axis=0, dtype=np.int64)
-    return 2 * ones > len(spans)
-
-
-def fingerprint(text: bytes, size: int = SHINGLE) -> int:
-    """64 bits of a UTF-8 text, as a signed number; 0 without words."""
-    packed = np.packbits(_bits(text, size, xxhash.xxh64_digest))
+    packed = np.packbits(2 * ones > len(spans))
     return int.from_bytes(packed.tobytes(), "big", signed=True)
 
 
 def _fingerprints(size: int, batch: pa.RecordBatch) -> pa.RecordBatch:
     texts = batch.column("text").cast(pa.binary())
     prints = [fingerprint(text.as_py() or b"", size) for text in texts]
-    return pa.record_batch({"doc_id": batch.column("doc_id"), "print": pa.array(prints, pa.int64())})
+    return batch.drop_columns("text").append_column("print", pa.array(prints, pa.int64()))
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """``(doc_id, print)`` per row; a NULL or wordless text has print 0."""
-    narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    """``(doc_id, mark, print)`` per row; a NULL or wordless text has print 0. ``mark`` is a hash of
+    the text, which tells rows of one doc_id apart."""
+    text = F.col("text").cast("string")
+    narrow = docs.select(
+        F.col("doc_id").cast("long"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("mark"),
+        text.alias("text"),
+    )
     return narrow.transform(
-        in_arrow, per_batch(partial(_fingerprints, size)), "doc_id long, print long"
+        in_arrow, per_batch(partial(_fingerprints, size)), "doc_id long, mark long, print long"
     )
 
 
@@ -111,14 +111,8 @@ def _indexed(rows: DataFrame, width: int) -> DataFrame:
     return found.select("print", "at.*")
 
 
-def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Differing bits of fingerprints, one per row, of one number or several."""
-    bits = np.bitwise_count((a ^ b).view(np.uint64))
-    return bits if bits.ndim == 1 else bits.sum(axis=1)
-
-
 def _near_in(
-    keys: np.ndarray, prints: np.ndarray, table: np.ndarray, radius: int
+    keys: np.ndarray, prints: np.ndarray, table: np.ndarray
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Near pairs as places (table row, row). Rows are sorted by bucket, table rows first. Every
     table row of a bucket is compared with every row of it."""
@@ -135,19 +129,18 @@ def _near_in(
         some = known[start:end]
         right = np.repeat(np.arange(start, end), some)
         left = np.arange(len(right)) - np.repeat(until[start:end] - some - done, some) + first[right]
-        near = _distance(prints[left], prints[right]) <= radius
+        differ = (prints[left] ^ prints[right]).view(np.uint64)
+        near = np.bitwise_count(differ) <= RADIUS
         near &= left != right
         yield left[near], right[near]
         start = end
 
 
-def _links_in(
-    keys: np.ndarray, prints: np.ndarray, table: np.ndarray, radius: int = RADIUS
-) -> np.ndarray:
+def _links_in(keys: np.ndarray, prints: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Label of each row: the first row of its bucket that links lead to. Rows are sorted by bucket,
     table rows first."""
     labels = np.arange(len(keys))
-    left, right = (np.concatenate(x) for x in zip(*_near_in(keys, prints, table, radius)))
+    left, right = (np.concatenate(x) for x in zip(*_near_in(keys, prints, table)))
     while len(left):
         low = np.minimum(labels[left], labels[right])
         moved = labels.copy()
@@ -216,6 +209,17 @@ def links(prints: DataFrame) -> DataFrame:
     return edges
 
 
+def _classes(marked: DataFrame, first: Column) -> DataFrame:
+    """``(print, first)``: the smallest ``first`` of the rows whose prints links lead to."""
+    nodes = landed(marked.groupBy("print").agg(F.min(first).alias("first")))
+    tied = components(links(nodes.select("print")))
+    rooted = nodes.join(tied, F.col("print") == F.col("node"), "left").select(
+        "print", "first", F.coalesce("root", "print").alias("root")
+    )
+    named = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    return rooted.select("print", "root").join(named, "root").select("print", "first")
+
+
 def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """``(doc_id, print, component_id)`` for each row of ``docs (doc_id, text, ...)``.
 
@@ -223,402 +227,35 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     fingerprints are one node, so copies are never paired. Rows with a NULL or wordless text have
     print 0 and are linked like any other. A repeated doc_id gives a row each time; a NULL doc_id
     gets the component of its fingerprint and never names one unless it is alone. No rows give none.
+    Texts count whole, however long, a part of their shingles at a time; other columns are not
+    looked at, whatever their names.
     """
     marked = landed(fingerprints(docs, size))
-    nodes = landed(marked.groupBy("print").agg(F.min("doc_id").alias("first")))
-    tied = components(links(nodes.select("print")))
-    rooted = nodes.join(tied, F.col("print") == F.col("node"), "left").select(
-        "print", "first", F.coalesce("root", "print").alias("root")
-    )
-    named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = rooted.join(named, "root").select("print", "component_id")
-    return marked.join(classes, "print").select("doc_id", "print", "component_id")
-
-
-# --- similar texts -------------------------------------------------------------------------------
-#
-# Texts of a given similarity differ in a larger share of their bits than three of 64, more than an
-# index of bits can cover. So MinHash brings similar texts together: each band of a few minima is a
-# bucket, and as many bands find a pair in at least one of them with the wanted probability, however
-# many texts there are.
-#
-# First each row of a bucket is tied to a leader, a row with a close 128-bit fingerprint; ties whose
-# shingle sets are similar are links. What they connect needs no further look. Then all rows of a
-# bucket that have a possible partner among the others are brought together with their shingle sets,
-# and judged right there: only links that connect something leave the bucket, never candidates. A
-# large bucket falls into blocks, and each pair of blocks is judged on its own.
-
-LONG = 128
-SIMILARITY, WORDS, RECALL = 0.8, 5, 0.999
-# Rows held at once while ties are looked for; rows, and shingles, of a block of a large bucket.
-HELD, BLOCK_ROWS, BLOCK_SHINGLES = 1 << 16, 1 << 14, 1 << 20
-# Minima of a band, and shingles whose minima are taken at once.
-BAND, MINIMA_AT_ONCE = 5, 1 << 12
-# Bytes of a node: its fingerprint and what tells different shingle sets of one fingerprint apart.
-_PRINT, _NODE = LONG // 8, LONG // 8 + 4
-
-
-def _share(similarity: float) -> float:
-    """Share of bits in which the fingerprints of two shingle sets of this Jaccard similarity differ
-    on average."""
-    return math.acos(2 * similarity / (1 + similarity)) / math.pi
-
-
-def radius_of(similarity: float, deviations: float) -> int:
-    """Distance that is so many standard deviations above the average of pairs this similar."""
-    share = _share(similarity)
-    return round(LONG * share + deviations * math.sqrt(LONG * share * (1 - share)))
-
-
-def bands(similarity: float = SIMILARITY) -> int:
-    """How many bands find a pair of just this similarity with probability ``RECALL``."""
-    return max(1, math.ceil(math.log(1 - RECALL) / math.log(1 - min(similarity, 0.999) ** BAND)))
-
-
-def _shingles(text: bytes, size: int) -> np.ndarray:
-    """The set of 128-bit shingle hashes of a text, as pairs of numbers."""
-    joined, spans = _spans(text, size)
-    parts = {joined[a:b] for a, b in spans}
-    return np.frombuffer(
-        b"".join([xxhash.xxh3_128_digest(x, SEED) for x in parts]), np.uint64
-    ).reshape(len(parts), 2)
-
-
-def _node(hashes: np.ndarray) -> bytes:
-    """Majority of each bit, 0 without shingles, and the sum of the hashes."""
-    ones = np.zeros(LONG, np.int64)
-    for start in range(0, len(hashes), SHINGLES_AT_ONCE):
-        some = hashes[start : start + SHINGLES_AT_ONCE].view(np.uint8)
-        ones += np.unpackbits(some, axis=1).sum(axis=0, dtype=np.int64)
-    total = int(hashes[:, 0].sum(dtype=np.uint64)) & 0xFFFFFFFF
-    return np.packbits(2 * ones > len(hashes)).tobytes() + total.to_bytes(_NODE - _PRINT, "big")
-
-
-def _band_keys(hashes: np.ndarray, count: int) -> np.ndarray:
-    rng = np.random.default_rng(SEED)
-    odd, mixed, weights = (
-        rng.integers(0, 1 << 64, count * BAND, np.uint64, False) | np.uint64(1) for _ in range(3)
-    )
-    low = np.full(count * BAND, (1 << 64) - 1, np.uint64)
-    for start in range(0, len(hashes), MINIMA_AT_ONCE):
-        some = hashes[start : start + MINIMA_AT_ONCE, :1]
-        low = np.minimum(low, ((some ^ mixed) * odd).min(axis=0))
-    low ^= low >> np.uint64(29)
-    keys = (low * weights).reshape(count, BAND).sum(axis=1, dtype=np.uint64)
-    return (keys ^ weights[::BAND]).view(np.int64)
-
-
-def _nodes_of(size: int, count: int, batch: pa.RecordBatch) -> pa.RecordBatch:
-    nodes, keys, sizes = [], [], []
-    for text in batch.column("text").cast(pa.binary()):
-        hashes = _shingles(text.as_py() or b"", size)
-        nodes.append(_node(hashes))
-        keys.append(_band_keys(hashes, count))
-        sizes.append(len(hashes))
-    return pa.record_batch({
-        "doc_id": batch.column("doc_id"), "mark": batch.column("mark"),
-        "node": pa.array(nodes, pa.binary()), "size": pa.array(sizes, pa.int64()),
-        "keys": pa.array(keys, pa.list_(pa.int64())),
-    })
-
-
-def _shingle_sets(size: int, batch: pa.RecordBatch) -> pa.RecordBatch:
-    """The set of 64-bit shingle hashes of each text."""
-    texts = batch.column("text").cast(pa.binary())
-    sets = [np.unique(_shingles(t.as_py() or b"", size)[:, 0]).view(np.int64) for t in texts]
-    return pa.record_batch(
-        {"node": batch.column("node"), "shingles": pa.array(sets, pa.list_(pa.int64()))}
+    classes = _classes(marked, F.col("doc_id"))
+    return marked.join(classes, "print").select(
+        "doc_id", "print", F.col("first").alias("component_id")
     )
 
 
-def _bytes_of(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
-
-
-def _prints(nodes: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(nodes[..., :_PRINT]).view(np.uint64)
-
+def kept_rows(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the document with the smallest doc_id.
 
-def _windows(
-    held: int, batches: Iterator[pa.RecordBatch]
-) -> Iterator[tuple[list[np.ndarray], np.ndarray, bool]]:
-    """Columns of whole buckets, where these are cut, and whether the last one goes on: a bucket of
-    more than ``held`` rows comes in parts. Rows come sorted by bucket."""
-
-    def cut(rows: list[np.ndarray], goes_on: bool):
-        keys = rows[0]
-        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        return rows, np.r_[starts, len(keys)], goes_on
-
-    rows = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        some = [batch.column("key").to_numpy(), _bytes_of(batch.column("node"))]
-        rows = some if rows is None else [np.concatenate(x) for x in zip(rows, some)]
-        if len(rows[0]) < held:
-            continue
-        stop = int(np.searchsorted(rows[0], rows[0][-1], "left"))
-        end = stop or len(rows[0])
-        yield cut([x[:end] for x in rows], stop == 0)
-        rows = [x[end:] for x in rows]
-    if rows is not None and len(rows[0]):
-        yield cut(rows, False)
-
-
-def _led(
-    nodes: np.ndarray, close: int, leaders: list[np.ndarray]
-) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[np.ndarray]]:
-    """Ties of the rows of a crowded bucket to leaders: rows that no earlier leader is near."""
-    prints = _prints(nodes)
-    ties, covered, waiting = [], np.zeros(len(nodes), bool), list(leaders)
-    while True:
-        if not waiting:
-            left = np.flatnonzero(~covered)
-            if not len(left):
-                return ties, leaders
-            waiting = [nodes[left[0]]]
-            leaders = [*leaders, waiting[0]]
-        leader = waiting.pop()
-        near = _distance(prints, _prints(leader)) <= close
-        tied = near & ~covered & (nodes != leader).any(axis=1)
-        covered |= near
-        ties.append((nodes[tied], np.broadcast_to(leader, (int(tied.sum()), _NODE))))
-
-
-def _as_pairs(left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
-    packed = [pa.array([r.tobytes() for r in x], pa.binary()) for x in (left, right)]
-    return pa.record_batch(packed, ["a", "b"])
-
-
-def _ties(close: int, held: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """At most one candidate ``(a, b)`` for each row of a bucket: the row and its leader."""
-    at, leaders = None, []
-    for (keys, nodes), cuts, goes_on in _windows(held, batches):
-        several = np.diff(cuts) > 1
-        several[0] |= keys[0] == at
-        several[-1] |= goes_on
-        found = []
-        for bucket in np.flatnonzero(several).tolist():
-            rows = slice(cuts[bucket], cuts[bucket + 1])
-            if keys[rows.start] != at:
-                at, leaders = keys[rows.start], []
-            ties, leaders = _led(nodes[rows], close, leaders)
-            found += [tie for tie in ties if len(tie[0])]
-        if found:
-            yield _as_pairs(*(np.concatenate(x) for x in zip(*found)))
-
-
-# --- blocks of a bucket --------------------------------------------------------------------------
-
-
-def _in_block_pairs(rows: DataFrame, weight: Column, size: int) -> DataFrame:
-    """``rows (key, node, ...)`` dealt to pairs of blocks: each row once for every block of its
-    bucket. Blocks hold about ``size`` of the weight; most buckets are one block, paired with itself.
+    A NULL doc_id comes last; of rows with one doc_id, the one with the smallest hash of its text
+    stays, and equal rows stay together. All columns stay as they are; no rows give none. Only the
+    identifiers of rows that go are joined to the whole rows, so few of them make a broadcast.
     """
-    blocks = rows.groupBy("key").agg(
-        F.ceil(F.sum(weight) / size).cast("int").alias("blocks")
-    ).select("key", F.greatest("blocks", F.lit(1)).alias("blocks"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    return (
-        rows.join(blocks, "key")
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("low", F.least("own", "other"))
-        .withColumn("high", F.greatest("own", "other"))
-        .drop("blocks", "other")
-    )
-
-
-def _codes(rows: np.ndarray) -> np.ndarray:
-    """Equal numbers for equal rows of bytes."""
-    flat = np.ascontiguousarray(rows).view(f"V{rows.shape[1]}").ravel()
-    return np.unique(flat, return_inverse=True)[1].ravel()
-
-
-def _pair_of_blocks(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Nodes, codes of their roots, and the side of each row: 0 or 1, or 2 where a block is paired
-    with itself, so that all its rows are compared."""
-    nodes, roots = (_bytes_of(table.column(c).combine_chunks()) for c in ("node", "root"))
-    low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
-    side = (table.column("own").to_numpy() == high).astype(np.int64)
-    return nodes, _codes(roots), np.full(len(nodes), 2) if low == high else side
-
-
-def _open_rows(radius: int, table: pa.Table) -> pa.Table:
-    """The rows that have a possible partner under another root: a close enough fingerprint."""
-    nodes, roots, side = _pair_of_blocks(table)
-    prints = _prints(nodes)
-    found = np.zeros(len(nodes), bool)
-    for row in np.flatnonzero(side != 1).tolist():
-        near = (_distance(prints, prints[row]) <= radius) & (roots != roots[row])
-        if side[row] == 0:
-            near &= side == 1
-        if near.any():
-            found |= near
-            found[row] = True
-    return table.select(["key", "node", "root"]).filter(pa.array(found))
-
-
-def _links_of_blocks(radius: int, similarity: float, table: pa.Table) -> pa.Table:
-    """Links between different roots, as pairs of roots, that connect all that is connected."""
-    nodes, roots, side = _pair_of_blocks(table)
-    prints, lists = _prints(nodes), table.column("shingles").combine_chunks()
-    sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    starts = np.cumsum(sizes) - sizes
-    known, codes = np.unique(lists.flatten().to_numpy(), return_inverse=True)
-    marked, group, found = np.zeros(len(known), bool), roots.copy(), []
-    for row in np.flatnonzero(side != 1).tolist():
-        able = group != group[row]
-        if side[row] == 0:
-            able &= side == 1
-        able &= np.minimum(sizes, sizes[row]) >= similarity * np.maximum(sizes, sizes[row])
-        some = np.flatnonzero(able)
-        some = some[_distance(prints[some], prints[row]) <= radius]
-        some = some[sizes[some] > 0]
-        if not len(some):
-            continue
-        own = codes[starts[row] : starts[row] + sizes[row]]
-        marked[own] = True
-        ends = np.cumsum(sizes[some])
-        places = np.arange(ends[-1]) + np.repeat(starts[some] - ends + sizes[some], sizes[some])
-        both = np.add.reduceat(marked[codes[places]].astype(np.int64), ends - sizes[some])
-        marked[own] = False
-        for other in some[both / (sizes[row] + sizes[some] - both) >= similarity].tolist():
-            if group[other] != group[row]:
-                found.append((row, other))
-                group[group == group[other]] = group[row]
-    column = table.column("root").combine_chunks()
-    left, right = zip(*found) if found else ((), ())
-    return pa.table({
-        "a": column.take(pa.array(left, pa.int64())), "b": column.take(pa.array(right, pa.int64())),
-    })
-
-
-def _per_pair(rows: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """The function of each pair of blocks; a pair is of bounded size."""
-    share_package(rows.sparkSession)
-
-    def run(table: pa.Table) -> pa.Table:
-        return function(table)
-
-    return rows.groupBy("key", "low", "high").applyInArrow(run, schema)
-
-
-def _ordered(pairs: DataFrame) -> DataFrame:
-    """Each pair once, the larger node first."""
-    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-
-
-def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """``(node, shingles)`` of the distinct ``wanted (node)``, from one text a node."""
-    at = nodes.join(wanted, "node").select(
-        "node", F.col("first.doc_id").alias("at_id"), F.col("first.mark").alias("at_mark")
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("mark") == F.col("at_mark"))
-    return landed(
-        docs.join(at, same).select("node", "text")
-        .transform(
-            in_arrow, per_batch(partial(_shingle_sets, size)), "node binary, shingles array<long>"
-        )
-        .groupBy("node")
-        .agg(F.first("shingles").alias("shingles"))
-    )
-
-
-def _linked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The candidates whose shingle sets have the wanted Jaccard similarity."""
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    shared = F.size(F.array_intersect("left", "right"))
-    return (
-        pairs.join(left, "a").join(right, "b")
-        .select("a", "b", F.size("left").alias("n"), F.size("right").alias("m"), shared.alias("both"))
-        .filter(F.col("both") / (F.col("n") + F.col("m") - F.col("both")) >= similarity)
-        .select("a", "b")
-    )
-
-
-def _roots(nodes: DataFrame, tied: DataFrame) -> DataFrame:
-    return nodes.join(tied, "node", "left").withColumn("root", F.coalesce("root", "node"))
-
-
-def _similar_roots(
-    nodes: DataFrame, docs: DataFrame, similarity: float, size: int
-) -> DataFrame:
-    """``nodes`` with ``root``, the same for all nodes that links lead to. No step gives more rows
-    than there are nodes in buckets, but for the copies of rows that pairs of blocks need."""
-    wide, close = radius_of(similarity, 4), radius_of(similarity, 1.4)
-    pairs = landed(_ordered(
-        nodes.select(F.explode("keys").alias("key"), "node")
-        .repartition("key").sortWithinPartitions("key")
-        .transform(in_arrow, partial(_ties, close, HELD), "a binary, b binary")
-    ))
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    tied = components(_linked(pairs, _sets(ends, nodes, docs, size), similarity))
-    # What the ties have not connected is compared in full.
-    rooted = _roots(nodes, tied).select(F.explode("keys").alias("key"), "node", "root")
-    mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter(
-        "low <> high"
-    )
-    waiting = landed(rooted.join(mixed.select("key"), "key", "left_semi"))
-    kind = "key long, node binary, root binary"
-    open_rows = landed(
-        _in_block_pairs(waiting, F.lit(1), BLOCK_ROWS)
-        .transform(_per_pair, partial(_open_rows, wide), kind)
-        .distinct()
-    )
-    if open_rows.isEmpty():
-        return _roots(nodes, tied)
-    sets = _sets(open_rows.select("node").distinct(), nodes, docs, size)
-    links = landed(
-        _in_block_pairs(open_rows.join(nodes.select("node", "size"), "node"), F.col("size"), BLOCK_SHINGLES)
-        .join(sets, "node")
-        .transform(_per_pair, partial(_links_of_blocks, wide, similarity), "a binary, b binary")
+    marked = landed(fingerprints(docs, size))
+    own = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")
+    gone = landed(
+        marked.join(_classes(marked, own), "print")
+        .filter(own != F.col("first"))
+        .select(F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark"))
         .distinct()
     )
-    known = tied.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    return _roots(nodes, components(known.union(links)))
-
-
-def similar_kept(
-    docs: DataFrame, similarity: float = SIMILARITY, size: int = WORDS
-) -> DataFrame:
-    """The rows of ``docs`` without near copies: of each group, the row with the smallest doc_id.
-
-    A group is what links connect: pairs whose sets of ``size``-word shingles have the given Jaccard
-    similarity or more. Every link is judged by the sets; MinHash only brings pairs together, and
-    misses a pair of just this similarity with probability 1 - ``RECALL``, more similar ones less.
-    Rows with the same set, such as equal or wordless texts, are one group. A NULL doc_id comes last;
-    of rows with one doc_id, the one with the smallest hash of its text stays, and equal rows stay
-    together. Columns and texts are unchanged; no rows give none.
-    """
-    keyed = docs.select(
-        F.col("doc_id").cast("long"), F.col("text").cast("string"),
-        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("mark"),
-    )
-    marked = landed(
-        keyed.transform(
-            in_arrow, per_batch(partial(_nodes_of, size, bands(similarity))),
-            "doc_id long, mark long, node binary, size long, keys array<long>",
-        )
-    )
-    smallest = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark"))
-    nodes = landed(
-        marked.groupBy("node").agg(
-            smallest.alias("first"), F.first("keys").alias("keys"), F.first("size").alias("size")
-        )
-    )
-    stay = (
-        _similar_roots(nodes, keyed, similarity, size)
-        .groupBy("root")
-        .agg(F.min("first").alias("first"))
-        .select(F.col("first.doc_id").alias("kept_id"), F.col("first.mark").alias("kept_mark"))
-    )
     row = F.struct(*(docs[c] for c in docs.columns)).alias("row")
     rows = docs.select(
-        row, F.col("doc_id").cast("long").alias("own_id"),
-        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("own_mark"),
+        row, docs["doc_id"].cast("long").alias("own_id"),
+        F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))).alias("own_mark"),
     )
-    same = F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_mark") == F.col("kept_mark"))
-    return rows.join(stay, same, "left_semi").select("row.*")
+    same = F.col("own_id").eqNullSafe(F.col("gone_id")) & (F.col("own_mark") == F.col("gone_mark"))
+    return rows.join(gone, same, "left_anti").select("row.*")

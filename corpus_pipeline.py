@@ -33,8 +33,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts similar in four fifths of their five-word shingles the smallest doc_id stays."""
-    return simhash.similar_kept(docs)
+    """Of texts whose fingerprints links of three bits connect the smallest doc_id stays."""
+    return simhash.kept_rows(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -105,12 +105,7 @@ def test_query(spark, data):
     check([(r.doc_id, signed(int(r.fingerprint, 16)), r.component_id) for r in rows])
 
 
-# --- similar texts -------------------------------------------------------------------------------
-
-
-def shingles(text):
-    found = words(text.lower())
-    return {" ".join(found[i : i + 5]) for i in range(max(1, len(found) - 4))}
+# --- the rows that stay --------------------------------------------------------------------------
 
 
 def changed(text, seed, count):
@@ -120,163 +115,43 @@ def changed(text, seed, count):
     return " ".join(found)
 
 
-@pytest.mark.parametrize("held", [simhash.HELD, 50])
-def test_near_copies_go_and_others_stay(spark, monkeypatch, held):
-    """Also with buckets that come in several windows."""
-    monkeypatch.setattr(simhash, "HELD", held)
-    rows, groups = [], {}
-    for group in range(40):
-        base = prose(group, 200)
-        members = [base] + [changed(base, group * 1000 + k, 3) for k in range(group % 9)]
-        for text in members:
-            groups.setdefault(group, []).append(len(rows))
-            rows.append((len(rows), text))
-    rows += [(10_000 + k, changed(prose(77, 300), k, 2)) for k in range(200)]
-    kept = {r.doc_id for r in simhash.similar_kept(
-        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert {ids[0] for ids in groups.values()} | {10_000} <= kept
-    pairs = sum(len(ids) - 1 for ids in groups.values()) + 199
-    assert len(kept) - 41 <= 0.02 * pairs
-
-
-def test_odd_rows_of_the_similar(spark):
+def brute_kept(texts):
+    """doc_ids that stay of ``{doc_id: text}``: the smallest one of each component."""
+    by_print = {}
+    for i, text in sorted(texts.items()):
+        by_print.setdefault(signed(brute_print(text)), []).append(i)
+    roots, first = brute_roots(sorted(by_print), near(by_print)), {}
+    for mark, ids in by_print.items():
+        first[roots[mark]] = min(first.get(roots[mark], ids[0]), ids[0])
+    return set(first.values())
+
+
+def test_one_document_of_each_component_stays(spark):
+    rows = {}
+    for group in range(30):
+        base = prose(group, 400)
+        for k in range(1 + group % 5):
+            rows[len(rows)] = changed(base, group * 100 + k, 1) if k else base
+    rows |= {10_000 + k: changed(prose(77, 900), k, 1) for k in range(150)}
+    kept = simhash.kept_rows(spark.createDataFrame(list(rows.items()), "doc_id long, text string"))
+    found = {r.doc_id for r in kept.collect()}
+    assert found == brute_kept(rows) and len(found) < len(rows) - 100
+    assert found >= {i for i, t in rows.items() if t in {prose(g, 400) for g in range(30)}}
+
+
+def test_odd_rows_that_stay(spark):
     docs = odd(spark)
-    kept = simhash.similar_kept(docs)
+    kept = simhash.kept_rows(docs)
     assert kept.columns == docs.columns
     rows = [(r.doc_id, r.text) for r in kept.collect()]
-    assert (0, None) in rows and (1, "") not in rows  # no words: one group
+    assert (0, None) in rows and (1, "") not in rows  # no words: one component
     assert [t for i, t in rows if i == -5] == ["one"] and (3, "one") not in rows
     assert sum(i == 6 for i, _ in rows) == 2  # equal rows stay together
-    assert simhash.similar_kept(none(spark)).collect() == []
-
-
-def test_a_repeated_line_makes_no_near_copies(spark):
-    line = "the same seven words in every text"
-    rows = [(i, f"{line}\n{prose(i, 25)}\n" + f"{line}\n" * 4) for i in range(60)]
-    kept = simhash.similar_kept(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert kept.count() == 60
-
-
-# --- links are judged by the shingle sets --------------------------------------------------------
-
-
-def jaccard(a, b):
-    return len(a & b) / len(a | b)
-
-
-def check_kept(spark, rows):
-    """What stays, after both directions: no drop without a link of 0.8, no pair of 0.8 left."""
-    sets = {i: shingles(t) for i, t in rows}
-    linked = [(a, b) for a in sets for b in sets if a < b and jaccard(sets[a], sets[b]) >= 0.8]
-    frame = spark.createDataFrame(rows, "doc_id long, text string")
-    kept = {r.doc_id for r in simhash.similar_kept(frame).collect()}
-    assert set(sets) - kept <= {b for _, b in linked}
-    assert not any(a in kept and b in kept for a, b in linked)
-    return kept, linked
-
-
-def graded(seed, steps):
-    """A text and others whose similarity to it falls in small steps."""
-    base = prose(seed, 250, 10**6)
-    return [base, *(changed(base, seed * 100 + k, k) for k in steps)]
-
-
-def test_links_have_the_similarity_and_none_is_left(spark):
-    """Pairs of similarity 0.55 to 0.95, which differ in 5 to 35 bits of 128."""
-    rows = []
-    for group in range(60):
-        base, *others = graded(group, [2 + group % 18])
-        rows += [(len(rows), base), (len(rows) + 1, others[0])]
-    _, linked = check_kept(spark, rows)
-    assert 10 <= len(linked) <= 50
-
-
-@pytest.mark.parametrize("blocks", [(1 << 14, 1 << 20), (9, 3000)])
-def test_crowded_buckets_lose_no_link(spark, monkeypatch, blocks):
-    """A chain in which each text is similar to its neighbours only, all in crowded buckets, whole
-    and in many blocks."""
-    monkeypatch.setattr(simhash, "BLOCK_ROWS", blocks[0])
-    monkeypatch.setattr(simhash, "BLOCK_SHINGLES", blocks[1])
-    found = words(prose(5, 400, 10**6))
-    rows = []
-    for k in range(60):
-        rows.append((k, " ".join(found)))
-        for place in range(6):  # six words further on: neighbours at about 0.86, others below 0.8
-            found[(k * 6 + place) % 400] = f"step{k}n{place}"
-    for k in range(60):
-        base, *others = graded(3000, [k % 12 + 1])
-        rows.append((1000 + k, changed(others[0], k, 1)))
-    kept, linked = check_kept(spark, rows)
-    assert {0} <= kept and len(linked) > 60
-
-
-def _pair_table(rng, rows, low, high):
-    """Rows of a pair of blocks with random prints, roots and sets of numbers."""
-    nodes = rng.integers(0, 2, (rows, 20), np.uint8)
-    roots = rng.integers(0, 12, (rows, 1), np.uint8) * np.ones((1, 20), np.uint8)
-    base = rng.choice(60, (3, 24))
-    sets = [np.unique(np.r_[base[rng.integers(3)][: rng.integers(18, 25)], rng.integers(0, 60, 2)])
-            for _ in range(rows)]
-    own = rng.integers(low, high + 1, rows) if low == high else np.where(rng.random(rows) < 0.5, low, high)
-    pa = simhash.pa
-    return pa.table({
-        "key": np.full(rows, 7), "node": pa.array([x.tobytes() for x in nodes]),
-        "root": pa.array([x.tobytes() for x in roots]), "own": own,
-        "low": np.full(rows, low), "high": np.full(rows, high),
-        "shingles": pa.array(sets, pa.list_(pa.int64())),
-    }), nodes, roots[:, 0], own, [set(x.tolist()) for x in sets]
-
-
-@pytest.mark.parametrize("blocks", [(0, 0), (1, 3)])
-@pytest.mark.parametrize("seed", range(4))
-def test_pairs_of_blocks_by_brute_force(seed, blocks):
-    rng = np.random.default_rng(seed)
-    table, nodes, roots, own, sets = _pair_table(rng, 70, *blocks)
-    met = [
-        (i, j) for i in range(70) for j in range(i)
-        if roots[i] != roots[j] and (blocks[0] == blocks[1] or own[i] != own[j])
-        and np.unpackbits(nodes[i, :16] ^ nodes[j, :16]).sum() <= 12
-    ]
-    open_rows = simhash._open_rows(12, table)
-    assert {x.as_py() for x in open_rows["node"]} == {nodes[i].tobytes() for p in met for i in p}
-    linked = [(roots[i], roots[j]) for i, j in met if jaccard(sets[i], sets[j]) >= 0.8]
-    edges = simhash._links_of_blocks(12, 0.8, table)
-    got = [(a.as_py()[0], b.as_py()[0]) for a, b in zip(edges["a"], edges["b"])]
-    assert set(got) <= set(linked) | {(b, a) for a, b in linked}
-    assert len(got) < len(set(roots.tolist())) and linked
-
-    def groups(pairs):
-        name = {r: r for r in roots.tolist()}
-        for a, b in pairs:
-            old = name[b]
-            name = {k: name[a] if v == old else v for k, v in name.items()}
-        return {frozenset(k for k in name if name[k] == v) for v in name.values()}
-
-    assert groups(got) == groups(linked)
-
-
-def test_texts_below_the_limit_make_no_pairs(spark, monkeypatch):
-    """2,000 texts of one template, which resemble each other at 0.58 to 0.78: nothing goes, and no
-    step gives more rows than the nodes have bands."""
-    rnd = random.Random(8)
-    base = words(prose(31, 200, 10**6))
-    rows = []
-    for k in range(2000):
-        found = list(base)
-        for place in rnd.sample(range(8, 196, 8), 5):
-            found[place] = f"own{k}p{place}"
-        rows.append((k, " ".join(found)))
-    few = [shingles(t) for _, t in rows[:40]]
-    similar = [jaccard(a, b) for i, a in enumerate(few) for b in few[:i]]
-    assert max(similar) < 0.8 and min(similar) > 0.55
-    counts = []
-
-    def counted(frame, write=simhash.landed):
-        out = write(frame)
-        counts.append(out.count())
-        return out
-
-    monkeypatch.setattr(simhash, "landed", counted)
-    kept = simhash.similar_kept(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert kept.count() == 2000
-    assert max(counts) <= 2000 * simhash.bands()
+    assert simhash.kept_rows(none(spark)).collect() == []
+
+
+def test_a_text_without_an_id_stays_when_it_is_alone(spark):
+    alone, shared = prose(5, 90), prose(6, 90)
+    rows = [(None, alone), (None, shared), (3, shared), (None, None)]
+    kept = simhash.kept_rows(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(None, alone), (3, shared), (None, None)], key=str)
