@@ -11,7 +11,7 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caselens.llm.common import in_arrow, text_or_empty
@@ -24,6 +24,8 @@ WIDTH = 2 * DIMENSIONS + 3
 BLOCK = 256
 # Labelled documents that the network is fitted on at most: those with the smallest hashes.
 SAMPLE = 20_000
+# First bits of the hashes, by which the draw of that sample is narrowed.
+_DRAW_BITS = 16
 HIDDEN, EPOCHS, STEP, RATE, SEED = 32, 40, 256, 0.005, 7
 THRESHOLD = 0.7
 # Words looked at together, and distinct words a worker remembers before it starts anew.
@@ -227,13 +229,29 @@ def _features(vectors, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         )
 
 
+def _smallest(known: DataFrame, sample: int) -> DataFrame:
+    """At most ``sample`` rows, those with the smallest hashes of their doc_id.
+
+    The first bits of the hashes are counted, which tells how far the draw reaches, so the sort gets
+    little more than ``sample`` rows, not that many from every task.
+    """
+    drawn = known.withColumn("draw", F.xxhash64("doc_id"))
+    prefix = F.shiftright("draw", 64 - _DRAW_BITS)
+    sizes = drawn.groupBy(prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
+    seen = F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    reach = sizes.select("prefix", seen.alias("seen")).filter(F.col("seen") < sample)
+    needed = drawn.filter(prefix <= reach.agg(F.max("prefix")).scalar())
+    return needed.orderBy("draw", "doc_id", "label").limit(sample).drop("draw")
+
+
 def learned(docs: DataFrame, labels: DataFrame, vectors, sample: int = SAMPLE) -> Network:
     """A network fitted on at most ``sample`` labelled rows that are not held out."""
     known = labels.filter(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))).select(
         F.col("doc_id").cast("long"), F.col("quality").cast("int").alias("label")
     )
     # Bounded by ``sample`` pairs of numbers, so this side is broadcast.
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
+    chosen = _smallest(known, sample)
     texts = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).join(
         F.broadcast(chosen), "doc_id"
     )

@@ -78,6 +78,15 @@ def test_odd_rows(spark):
     assert classifier.kept_rows(docs, labels.limit(0), 0.6).count() == 0
 
 
+@pytest.mark.parametrize("sample", [1, 37, 3000, 9999])
+def test_sample_is_that_of_a_full_sort(spark, sample):
+    known = spark.range(3000).select(
+        (F.col("id") % 2500).alias("doc_id"), (F.col("id") % 2).cast("int").alias("label")
+    )
+    wanted = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample).collect()
+    assert sorted(classifier._smallest(known, sample).collect()) == sorted(wanted)
+
+
 def test_held_out_labels_are_not_learned(spark, data):
     """Turning all held-out labels round changes no score."""
     docs, labels = table(spark, data, "documents"), table(spark, data, "labels")
