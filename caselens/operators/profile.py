@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,6 +54,9 @@ class Grouping:
     by_closure_days: bool = False
     labels: Mapping[str, str] = field(default_factory=dict)
 
+    def keys(self) -> list[str]:
+        return [*self.dims, *_STATE, *(["closure_days"] if self.by_closure_days else [])]
+
 
 def profiles(enriched: DataFrame, groupings: Mapping[str, Grouping]) -> dict[str, DataFrame]:
     """The profile of each grouping, all from one scan and one shuffle.
@@ -62,39 +67,73 @@ def profiles(enriched: DataFrame, groupings: Mapping[str, Grouping]) -> dict[str
     spark, path = enriched.sparkSession, shared_folder(enriched.sparkSession)
     made.write.parquet(path)
     stored = spark.read.schema(made.schema).parquet(path)
+    held = _label_sets(groupings, keys)
+    columns = [c for c in made.columns if c not in (*SUMS, "_set")]
+    found = {}
+    for name, g in groupings.items():
+        rows = stored.filter(F.col("_set") == ids[name])
+        labels = [F.col(column).alias(label) for label, column in g.labels.items()]
+        if name in held:
+            tell = stored.filter(F.col("_set") == _set_id(columns, held[name]))
+            found[name] = _with_labels(rows.select(*keys[name], *SUMS), tell, g)
+        else:
+            found[name] = rows.select(*g.keys(), *SUMS, *labels)
+    return found
+
+
+def _with_labels(rows: DataFrame, tell: DataFrame, grouping: Grouping) -> DataFrame:
+    """A profile with its labels, the smallest values per dims in the coarser profile ``tell``."""
+    dims = {c: f"_of_{c}" for c in grouping.dims}
+    values = tell.groupBy(*(F.col(c).alias(of) for c, of in dims.items())).agg(
+        *(F.min(column).alias(f"_label_{label}") for label, column in grouping.labels.items())
+    )
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(of)) for c, of in dims.items()), F.lit(True))
+    return rows.join(values, same, "left").select(
+        *rows.columns, *(F.col(f"_label_{label}").alias(label) for label in grouping.labels)
+    )
+
+
+def _label_sets(
+    groupings: Mapping[str, Grouping], keys: Mapping[str, list[str]]
+) -> dict[str, list[str]]:
+    """Columns of the set that tells the labels of a grouping by closure_days: one of the other
+    groupings if it has them, else a set of their own."""
+    others = [keys[name] for name, g in groupings.items() if not g.by_closure_days]
+    wanted = {
+        name: list(dict.fromkeys([*g.dims, *g.labels.values()]))
+        for name, g in groupings.items() if g.by_closure_days and g.labels
+    }
     return {
-        name: stored.filter(F.col("_set") == ids[name]).select(
-            *keys[name], *SUMS,
-            *(F.col(f"_label_{column}").alias(label) for label, column in g.labels.items()),
-        )
-        for name, g in groupings.items()
+        name: next((k for k in others if set(some) <= set(k)), some) for name, some in wanted.items()
     }
 
 
+def _set_id(columns: Sequence[str], some: Sequence[str]) -> int:
+    """A bit of the grouping id is set where a column, the first one highest, is not in the set."""
+    return sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in some)
+
+
 def grouped(
     enriched: DataFrame, groupings: Mapping[str, Grouping]
 ) -> tuple[dict[str, list[str]], dict[str, int], DataFrame]:
     """Keys and number of each grouping, and one aggregation for all of them.
 
     The rows are expanded by grouping sets and combined before the shuffle, so what travels is no more
-    than the sum of the groupings' domains.
+    than the sum of the groupings' domains. Labels are keys, of a set without closure_days, since the
+    smallest of texts would have all expanded rows sorted, where sums of numbers are hashed.
     """
+    if len({(frozenset(g.dims), g.by_closure_days) for g in groupings.values()}) < len(groupings):
+        raise ValueError(f"two groupings have the same columns: {sorted(groupings)}")
     keys = {
-        name: [*g.dims, *_STATE, *(["closure_days"] if g.by_closure_days else [])]
+        name: g.keys() if g.by_closure_days else list(dict.fromkeys([*g.keys(), *g.labels.values()]))
         for name, g in groupings.items()
     }
-    columns = list(dict.fromkeys(c for some in keys.values() for c in some))
-    labels = sorted({c for g in groupings.values() for c in g.labels.values()})
-    # A bit of the grouping id is set where a column, the first one highest, is not in the set.
-    ids = {
-        name: sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in some)
-        for name, some in keys.items()
-    }
-    if len(set(ids.values())) < len(ids):
-        raise ValueError(f"two groupings have the same columns: {sorted(groupings)}")
-    made = enriched.groupingSets([[F.col(c) for c in some] for some in keys.values()], *columns).agg(
-        *_sums(), *(F.min(c).alias(f"_label_{c}") for c in labels),
-        F.grouping_id().cast("long").alias("_set"),
+    sets = [*keys.values(), *_label_sets(groupings, keys).values()]
+    columns = list(dict.fromkeys(c for some in sets for c in some))
+    ids = {name: _set_id(columns, some) for name, some in keys.items()}
+    distinct = {_set_id(columns, some): some for some in sets}
+    made = enriched.groupingSets([[F.col(c) for c in some] for some in distinct.values()], *columns).agg(
+        *_sums(), F.grouping_id().cast("long").alias("_set"),
     )
     return keys, ids, made
 

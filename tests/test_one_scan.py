@@ -66,6 +66,42 @@ def test_no_requests_give_no_rollups(spark):
     assert all(f.isEmpty() for f in rollups.from_one_scan(empty, PARAMS).values())
 
 
+def test_no_request_is_sorted_for_the_counts(spark, fact):
+    """The smallest label of a group must not turn the hash aggregate into one that sorts."""
+    nodes = executed(profile.grouped(fact, rollups.GROUPINGS)[2])
+    assert any(n.startswith("HashAggregate") for n in nodes)
+    assert not any(n.startswith(("SortAggregate", "Sort ")) for n in nodes)
+
+
+def test_labels_are_the_smallest_of_their_group(spark):
+    """Several labels in a group, none at all, NULL groups, and labels that no other set has."""
+    rows = [
+        row("a", at("05-01"), agency="B", agency_name="y"), row("b", at("05-01"), agency="A"),
+        row("c", at("05-01"), agency="B", agency_name="x"), row("d", at("05-01"), agency="B", agency_name="z"),
+        row("e", at("05-01"), agency=None, agency_name=None, complaint_type=None),
+        row("f", at("05-01"), agency="C", agency_name=None),
+        row("g", at("05-01"), agency="B", agency_name="x", closed_date=at("05-03"), borough=None),
+    ]
+    fact = export.enrich(frame(spark, rows), targets(spark), PARAMS)
+    for name, made in rollups.from_one_scan(fact, PARAMS).items():
+        alone = (
+            priority_scores(fact, PARAMS) if name == "priority_scores"
+            else getattr(rollups, name)(fact)
+        )
+        assert as_bag(made) == as_bag(alone), name
+    both = {
+        "named": profile.Grouping(("agency",), False, {"name": "agency_name"}),
+        "pairs": profile.Grouping(("agency", "agency_name")),
+        "all": profile.Grouping((), True, {"first": "agency"}),
+    }
+    made = profile.profiles(fact, both)
+    assert all(f.agg(F.sum("n")).first()[0] == len(rows) for f in made.values())
+    assert {r["first"] for r in made["all"].collect()} == {"A"}
+    least = made["named"].groupBy("agency").agg(F.min("name").alias("name"))
+    names = {r.agency: r.name for r in least.collect()}
+    assert names["B"] == "x" and names[None] is None and names["C"] is None
+
+
 def test_totals_from_one_scan(fact):
     found = quality.reconcile_groupings(fact, ["agency", "complaint_type", "borough"])
     assert len(scans(found)) == 1
