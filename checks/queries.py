@@ -162,25 +162,35 @@ def slice_reconciliation_torn(spark: SparkSession, folder: str) -> DataFrame:
     return raw.reconcile_counts(counts, more.union(lost))
 
 
+def sent_lines(spark: SparkSession, folder: str, out: str) -> DataFrame:
+    """The lines of both slices with their slice, from one pass over the source: they are stored, since
+    each slice is written and counted from them."""
+    return spark.read.parquet(tables.write_parquet(stacked_raw(spark, folder), f"{out}/sent"))
+
+
+def written_slices(sent: DataFrame, out: str) -> list[str]:
+    """Paths of the activity and the backlog slice, written as CSV."""
+    return [
+        tables.write_csv(raw.prune(sent.filter(F.col("slice") == label)), f"{out}/{name}")
+        for label, name in ((ACTIVITY, "activity"), (BACKLOG, "backlog"))
+    ]
+
+
 def csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Both slices written as CSV, scanned back as text, cleaned and de-duplicated."""
-    source = orders.raw_line_source(spark, folder)
     out = shared_folder(spark)
-    activity = tables.write_csv(raw.activity_slice(source, P), f"{out}/activity")
-    backlog = tables.write_csv(raw.backlog_slice(source, P), f"{out}/backlog")
-    landed = raw.stack_slices(
-        raw.read_raw_csv(spark, activity), raw.read_raw_csv(spark, backlog)
-    )
+    paths = written_slices(sent_lines(spark, folder, out), out)
+    landed = raw.stack_slices(*(raw.read_raw_csv(spark, path) for path in paths))
     return cleaning.deduplicate(cleaning.clean(landed))
 
 
 def torn_source(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Both slices as CSV, scanned and landed, and how many lines of each were sent. The activity
     extract also has the lines of its three smallest keys, cut after the second field."""
-    source = orders.raw_line_source(spark, folder)
     out = shared_folder(spark)
-    activity, backlog = raw.activity_slice(source, P), raw.backlog_slice(source, P)
-    paths = [tables.write_csv(activity, f"{out}/activity"), tables.write_csv(backlog, f"{out}/backlog")]
+    lines = sent_lines(spark, folder, out)
+    paths = written_slices(lines, out)
+    activity = lines.filter(F.col("slice") == ACTIVITY)
     cut = activity.select(F.concat_ws(",", "unique_key", "created_date").alias("line"))
     cut = cut.orderBy("line").limit(3)
     header = F.lit(",".join(schemas.RAW_COLUMNS))
@@ -189,8 +199,7 @@ def torn_source(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]
     scanned = raw.stack_slices(*(raw.read_extract(spark, path) for path in paths))
     landed = spark.read.parquet(tables.write_parquet(scanned, f"{out}/scanned"))
     sent = raw.slice_counts(
-        raw.stack_slices(activity, backlog).select("slice")
-        .unionByName(cut.select(F.lit(ACTIVITY).alias("slice")))
+        lines.select("slice").unionByName(cut.select(F.lit(ACTIVITY).alias("slice")))
     )
     return landed, sent.withColumnRenamed("landed_rows", "expected_rows")
 

@@ -82,6 +82,13 @@ def test_unrepeated_keys_are_not_sorted(spark, data):
     assert count_of(nodes, "HashAggregate") >= 2
 
 
+def test_torn_lines_are_counted_without_the_source(spark, data):
+    """The slices are stored once; neither the cut lines nor the counts join the order tables again."""
+    nodes = executed(QUERIES["csv_reconciliation_torn_lines"](spark, data))
+    scans = [n for n in nodes if n.startswith("FileScan")]
+    assert scans and not any("l_orderkey" in n or "o_orderkey" in n for n in scans)
+
+
 def test_no_median_no_second_shuffle(spark, data):
     with_median = executed(QUERIES["kpi_by_agency"](spark, data))
     without = executed(QUERIES["kpi_by_borough"](spark, data))
