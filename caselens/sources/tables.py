@@ -44,9 +44,14 @@ def write_parquet(
     return path
 
 
-def write_csv(frame: DataFrame, path: str, rows: Rows | None = None) -> str:
+def write_csv(
+    frame: DataFrame, path: str, rows: Rows | None = None, compression: str | None = None
+) -> str:
     frame = rows.of(frame) if rows else frame
-    frame.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    writer = frame.write.mode("overwrite").option("header", True).option("escape", '"')
+    if compression:
+        writer = writer.option("compression", compression)
+    writer.csv(path)
     return path
 
 

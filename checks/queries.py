@@ -169,9 +169,11 @@ def sent_lines(spark: SparkSession, folder: str, out: str) -> DataFrame:
 
 
 def written_slices(sent: DataFrame, out: str) -> list[str]:
-    """Paths of the activity and the backlog slice, written as CSV."""
+    """Paths of the activity and the backlog slice, written as compressed CSV, a file a task."""
     return [
-        tables.write_csv(raw.prune(sent.filter(F.col("slice") == label)), f"{out}/{name}")
+        tables.write_csv(
+            raw.prune(sent.filter(F.col("slice") == label)), f"{out}/{name}", compression="gzip"
+        )
         for label, name in ((ACTIVITY, "activity"), (BACKLOG, "backlog"))
     ]
 

@@ -2,10 +2,13 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from caselens.operators import ranking
 from caselens.params import ACTIVITY, BACKLOG
 from caselens.plans.export import prepare
 from caselens.sources import raw, schemas
+from checks import queries
 from fixtures import PARAMS
 from test_preparation import raw_row, write_extract
 
@@ -93,3 +96,18 @@ def test_a_slice_of_torn_lines_only(spark):
     none = spark.createDataFrame([], "slice string, landed_rows long")
     row, = raw.reconcile_counts(none, {"s": 2}, torn).collect()
     assert (row.landed_rows, row.torn_rows, row.difference, row.state) == (0, 1, -2, "short")
+
+
+def test_written_extracts_are_small_and_come_from_one_pass(spark, data, tmp_path, monkeypatch):
+    """What is written, torn lines too, is far less than the text of its lines, and none is lost."""
+    monkeypatch.setattr(queries, "shared_folder", lambda _: str(tmp_path))
+    landed, sent = queries.torn_source(spark, data)
+    lines = spark.read.parquet(f"{tmp_path}/sent")
+    bulk = lines.agg(F.sum(F.length(F.concat_ws(",", *schemas.RAW_COLUMNS)))).first()[0]
+    files = [p for name in ("activity", "backlog") for p in (tmp_path / name).glob("part-*")]
+    assert sum(p.stat().st_size for p in files) < bulk / 4
+    counts = dict(raw.slice_counts(lines).collect())
+    assert dict(sent.collect()) == {**counts, ACTIVITY: counts[ACTIVITY] + 3}
+    assert landed.count() == sum(counts.values()) + 3
+    some = ("slice", "unique_key", "created_date")
+    assert raw.sound(landed).select(*some).exceptAll(lines.select(*some)).isEmpty()
